@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, sharding
+from . import bpe, decontaminate, sharding
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op6_shuffle_shards": sharding.op6_shuffle_shards,
+    "op9_bpe": bpe.op9_bpe,
 }
 
 SQL = {"op2_decontaminate": decontaminate.OP2_SQL}
