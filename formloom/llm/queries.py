@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, sharding
+from . import bpe, decontaminate, lm, sharding
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_lm_score": lm.op3_lm_score,
     "op6_shuffle_shards": sharding.op6_shuffle_shards,
     "op9_bpe": bpe.op9_bpe,
 }
