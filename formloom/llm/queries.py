@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, lm, sharding
+from . import bpe, decontaminate, lm, secrets, sharding
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_lm_score": lm.op3_lm_score,
     "op6_shuffle_shards": sharding.op6_shuffle_shards,
+    "op8_secrets": secrets.op8_secrets,
     "op9_bpe": bpe.op9_bpe,
 }
 
