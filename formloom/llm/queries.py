@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, lm, secrets, sharding
+from . import bpe, decontaminate, lm, quality, secrets, sharding, toxicity
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_lm_score": lm.op3_lm_score,
     "op6_shuffle_shards": sharding.op6_shuffle_shards,
+    "op7_quality": quality.op7_quality,
     "op8_secrets": secrets.op8_secrets,
     "op9_bpe": bpe.op9_bpe,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 SQL = {"op2_decontaminate": decontaminate.OP2_SQL}
