@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, lm, quality, secrets, sharding, toxicity
+from . import bpe, decontaminate, lm, neardup, quality, secrets, sharding, toxicity
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_lm_score": lm.op3_lm_score,
+    "op4_near_duplicates": neardup.op4_near_duplicates,
     "op6_shuffle_shards": sharding.op6_shuffle_shards,
     "op7_quality": quality.op7_quality,
     "op8_secrets": secrets.op8_secrets,
