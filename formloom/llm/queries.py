@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, lm, neardup, quality, secrets, sharding, toxicity
+from . import bpe, decontaminate, lm, neardup, quality, secrets, sharding, tokenfile, toxicity
 
 QUERIES = {
+    "op1_token_file": tokenfile.op1_token_file,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_lm_score": lm.op3_lm_score,
     "op4_near_duplicates": neardup.op4_near_duplicates,
