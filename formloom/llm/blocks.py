@@ -8,6 +8,9 @@ words of blocks, not the words; no table of all words is broadcast or collected.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import zlib
 from collections.abc import Iterator
 
@@ -20,6 +23,14 @@ BLOCK_BYTES = 24 << 20
 REQUEST = "kind int, block bigint, bucket int, blob binary, counts binary, places binary, ids array<bigint>, lens array<int>"
 
 
+def trim() -> None:
+    """Give freed memory back: a worker stays and its next task's needs differ."""
+    gc.collect()  # what came with an earlier task refers to itself
+    pa.set_memory_pool(pa.system_memory_pool())
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def pack(data: bytes) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(data)
 
@@ -73,8 +84,9 @@ class Block:
         A word's bucket is that of its first `start` bytes, or of all.
         """
         n = len(self.number)
-        seq = np.concatenate(self.seqs) if self.seqs else np.zeros(0, np.uint32)
         lens = np.array([len(s) for s in self.seqs], np.int64)
+        seq = np.concatenate(self.seqs) if self.seqs else np.zeros(0, np.uint32)
+        self.seqs = []
         order = np.argsort(-np.bincount(seq, minlength=n), kind="stable")
         rank = np.empty(n, np.uint32)
         rank[order] = np.arange(n, dtype=np.uint32)
@@ -107,6 +119,7 @@ def blocks(buckets: int, lower: bool, start: int | None = None, block_bytes: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        trim()
         part, made, block = TaskContext.get().partitionId(), 0, Block()
 
         def out(block: Block) -> Iterator[pa.RecordBatch]:
@@ -121,7 +134,10 @@ def blocks(buckets: int, lower: bool, start: int | None = None, block_bytes: int
                 if block.size >= block_bytes:
                     yield from out(block)
                     made, block = made + 1, Block()
+                    trim()
         if block.ids:
             yield from out(block)
+        del block
+        trim()
 
     return run

@@ -11,20 +11,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import REQUEST, REQUEST_ARROW, batch, blocks, pack_ints, unpack, unpack_ints, unpack_sorted
+from .blocks import REQUEST, REQUEST_ARROW, batch, blocks, pack_ints, trim, unpack, unpack_ints, unpack_sorted
 from .common import partitions, read
 
 OUT = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
 
 
 def tokenizer(path: str):
-    """Truncation and padding unused."""
-    from tokenizers import Tokenizer
+    """Truncation and padding unused; one for each process and path, kept with its library."""
+    import tokenizers
 
-    tok = Tokenizer.from_file(path)
-    tok.no_truncation()
-    tok.no_padding()
-    return tok
+    known = vars(tokenizers).setdefault("_formloom_known", {})
+    if path not in known:
+        known[path] = tokenizers.Tokenizer.from_file(path)
+        known[path].no_truncation()
+        known[path].no_padding()
+    return known[path]
 
 
 def encode_words(tok, words: list[bytes]) -> list[list[int]]:
@@ -32,7 +34,7 @@ def encode_words(tok, words: list[bytes]) -> list[list[int]]:
     return [e.ids for e in tok.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
 
 
-def encode_buckets(path: str, at_once: int = 20_000):
+def encode_buckets(path: str, at_once: int = 5_000):
     """For mapInArrow over the rows of a bucket, sorted by bucket: word rows come back with ids in `blob`, their counts in `counts`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -47,6 +49,7 @@ def encode_buckets(path: str, at_once: int = 20_000):
                     yield b.slice(i, 1)
                     continue
                 if r["bucket"].as_py() != bucket:
+                    trim()
                     bucket, known = r["bucket"].as_py(), {}
                 words = unpack(r["blob"].as_py()).split(b"\n")
                 new = [w for w in words if w not in known]
@@ -91,7 +94,7 @@ def join_back(path: str):
                 told = [i for i in s if i not in empty] if empty else s
                 rows.append({"doc_id": doc_id, "ids": b"".join(map(own.__getitem__, s)), "decoded": b" ".join(map(text.__getitem__, told))})
                 size += len(rows[-1]["ids"]) + len(rows[-1]["decoded"])
-                if size > 8 << 20:
+                if size > 4 << 20:
                     yield batch(rows, OUT)
                     rows, size = [], 0
             if rows:
@@ -105,6 +108,7 @@ def join_back(path: str):
                     if payload:
                         yield from finish(payload, places, ids, lens)
                     payload, block, places, ids, lens = None, r["block"], [], [], []
+                    trim()
                 if r["kind"] == 0:
                     payload = r
                 else:
@@ -113,6 +117,8 @@ def join_back(path: str):
                     lens.append(unpack_ints(r["counts"]).astype(np.int64))
         if payload:
             yield from finish(payload, places, ids, lens)
+        del payload, places, ids, lens
+        trim()
 
     return run
 
