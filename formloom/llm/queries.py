@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, lm, neardup, quality, secrets, sharding, tokenfile, toxicity
+from . import bpe, decontaminate, lm, neardup, pii, quality, secrets, sharding, tokenfile, toxicity
 
 QUERIES = {
     "op1_token_file": tokenfile.op1_token_file,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_lm_score": lm.op3_lm_score,
     "op4_near_duplicates": neardup.op4_near_duplicates,
+    "op5_personal_data": pii.op5_personal_data,
     "op6_shuffle_shards": sharding.op6_shuffle_shards,
     "op7_quality": quality.op7_quality,
     "op8_secrets": secrets.op8_secrets,
