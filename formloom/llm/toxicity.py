@@ -86,25 +86,38 @@ def segments(at: list[int], scores: list[float], cost: float) -> list[tuple[int,
     return [(a, b, r - left) for a, b, left, r in stack]
 
 
+def evidence_in(text: str, lex: dict[str, float], rate: float, k: float, least: float) -> tuple[int, float, list]:
+    """The length in tokens, the strongest evidence against chance, and the segments with at least so much."""
+    words = tokens(text)
+    n, best, told = len(words), 0.0, []
+    if not lex.keys().isdisjoint(words):
+        at = [i for i, w in enumerate(words) if w in lex]
+        for a, e, s in segments(at, [lex[words[i]] for i in at], COST):
+            # -log of the number of such segments expected by chance in a text of n tokens
+            evidence = rate * s - math.log(max(k * n, 1e-9))
+            best = max(best, evidence)
+            if evidence >= least:
+                told.append([a, e + 1])
+    return n, best, told
+
+
 def find(lex: dict[str, float], rate: float, k: float, least: float):
-    """For mapInArrow over (doc_id, text): the length, the evidence against chance, and the significant segments in tokens."""
+    """For mapInArrow over (doc_id, text): evidence_in() of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                words = tokens(text.as_py() or "")
-                n, best, told = len(words), 0.0, []
-                if not lex.keys().isdisjoint(words):
-                    at = [i for i, w in enumerate(words) if w in lex]
-                    for a, e, s in segments(at, [lex[words[i]] for i in at], COST):
-                        # -log of the number of such segments expected by chance in a text of n tokens
-                        evidence = rate * s - math.log(max(k * n, 1e-9))
-                        best = max(best, evidence)
-                        if evidence >= least:
-                            told.append([a, e + 1])
-                rows.append({"doc_id": doc_id, "n": n, "evidence": best, "segments": told})
-            yield pa.RecordBatch.from_pylist(rows, schema=EVIDENCE)
+            found = [evidence_in(text.as_py() or "", lex, rate, k, least) for text in b.column(1)]
+            yield pa.RecordBatch.from_pylist([{"doc_id": i, "n": n, "evidence": x, "segments": s} for i, (n, x, s) in zip(b.column(0).to_pylist(), found, strict=True)], schema=EVIDENCE)
+
+    return run
+
+
+def passing(text: str, lex: dict[str, float], rate: float, k: float, most: float):
+    """For mapInArrow: the rows whose texts have less evidence than `most`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([evidence_in(t.as_py() or "", lex, rate, k, math.inf)[1] < most for t in b.column(b.schema.get_field_index(text))], pa.bool_()))
 
     return run
 
@@ -145,9 +158,17 @@ class Model:
     def __init__(self, lex: dict[str, float], rate: float, k: float, slope: float, intercept: float) -> None:
         self.lex, self.rate, self.k, self.slope, self.intercept = lex, rate, k, slope, intercept
 
+    def even(self) -> float:
+        """The evidence at which the score is a half."""
+        return -self.intercept / self.slope if self.slope > 0 else math.inf * (1 if self.intercept < 0 else -1)
+
+    def keep(self, docs: DataFrame, text: str = "text") -> DataFrame:
+        """The rows, with all their columns, whose score is under a half."""
+        return docs.mapInArrow(passing(text, self.lex, self.rate, self.k, self.even()), docs.schema)
+
     def score(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
         """doc_id, score and segments (first and end token of those where score exceeds a half by themselves) of every row."""
-        least = -self.intercept / self.slope if self.slope > 0 else math.inf
+        least = self.even()
         rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
         out = rows.mapInArrow(find(self.lex, self.rate, self.k, least), "doc_id bigint, n bigint, evidence double, segments array<array<int>>")
         return out.select("doc_id", (1 / (1 + F.exp(-(self.slope * F.col("evidence") + self.intercept)))).alias("score"), "segments")
