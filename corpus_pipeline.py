@@ -1,12 +1,71 @@
-"""The corpus pipeline: documents to token digests, in stages that each call one operator of formloom.llm."""
+"""The corpus pipeline: documents to token digests, in stages that each call one operator of formloom.llm.
+
+All stages but the last take and return the columns of documents, and keep clean documents as they are.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from formloom.llm import bpe, decontaminate, neardup, secrets, toxicity
 from formloom.llm.common import read, written
 
-STAGES: list = []
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents whose score is a half or more. Learns from these documents' labels."""
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    return model.keep(docs)
+
+
+def without(docs: DataFrame, rejected: DataFrame, on: list[str]) -> DataFrame:
+    """The rows of docs that match no rejected one in the columns `on`; nulls match nothing. Few are broadcast, more are not."""
+    rejected = written(rejected.select(*on).distinct(), "pipeline-rejected")
+    return docs.join(F.broadcast(rejected) if rejected.count() <= neardup.BROADCAST_IDS else rejected, on, "left_anti")
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that are the least of their near duplicates. Equal rows of one id become one; rows of a null id stay."""
+    judged = written(neardup.near_duplicates(docs).select("doc_id", "kept"), "pipeline-judged")
+    kept = without(docs, judged.filter("not kept"), ["doc_id"])
+    repeated = judged.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    return without(kept, repeated, ["doc_id"]).unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates()).select(*docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents of whose words a twentieth or more stand in benchmark windows; rows of a null id stay."""
+    told = docs.withColumn("_fl_hash", F.xxhash64("text"))
+    found = decontaminate.decontaminate(told, read(spark, sf_dir, "benchmark"), ["doc_id", "_fl_hash"])
+    return without(told, found.filter("contaminated"), ["doc_id", "_fl_hash"]).select(*docs.columns)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """With every secret in a text replaced, and n_chars counted again where one was."""
+    found = secrets.find_secrets(docs)
+    text = secrets.redact(F.col("text"), F.col("spans"))
+    held = F.size("spans") > 0
+    out = found.withColumn("_fl_text", text).withColumn("n_chars", F.when(held, F.length("_fl_text").cast("long")).otherwise(F.col("n_chars"))).withColumn("text", F.col("_fl_text"))
+    return out.select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of what is left."""
+    out = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return out.mapInArrow(bpe.digests, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+
+
+STAGES = [
+    ("toxicity", not_toxic),
+    ("near_duplicates", one_of_each_group),
+    ("decontamination", decontaminated),
+    ("secrets", without_secrets),
+    ("bpe", tokens),
+]
+
+#: None: SQL expresses neither the learned stages nor the encoding; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
