@@ -1,7 +1,8 @@
 """Toxicity: maximum-scoring segments of token log-odds, judged by the law of extreme values.
 
-Tokens' log-odds between toxic and other labelled texts have an informative Dirichlet prior; significant ones score,
-all others cost a little. All maximal segments of a text are found in one pass, as the stack algorithm for all maximal
+Log-odds between toxic and other labelled texts, of tokens and of how they begin (for languages that inflect), have an
+informative Dirichlet prior. A token scores by the strongest of its features; all others cost what their lack
+in toxic texts says. All maximal segments of a text are found in one pass, as the stack algorithm for all maximal
 scoring subsequences does. How unlikely a segment's score is in a text of that length follows from the scores' own
 distribution over other texts; the strongest evidence, calibrated on labelled texts that the log-odds have not seen,
 gives the score.
@@ -24,10 +25,14 @@ from .common import held_out, read, written
 LEARN_ROWS = 30_000
 #: Of 3 parts, those that the log-odds are counted in; the rest calibrates.
 LEXICON_PARTS = 2
-#: Tokens of the lexicon at most: those with the largest |z|.
+#: Features of the lexicon at most: those with the largest z.
 LEXICON_SIZE = 20_000
-#: Prior counts of a token: HALF, and its share of PRIOR by its frequency in all texts.
-HALF, PRIOR, LEAST_Z, COST = 0.5, 50.0, 4.0, 1.0
+#: Prior counts of a feature: HALF, and its share of PRIOR by its frequency in all texts.
+HALF, PRIOR, LEAST_Z, LEAST_TEXTS = 0.5, 50.0, 3.5, 3
+#: Standard errors below the log-odds that a feature scores.
+BOUND = 1.64
+#: A token's features: its first characters, so many, and all of it with a mark that no token has.
+BEGINS, WHOLE = range(3, 9), "$"
 FOLDS, HELD_FOLD = 5, 0
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 EVIDENCE = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("evidence", pa.float64()), ("segments", pa.list_(pa.list_(pa.int32())))])
@@ -37,29 +42,59 @@ def tokens(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(toxic, text) to (token, toxic, rows, n): a token counts once for each text, so that copies within it don't weigh."""
+def features(token: str) -> list[str]:
+    return [token[:k] for k in BEGINS if k <= len(token)] + [token + WHOLE]
+
+
+def count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(toxic, text) to (feature, toxic, n, texts): occurrences, and the texts that hold it."""
     from collections import Counter
 
     for b in batches:
-        found: Counter = Counter()
+        n: Counter = Counter()
+        texts: Counter = Counter()
         for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            found.update((w, toxic) for w in set(tokens(text or "")))
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in found], pa.string()), pa.array([t for _, t in found], pa.int32()), pa.array(list(found.values()), pa.int64())], names=["token", "toxic", "n"])
+            own: Counter = Counter()
+            for w, k in Counter(tokens(text or "")).items():
+                for f in features(w):
+                    own[f] += k
+            n.update({(f, toxic): k for f, k in own.items()})
+            texts.update((f, toxic) for f in own)
+        keys = list(n)
+        yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in keys], pa.string()), pa.array([t for _, t in keys], pa.int32()), pa.array([n[k] for k in keys], pa.int64()), pa.array([texts[k] for k in keys], pa.int64())], names=["feature", "toxic", "n", "texts"])
+
+
+def log_odds(y1, y0, n1: float, n0: float):
+    """Of counts y1 among n1 and y0 among n0, with the prior: the log-odds ratio, and its standard score."""
+    share = (y1 + y0) / (n1 + n0)
+    a, b = y1 + HALF + PRIOR * share, y0 + HALF + PRIOR * share
+    odds = F.log(a / (n1 + PRIOR + 1 - a)) - F.log(b / (n0 + PRIOR + 1 - b))
+    return odds, odds / F.sqrt(1 / a + 1 / b)
+
+
+def lexicon(counts: DataFrame, tokens_: tuple[float, float], texts: tuple[float, float], size: int) -> dict[str, float]:
+    """Features that speak for toxic texts, with the lower bound of their log-odds; at most `size`, the largest z."""
+    if not all(tokens_) or not all(texts):
+        return {}
+    # texts tell whether a feature is one, since occurrences in one text hang together
+    _, z = log_odds(F.col("texts1"), F.col("texts0"), *texts)
+    odds, _ = log_odds(F.col("n1"), F.col("n0"), *tokens_)
+    best = counts.filter(F.col("texts1") >= LEAST_TEXTS).select("feature", odds.alias("odds"), z.alias("z")).filter((F.col("z") >= LEAST_Z) & (F.col("odds") > 0))
+    return {r["feature"]: r["odds"] * (1 - BOUND / r["z"]) for r in best.orderBy(F.desc("z"), "feature").limit(size).collect()}
 
 
-def lexicon(counts: DataFrame, size: int) -> dict[str, float]:
-    """Significant tokens' log-odds, shrunk to their lower confidence bound; at most `size`, the largest |z|."""
-    totals = counts.agg(F.sum("toxic_n"), F.sum("other_n"), F.count("token")).collect()[0]
-    n1, n0 = float(totals[0] or 0), float(totals[1] or 0)
-    if not n1 or not n0:
-        return {}
-    prior = HALF + F.lit(PRIOR) * (F.col("toxic_n") + F.col("other_n")) / (n1 + n0)
-    y1, y0, whole = F.col("toxic_n") + prior, F.col("other_n") + prior, PRIOR + HALF * totals[2]
-    odds = F.log(y1 / (n1 + whole - y1)) - F.log(y0 / (n0 + whole - y0))
-    z = odds / F.sqrt(1 / y1 + 1 / y0)
-    best = counts.select("token", odds.alias("odds"), z.alias("z")).filter(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "token").limit(size)
-    return {r["token"]: r["odds"] * (1 - 2 / abs(r["z"])) for r in best.collect()}
+class Scores(dict):
+    """A token's log-odds: the largest of its features, or 0. Remembers the tokens that it was asked for."""
+
+    def __init__(self, lex: dict[str, float]) -> None:
+        self.lex = lex
+
+    def __missing__(self, token: str) -> float:
+        score = max((self.lex[f] for f in features(token) if f in self.lex), default=0.0)
+        if len(self) > 500_000:
+            self.clear()
+        self[token] = score
+        return score
 
 
 def segments(at: list[int], scores: list[float], cost: float) -> list[tuple[int, int, float]]:
@@ -86,55 +121,81 @@ def segments(at: list[int], scores: list[float], cost: float) -> list[tuple[int,
     return [(a, b, r - left) for a, b, left, r in stack]
 
 
-def evidence_in(text: str, lex: dict[str, float], rate: float, k: float, least: float) -> tuple[int, float, list]:
-    """The length in tokens, the strongest evidence against chance, and the segments with at least so much."""
-    words = tokens(text)
-    n, best, told = len(words), 0.0, []
-    if not lex.keys().isdisjoint(words):
-        at = [i for i, w in enumerate(words) if w in lex]
-        for a, e, s in segments(at, [lex[words[i]] for i in at], COST):
-            # -log of the number of such segments expected by chance in a text of n tokens
-            evidence = rate * s - math.log(max(k * n, 1e-9))
-            best = max(best, evidence)
-            if evidence >= least:
-                told.append([a, e + 1])
-    return n, best, told
+class Law:
+    """The lexicon with the law of its segments' scores in texts that are not toxic: rate and k, and the cost of other tokens."""
 
+    def __init__(self, lex: dict[str, float], cost: float, rate: float, k: float = 0.1) -> None:
+        self.lex, self.cost, self.rate, self.k = lex, cost, rate, k
 
-def find(lex: dict[str, float], rate: float, k: float, least: float):
-    """For mapInArrow over (doc_id, text): evidence_in() of each."""
+    def evidence(self, text: str, scores: Scores, least: float = math.inf) -> tuple[int, float, list]:
+        """The length in tokens, the strongest evidence against chance, and the segments with at least so much."""
+        words = tokens(text)
+        n, best, told = len(words), 0.0, []
+        each = list(map(scores.__getitem__, words)) if self.lex else []
+        if any(each):
+            at = [i for i, s in enumerate(each) if s]
+            for a, e, s in segments(at, [each[i] for i in at], self.cost):
+                # -log of the number of such segments expected by chance in a text of n tokens
+                evidence = self.rate * s - math.log(max(self.k * n, 1e-9))
+                best = max(best, evidence)
+                if evidence >= least:
+                    told.append([a, e + 1])
+        return n, best, told
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [evidence_in(text.as_py() or "", lex, rate, k, least) for text in b.column(1)]
-            yield pa.RecordBatch.from_pylist([{"doc_id": i, "n": n, "evidence": x, "segments": s} for i, (n, x, s) in zip(b.column(0).to_pylist(), found, strict=True)], schema=EVIDENCE)
+    def find(self, least: float):
+        """For mapInArrow over (doc_id, text): evidence() of each."""
 
-    return run
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            scores = Scores(self.lex)
+            for b in batches:
+                found = [self.evidence(text.as_py() or "", scores, least) for text in b.column(1)]
+                yield pa.RecordBatch.from_pylist([{"doc_id": i, "n": n, "evidence": x, "segments": s} for i, (n, x, s) in zip(b.column(0).to_pylist(), found, strict=True)], schema=EVIDENCE)
+
+        return run
+
+    def passing(self, text: str, most: float):
+        """For mapInArrow: the rows whose texts have less evidence than `most`."""
 
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            scores = Scores(self.lex)
+            for b in batches:
+                yield b.filter(pa.array([self.evidence(t.as_py() or "", scores)[1] < most for t in b.column(b.schema.get_field_index(text))], pa.bool_()))
 
-def passing(text: str, lex: dict[str, float], rate: float, k: float, most: float):
-    """For mapInArrow: the rows whose texts have less evidence than `most`."""
+        return run
+
+
+def token_scores(lex: dict[str, float]):
+    """For mapInArrow over (toxic, text): how many tokens have each score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from collections import Counter
+
+        scores, found = Scores(lex), Counter()
         for b in batches:
-            yield b.filter(pa.array([evidence_in(t.as_py() or "", lex, rate, k, math.inf)[1] < most for t in b.column(b.schema.get_field_index(text))], pa.bool_()))
+            for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                found.update((toxic, scores[w]) for w in tokens(text or ""))
+        yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.int32()), pa.array([s for _, s in found], pa.float64()), pa.array(list(found.values()), pa.int64())], names=["toxic", "score", "n"])
 
     return run
 
 
-def chance_rate(lex: dict[str, float], frequency: dict[str, float]) -> float:
-    """The positive root x of E[exp(x s)] = 1 over a token's score s in other texts: the rate of the extreme-value law."""
-    s = np.array([lex[w] for w in lex])
-    p = np.array([frequency.get(w, 0.0) for w in lex])
-    rest = max(0.0, 1.0 - p.sum())
+def law_of(lex: dict[str, float], told: list) -> Law:
+    """The cost of a token that scores nothing, from how often tokens score in toxic texts, and the positive root x of
+    E[exp(x s)] = 1 over a token's score s in the others, the rate of the extreme-value law."""
+    total = [sum(r["n"] for r in told if r["toxic"] == t) or 1 for t in (0, 1)]
+    scoring = [sum(r["n"] for r in told if r["toxic"] == t and r["score"]) for t in (0, 1)]
+    p0, p1 = scoring[0] / total[0], min(0.5, scoring[1] / total[1])
+    s = np.array([r["score"] for r in told if r["toxic"] == 0 and r["score"]])
+    p = np.array([r["n"] / total[0] for r in told if r["toxic"] == 0 and r["score"]])
+    cost = max(0.01, math.log((1 - p0) / (1 - p1)) if p1 > p0 else 0.0, 2 * float((p * s).sum()))  # on the whole, scores fall
+    f = lambda x: float((p * np.exp(np.minimum(700, x * s))).sum() + (1 - p0) * math.exp(-x * cost) - 1)
     low, high = 1e-6, 1.0
-    f = lambda x: float((p * np.exp(np.minimum(700, x * s))).sum() + rest * math.exp(-x * COST) - 1)
-    while f(high) < 0 and high < 1e3:
-        high *= 2
-    for _ in range(200):
+    while f(high) < 0 and high < 1.5:
+        high *= 1.1
+    for _ in range(100):
         mid = (low + high) / 2
         low, high = (mid, high) if f(mid) < 0 else (low, mid)
-    return high
+    return Law(lex, cost, high)
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -153,10 +214,10 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 class Model:
-    """What scoring needs: the lexicon, the extreme-value law and the calibration."""
+    """What scoring needs: the law with its lexicon, and the calibration."""
 
-    def __init__(self, lex: dict[str, float], rate: float, k: float, slope: float, intercept: float) -> None:
-        self.lex, self.rate, self.k, self.slope, self.intercept = lex, rate, k, slope, intercept
+    def __init__(self, law: Law, slope: float, intercept: float) -> None:
+        self.law, self.slope, self.intercept = law, slope, intercept
 
     def even(self) -> float:
         """The evidence at which the score is a half."""
@@ -164,37 +225,36 @@ class Model:
 
     def keep(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """The rows, with all their columns, whose score is under a half."""
-        return docs.mapInArrow(passing(text, self.lex, self.rate, self.k, self.even()), docs.schema)
+        return docs.mapInArrow(self.law.passing(text, self.even()), docs.schema)
 
     def score(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-        """doc_id, score and segments (first and end token of those where score exceeds a half by themselves) of every row."""
-        least = self.even()
+        """doc_id, score and segments (first and end token of those with evidence for a half or more) of every row."""
         rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-        out = rows.mapInArrow(find(self.lex, self.rate, self.k, least), "doc_id bigint, n bigint, evidence double, segments array<array<int>>")
+        out = rows.mapInArrow(self.law.find(self.even()), "doc_id bigint, n bigint, evidence double, segments array<array<int>>")
         return out.select("doc_id", (1 / (1 + F.exp(-(self.slope * F.col("evidence") + self.intercept)))).alias("score"), "segments")
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn_rows: int = LEARN_ROWS) -> Model:
     """Learns from about `learn_rows` of the labelled rows whose doc_id is not held out; null labels, ids and unlabelled rows are left.
 
-    With one class only, all scores are that class's rate. What comes to the driver is bounded by the parameters.
+    With one class only, all scores are near that class's rate. What comes to the driver is bounded by the parameters.
     """
     known = labels.filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id"), FOLDS, HELD_FOLD)).select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"))
     share = min(1.0, learn_rows / max(1, known.count()))
     draw = F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(1_000_000))
     some = known.filter(draw < round(share * 1_000_000)).withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(3)).cast("int"))
     sample = written(docs.select("doc_id", "text").join(F.broadcast(some), "doc_id"), "toxicity-sample")  # about learn_rows ids
-    counts = sample.filter(F.col("part") < LEXICON_PARTS).select("toxic", "text").mapInArrow(count_tokens, "token string, toxic int, n bigint")
-    counts = written(counts.groupBy("token").agg(F.sum(F.col("toxic") * F.col("n")).alias("toxic_n"), F.sum((1 - F.col("toxic")) * F.col("n")).alias("other_n")), "toxicity-counts")
-    lex = lexicon(counts, LEXICON_SIZE)
-    other = counts.agg(F.sum("other_n")).collect()[0][0] or 1
-    frequency = {r["token"]: (r["other_n"] + 0.01) / other for r in counts.join(F.broadcast(counts.sparkSession.createDataFrame([(w,) for w in lex], "token string")), "token").collect()}
-    rate = chance_rate(lex, frequency)
-    k = 0.1
+    first = sample.filter(F.col("part") < LEXICON_PARTS).select("toxic", "text")
+    counts = first.mapInArrow(count_features, "feature string, toxic int, n bigint, texts bigint").groupBy("feature").agg(
+        *[F.sum(F.when(F.col("toxic") == t, F.col(c)).otherwise(0)).alias(f"{c}{t}") for c in ("n", "texts") for t in (0, 1)]
+    )
+    size = {r["toxic"]: (r["texts"], r["n"]) for r in first.groupBy("toxic").agg(F.count("*").alias("texts"), F.sum(F.coalesce(F.size(F.split("text", r"[\s]+")), F.lit(0))).alias("n")).collect()}
+    texts, n = zip(*[size.get(t, (0, 0)) for t in (1, 0)], strict=True)
+    lex = lexicon(counts, n, texts, LEXICON_SIZE)
+    law = law_of(lex, first.mapInArrow(token_scores(lex), "toxic int, score double, n bigint").groupBy("toxic", "score").agg(F.sum("n").alias("n")).collect())
     rest = sample.filter(F.col("part") >= LEXICON_PARTS)
-    seen = rest.select("doc_id", "text").mapInArrow(find(lex, rate, k, math.inf), "doc_id bigint, n bigint, evidence double, segments array<array<int>>").select("doc_id", "evidence").join(F.broadcast(some.select("doc_id", "toxic")), "doc_id").select("evidence", "toxic").toPandas()
-    slope, intercept = logistic(seen["evidence"].to_numpy(float), seen["toxic"].to_numpy(float))
-    return Model(lex, rate, k, slope, intercept)
+    seen = rest.select("doc_id", "text").mapInArrow(law.find(math.inf), "doc_id bigint, n bigint, evidence double, segments array<array<int>>").select("doc_id", "evidence").join(F.broadcast(some.select("doc_id", "toxic")), "doc_id").select("evidence", "toxic").toPandas()
+    return Model(law, *logistic(seen["evidence"].to_numpy(float), seen["toxic"].to_numpy(float)))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
