@@ -57,6 +57,20 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(unpack_ints(data).astype(np.int64))
 
 
+def in_parts(b: pa.RecordBatch, most: int = 4 << 20) -> Iterator[tuple[list, list[bytes]]]:
+    """(ids, texts) of some of a batch's rows at a time."""
+    ids, texts, size = [], [], 0
+    for i in range(b.num_rows):
+        ids.append(b.column(0)[i].as_py())
+        texts.append((b.column(1)[i].as_py() or "").encode())
+        size += len(texts[-1])
+        if size >= most:
+            yield ids, texts
+            ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 class Block:
     """Documents gathered until the block is full."""
 

@@ -2,9 +2,10 @@
 
 Texts with equal sets of shingles are one class from the start. A class's signature comes from two permutations: the
 first spreads the shingles, the second, shifted by 0, 1, 2, ... places, gives one coordinate for each shift. Classes meet
-in buckets of bands. In a bucket, members are first held against one hub, twice with hubs of other hash orders, so that a
-group of copies becomes one component without its pairs; what then still is in several components of one bucket is held
-against each other. So every pair that shares a bucket is verified, or joined through others that were.
+in buckets of bands. In a bucket, members are first held against one hub, the class that meets most others, then against
+the foremost of those that are still apart from it; so a group of copies becomes one component without its pairs. Classes
+of buckets that are then still in several components are joined exactly: linked sets share one of their rarest shingles,
+in places that leave room for enough in common, so only such pairs of different components are held against each other.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import trim
+from .blocks import in_parts, trim
 from .common import partitions, read, written
 
 SHINGLE = 4
@@ -91,20 +92,6 @@ def digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def in_parts(b: pa.RecordBatch, most: int = 4 << 20) -> Iterator[tuple[list, list[bytes]]]:
-    """(ids, texts) of some of a batch's rows at a time."""
-    ids, texts, size = [], [], 0
-    for i in range(b.num_rows):
-        ids.append(b.column(0)[i].as_py())
-        texts.append((b.column(1)[i].as_py() or "").encode())
-        size += len(texts[-1])
-        if size >= most:
-            yield ids, texts
-            ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
-
-
 def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     trim()
     for b in batches:
@@ -140,6 +127,21 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def prefix_pairs(sets: DataFrame, low: int, high: int) -> DataFrame:
+    """(digest, other) of sets with different labels that may be linked; no linked pair of different labels is left out.
+
+    Sets of n and m linked shingles have c = low (n + m) / (low + high) or more in common. With each set's shingles in
+    one order, the rarest first, their first common one stands where n - i and m - j are still at least c.
+    """
+    tokens = sets.select("digest", "label", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    ranked = tokens.join(tokens.groupBy("s").agg(F.count("*").alias("f")), "s").groupBy("digest", "label", "n").agg(F.array_sort(F.collect_list(F.struct("f", "s"))).alias("t"))
+    most = F.col("n") - F.ceil(F.lit(low) * F.col("n") / high) + 1
+    prefix = ranked.select("digest", "label", "n", F.posexplode(F.slice("t", F.lit(1), most.cast("int"))).alias("i", "t")).filter("t.f > 1").select("digest", "label", "n", "i", F.col("t.s").alias("s"))
+    it = prefix.withColumnsRenamed({"digest": "other", "label": "its", "n": "m", "i": "j"})
+    room = (low + high) * F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) >= low * (F.col("n") + F.col("m"))
+    return prefix.join(it, "s").filter((F.col("digest") < F.col("other")) & (F.col("label") != F.col("its")) & room).select("digest", "other")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: tuple[int, int] = (80, 100)) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row.
 
@@ -154,7 +156,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     full = sketches.filter("n > 0")
     classes = written(full.groupBy("digest").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands")), "neardup-classes")
     members = classes.select("digest", "n", F.explode("bands").alias("bucket")).repartition(n, "bucket")
-    shared = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1").select("bucket")
+    shared = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     met = written(members.join(shared, "bucket"), "neardup-buckets")
 
     candidates = written(met.select("digest").distinct(), "neardup-candidates")
@@ -165,16 +167,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sets = written(sets.dropDuplicates(["digest"]) if count > BROADCAST_IDS else sets, "neardup-sets").join(candidates, "digest", "left_semi").dropDuplicates(["digest"])
 
     label = candidates.select("digest", F.col("digest").alias("label"))
+    degree = written(met.groupBy("digest").agg(F.sum(F.col("size") - 1).alias("degree")), "neardup-degrees")
     tested = None
     for turn in range(HUB_ROUNDS + 1):
-        now = met.join(label, "digest")
-        apart = now.groupBy("bucket").agg(F.min("label").alias("_l"), F.max("label").alias("_m"), F.min(F.struct(F.xxhash64(F.lit(turn), "digest").alias("h"), "digest", "n", "label")).alias("hub")).filter("_l < _m")
-        if turn < HUB_ROUNDS:
-            pairs = now.join(apart.select("bucket", "hub"), "bucket").select("digest", "n", "label", F.col("hub.digest").alias("other"), F.col("hub.n").alias("m"), F.col("hub.label").alias("its"))
+        now = met.join(label, "digest").join(degree, "digest")
+        first = F.min(F.struct((-F.col("degree")).alias("d"), "digest", "n", "label")).alias("hub")
+        hubs = now.groupBy("bucket").agg(F.min("label").alias("_l"), F.max("label").alias("_m"), first).filter("_l < _m").select("bucket", "hub")
+        if turn == HUB_ROUNDS:
+            apart = now.join(hubs.select("bucket"), "bucket", "left_semi").select("digest", "label").distinct()
+            pairs = prefix_pairs(sets.join(apart, "digest"), low, high)
         else:
-            left = now.join(apart.select("bucket"), "bucket", "left_semi")
-            pairs = left.join(left.select("bucket", F.col("digest").alias("other"), F.col("n").alias("m"), F.col("label").alias("its")), "bucket").filter("digest < other")
-        pairs = pairs.filter((F.col("label") != F.col("its")) & (high * F.least("n", "m") >= low * F.greatest("n", "m")))
+            if turn:
+                hubs = now.join(hubs, "bucket").filter("label <> hub.label").groupBy("bucket").agg(first)
+            pairs = now.join(hubs, "bucket").select("digest", "n", "label", F.col("hub.digest").alias("other"), F.col("hub.n").alias("m"), F.col("hub.label").alias("its"))
+            pairs = pairs.filter((F.col("label") != F.col("its")) & (high * F.least("n", "m") >= low * F.greatest("n", "m")))
         pairs = pairs.select(F.least("digest", "other").alias("a"), F.greatest("digest", "other").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
