@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from .queries import QUERIES, SQL
+
+__all__ = ["FLAGSHIP", "QUERIES", "SQL"]
+
 FLAGSHIP = "precedent_match"
