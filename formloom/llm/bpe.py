@@ -29,19 +29,93 @@ def tokenizer(path: str):
     return known[path]
 
 
-def encode_words(tok, words: list[bytes]) -> list[list[int]]:
-    """Ids of each word as the whole text would have them: no token of this kind of vocabulary crosses white space."""
-    return [e.ids for e in tok.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+#: Distinct words that a process remembers; when it has more it starts anew.
+KNOWN_WORDS = 400_000
+#: Marks of which the first with one token stands between words that are encoded as one text; parts that hold it are encoded word by word.
+MARKS = "\u00A4\u00B1\u2020\u00A7\u2022\u00A9^~"
+_LETTER = np.zeros(256, bool)
+_LETTER[97:123] = True
+_FULL = np.zeros(256, bool)
+_FULL[[44, 46]] = True
+_BLANK = np.zeros(256, bool)
+_BLANK[[10, 32]] = True
+
+
+class Encoder:
+    """Ids (little-endian unsigned 32-bit) of texts, by their distinct words, as the whole texts would have them.
+
+    No token of this kind of vocabulary crosses white space, so many words are encoded as one text with a mark between.
+    """
+
+    def __init__(self, path: str) -> None:
+        self.tok = tokenizer(path)
+        self.known: dict[bytes, bytes] = {}
+        ids = lambda t: self.tok.encode(t, add_special_tokens=False).ids
+        self.mark = next((m for m in MARKS if len(ids(m)) == 1), "")
+        self.mark_id = ids(self.mark)[0] if self.mark else -1
+        alone = [ids(t) for t in ("ab", ".", ",")]
+        #: Whether capitals of A to Z are as good as small letters, and a point or comma after a letter is a token of its own.
+        self.folds = ids("aB Z") == ids("ab z") and ids("ab. ab,") == alone[0] + alone[1] + alone[0] + alone[2]
+
+    def words(self, text: bytes) -> list[bytes]:
+        """Runs without white space; if the vocabulary folds, in small letters and without a point or comma after them.
+
+        What looks like a special token stays as it is.
+        """
+        if self.folds and b"<|" not in text:
+            text = text.lower()
+            a = np.frombuffer(text, np.uint8)
+            at = np.flatnonzero(_FULL[a[1:-1]])
+            at = at[_LETTER[a[at]] & _BLANK[a[at + 2]]] + 1
+            if len(at):
+                text = np.insert(a, at, 32).tobytes()
+        return text.split()
+
+    def encode(self, words: list[bytes], at_once: int = 500) -> list[bytes]:
+        """The ids of each word."""
+        out, mark = [], self.mark.encode()
+        parts = [words[k : k + at_once] for k in range(0, len(words), at_once)]
+        join = f" {self.mark} ".encode().join
+        for k in range(0, len(parts), 20):
+            some = parts[k : k + 20]
+            for part, e in zip(some, self.tok.encode_batch_fast([join(p).decode() for p in some], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, "<u4")
+                cut = np.flatnonzero(ids == self.mark_id)
+                if not mark or len(cut) != len(part) - 1 or any(mark in w for w in part):
+                    out += [np.array(x.ids, "<u4").tobytes() for x in self.tok.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)]
+                    continue
+                raw, cut = ids.tobytes(), (4 * cut).tolist()
+                out += [raw[a:b] for a, b in zip([0, *[c + 4 for c in cut]], [*cut, len(raw)], strict=True)]
+        return out
+
+    def texts(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text; distinct words are remembered."""
+        told = list(map(self.words, texts))
+        if len(self.known) > KNOWN_WORDS:
+            self.known = {}
+        new = list(set().union(*told).difference(self.known))
+        self.known.update(zip(new, self.encode(new), strict=True))
+        return [b"".join(map(self.known.__getitem__, words)) for words in told]
+
+
+def encoder(path: str) -> Encoder:
+    """One for each process and path, kept with its library, so that the tasks of a process share what it remembers."""
+    import tokenizers
+
+    known = vars(tokenizers).setdefault("_formloom_encoders", {})
+    if path not in known:
+        known[path] = Encoder(path)
+    return known[path]
 
 
-def encode_buckets(path: str, at_once: int = 5_000):
+def encode_buckets(path: str):
     """For mapInArrow over the rows of a bucket, sorted by bucket: word rows come back with ids in `blob`, their counts in `counts`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tok, bucket, known = tokenizer(path), None, {}
+        coder, bucket, known = encoder(path), None, {}
         for b in batches:
             for i in range(b.num_rows):
                 r = {n: b.column(k)[i] for k, n in enumerate(REQUEST_ARROW.names)}
@@ -53,9 +127,7 @@ def encode_buckets(path: str, at_once: int = 5_000):
                     bucket, known = r["bucket"].as_py(), {}
                 words = unpack(r["blob"].as_py()).split(b"\n")
                 new = [w for w in words if w not in known]
-                for k in range(0, len(new), at_once):
-                    some = new[k : k + at_once]
-                    known.update(zip(some, (np.array(x, "<u4").tobytes() for x in encode_words(tok, some)), strict=True))
+                known.update(zip(new, coder.encode(new), strict=True))
                 ids = [known[w] for w in words]
                 lens = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
                 yield batch([{n: r[n].as_py() for n in ("kind", "block", "bucket", "places")} | {"blob": pack_ints(np.frombuffer(b"".join(ids), "<u4")), "counts": pack_ints(lens), "ids": None, "lens": None}], REQUEST_ARROW)

@@ -22,8 +22,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import trim
-from .bpe import encode_words, tokenizer
+from .blocks import in_parts, trim
+from .bpe import encoder
 from .common import partitions, read, shared_dir
 
 #: Fixed values of the seekable format.
@@ -32,8 +32,6 @@ HAS_CHECKSUMS = 0x80
 #: Ids after which a frame ends.
 FRAME_IDS = 1 << 16
 END_ID = 1
-#: Distinct words that a task remembers; when it has more it starts anew.
-KNOWN_WORDS = 1_000_000
 MANIFEST = pa.schema([("part", pa.int32()), ("path", pa.string()), ("documents", pa.int64()), ("tokens", pa.int64())])
 DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
@@ -137,7 +135,7 @@ def write_parts(path: str, folder: str, end: int | None):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         trim()
-        tok, known = tokenizer(path), {}
+        coder = encoder(path)
         last = np.array([] if end is None else [end], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         fs, top = filesystem(folder)
@@ -146,14 +144,9 @@ def write_parts(path: str, folder: str, end: int | None):
         with fs.open_output_stream(own) as sink:
             out = Writer(sink)
             for b in batches:
-                for i in range(b.num_rows):
-                    words = (b.column(1)[i].as_py() or "").encode().split()
-                    new = list(set(words).difference(known))
-                    if new:
-                        if len(known) > KNOWN_WORDS:
-                            known, new = {}, list(set(words))
-                        known.update(zip(new, (np.array(x, "<u4").tobytes() for x in encode_words(tok, new)), strict=True))
-                    out.add(b.column(0)[i].as_py(), b"".join(map(known.__getitem__, words)) + last)
+                for ids, texts in in_parts(b, 2 << 20):
+                    for doc_id, own_ids in zip(ids, coder.texts(texts), strict=True):
+                        out.add(doc_id, own_ids + last)
             out.close()
         fs.move(own, name)
         yield pa.RecordBatch.from_pylist([{"part": part, "path": f"part-{part:06d}.zst", "documents": len(out.ids), "tokens": sum(out.lens)}], schema=MANIFEST)
