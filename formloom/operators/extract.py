@@ -38,7 +38,7 @@ def assign_lines(words: DataFrame) -> DataFrame:
 
     A line's extent grows with its words, so order matters: a fold over each page.
     """
-    schema = words.select(*[c for c in words.columns if c != "line_no"]).schema.add("line_no", "int")
+    schema = words.select(*[c for c in words.columns if c != "line_no"]).schema.add("line_no", "integer")
 
     def fold(page: pd.DataFrame) -> pd.DataFrame:
         page = page.sort_values(["y0", "x0"], kind="stable").reset_index(drop=True)

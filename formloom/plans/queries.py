@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import extract, grouping, precedent, recover, review, style
+from ..functions import geometry as G
+from ..operators import extract, grouping, layout, precedent, recover, reply, review, style
 from ..sources.stage import staged
 from . import sql, testbed
 
@@ -297,3 +298,112 @@ def sheet_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @add("review_gate", "annotations", "SELECT doc_id, count(*) FILTER (WHERE review_status = 'proposed') AS proposed, count(*) FILTER (WHERE review_status = 'rejected') AS rejected, count(*) AS total, count(*) FILTER (WHERE review_status = 'proposed') = 0 AS open FROM annotations GROUP BY doc_id")
 def review_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.gate(testbed.annotations(testbed.crf_rows(spark, sf_dir)))
+
+
+#: Conversations as replies: each turn is a text with a table of its own making, before and after which something is said.
+REPLY = "SELECT conv_id * 100 + turn AS doc_id, CASE turn % 3 WHEN 0 THEN 'Sure:' || chr(10) || '| Row ID | Kind | Variable | Variable2 | Origin |' || chr(10) || '|---|---|---|---|---|' || chr(10) || '| r' || turn || ' | Variable | age' || turn || ' | ageu | n/a |' || chr(10) || '| r9 | note | - | none | not submitted |' || chr(10) || chr(10) || 'Done.' WHEN 1 THEN 'Here' || chr(10) || 'row_id;kind;variable;variable2;origin' || chr(10) || 'r' || turn || ';;sex;;Collected' || chr(10) || 'r2;\"note\";\"a;b\";null;NA' || chr(10) || chr(10) || 'Bye' ELSE 'Nothing to tell' END AS text FROM conversations"
+
+
+def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    testbed.read(spark, sf_dir, "conversations").createOrReplaceTempView("fl_conversations")
+    return spark.sql(REPLY.replace("FROM conversations", "FROM fl_conversations").replace("chr(10)", "chr(10L)"))
+
+
+@add("reply_lines", "", f"""
+SELECT doc_id, n, line FROM (SELECT conv_id * 100 + turn AS doc_id, turn % 3 AS k, turn FROM conversations), (SELECT unnest([1, 2, 3, 4]) AS n),
+ (SELECT unnest([0]) AS z) , LATERAL (SELECT ['| Row ID | Kind | Variable | Variable2 | Origin |', '|---|---|---|---|---|', '| r' || turn || ' | Variable | age' || turn || ' | ageu | n/a |', '| r9 | note | - | none | not submitted |'][n] AS line) WHERE k = 0""")
+def reply_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reply.markdown_block(reply.lines(replies(spark, sf_dir)))
+
+
+@add("reply_proposals", "", """
+WITH r AS (SELECT conv_id * 100 + turn AS doc_id, turn, turn % 3 AS k FROM conversations)
+SELECT doc_id, 'r' || turn AS row_id, 1 AS slot, 'variable' AS kind, 'AGE' || turn AS variable, NULL::VARCHAR AS origin FROM r WHERE k = 0 UNION ALL SELECT doc_id, 'r' || turn, 2, 'variable', 'AGEU', NULL FROM r WHERE k = 0
+UNION ALL SELECT doc_id, 'r9', 1, 'note', NULL, 'Not Submitted' FROM r WHERE k = 0 UNION ALL SELECT doc_id, 'r' || turn, 1, 'variable', 'SEX', 'Collected' FROM r WHERE k = 1 UNION ALL SELECT doc_id, 'r2', 1, 'note', 'A;B', NULL FROM r WHERE k = 1""")
+def reply_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reply.expanded(reply.scrubbed(reply.parse(replies(spark, sf_dir))[0])).select("doc_id", "row_id", "slot", "kind", "variable", "origin")
+
+
+@add("reply_errors", "", "SELECT conv_id * 100 + turn AS doc_id, 'no table found' AS error, 'Nothing to tell' AS excerpt FROM conversations WHERE turn % 3 = 2")
+def reply_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reply.parse(replies(spark, sf_dir))[1].select("doc_id", "error", "excerpt")
+
+
+@add("page_batches", "rows", """
+, p AS (SELECT doc_id, page_index, count(*) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY page_index) AS k FROM rows GROUP BY doc_id, page_index),
+b AS (SELECT doc_id, k, page_index, n AS held, 1 AS batch FROM p WHERE k = 1 UNION ALL SELECT p.doc_id, p.k, p.page_index, CASE WHEN b.held + p.n > 60 THEN p.n ELSE b.held + p.n END, CASE WHEN b.held + p.n > 60 THEN b.batch + 1 ELSE b.batch END FROM b JOIN p ON p.doc_id = b.doc_id AND p.k = b.k + 1)
+SELECT doc_id, page_index, batch FROM b""")
+def page_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reply.batches(testbed.crf_rows(spark, sf_dir).groupBy("doc_id", "page_index").agg(F.count("*").alias("n")), 60)
+
+
+@add("appendix_topk", "d_keys b_lookup", """
+SELECT doc_id, label, overlap, count, place FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY overlap DESC, count DESC, label) AS place FROM (
+ SELECT d.doc_id, l.label, l.n AS count, count(*) AS overlap FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text_1), '[a-z0-9]+')) AS word FROM d_keys) d
+ JOIN (SELECT DISTINCT label, n, unnest(regexp_extract_all(lower(label), '[a-z0-9]+')) AS word FROM (SELECT label, max(n) AS n FROM b_lookup GROUP BY label)) l USING (word) WHERE length(word) > 2 GROUP BY ALL)) WHERE place <= 20""")
+def appendix_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = testbed.phrases(spark, sf_dir).select("doc_id", F.explode(T.label_words(F.col("text_1"))).alias("word"))
+    return reply.appendix(testbed.phrase_lookup(spark, sf_dir), words).select("doc_id", "label", "overlap", F.col("count").cast("long").alias("count"), "place")
+
+
+WIDTH_SQL = "list_sum(list_transform(string_split({0}, ''), lambda c: CASE WHEN ascii(c) BETWEEN 32 AND 126 THEN {1}[ascii(c) - 31] ELSE 556 END)) * 7.0 / 1000.0".format("{0}", G.ADVANCES)
+
+
+@add("place_slot1", "anchored", f"""
+SELECT doc_id, row_id, ax1 + 4 AS x0, ay0 AS y0, ax1 + 4 + w AS x1, ay0 + greatest(11.0, ay1 - ay0) AS y1, ax1 + 4 + w > CASE WHEN bbox_1_x0 IS NOT NULL AND bbox_2_x0 IS NOT NULL THEN bbox_2_x0 - 4 ELSE 606.0 END AS wraps
+FROM (SELECT *, {WIDTH_SQL.format("'DM.' || row_id")} + 4 AS w FROM anchored)""")
+def place_slot1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = testbed.anchored(testbed.crf_rows(spark, sf_dir)).withColumn("bbox", layout.beside(F.col("anchor"), F.concat(F.lit("DM."), "row_id")))
+    limit = G.right_limit(F.col("bbox_1"), F.col("bbox_2"), F.lit(testbed.WIDTH))
+    return a.select("doc_id", "row_id", "bbox.*", (F.col("bbox.x1") > limit).alias("wraps"))
+
+
+@add("place_group", "rows", f"""
+, g AS (SELECT doc_id, page_index, row_ord // 5 AS grp, coalesce(max(bbox_1_x1), max(bbox_2_x1)) AS bx1, min(coalesce(bbox_1_y0, bbox_2_y0)) AS by0, max(coalesce(bbox_1_y1, bbox_2_y1)) AS by1, min(CASE WHEN bbox_1_x0 IS NOT NULL AND bbox_2_x0 IS NOT NULL THEN bbox_2_x0 - 4 ELSE 606.0 END) AS lim FROM rows GROUP BY doc_id, page_index, row_ord // 5),
+s AS (SELECT *, 1 AS slot, {WIDTH_SQL.format("'SUPPDM.QVAL'")} + 4 AS w, 0.0::DOUBLE AS before FROM g UNION ALL SELECT *, 2, {WIDTH_SQL.format("'AGEU'")} + 4, {WIDTH_SQL.format("'SUPPDM.QVAL'")} + 4 + 3 FROM g)
+SELECT doc_id, 'g' || page_index || '_' || grp AS group_id, page_index, slot, bx1 + 4 + before AS x0, by0 + (by1 - by0 - 11) / 2 AS y0, bx1 + 4 + before + w AS x1, by0 + (by1 - by0 - 11) / 2 + 11 AS y1, coalesce(bx1 + 4 + before + w - lim > 0.5, false) AS overruns FROM s""")
+def place_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = testbed.crf_rows(spark, sf_dir).withColumn("group_id", F.concat(F.lit("g"), "page_index", F.lit("_"), F.floor(F.col("row_ord") / 5)))
+    blocks = staged(layout.block_anchors(rows, F.lit(testbed.WIDTH)))
+    texts = blocks.select("doc_id", "group_id", F.explode(F.array(F.struct(F.lit(1).alias("slot"), F.lit("SUPPDM.QVAL").alias("shown")), F.struct(F.lit(2).alias("slot"), F.lit("AGEU").alias("shown")))).alias("t")).select("doc_id", "group_id", "t.*")
+    placed = layout.place_groups(texts, blocks)
+    over = layout.overruns(placed, blocks).select("doc_id", "group_id", "slot", F.lit(True).alias("overruns"))
+    return placed.join(over, ["doc_id", "group_id", "slot"], "left").select("doc_id", "group_id", "page_index", "slot", "bbox.*", F.coalesce("overruns", F.lit(False)).alias("overruns"))
+
+
+@add("place_pages")
+def place_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both slots of every row, among the page's own runs: a fold over pages, which no SQL states."""
+    a = testbed.anchored(testbed.crf_rows(spark, sf_dir))
+    texts = F.explode(F.array(F.struct(F.lit(1).alias("slot"), F.lit("SUPPDM.QVAL when QNAM").alias("t")), F.struct(F.lit(2).alias("slot"), F.lit("AGEU").alias("t")))).alias("s")
+    units = a.select("doc_id", "page_index", F.col("row_ord").cast("long").alias("unit"), texts, *[F.col(f"anchor.{c}").alias(f"a{c}") for c in ("x0", "y0", "x1", "y1")], G.right_limit(F.col("bbox_1"), F.col("bbox_2"), F.lit(testbed.WIDTH)).alias("limit"), F.lit(False).alias("grouped"))
+    units = units.withColumn("w", G.text_width(F.col("s.t")) + 2 * G.PAD).withColumn("slot", F.col("s.slot")).drop("s")
+    runs = extract.runs(testbed.words(spark, sf_dir)).select("doc_id", "page_index", "x0", (F.lit(testbed.HEIGHT) - F.col("y1")).alias("y0"), "x1", (F.lit(testbed.HEIGHT) - F.col("y0")).alias("y1"))
+    return layout.place(units, runs)
+
+
+@add("style_cells", "", r"""
+WITH d AS (SELECT p_partkey AS mark, CASE p_partkey % 4 WHEN 0 THEN '0.5 0.25 1 rg /Helv-Bold 7 Tf' WHEN 1 THEN '/heit 8.5 Tf 0.25 g' WHEN 2 THEN '0 0.5 0.25 0.5 k /Arial,BoldOblique 9 Tf' ELSE '' END AS da, p_size AS flags FROM part)
+SELECT mark, CASE mark % 4 WHEN 0 THEN 0.5 WHEN 1 THEN 0.25 WHEN 2 THEN 0.5 END::DOUBLE AS r, CASE mark % 4 WHEN 0 THEN 0.25 WHEN 1 THEN 0.25 WHEN 2 THEN 0.25 END::DOUBLE AS g, CASE mark % 4 WHEN 0 THEN 1 WHEN 1 THEN 0.25 WHEN 2 THEN 0.375 END::DOUBLE AS b,
+ nullif(regexp_extract(da, '/([^\s/]+)\s', 1), '') AS font, CASE mark % 4 WHEN 0 THEN 7 WHEN 1 THEN 8.5 WHEN 2 THEN 9 END::DOUBLE AS size, mark % 4 IN (0, 2) AS bold, mark % 4 IN (1, 2) AS italic, (flags & 4) <> 0 AS printable, (flags & 34) <> 0 AS hidden FROM d""")
+def style_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p, k = testbed.read(spark, sf_dir, "part"), F.col("p_partkey") % 4
+    da = F.when(k == 0, "0.5 0.25 1 rg /Helv-Bold 7 Tf").when(k == 1, "/heit 8.5 Tf 0.25 g").when(k == 2, "0 0.5 0.25 0.5 k /Arial,BoldOblique 9 Tf").otherwise("")
+    t = p.select(F.col("p_partkey").alias("mark"), T.da_color(da).alias("c"), T.da_font(da).alias("f"), T.annotation_flags(F.col("p_size")).alias("s"))
+    return t.select("mark", "c.*", "f.*", "s.*")
+
+
+@add("rect_parse", "", """
+SELECT l_orderkey, l_linenumber, least(a, c) AS x0, least(b, d) AS y0, greatest(a, c) AS x1, greatest(b, d) AS y1, least(a, c) || '' AS told FROM (
+ SELECT l_orderkey, l_linenumber, l_quantity AS a, l_linenumber::DOUBLE AS b, (l_partkey % 100)::DOUBLE AS c, (l_suppkey % 10)::DOUBLE AS d FROM lineitem)""")
+def rect_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = testbed.read(spark, sf_dir, "lineitem")
+    text = F.concat_ws(", ", F.col("l_quantity").cast("string"), F.col("l_linenumber").cast("string"), (F.col("l_partkey") % 100).cast("string"), (F.col("l_suppkey") % 10).cast("string"))
+    b = G.parse_rect(text)
+    return li.select("l_orderkey", "l_linenumber", b["x0"].alias("x0"), b["y0"].alias("y0"), b["x1"].alias("x1"), b["y1"].alias("y1"), b["x0"].cast("string").alias("told"))
+
+
+@add("run_split_folded")
+def run_split_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by first fit, then runs: the fold is not SQL; a test holds it against run_split, whose lines do not overlap."""
+    return extract.runs(extract.assign_lines(testbed.words(spark, sf_dir))).drop("blocks")

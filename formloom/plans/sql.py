@@ -24,7 +24,7 @@ def query(needs: str, final: str) -> str:
     for n in needs.split():
         add(n)
     head = ", ".join(f"{n} AS ({STEPS[n][1].strip()})" for n in order)
-    return f"WITH {head} {final.strip()}" if order else final.strip()
+    return f"WITH RECURSIVE {head} {final.strip()}" if order else final.strip()
 
 
 step("t_lines", "", "SELECT doc_id, ln, list_filter(string_split(string_split(coalesce(text, ''), chr(10))[ln], ' '), lambda x: x <> '') AS w FROM (SELECT doc_id, text, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS ln FROM documents)")
@@ -180,7 +180,7 @@ SELECT doc_id, row_ord, row_id, slot, 'g_' || first_value(row_id) OVER (PARTITIO
    FROM annotations WINDOW w AS (PARTITION BY doc_id, slot ORDER BY row_ord)))) WHERE n >= 2""")
 step("members", "annotations rows", "SELECT r.doc_id, r.row_id, r.row_ord, r.page_index, s.slot, 'k' || (r.row_ord // 6) AS key FROM rows r, (SELECT unnest([1, 2]) AS slot) s WHERE r.row_ord % 6 BETWEEN 1 AND 4 AND r.row_ord % 6 <> 2")
 step("t_groups", "members annotations", """
-SELECT m.doc_id, key, m.slot, count(DISTINCT concat_ws('|', kind, coalesce(domain, ''), shown)) AS kinds, min(m.row_ord) AS lo, max(m.row_ord) AS hi, arg_min(kind, m.row_ord) FILTER (WHERE shown IS NOT NULL) AS kind,
+SELECT m.doc_id, key, m.slot, count(DISTINCT CASE WHEN shown IS NOT NULL THEN concat_ws('|', kind, coalesce(domain, ''), shown) END) AS kinds, min(m.row_ord) AS lo, max(m.row_ord) AS hi, arg_min(kind, m.row_ord) FILTER (WHERE shown IS NOT NULL) AS kind,
  arg_min(coalesce(domain, ''), m.row_ord) FILTER (WHERE shown IS NOT NULL) AS domain, arg_min(shown, m.row_ord) FILTER (WHERE shown IS NOT NULL) AS shown
 FROM members m LEFT JOIN annotations a ON a.doc_id = m.doc_id AND a.row_id = m.row_id AND a.slot = m.slot GROUP BY ALL""")
 step("group_errors", "t_groups annotations members", """
