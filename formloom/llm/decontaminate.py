@@ -47,8 +47,7 @@ def hits(docs: DataFrame, windows: DataFrame, keep: list[str], text: str = "text
     table = windows.withColumn("_lead", lead.cast("int")).select(
         F.xxhash64(F.slice("win", F.lit(1), F.col("_lead"))).alias("_h"), "_lead", "win", F.col("n").alias("_n"), "items"
     )
-    if sum(r["b"] for r in facts) <= BROADCAST_BYTES:
-        table = F.broadcast(table)
+    small = sum(r["b"] for r in facts) <= BROADCAST_BYTES
     w = docs.select(
         F.struct(*[F.col(c) for c in keep]).alias("_keep"),
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_t1"),
@@ -63,12 +62,18 @@ def hits(docs: DataFrame, windows: DataFrame, keep: list[str], text: str = "text
 
     last = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("k"), F.lit(None).cast("long").alias("h")))
     at = w.withColumn("_at", F.concat(*[leads(k) for k in sizes], last)).select("*", F.explode_outer("_at").alias("_g")).drop("_at")  # never empty; explode() would add a filter that repeats all of its expressions
+    at = at.withColumn("_nw", F.when(F.col("_g.i") == 0, F.size("_w")))
+    # a shuffle takes a window's own words; before a broadcast join, which stays in one pipeline, none are copied
+    own = F.slice("_w", F.greatest(F.lit(1), F.col("_g.i")), F.lit(max([1, *[r["n"] for r in facts]])))
+    if small:
+        table, own = F.broadcast(table), F.slice("_w", F.col("_g.i"), F.col("_n"))
+    else:
+        at, own = at.withColumn("_own", F.when(F.col("_g.i") > 0, own)).drop("_w"), F.slice("_own", F.lit(1), F.col("_n"))
     met = at.join(table, (F.col("_g.h") == F.col("_h")) & (F.col("_g.k") == F.col("_lead")), "left")
-    same = F.slice("_w", F.col("_g.i"), F.col("_n")) == F.col("win")
-    met = met.filter((F.col("_g.i") == 0) | F.when(F.col("_g.i") > 0, same).otherwise(F.lit(False)))
+    met = met.filter((F.col("_g.i") == 0) | F.when(F.col("_g.i") > 0, own == F.col("win")).otherwise(F.lit(False)))
     span = F.when(F.col("_g.i") > 0, F.struct(F.col("_g.i").alias("start"), (F.col("_g.i") + F.col("_n")).alias("end")))
     grouped = (
-        met.select("_keep", "_t1", "_t2", F.when(F.col("_g.i") == 0, F.size("_w")).alias("_nw"), span.alias("_span"), "items")
+        met.select("_keep", "_t1", "_t2", "_nw", span.alias("_span"), "items")
         .groupBy("_keep", "_t1", "_t2")
         .agg(F.count("_nw").alias("_rows"), F.max("_nw").cast("long").alias("n_words"), F.sort_array(F.collect_set("_span")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     )
