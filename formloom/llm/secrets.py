@@ -40,6 +40,11 @@ def placed(text: Column, pattern: str, group: int = 0) -> Column:
     return F.aggregate(steps, zero, add, lambda acc: acc["out"])
 
 
+def long_enough(least: int):
+    """A test of one match; with a second parameter it would be given the place."""
+    return lambda m: F.length(m["value"]) >= least
+
+
 NONE = "cast(array() as array<struct<start:int,end:int,value:string>>)"
 
 
@@ -52,7 +57,7 @@ def scan(docs: DataFrame, text: str) -> DataFrame:
     out = docs.withColumn("_fl_text", t)
     within = {"assign": r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]", "access": "AKIA[A-Z0-9]", "hex": "[0-9a-f]{24}", "id": r"(?i)(?:key|id|name|user|login)[\"']?\x20*[:=]", "key": "[A-Za-z0-9+/_=-]{20}", "endpoint": "://|\\.com"}
     for kind, (pattern, group, least) in BASE.items():
-        found = F.filter(placed(F.col("_fl_text"), pattern, group), lambda m, k=least: F.length(m["value"]) >= k)
+        found = F.filter(placed(F.col("_fl_text"), pattern, group), long_enough(least))
         out = out.withColumn(f"_fl_{kind}", F.when(F.col("_fl_text").rlike(within[kind]), found).otherwise(F.expr(NONE)))
     for kind, pattern in PARTS.items():
         # group 1 ends the match of an identifier, and is the match of the others

@@ -66,7 +66,7 @@ class Writer:
 
     def end_frame(self) -> None:
         data = b"".join(self.open)
-        packed = zstandard.ZstdCompressor(level=3, write_checksum=True).compress(data)
+        packed = zstandard.ZstdCompressor(level=1, write_checksum=True).compress(data)
         self.sink.write(packed)
         self.frames.append((len(packed), len(data), xxhash.xxh64_intdigest(data) & 0xFFFFFFFF))
         self.open, self.size = [], 0
@@ -174,16 +174,14 @@ def read_parts(folder: str):
         for b in batches:
             for path, base in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 with fs.open_input_file(f"{top}/{path}") as source:
-                    file, rows, size = Reader(source), [], 0
-                    for k, doc_id in enumerate(file.ids):
-                        ids = file.document(k)
-                        rows.append({"doc_id": doc_id, "start": base + int(file.starts[k]), "n_tokens": int(file.lens[k]), "ids": ids})
-                        size += len(ids)
-                        if size > 4 << 20:
-                            yield pa.RecordBatch.from_pylist(rows, schema=DOCUMENTS)
-                            rows, size = [], 0
-                    if rows:
-                        yield pa.RecordBatch.from_pylist(rows, schema=DOCUMENTS)
+                    file, first, own, size = Reader(source), 0, [], 0
+                    for k in range(len(file.ids)):
+                        own.append(file.document(k))
+                        size += len(own[-1])
+                        if size > 4 << 20 or k + 1 == len(file.ids):
+                            told = slice(first, k + 1)
+                            yield pa.RecordBatch.from_arrays([pa.array(file.ids[told], pa.int64()), pa.array(base + file.starts[told]), pa.array(file.lens[told]), pa.array(own, pa.binary())], schema=DOCUMENTS)
+                            first, own, size = k + 1, [], 0
 
     return run
 

@@ -200,7 +200,7 @@ def law_of(lex: dict[str, float], told: list) -> Law:
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and intercept, by Newton steps with a small penalty; the slope is not negative."""
-    a, b = 0.0, math.log((y.sum() + 1) / (len(y) - y.sum() + 1))
+    a, b = 0.0, math.log((y.sum() + 1) / (len(y) - y.sum() + 9))  # without any label, one in ten
     for _ in range(50):
         p = 1 / (1 + np.exp(-(a * x + b)))
         w = np.maximum(p * (1 - p), 1e-9)
@@ -237,7 +237,7 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, learn_rows: int = LEARN_ROWS) -> Model:
     """Learns from about `learn_rows` of the labelled rows whose doc_id is not held out; null labels, ids and unlabelled rows are left.
 
-    With one class only, all scores are near that class's rate. What comes to the driver is bounded by the parameters.
+    Without both classes all scores are one rate, a tenth if there is no label. What comes to the driver is bounded by the parameters.
     """
     known = labels.filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id"), FOLDS, HELD_FOLD)).select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"))
     share = min(1.0, learn_rows / max(1, known.count()))
