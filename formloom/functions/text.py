@@ -23,7 +23,7 @@ BOLD_WORDS, ITALIC_WORDS = ["bold", "black", "heavy", "semibold", "demi"], ["ita
 BOLD_SHORT, ITALIC_SHORT = ["hebo", "hebi", "cobo", "cobi", "tibo", "tibi"], ["heit", "hebi", "coit", "cobi", "tiit", "tibi"]
 
 _SPACE = r"(?U)\s+"
-#: A domain and variable, or a variable, with a condition or a fixed value.
+#: The patterns of a mapping's text (a domain and variable, or a variable, with a condition or a value) and of a legend's.
 MAPPING = r"(?s)^\s*(?:([A-Za-z]{2,8})\.([A-Za-z0-9_]+)|([A-Za-z0-9_]+))(?:\s+when\s+(.+?)|\s*=\s*(\"[^\"]*\"|.+?))?\s*$"
 LEGEND = r"^\s*([A-Za-z]{2,8})\s*(?:=\s*([A-Za-z][A-Za-z0-9 /&\-]*)|\(\s*([A-Za-z][A-Za-z0-9 /&\-]*?)\s*\))\s*$"
 
