@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, partitions, read
+from .common import lower_ascii, read
 
 WINDOW = 13
 #: A larger table of windows is joined by a shuffle.
