@@ -30,7 +30,7 @@ def tokenizer(path: str):
 
 
 #: Distinct words that a process remembers; when it has more it starts anew.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 850_000
 #: Marks of which the first with one token stands between words that are encoded as one text; parts that hold it are encoded word by word.
 MARKS = "\u00A4\u00B1\u2020\u00A7\u2022\u00A9^~"
 _LETTER = np.zeros(256, bool)
