@@ -14,10 +14,13 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 BASE = {"assign": (ASSIGN, 2, 6), "access": (ACCESS, 0, 20), "hex": (r"[0-9a-f]{24,}", 0, 24)}
+#: Names of secrets that the base kinds do not take; those that end in an identifier's name are no identifiers.
+OF_SECRET = r"(?:secret|shared|account|storage|primary|secondary)[_.-]?"
 #: Parts of a credential that say little alone. An identifier or secret is group 1.
 PARTS = {
-    "id": r"""(?i)(?:access[_-]?key(?:[_-]?id)?|client[_-]?id|account[_-]?(?:id|name)|user(?:name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.@-]{4,})""",
-    "key": r"""(?<![A-Za-z0-9+/_=-])((?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,128}={0,2})(?![A-Za-z0-9+/_=-])""",
+    "id": rf"""(?i)(?:access[_-]?key[_-]?id|(?<!{OF_SECRET})access[_-]?key|client[_-]?id|account[_-]?(?:id|name)|user(?:name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.@-]{{4,}})""",
+    "named": rf"""(?i)(?:{OF_SECRET}(?:access[_.-]?)?key|(?:private|signing|encryption)[_.-]?key)["']?\x20*[:=]\x20*["']?((?=[A-Za-z0-9+/_-]*[0-9])[A-Za-z0-9+/_-]{{16,}}={{0,2}})(?![A-Za-z0-9+/_=-])""",
+    "key": r"""(?<![A-Za-z0-9+/_-])(?<!==)((?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,128}={0,2})(?![A-Za-z0-9+/_=-])""",
     "endpoint": r"""(?i)((?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp|ssh)://[^\x00-\x20"'<>]{4,}|(?<![a-z0-9.-])(?:[a-z0-9-]{1,63}\.){1,10}(?:amazonaws|azure|googleapis|cloudflarestorage)\.com(?![a-z0-9.-]))""",
 }
 #: Code points between parts that belong together, and the scope that they share: text without an empty line.
@@ -55,7 +58,7 @@ def scan(docs: DataFrame, text: str) -> DataFrame:
     """
     t = F.coalesce(F.col(text), F.lit(""))
     out = docs.withColumn("_fl_text", t)
-    within = {"assign": r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]", "access": "AKIA[A-Z0-9]", "hex": "[0-9a-f]{24}", "id": r"(?i)(?:key|id|name|user|login)[\"']?\x20*[:=]", "key": "[A-Za-z0-9+/_=-]{20}", "endpoint": "://|\\.com"}
+    within = {"assign": r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]", "access": "AKIA[A-Z0-9]", "hex": "[0-9a-f]{24}", "id": r"(?i)(?:key|id|name|user|login)[\"']?\x20*[:=]", "named": r"(?i)key[\"']?\x20*[:=]", "key": "[A-Za-z0-9+/_=-]{20}", "endpoint": "://|\\.com"}
     for kind, (pattern, group, least) in BASE.items():
         found = F.filter(placed(F.col("_fl_text"), pattern, group), long_enough(least))
         out = out.withColumn(f"_fl_{kind}", F.when(F.col("_fl_text").rlike(within[kind]), found).otherwise(F.expr(NONE)))
@@ -79,8 +82,13 @@ def linked(table: DataFrame) -> DataFrame:
         scope = F.size(F.filter("_fl_breaks", lambda b: b < F.col("p.start")))
         return p.select("_fl_row", scope.alias("scope"), F.lit(kind).alias("kind"), F.col("p.start").alias("start"), F.col("p.end").alias("end"), F.col("p.value").alias("value"))
 
+    def apart(found: Column, *others: Column) -> Column:
+        """The matches that overlap none of the others."""
+        return reduce(lambda f, o: F.filter(f, lambda k: ~F.exists(o, lambda b: (b["start"] < k["end"]) & (k["start"] < b["end"]))), others, found)
+
     base = F.concat("_fl_assign", "_fl_hex", "_fl_access")
-    free = F.filter("_fl_key", lambda k: ~F.exists(base, lambda b: (b["start"] < k["end"]) & (k["start"] < b["end"])) & ~F.exists("_fl_endpoint", lambda b: (b["start"] < k["end"]) & (k["start"] < b["end"])) & ~F.exists("_fl_id", lambda b: (b["start"] < k["end"]) & (k["start"] < b["end"])))
+    named = apart(F.col("_fl_named"), base, F.col("_fl_endpoint"))
+    free = F.concat(named, apart(F.col("_fl_key"), base, F.col("_fl_endpoint"), F.col("_fl_id"), F.col("_fl_named")))
     keys = parts("key", free).withColumn("cell", F.explode(F.array(*[F.floor(F.col("start") / REACH) + d for d in (-1, 0, 1)])))
     others = reduce(DataFrame.unionByName, [parts("id", F.col("_fl_id")), parts("id", F.col("_fl_access")), parts("endpoint", F.col("_fl_endpoint"))])
     others = others.withColumn("cell", F.floor(F.col("start") / REACH)).withColumnsRenamed({c: f"o_{c}" for c in ("kind", "start", "end", "value")})
