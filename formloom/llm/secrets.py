@@ -20,7 +20,7 @@ OF_SECRET = r"(?:secret|shared|account|storage|primary|secondary)[_.-]?"
 PARTS = {
     "id": rf"""(?i)(?:access[_-]?key[_-]?id|(?<!{OF_SECRET})access[_-]?key|client[_-]?id|account[_-]?(?:id|name)|user(?:name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.@-]{{4,}})""",
     "named": rf"""(?i)(?:{OF_SECRET}(?:access[_.-]?)?key|(?:private|signing|encryption)[_.-]?key)["']?\x20*[:=]\x20*["']?((?=[A-Za-z0-9+/_-]*[0-9])[A-Za-z0-9+/_-]{{16,}}={{0,2}})(?![A-Za-z0-9+/_=-])""",
-    "key": r"""(?<![A-Za-z0-9+/_-])(?<!==)((?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,128}={0,2})(?![A-Za-z0-9+/_=-])""",
+    "key": r"""(?<![A-Za-z0-9+/_-])(?<!==)((?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}+={0,2})(?![A-Za-z0-9+/_=-])""",
     "endpoint": r"""(?i)((?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp|ssh)://[^\x00-\x20"'<>]{4,}|(?<![a-z0-9.-])(?:[a-z0-9-]{1,63}\.){1,10}(?:amazonaws|azure|googleapis|cloudflarestorage)\.com(?![a-z0-9.-]))""",
 }
 #: Code points between parts that belong together, and the scope that they share: text without an empty line.

@@ -353,6 +353,13 @@ def test_secrets_of_named_pairs(spark):
     assert got[90] == ""
 
 
+def test_secrets_of_any_length(spark):
+    long = {k: "aB3/" * (k // 4) for k in (128, 132, 300, 100_000)}
+    df = spark.createDataFrame([(k, f"client_id: abcd1 {v}== ok") for k, v in long.items()], "doc_id long, text string")
+    got = {r["doc_id"]: r["s"] for r in secrets.find_secrets(df).select("doc_id", secrets.told(F.col("spans")).alias("s")).collect()}
+    assert got == {k: f"identifier:11:16,linked:17:{17 + k + 2}" for k in long}
+
+
 def test_toxicity(spark, docs, empty):
     rng = np.random.default_rng(2)
     plain = [f"p{k}" for k in range(300)]
