@@ -67,12 +67,12 @@ def line_fails(line: str, words: list[bytes], symbols: int, seen: bool) -> str |
         return "duplicate"
     if 5 * symbols > n:
         return "symbols"
-    if n >= 4 and not line.isascii() or any(c in line for c in "|>/:-"):
+    if any(c in line for c in "|>/:»›·•→"):
         if 4 * len(NAVIGATION.findall(line)) >= n:
             return "navigation"
-    if n >= 5 and line[:64] != line[:64].lower():
+    if n >= 5 and (not line.isascii() or line != line.lower()):  # some capitals beyond ASCII have no small letter
         upper = sum(map(str.isupper, line))
-        if 5 * upper >= 4 * sum(map(str.isalpha, line)):
+        if upper and 5 * upper >= 4 * sum(map(str.isalpha, line)):
             return "shouting"
     if n >= 6 and 2 * sum(map(bytes.__eq__, words[1:], words[:-1])) > n:
         return "repetition"

@@ -311,6 +311,15 @@ def test_quality(spark, table, docs, empty):
     assert quality.clean_lines(docs).count() == 9 and quality.clean_lines(empty).count() == 0
 
 
+def test_quality_of_whole_lines():
+    fails = lambda line: quality.line_fails(line, line.encode().split(), 0, False)
+    late = "2024-01-02 " * 6 + "ALL OF THIS IS LOUD"
+    assert fails(late) == "shouting" and fails(late.lower()) is None and fails("a start in small, " + "THEN ONLY CAPITALS " * 9) == "shouting"
+    assert fails("\U0001d400\U0001d401 " * 6) == "shouting" and fails("1 2 3 4 5 6 – 7 8 9") is None
+    assert [fails(x) for x in ("Next »", "· Home", "a •", "go →")] == ["navigation"] * 4 and fails("an — easy line of words.") is None
+    assert not quality.judge(("2024 " * 12 + late).encode(), Counter(), 0.5, False)[6]
+
+
 def base_secrets(t):
     s = [(m.start(), 0, "assign", m.end()) for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t, re.I | re.A) if len(m[2]) >= 6]
     s += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
