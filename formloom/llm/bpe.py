@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,8 @@ def tokenizer(path: str):
 KNOWN_WORDS = 850_000
 #: Marks of which the first with one token stands between words that are encoded as one text; parts that hold it are encoded word by word.
 MARKS = "\u00A4\u00B1\u2020\u00A7\u2022\u00A9^~"
+#: A capital with a character beyond ASCII behind it: a mark may compose with the small letter alone.
+MARKED = re.compile(rb"[A-Z][\x80-\xff]")
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
 _FULL = np.zeros(256, bool)
@@ -60,10 +63,11 @@ class Encoder:
     def words(self, text: bytes) -> list[bytes]:
         """Runs without white space; if the vocabulary folds, in small letters and without a point or comma after them.
 
-        What looks like a special token stays as it is.
+        What looks like a special token stays as it is, and so do words with a capital that a mark may follow.
         """
         if self.folds and b"<|" not in text:
-            text = text.lower()
+            marked = not text.isascii() and MARKED.search(text)
+            text = b" ".join([w if MARKED.search(w) else w.lower() for w in text.split()]) if marked else text.lower()
             a = np.frombuffer(text, np.uint8)
             at = np.flatnonzero(_FULL[a[1:-1]])
             at = at[_LETTER[a[at]] & _BLANK[a[at + 2]]] + 1

@@ -62,6 +62,12 @@ def test_token_file(spark, docs, empty, texts):
     assert tokenfile.read_tokens(spark, tokenfile.write_tokens(empty, PATH, common.shared_dir(spark, "t")), folder).count() == 0
 
 
+def test_token_file_with_marks_after_capitals():
+    marked = ["J\u030cAB. J\u030c, aJ\u030c", "H\u0331a T\u0308 W\u030a\nY\u030a The End.", "xJ\u0323\u030c Da D\u00e9 \u00e9A\tB.", "DE\u0301JA\u0300 VU, OK."]
+    got = bpe.Encoder(PATH).texts([t.encode() for t in marked])
+    assert [list(np.frombuffer(x, "<u4")) for x in got] == [brute_ids(t) for t in marked]
+
+
 def test_token_file_is_seekable(tmp_path):
     import zstandard
 
