@@ -1,7 +1,7 @@
 """Personal data: entities of known form, and identifiers found through the contexts that such entities induce.
 
-Entities of known form are the seeds. The two words before an identifier-like token, or a label that ends in a mark, are
-a pattern. Patterns and instances are the two sides of a graph, scored in turns: a pattern by how much of what it
+Entities of known form are the seeds. The two words before an identifier-like token (at a text's start, the one), or a
+label that ends in a mark, are a pattern. Patterns and instances are the two sides of a graph, scored in turns: a pattern by how much of what it
 introduces is known, an instance by the patterns that introduce it. Tokens that confident patterns introduce are new
 identifiers. Only identifier-like tokens enter the graph, and they are summed by pattern and instance before it is built.
 """
@@ -29,9 +29,17 @@ KINDS = ("email", "ip", "card", "phone", "context")
 
 #: An identifier-like token: six to 64 characters with five digits or more, of letters, digits and joints.
 TOKEN = re.compile(r"(?<![^\x20\x09-\x0D(\[\"'<:=#])(?=[^\x20\x09-\x0D]*[0-9])[A-Za-z0-9]+(?:[-./_][A-Za-z0-9]+)*(?=[\x20\x09-\x0D.,;:!?)\]\"'>]|\Z)")
+#: Tokens that are like a seed: emails and handles, names with joints, numbers of colons, and seven to 19 digits with joints.
+LIKE = tuple(re.compile(r"(?<![^\x20\x09-\x0D(\[\"'<:=#])" + form + r"(?=[\x20\x09-\x0D.,;:!?)\]\"'>]|\Z)") for form in (
+    r"[A-Za-z0-9._%+-]++(?:@|[(\[]at[)\]])[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*", r"@[A-Za-z0-9_]+(?:[.-][A-Za-z0-9_]+)*",
+    r"(?=[A-Za-z0-9-]*[._])[A-Za-z0-9]+(?:[._-][A-Za-z0-9]+)+", r"[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){2,7}", r"\(?[0-9](?:[\x20().-]{0,2}[0-9])+",
+))
 BEFORE = re.compile(r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*\Z")
+ONE_BEFORE = re.compile(r"[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*\Z")
 #: Turns of scoring; the confidence of a pattern that is believed; the known instances that it needs.
 TURNS, CONFIDENT, LEAST_KNOWN = 3, 0.7, 3.0
+#: How much an instance of which nothing is known counts against a pattern: it lacks a label, it is not shown to be wrong.
+UNLABELLED = 0.5
 
 TABLE = "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base array<struct<start:int,kind:int,end:int>>, tokens array<struct<start:int,end:int,value:string,known:boolean,patterns:array<string>>>"
 SPAN = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
@@ -75,20 +83,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def patterns(text: str, start: int) -> list[str]:
-    """What stands before: two words, and a last one that is a label. Digits read as 0."""
-    before = BEFORE.search(text[max(0, start - 120) : start].lower())
-    if not before:
+    """What stands before: two words, or the one that opens the text, and a last one that is a label. Digits read as 0."""
+    own = text[max(0, start - 120) : start].lower()
+    before = BEFORE.search(own)
+    if not before and not (start <= 120 and (before := ONE_BEFORE.match(own))):
         return []
-    a, b = (DIGIT.sub("0", x) for x in before.groups())
+    a, b = (DIGIT.sub("0", x) for x in ("", *before.groups())[-2:])
     return [f"{a} {b}"] + ([b] if b[-1] in ":=#" and len(b) > 1 else [])
 
 
 def mentions(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
     out = [{"start": a, "end": b, "value": text[a:b].lower(), "known": True, "patterns": patterns(text, a)} for a, _, b in base]
     taken = [(a, b) for a, _, b in base]
-    for m in TOKEN.finditer(text) if DIGIT.search(text) else ():
-        if 6 <= len(m[0]) <= 64 and len(DIGIT.findall(m[0])) >= 5 and not any(a < m.end() and m.start() < b for a, b in taken):
-            out.append({"start": m.start(), "end": m.end(), "value": m[0].lower(), "known": False, "patterns": patterns(text, m.start())})
+    found = {m.start(): m.end() for m in TOKEN.finditer(text) if 6 <= len(m[0]) <= 64 and len(DIGIT.findall(m[0])) >= 5} if DIGIT.search(text) else {}
+    for k, form in enumerate(LIKE):
+        for m in form.finditer(text):
+            if len(m[0]) <= 64 and (k != len(LIKE) - 1 or 7 <= len(DIGIT.findall(m[0])) <= 19):
+                found.setdefault(m.start(), m.end())
+    for a, b in sorted(found.items()):
+        if not any(c < b and a < d for c, d in taken):
+            out.append({"start": a, "end": b, "value": text[a:b].lower(), "known": False, "patterns": patterns(text, a)})
     return [x for x in out if x["patterns"]]
 
 
@@ -108,13 +122,14 @@ def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def confident_patterns(edges: DataFrame, turns: int = TURNS) -> DataFrame:
     """(pattern, confidence) of the believed patterns over edges (pattern, value, known).
 
-    A pattern's confidence is the sum of its instances' scores over one more than their number; a known instance scores
-    1, any other what the believed patterns that introduce it leave to no chance.
+    A pattern's confidence is the sum of its instances' scores over one more than their number, in which what an instance
+    lacks to 1 counts as UNLABELLED; a known instance scores 1, any other what the believed patterns that introduce it
+    leave to no chance.
     """
     score = F.when(F.col("known"), 1.0).otherwise(0.0)
     scored = edges.withColumn("score", score)
     for turn in range(turns):
-        p = scored.groupBy("pattern").agg(F.sum("score").alias("mass"), F.count("*").alias("n"))
+        p = scored.groupBy("pattern").agg(F.sum("score").alias("mass"), F.sum(F.col("score") + UNLABELLED * (1 - F.col("score"))).alias("n"))
         p = p.withColumn("confidence", F.col("mass") / (F.col("n") + 1)).filter((F.col("mass") >= LEAST_KNOWN) & (F.col("confidence") >= CONFIDENT))
         p = written(p.select("pattern", "confidence"), "pii-patterns")
         if turn == turns - 1 or p.isEmpty():

@@ -272,6 +272,19 @@ def test_personal_data(spark, docs, empty):
     assert pii.find_personal_data(empty).count() == 0
 
 
+def test_personal_data_of_every_kind(spark):
+    """Identifiers planted beside seeds: at a text's start, unlike numbers, and as a third of what a pattern introduces."""
+    seeds = {"ssn:": "10.0.0.{}", "mail": "user{}@mail.example.org", "call us:": "+1 202 555 01{:02}"}
+    planted = {"ssn:": ["123-45-6789", "123-45-6780", "123-45-6781", "123-45-6782", "123-45-6783"], "mail": ["jane.doe@localhost", "@jane_doe", "jane_doe", "jane(at)example.org"], "call us:": ["(202) 555-0199", "202 555 0198"]}
+    made = [f"{label} {form.format(10 + k)} ok" for label, form in seeds.items() for k in range(10)]
+    want = {f"{label} {v} ok": f"context:{len(label) + 1}:{len(label) + 1 + len(v)}" for label, vs in planted.items() for v in vs}
+    plain = ["plain e.g. this_one here", "order 20241234567 shipped", "at 12:30:45 or 202 555 0198 nothing"]
+    df = spark.createDataFrame(list(enumerate([*made, *want, *plain])), "doc_id long, text string")
+    got = {r["text"]: r["s"] for r in pii.find_personal_data(df).join(df, "doc_id").select("text", pii.told(F.col("spans")).alias("s")).collect()}
+    assert {t: got[t] for t in want} == want
+    assert all("context" not in got[t] for t in made) and all(got[t] == "" for t in plain)
+
+
 def test_sharding(spark, docs, empty):
     df = spark.range(1003).select(F.col("id").alias("doc_id"), F.lit("same").alias("text"), F.lit(9).alias("shard"))
     got = sharding.shard(df, 24, ["doc_id", "text"], rows_per_part=100).toPandas()
