@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -14,9 +14,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that spark.checkpoint.dir names; a temporary folder of this machine only where it is unset."""
+    """A new path in the folder that spark.checkpoint.dir names. Unset, a temporary folder serves, on a local master only."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="formloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -26,7 +28,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends there, and a lost executor costs no recomputation."""
     spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._fl_folder = path
+    return out
+
+
+def written_some(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """written(), and its number of rows, counted as they are written. A task that ran twice may count twice: 0 is exact."""
+    rows = Observation()
+    out = written(df.observe(rows, F.count(F.lit(1)).alias("n")), name)
+    return out, rows.get["n"]
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that written() gave and nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._fl_folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:

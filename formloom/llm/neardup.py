@@ -6,22 +6,26 @@ in buckets of bands. In a bucket, members are first held against one hub, the cl
 the foremost of those that are still apart from it; so a group of copies becomes one component without its pairs. Classes
 of buckets that are then still in several components are joined exactly: linked sets share one of their rarest shingles,
 in places that leave room for enough in common, so only such pairs of different components are held against each other.
+
+Classes have dense long numbers, so that counts, least labels and joins hash and sort fixed-width keys. A bucket's hub is
+sent to as many parts of the bucket as its size asks for, and a shingle's foremost component only meets the others.
 """
 
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import in_parts, trim
-from .common import partitions, read, written
+from .common import discard, read, written, written_some
 
 SHINGLE = 4
 #: A pair with a similarity of 0.8 shares no band with a probability of (1 - 0.8**4)**24 = 3e-6.
@@ -29,8 +33,10 @@ BANDS, ROWS = 24, 4
 #: Ids of candidate classes above which texts are fetched by a shuffle.
 BROADCAST_IDS = 1_000_000
 HUB_ROUNDS = 2
-SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64()))])
-SETS = pa.schema([("digest", pa.binary()), ("shingles", pa.list_(pa.int64()))])
+#: Members of a bucket for each copy of its hub.
+PART = 2000
+SKETCH = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("text_hash_2", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64()))])
+SETS = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -88,18 +94,25 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-def digest(s: np.ndarray) -> bytes:
-    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+def digest(s: np.ndarray) -> tuple[int, int]:
+    return struct.unpack("<qq", hashlib.blake2b(s.tobytes(), digest_size=16).digest())
 
 
 def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (doc_id, text, and two hashes of it): the digest of each text's set, its size and its bands."""
     trim()
     for b in batches:
+        at = 0
         for ids, texts in in_parts(b):
             sets = shingle_sets(texts)
             full = [s for s in sets if len(s)]
             bands = iter(bands_of(signatures(np.concatenate(full), np.cumsum([0, *map(len, full[:-1])]))).tolist() if full else [])
-            yield pa.RecordBatch.from_pylist([{"doc_id": i, "n": len(s), "digest": digest(s), "bands": next(bands) if len(s) else []} for i, s in zip(ids, sets, strict=True)], schema=SKETCH)
+            digests = list(map(digest, sets))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(ids, pa.int64()), b.column(2).slice(at, len(ids)), b.column(3).slice(at, len(ids)), pa.array(map(len, sets), pa.int64()), pa.array([d for d, _ in digests], pa.int64()),
+                pa.array([d for _, d in digests], pa.int64()), pa.array([next(bands) if len(s) else [] for s in sets], pa.list_(pa.int64())),
+            ], schema=SKETCH)
+            at += len(ids)
 
 
 def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,103 +120,141 @@ def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for _, texts in in_parts(b, 1 << 20):
             sets = shingle_sets(texts)
-            yield pa.RecordBatch.from_arrays([pa.array(map(digest, sets), pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], schema=SETS)
+            digests = list(map(digest, sets))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([d for d, _ in digests], pa.int64()), pa.array([d for _, d in digests], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+            ], schema=SETS)
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(v, label) of every end of the edges (a, b): the least vertex that it reaches.
 
-    Each round takes the least label among neighbours, then the label's own label; both ways of an edge count.
+    Each round takes the least label among neighbours, then the label's own label; both ways of an edge count. An edge
+    within one label is left out of later rounds' first labels.
     """
     both = written(edges.select(F.col("a").alias("v"), F.col("b").alias("w")).union(edges.select("b", "a")).distinct(), "neardup-edges")
-    labels = written(both.groupBy("v").agg(F.least("v", F.min("w")).alias("label")), "neardup-labels")
+    labels = both.groupBy("v").agg(F.least("v", F.min("w")).alias("label"))
+    last = None
     while True:
+        if last is None:
+            labels = last = written(labels, "neardup-labels")
         near = both.join(labels.withColumnsRenamed({"v": "w", "label": "other"}), "w").groupBy("v").agg(F.min("other").alias("near"))
         took = labels.join(near, "v").select("v", F.least("label", "near").alias("to"), F.col("label").alias("was"))
         jump = labels.select(F.col("v").alias("to"), F.col("label").alias("further"))
-        moved = written(took.join(jump, "to", "left").select("v", F.least("to", "further").alias("label"), "was"), "neardup-labels")
-        labels = moved.select("v", "label")
-        if moved.filter("label <> was").isEmpty():
+        moves = F.count_if(F.col("label") != F.col("was")).alias("moves")
+        seen = Observation()
+        moved = written(took.join(jump, "to", "left").select("v", F.least("to", "further").alias("label"), "was").observe(seen, moves), "neardup-labels")
+        discard(last)
+        labels, last = moved.select("v", "label"), moved
+        if not seen.get["moves"]:
+            discard(both)
+            labels._fl_folder = moved._fl_folder
             return labels
 
 
 def prefix_pairs(sets: DataFrame, low: int, high: int) -> DataFrame:
-    """(digest, other) of sets with different labels that may be linked; no linked pair of different labels is left out.
+    """(c, other) of sets (c, label, shingles) with different labels that may be linked; no linked pair of different labels is left out.
 
-    Sets of n and m linked shingles have c = low (n + m) / (low + high) or more in common. With each set's shingles in
-    one order, the rarest first, their first common one stands where n - i and m - j are still at least c.
+    Sets of n and m linked shingles have k = low (n + m) / (low + high) or more in common. All sets have their shingles
+    in one order: those of a single label, which no pair of two labels shares, then the rarest first. Their first common
+    one stands where n - i and m - j are still at least k. A shingle's most frequent label is held against the others
+    only, so copies of one component that share it do not meet.
     """
-    tokens = sets.select("digest", "label", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
-    ranked = tokens.join(tokens.groupBy("s").agg(F.count("*").alias("f")), "s").groupBy("digest", "label", "n").agg(F.array_sort(F.collect_list(F.struct("f", "s"))).alias("t"))
-    most = F.col("n") - F.ceil(F.lit(low) * F.col("n") / high) + 1
-    prefix = ranked.select("digest", "label", "n", F.posexplode(F.slice("t", F.lit(1), most.cast("int"))).alias("i", "t")).filter("t.f > 1").select("digest", "label", "n", "i", F.col("t.s").alias("s"))
-    it = prefix.withColumnsRenamed({"digest": "other", "label": "its", "n": "m", "i": "j"})
-    room = (low + high) * F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) >= low * (F.col("n") + F.col("m"))
-    return prefix.join(it, "s").filter((F.col("digest") < F.col("other")) & (F.col("label") != F.col("its")) & room).select("digest", "other")
+    tokens = sets.select("c", "label", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    across = tokens.groupBy("s").agg(F.count("*").alias("f"), F.min("label").alias("_l"), F.max("label").alias("_m")).filter("_l < _m").select("s", "f")
+    ranked = tokens.join(across, "s").groupBy("c", "label", "n").agg(F.array_sort(F.collect_list(F.struct("f", "s"))).alias("t"))
+    alone = F.col("n") - F.size("t")
+    most = (F.col("n") - F.ceil(F.lit(low) * F.col("n") / high) + 1 - alone).cast("int")
+    within = ranked.filter(most > 0).select("c", "label", "n", alone.alias("alone"), F.posexplode(F.slice("t", F.lit(1), most)).alias("i", "t"))
+    prefix = written(within.select("c", "label", "n", (F.col("i") + F.col("alone")).alias("i"), F.col("t.s").alias("s")), "neardup-prefix")
+    by_label = prefix.groupBy("s", "label").agg(F.count("*").alias("f"))
+    first = by_label.groupBy("s").agg(F.max_by("label", "f").alias("first"), F.count("*").alias("labels")).filter("labels > 1").select("s", "first")
+    met = prefix.join(first, "s")
+    others = met.filter("label <> first").drop("first")
+    every = met.select("s", *[F.col(c).alias(f"_{c}") for c in ("c", "label", "n", "i")])
+    room = (low + high) * F.least(F.col("n") - F.col("i"), F.col("_n") - F.col("_i")) >= low * (F.col("n") + F.col("_n"))
+    return others.join(every, "s").filter((F.col("label") != F.col("_label")) & room).select("c", F.col("_c").alias("other"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, low: int, high: int) -> DataFrame:
+    """The pairs (a, b, part) whose full sets are linked, as (a, b). b's set goes to each of its parts."""
+    whole = F.col("part") == 0
+    parts = pairs.filter(~whole).select(F.col("b").alias("c"), "part").distinct()
+    of_b = sets.select("c", F.lit(0).cast("long").alias("part"), "shingles").union(sets.join(parts, "c").select("c", "part", "shingles"))
+    held = pairs.join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("sa")), "a").join(of_b.withColumnsRenamed({"c": "b", "shingles": "sb"}), ["b", "part"])
+    both = F.size(F.array_intersect("sa", "sb"))
+    return held.select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb") - both).alias("all")).filter(high * F.col("both") >= low * F.col("all")).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: tuple[int, int] = (80, 100)) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row.
+    """doc_id, n_shingles, component_id, kept, text_hash and text_hash_2 (of the text) and component (a number; null where alone) of every row.
 
     Null and empty texts and those without a word have no shingle and are alone. Rows with equal sets are linked, repeated
     rows and rows with one id among them. A null id is never a component's; a component of null ids has a null one, and
-    keeps its rows. Ties go to the least id. No rows give none.
+    keeps its rows. Ties go to the least id. Other columns of docs are not read. Texts of any length are read whole. No
+    rows give none.
     """
-    spark, n = docs.sparkSession, partitions(docs.sparkSession)
+    spark = docs.sparkSession
     low, high = similarity
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    sketches = written(rows.mapInArrow(sketch, "doc_id bigint, n bigint, digest binary, bands array<bigint>"), "neardup-sketches")
+    sketches = rows.select("*", F.xxhash64("text").alias("text_hash"), F.xxhash64(F.lit(1), F.coalesce("text", F.lit(""))).alias("text_hash_2"))
+    sketches = written(sketches.mapInArrow(sketch, "doc_id bigint, text_hash bigint, text_hash_2 bigint, n bigint, d1 bigint, d2 bigint, bands array<bigint>"), "neardup-sketches")
     full = sketches.filter("n > 0")
-    classes = written(full.groupBy("digest").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands")), "neardup-classes")
-    members = classes.select("digest", "n", F.explode("bands").alias("bucket")).repartition(n, "bucket")
+    classes = full.groupBy("d1", "d2").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    classes = written(classes.withColumn("c", F.monotonically_increasing_id()), "neardup-classes")
+    members = classes.select("c", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     met = written(members.join(shared, "bucket"), "neardup-buckets")
 
-    candidates = written(met.select("digest").distinct(), "neardup-candidates")
-    count = candidates.count()
-    wanted = candidates.join(classes.select("digest", "least"), "digest").select(F.col("least").alias("doc_id"))
-    texts = rows.join(F.broadcast(wanted) if count <= BROADCAST_IDS else wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
-    sets = texts.mapInArrow(sets_of, "digest binary, shingles array<bigint>")
-    sets = written(sets.dropDuplicates(["digest"]) if count > BROADCAST_IDS else sets, "neardup-sets").join(candidates, "digest", "left_semi").dropDuplicates(["digest"])
-
-    label = candidates.select("digest", F.col("digest").alias("label"))
-    degree = written(met.groupBy("digest").agg(F.sum(F.col("size") - 1).alias("degree")), "neardup-degrees")
-    tested = None
-    for turn in range(HUB_ROUNDS + 1):
-        now = met.join(label, "digest").join(degree, "digest")
-        first = F.min(F.struct((-F.col("degree")).alias("d"), "digest", "n", "label")).alias("hub")
-        hubs = now.groupBy("bucket").agg(F.min("label").alias("_l"), F.max("label").alias("_m"), first).filter("_l < _m").select("bucket", "hub")
-        if turn == HUB_ROUNDS:
-            apart = now.join(hubs.select("bucket"), "bucket", "left_semi").select("digest", "label").distinct()
-            pairs = prefix_pairs(sets.join(apart, "digest"), low, high)
-        else:
-            if turn:
-                hubs = now.join(hubs, "bucket").filter("label <> hub.label").groupBy("bucket").agg(first)
-            pairs = now.join(hubs, "bucket").select("digest", "n", "label", F.col("hub.digest").alias("other"), F.col("hub.n").alias("m"), F.col("hub.label").alias("its"))
-            pairs = pairs.filter((F.col("label") != F.col("its")) & (high * F.least("n", "m") >= low * F.greatest("n", "m")))
-        pairs = pairs.select(F.least("digest", "other").alias("a"), F.greatest("digest", "other").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "neardup-pairs")
-        if pairs.isEmpty():
-            continue
-        tested = pairs if tested is None else tested.union(pairs)
-        held = pairs.join(sets.withColumnsRenamed({"digest": "a", "shingles": "sa"}), "a").join(sets.withColumnsRenamed({"digest": "b", "shingles": "sb"}), "b")
-        both = F.size(F.array_intersect("sa", "sb"))
-        links = written(held.select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb") - both).alias("all")).filter(high * F.col("both") >= low * F.col("all")).select("a", "b"), "neardup-links")
-        if links.isEmpty():
-            continue
-        at = lambda c: label.select(F.col("digest").alias(c), F.col("label").alias(f"l{c}"))  # noqa: B023, E731
-        merged = components(links.join(at("a"), "a").join(at("b"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b")).filter("a <> b"))
-        label = written(label.join(merged.select(F.col("v").alias("label"), F.col("label").alias("new")), "label", "left").select("digest", F.coalesce("new", "label").alias("label")), "neardup-labels")
-
-    named = classes.select("digest", "least").join(label, "digest", "left").withColumn("label", F.coalesce("label", "digest"))
-    least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    of = named.join(least, "label").select("digest", "component_id")
-    out = full.select("doc_id", "n", "digest").join(of, "digest").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    out = out.union(sketches.filter("n = 0").select("doc_id", "n", "doc_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    candidates, count = written_some(met.groupBy("c").agg(F.sum(F.col("size") - 1).alias("degree")).join(classes.select("c", "d1", "d2", "n", "least"), "c"), "neardup-candidates")
+    label = candidates.select("c", F.col("c").alias("label"))
+    if count:
+        small = (lambda df: F.broadcast(df)) if count <= BROADCAST_IDS else (lambda df: df)
+        wanted = small(candidates.select(F.col("least").alias("doc_id")).distinct())
+        texts = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
+        sets = texts.mapInArrow(sets_of, "d1 bigint, d2 bigint, shingles array<bigint>")
+        # rows of one id may have several sets, and equal rows one
+        sets = written(sets.join(small(candidates.select("c", "d1", "d2")), ["d1", "d2"]).select("c", "shingles").dropDuplicates(["c"]), "neardup-sets")
+        tested = []
+        for turn in range(HUB_ROUNDS + 1):
+            part = F.when(F.col("size") > PART, 1 + F.pmod(F.hash("c"), F.ceil(F.col("size") / PART))).otherwise(0).cast("long").alias("part")
+            now = met.join(label.join(candidates.select("c", "degree", "n"), "c"), "c")
+            first = [F.max_by(c, "degree").alias(f"h_{c}") for c in ("c", "label", "n")]
+            split = now.groupBy("bucket").agg(F.min("label").alias("_l"), F.max("label").alias("_m"), *first, F.max("size").alias("h_size")).filter("_l < _m").drop("_l", "_m")
+            if turn == HUB_ROUNDS:
+                apart = now.join(split.select("bucket"), "bucket", "left_semi").select("c", "label").distinct()
+                pairs = prefix_pairs(sets.join(apart, "c"), low, high).withColumn("part", F.lit(0).cast("long"))
+            else:
+                if turn:  # the foremost of those that are apart from the first hub
+                    split = now.join(split.select("bucket", F.col("h_label").alias("not")), "bucket").filter(F.col("label") != F.col("not"))
+                    split = split.groupBy("bucket").agg(*first, F.max("size").alias("h_size"))
+                hubs = split.withColumn("part", F.explode(F.when(F.col("h_size") > PART, F.sequence(F.lit(1).cast("long"), F.ceil(F.col("h_size") / PART))).otherwise(F.array(F.lit(0).cast("long")))))
+                pairs = now.select("bucket", part, "c", "label", "n").join(hubs, ["bucket", "part"]).filter((F.col("label") != F.col("h_label")) & (high * F.least("n", "h_n") >= low * F.greatest("n", "h_n")))
+                pairs = pairs.select("c", F.col("h_c").alias("other"), "part")
+            # a has few pairs; b, a hub, may have many, dealt to parts
+            pairs = pairs.select(F.col("c").alias("a"), F.col("other").alias("b"), "part").distinct()
+            for t in tested:
+                pairs = pairs.join(t, ["a", "b"], "left_anti")
+            pairs, found = written_some(pairs, "neardup-pairs")
+            if not found:
+                continue
+            tested.append(pairs.select("a", "b"))
+            links, found = written_some(verified(pairs, sets, low, high), "neardup-links")
+            if not found:
+                continue
+            at = lambda c: label.select(F.col("c").alias(c), F.col("label").alias(f"l{c}"))  # noqa: B023, E731
+            merged = components(links.join(at("a"), "a").join(at("b"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b")).filter("a <> b"))
+            label = written(label.join(merged.select(F.col("v").alias("label"), F.col("label").alias("new")), "label", "left").select("c", F.coalesce("new", "label").alias("label")), "neardup-labels")
+            discard(links, merged)
+        discard(sets)
+    discard(met)
+
+    named = classes.select("c", "d1", "d2", "least").join(label, "c", "left").withColumn("component", F.coalesce("label", "c"))
+    of = named.join(named.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("d1", "d2", "component", "component_id")
+    out = full.join(of, ["d1", "d2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "text_hash", "text_hash_2", "component")
+    out = out.union(sketches.filter("n = 0").select("doc_id", "n", "doc_id", "text_hash", "text_hash_2", F.lit(None).cast("long")))
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash", "text_hash_2", "component")
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents"))
+    return near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")

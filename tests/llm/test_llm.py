@@ -211,11 +211,8 @@ def test_lm(spark, table, docs, empty):
     assert [tuple(r) for r in nothing] == [(0.0, 0)]
 
 
-def test_near_duplicates(spark, table, docs, empty):
-    base = [f"w{k}" for k in range(60)]
-    extra = {1000 + k: " ".join([*base[: 2 * k], *base[2 * k + 1 :], "tail" if k % 2 else ""]) for k in range(12)}
-    every = table | extra | {2000: "a b c d", 2001: "A b c d", 2002: "a b", 2003: "a b", 2004: "", 2005: None, 2006: "b a"}
-    df = spark.createDataFrame(list(every.items()), "doc_id long, text string")
+def plain_groups(every):
+    """Each id's least id of its group, and its set, by all pairs."""
     sets = {i: (lambda w: {tuple(w[k : k + 4]) for k in range(len(w) - 3)} if len(w) > 3 else {tuple(w)} if w else set())((t or "").encode().lower().split()) for i, t in every.items()}
     label = {i: i for i in sets}
     changed = True
@@ -226,6 +223,15 @@ def test_near_duplicates(spark, table, docs, empty):
             m = min(label[a], label[b])
             changed |= label[a] != m or label[b] != m
             label[a] = label[b] = m
+    return label, sets
+
+
+def test_near_duplicates(spark, table, docs, empty):
+    base = [f"w{k}" for k in range(60)]
+    extra = {1000 + k: " ".join([*base[: 2 * k], *base[2 * k + 1 :], "tail" if k % 2 else ""]) for k in range(12)}
+    every = table | extra | {2000: "a b c d", 2001: "A b c d", 2002: "a b", 2003: "a b", 2004: "", 2005: None, 2006: "b a"}
+    df = spark.createDataFrame(list(every.items()), "doc_id long, text string")
+    label, sets = plain_groups(every)
     got = {r["doc_id"]: r for r in neardup.near_duplicates(df).collect()}
     assert {i: (r["n_shingles"], r["component_id"], r["kept"]) for i, r in got.items()} == {i: (len(sets[i]), label[i], label[i] == i) for i in sets}
     assert neardup.near_duplicates(docs).count() == 9
@@ -240,13 +246,26 @@ def test_near_duplicate_chain(spark):
 
 
 def test_prefix_pairs(spark):
+    """Whatever the labels, no linked pair of two labels is left out, and none of one label is told."""
     rng = np.random.default_rng(3)
     base = [set(rng.choice(80, 40, replace=False).tolist()) for _ in range(6)]
-    sets = [(bytes([k]), bytes([k]), sorted((base[k % 6] - set(rng.choice(80, 12).tolist())) | {int(rng.integers(80))})) for k in range(60)]
-    df = spark.createDataFrame(sets, "digest binary, label binary, shingles array<long>")
-    got = {(bytes(r[0]), bytes(r[1])) for r in neardup.prefix_pairs(df, 80, 100).collect()}
-    want = {(a, b) for a, _, s in sets for b, _, t in sets if a < b and 100 * len(set(s) & set(t)) >= 80 * len(set(s) | set(t))}
-    assert want and want <= got
+    sets = [(k, sorted((base[k % 6] - set(rng.choice(80, 12).tolist())) | {int(rng.integers(80))})) for k in range(60)]
+    for labels in (list(range(60)), [k % 6 for k in range(60)], [min(k % 7, 1) for k in range(60)]):
+        df = spark.createDataFrame([(k, labels[k], s) for k, s in sets], "c long, label long, shingles array<long>")
+        got = {tuple(sorted(r)) for r in neardup.prefix_pairs(df, 80, 100).collect()}
+        want = {(a, b) for a, s in sets for b, t in sets if a < b and labels[a] != labels[b] and 100 * len(set(s) & set(t)) >= 80 * len(set(s) | set(t))}
+        assert want <= got and all(labels[a] != labels[b] for a, b in got) and bool(want) == (labels[6] != labels[0] or len(set(labels)) == 2)
+
+
+def test_near_duplicate_hubs_in_parts(spark, monkeypatch):
+    """A bucket of many members, its hub sent to several parts, gives the same groups."""
+    words = [f"w{k}" for k in range(80)]
+    made = [(k, " ".join([*words[:k], f"own{k}", *words[k + 1 :]])) for k in range(60)] + [(900, "alone among the others here")]
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    told = lambda: {(r["doc_id"], r["component_id"]) for r in neardup.near_duplicates(df).collect()}
+    whole = told()
+    monkeypatch.setattr(neardup, "PART", 5)
+    assert told() == whole == {(k, 0) for k in range(60)} | {(900, 900)}
 
 
 def base_pii(t):
@@ -426,21 +445,103 @@ def test_segments():
         assert sum(t for *_, t in got) == sum(t for *_, t in best(0, 9)) and max((t for *_, t in got), default=0) == max((t for *_, t in best(0, 9)), default=0)
 
 
-def test_pipeline(spark):
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def documents(spark, rows, more=""):
+    """A table of documents with columns named like those that the stages add."""
+    own = "_fl_hash long, spans string, n_assign long, kept boolean, score double, label int, component_id long, text_hash long"
+    return spark.createDataFrame([(i, t, "en", "s", len(t or ""), 7, "own", 8, False, 0.5, 9, 10, 11) for i, t in rows], f"{COLUMNS}, {own}")
+
+
+def plain(df):
+    return sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+
+
+def test_stage_of_near_duplicates(spark):
+    import corpus_pipeline
+
+    a, b = "one text of many words that stands here for all its copies", "quite another text whose words nobody else has used so far"
+    near = a + " " + " ".join(f"more{k}" for k in range(40))
+    stage = lambda rows: corpus_pipeline.one_of_each_group(spark, documents(spark, rows), SF)
+    assert plain(stage([(1, a), (5, a), (5, b)])) == [(1, a), (5, b)]
+    assert plain(stage([(5, b), (5, b), (None, b), (None, a), (None, a)])) == sorted([(5, b), (None, a)], key=str)
+    assert plain(stage([(None, near), (None, near + " end"), (7, None), (7, None), (8, ""), (9, "   ")])) in ([(7, None), (7, None), (8, ""), (9, "   "), (None, t)] for t in (near, near + " end"))
+    assert stage([]).collect() == []
+    out = stage([(1, a), (2, a)])
+    assert out.columns == documents(spark, []).columns and out.first()["spans"] == "own" and out.first()["text_hash"] == 11
+
+
+def test_stage_of_decontamination(spark):
+    import corpus_pipeline
+
+    item = common.read(spark, SF, "benchmark").filter("length(text) > 100").first()["text"]
+    rows = [(1, item), (1, "clean text"), (None, "before " + item), (None, None), (2, ""), (3, "clean"), (3, "clean")]
+    out = corpus_pipeline.decontaminated(spark, documents(spark, rows), SF)
+    assert plain(out) == sorted([(1, "clean text"), (None, None), (2, ""), (3, "clean"), (3, "clean")], key=str)
+    assert out.columns == documents(spark, []).columns and {r["_fl_hash"] for r in out.collect()} == {7}
+    assert corpus_pipeline.decontaminated(spark, documents(spark, []), SF).collect() == []
+
+
+def test_stage_of_secrets(spark):
+    import corpus_pipeline
+
+    rows = [(1, "say token = abcdef123456 twice"), (None, None), (2, ""), (1, "say token = abcdef123456 twice"), (3, "é " * 5000 + "token = abcdef123456")]
+    out = corpus_pipeline.without_secrets(spark, documents(spark, rows), SF)
+    assert plain(out) == sorted([(1, "say [secret] twice"), (1, "say [secret] twice"), (None, None), (2, ""), (3, "é " * 5000 + "[secret]")], key=str)
+    assert {r["spans"] for r in out.collect()} == {"own"} and {r["n_assign"] for r in out.collect()} == {8}
+    assert {r["doc_id"]: r["n_chars"] for r in out.collect()} == {1: 18, None: 0, 2: 0, 3: 10008}
+    assert out.columns == documents(spark, []).columns and corpus_pipeline.without_secrets(spark, documents(spark, []), SF).collect() == []
+
+
+def test_stages_of_toxicity_and_tokens(spark):
+    import corpus_pipeline
+
+    rows = [(1, "plain words"), (1, "plain words"), (None, None), (2, ""), (3, LONG)]
+    out = corpus_pipeline.not_toxic(spark, documents(spark, rows), SF)
+    assert plain(out) == sorted(rows, key=str) and out.columns == documents(spark, []).columns
+    assert corpus_pipeline.not_toxic(spark, documents(spark, []), SF).collect() == []
+    tok = Tokenizer.from_file(PATH)
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    told = lambda i, t: (i, len(brute_ids(t)), sha(np.array(brute_ids(t), "<u4").tobytes()), sha(tok.decode(brute_ids(t), skip_special_tokens=False).encode()))
+    assert sorted(map(tuple, corpus_pipeline.tokens(spark, documents(spark, rows), SF).collect()), key=str) == sorted((told(*r) for r in rows), key=str)
+    assert corpus_pipeline.tokens(spark, documents(spark, []), SF).collect() == []
+
+
+def test_pipeline(spark, table):
+    """run() against the plain rules, stage by stage; the toxicity stage's decisions are those of its own scores."""
     import corpus_pipeline
 
-    docs = common.read(spark, SF, "documents")
-    first = docs.limit(1).collect()[0]
-    extra = spark.createDataFrame([(5000, "say token = abcdef123456 twice", "en", "s", 30), (5001, None, "en", "s", 0), (5002, first["text"], "en", "s", 1), (5003, "say token = abcdef123456 twice", "en", "s", 30)], docs.schema)
-    both = docs.unionByName(extra)
-    kept = {r["doc_id"] for r in corpus_pipeline.one_of_each_group(spark, both, SF).collect()}
-    assert {5000, 5001} <= kept and not kept & {5002, 5003}
-    redacted = {r["doc_id"]: r for r in corpus_pipeline.without_secrets(spark, both, SF).collect()}
-    assert redacted[5000]["text"] == "say [secret] twice" and redacted[5000]["n_chars"] == 18 and redacted[5001]["text"] is None
-    clean = corpus_pipeline.decontaminated(spark, both, SF)
-    assert clean.columns == docs.columns
-    judged = {r["doc_id"]: r["contaminated"] for r in decontaminate.decontaminate(both, common.read(spark, SF, "benchmark"), ["doc_id"]).collect()}
-    assert {r["doc_id"] for r in clean.collect()} == {i for i, c in judged.items() if not c}
-    out = corpus_pipeline.run(spark, SF)
-    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and 0 < out.count() <= docs.count()
-    assert len(hashlib.sha256(b"").hexdigest()) == len(out.first()["ids_sha256"])
+    docs, labels = common.read(spark, SF, "documents"), common.read(spark, SF, "labels")
+    scores = {r["doc_id"]: r["score"] for r in toxicity.fit(docs, labels).score(docs).collect()}
+    stay = {i: t for i, t in table.items() if scores[i] < 0.5}
+    label, _ = plain_groups(stay)
+    stay = {i: t for i, t in stay.items() if label[i] == i}
+    windows = set()
+    for (t,) in common.read(spark, SF, "benchmark").select("text").collect():
+        w = item_words(t)
+        n = min(13, len(w))
+        windows |= {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if n else set()
+    lens = {len(w) for w in windows}
+
+    def contaminated(t):
+        w, hit = item_words(t), set()
+        for n in lens:
+            for k in range(len(w) - n + 1):
+                if tuple(w[k : k + n]) in windows:
+                    hit.update(range(k, k + n))
+        return bool(hit) and 20 * len(hit) >= len(w)
+
+    stay = {i: t for i, t in stay.items() if not contaminated(t)}
+    sha, tok, want = lambda b: hashlib.sha256(b).hexdigest(), Tokenizer.from_file(PATH), {}
+    spans = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(docs).select("doc_id", "spans").collect()}
+    for i, t in stay.items():
+        out, at = "", 0
+        for s in spans[i]:
+            if s["start"] >= at:
+                out += t[at : s["start"]] + "[secret]"
+            at = max(at, s["end"])
+        t = out + (t or "")[at:]
+        ids = tok.encode(t, add_special_tokens=False).ids
+        want[i] = (len(ids), sha(np.array(ids, "<u4").tobytes()), sha(tok.decode(ids, skip_special_tokens=False).encode()))
+    assert {r["doc_id"]: tuple(r)[1:] for r in corpus_pipeline.run(spark, SF).collect()} == want
