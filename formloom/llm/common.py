@@ -52,6 +52,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread(df: DataFrame, text: str, each: int = 64 << 20) -> int:
+    """Partitions for what comes of a column of texts: the session's number, and more where that leaves over `each` bytes to one."""
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(partitions(df.sparkSession), -(-size // each))
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text leaves that remainder; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))

@@ -1,19 +1,19 @@
 """Prediction by partial matching over bytes: escape estimation, symbol exclusion, and the code length of each document.
 
-The model reads a text as words, each closed by a space, then one end. A symbol's contexts reach back to the space that
-opens its word: the whole word so far, then its last DEPTH, ..., 1, 0 bytes. So what a word costs does not depend on its
-neighbours and is worked out once for each distinct word. Escapes are estimated by leaving each training symbol out,
-for classes of nodes. Five supersteps pass packed messages:
-
-1. documents to blocks: distinct words with the counts that training documents give them (blocks.py);
-2. buckets of words that start alike: counts over all blocks, and each (context, symbol) pair of up to DEPTH bytes;
-3. groups of pairs by the last two bytes of the context: the nodes of orders DEPTH to 2, with orders 1 and 0 (at most
-   65,792 pairs in all) at hand everywhere, and from these each pair's code length, escapes and exclusions included;
-4. buckets: whole words so far, which only meet here; a word's cost as the sum of its symbols', sent to the blocks that
-   use it;
-5. blocks: sums over each document.
-
-The trie grows with the corpus and is never broadcast or collected.
+The model reads a text as its words with a space between, from a start mark to an end. A symbol's contexts are the last
+DEPTH, ..., 1, 0 bytes before it, across words, back to the start mark. Escapes are estimated by leaving each training
+symbol out, for classes of nodes. Supersteps pass packed messages:
+
+1. documents to blocks: each block's distinct (context, symbol) pairs and distinct words with their training counts;
+2. groups of pairs, by the last three bytes of the context, and buckets of words: counts over all blocks;
+3. groups and buckets again: each pair's code length, escapes and exclusions included, and each word's count, told to
+   the blocks that ask. A group holds the nodes of orders DEPTH to 3 whole; orders 2 to 0, of at most 2**24 pairs, are
+   summed in Spark and at hand everywhere;
+4. blocks: sums over each document.
+
+What travels follows distinct pairs and words of blocks, so a frequent context is no larger than its distinct symbols.
+A group's memory follows its distinct pairs: requests stream by. The trie grows with the corpus and is never broadcast
+or collected.
 """
 
 from __future__ import annotations
@@ -21,53 +21,52 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import REQUEST, batch, blocks, pack, unpack, unpack_ints, unpack_sorted
-from .common import held_out, partitions, read, written
+from .blocks import BLOCK_BYTES, REQUEST, REQUEST_ARROW, Block, batch, pack, pack_ints, trim, unpack, unpack_ints, unpack_sorted
+from .common import held_out, read, spread, written
 
 DEPTH = 5
-SPACE, END = 32, 10
-#: Of the hash of a word's start, modulo 2**64.
-MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-#: The order above DEPTH: the whole word so far.
-WHOLE = DEPTH + 1
+#: Orders at hand everywhere, at most 2**24 pairs.
+LOW = 2
+#: Groups of contexts and buckets of words at most: how many messages a block sends.
+GROUPS = 4096
+#: Symbols worked on at once.
+AT_ONCE = 1 << 21
 #: Classes of a node's total and of its distinct symbols, for estimates of escapes.
 TOTALS, KINDS = 48, 12
 FOLDS, HELD_FOLD = 7, 2
-MESSAGE = "kind int, src int, dst int, keys binary, counts binary"
-MESSAGE_ARROW = pa.schema([("kind", pa.int32()), ("src", pa.int32()), ("dst", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
-REPLY = "kind int, block bigint, places binary, costs binary, counts binary, ids array<bigint>, lens array<int>"
-REPLY_ARROW = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("places", pa.binary()), ("costs", pa.binary()), ("counts", pa.binary()), ("ids", pa.list_(pa.int64())), ("lens", pa.list_(pa.int32()))])
+COUNTED = "kind int, bucket int, blob binary, counts binary"
+COUNTED_ARROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("blob", pa.binary()), ("counts", pa.binary())])
+REPLY = "kind int, block bigint, blob binary, costs binary, counts binary, places binary, ids array<bigint>, lens array<int>"
+REPLY_ARROW = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("blob", pa.binary()), ("costs", pa.binary()), ("counts", pa.binary()), ("places", pa.binary()), ("ids", pa.list_(pa.int64())), ("lens", pa.list_(pa.int32()))])
 SCORES = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+#: Kinds of rows: a merged table comes before the requests of its group.
+TABLE, PAYLOAD, WORDS, PAIRS, LOW_PAIRS, TEXT, ESTIMATES = -1, 0, 1, 2, 3, 4, 5
+_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(DEPTH + 1)], np.uint64)
+_U = np.uint64
 
 
-def pairs_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each symbol of the words and their closing spaces: the word's number, the key of its pair, the word so far.
+def symbols(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of the symbols of texts (words with a space between) and their ends: the text's number and the key of the pair.
 
-    A key is order << 56 | context << 8 | symbol, with the longest context of at most DEPTH bytes. The word so far is a
-    hash, 0 where such a context reaches the word's start anyway.
+    A key is order << 56 | context << 8 | symbol, with the longest context of at most DEPTH bytes.
     """
-    a = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.uint64)
-    opens = a == SPACE
-    last = np.maximum.accumulate(np.where(opens, np.arange(len(a)), 0))
-    j = np.arange(1, len(a))
-    far = j - last[:-1]
-    context = np.zeros(len(j), np.uint64)
-    for k in range(1, DEPTH + 1):
-        on = far >= k
-        context[on] |= a[j[on] - k] << np.uint64(8 * (k - 1))
-    word = np.cumsum(opens)[:-1] - 1
-    with np.errstate(over="ignore"):
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(a * np.cumprod(np.full(len(a), MULTIPLIER)))])
-        back = np.cumprod(np.full(len(a) + 1, INVERSE))
-        full = (sums[j] - sums[last[:-1]]) * back[last[:-1]]
-        full = (full ^ (full >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) | np.uint64(1)
-    full[far <= DEPTH] = 0
-    return word, (np.minimum(far, DEPTH).astype(np.uint64) << np.uint64(56)) | (context << np.uint64(8)) | a[1:], full
+    s = np.frombuffer(b"".join([b"\n%b\n" % t for t in texts]), np.uint8)
+    lens = np.fromiter(map(len, texts), np.int64, len(texts)) + 2
+    starts = np.cumsum(lens) - lens
+    for p in range(0, len(s), AT_ONCE):
+        j = np.arange(p, min(p + AT_ONCE, len(s)))
+        doc = np.searchsorted(starts, j, side="right") - 1
+        far = j - starts[doc]
+        j, doc, order = j[far > 0], doc[far > 0], np.minimum(far[far > 0], DEPTH)
+        context = np.zeros(len(j), _U)
+        for k in range(1, DEPTH + 1):
+            context |= s[np.maximum(j - k, 0)].astype(_U) << _U(8 * (k - 1))
+        yield doc, (order.astype(_U) << _U(56)) | ((context & _MASKS[order]) << _U(8)) | s[j]
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,65 +78,116 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def group_of(keys: np.ndarray, groups: int) -> np.ndarray:
-    """By the last two bytes of the context; the first symbols of words, in context of one byte, go to group 0."""
-    two = (keys >> np.uint64(8)) & np.uint64(0xFFFF)
-    mixed = (two * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
-    return np.where((keys >> np.uint64(56)) < 2, 0, mixed % np.uint64(groups)).astype(np.int64)
-
-
-def merged_words(rows) -> tuple[list[bytes], np.ndarray, list[np.ndarray]]:
-    """Distinct words of a bucket, their counts over all blocks, and each row's words as numbers."""
-    number: dict[bytes, int] = {}
-    places = []
-    for blob in rows:
-        words = unpack(blob["blob"]).split(b"\n")
-        places.append((np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)), unpack_ints(blob["counts"]).astype(np.int64)))
-    total = np.zeros(len(number), np.int64)
-    for at, n in places:
-        np.add.at(total, at, n)
-    return list(number), total, [at for at, _ in places]
-
-
-def by_bucket(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[list[dict]]:
-    """The rows of each value of a column, by which the rows are sorted."""
-    rows, now = [], None
-    for b in batches:
-        for i in range(b.num_rows):
-            r = b.slice(i, 1).to_pylist()[0]
-            key = list(r.values())[column]
-            if rows and key != now:
-                yield rows
-                rows = []
-            now = key
-            rows.append(r)
-    if rows:
-        yield rows
+    """By the last three bytes of the context."""
+    three = (keys >> _U(8)) & _U(0xFFFFFF)
+    return (((three * _U(0x9E3779B97F4A7C15)) >> _U(40)) % _U(groups)).astype(np.int64)
 
 
-def ask(groups: int):
-    """Superstep 2: of each bucket, pairs with their counts to each group (kind 1), orders 1 and totals (kind 0), for mapInArrow."""
+def lm_blocks(groups: int, block_bytes: int = BLOCK_BYTES):
+    """Superstep 1, for mapInArrow over (doc_id, text, learns): a block's documents, and its words and pairs for each group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in by_bucket(batches, 2):
-            bucket = rows[0]["bucket"]
-            words, total, _ = merged_words(rows)
-            word, own, full = pairs_of(words)
-            keys, counts = summed(own, total[word])
-            _, _, node, _, n, nodes = whole_words(word, own, full, total)
-            whole = left_out(WHOLE, node[n > 0], n[n > 0], nodes)[WHOLE]
-            one, n = summed(keys & np.uint64(0xFFFF), counts)
-            told = np.array([total.sum(), (total > 0).sum()], "<i8").tobytes()
-            yield batch([{"kind": 0, "src": bucket, "dst": -1, "keys": pack(one.astype("<u8").tobytes()), "counts": pack(told + whole.astype("<i8").tobytes() + n.astype("<i8").tobytes())}], MESSAGE_ARROW)
+        from pyspark import TaskContext
+
+        trim()
+        part, made, block, texts = TaskContext.get().partitionId(), 0, Block(), []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            number = (part << 20) + made
+            row = lambda **cells: batch([dict.fromkeys(REQUEST_ARROW.names) | {"block": number} | cells], REQUEST_ARROW)
+            yield row(kind=TEXT, blob=pack(b"\n".join(texts)))
+            learns, keys, counts = np.array(block.learns, bool), [], []
+            for doc, key in symbols(texts):
+                codes, own = pd.factorize(key)
+                keys.append(own)
+                counts.append(np.bincount(codes, learns[doc], len(own)).astype(np.int64))
+            keys, counts = summed(np.concatenate(keys), np.concatenate(counts))
+            on = keys[counts > 0]
+            order = np.minimum(on >> _U(56), _U(LOW))
+            low, n = summed((order << _U(56)) | (on & _MASKS[order.astype(np.int64) + 1]), counts[counts > 0])
+            yield row(kind=LOW_PAIRS, blob=pack(low.astype("<u8").tobytes()), counts=pack(n.astype("<i8").tobytes()))
             group = group_of(keys, groups)
-            order = np.argsort(group, kind="stable")
-            edges = np.searchsorted(group[order], np.arange(groups + 1))
+            by = np.argsort(group, kind="stable")
+            edges = np.searchsorted(group[by], np.arange(groups + 1))
             for g in range(groups):
-                if len(at := order[edges[g] : edges[g + 1]]):
-                    yield batch([{"kind": 1, "src": bucket, "dst": g, "keys": pack(keys[at].astype("<u8").tobytes()), "counts": pack(counts[at].astype("<i8").tobytes())}], MESSAGE_ARROW)
+                if len(at := by[edges[g] : edges[g + 1]]):
+                    yield row(kind=PAIRS, bucket=g, blob=pack(keys[at].astype("<u8").tobytes()), counts=pack_ints(counts[at]))
+            del keys, counts, group, by
+            for r in block.rows(number, groups):
+                yield batch([r], REQUEST_ARROW)
+
+        for b in batches:
+            for i, doc_id, learns in zip(range(b.num_rows), b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
+                words = (b.column(1)[i].as_py() or "").encode().lower().split()
+                texts.append(b" ".join(words))
+                block.add(doc_id, bool(learns), words, len(texts[-1]))
+                if block.size >= block_bytes:
+                    yield from out()
+                    made, block, texts = made + 1, Block(), []
+                    trim()
+        if block.ids:
+            yield from out()
+        del block, texts
+        trim()
 
     return run
 
 
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for b in batches:
+        for i in range(b.num_rows):
+            yield b.slice(i, 1).to_pylist()[0]
+
+
+def by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """The rows of each block, by which the rows are sorted."""
+    rows: list[dict] = []
+    for r in rows_of(batches):
+        if rows and r["block"] != rows[0]["block"]:
+            yield rows
+            rows = []
+        rows.append(r)
+    if rows:
+        yield rows
+
+
+def table_row(bucket: int, blob: bytes, counts: np.ndarray, kind: int = TABLE) -> pa.RecordBatch:
+    return batch([{"kind": kind, "bucket": bucket, "blob": pack(blob), "counts": pack(counts.astype("<i8").tobytes())}], COUNTED_ARROW)
+
+
+def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Superstep 2, for mapInArrow over requests sorted by bucket: each bucket's training words and their counts."""
+    now, total = None, {}
+
+    def done() -> Iterator[pa.RecordBatch]:
+        if now is not None:
+            yield table_row(now, b"\n".join(total), np.fromiter(total.values(), np.int64, len(total)))
+
+    for r in rows_of(batches):
+        if r["bucket"] != now:
+            yield from done()
+            now, total = r["bucket"], {}
+        for w, n in zip(unpack(r["blob"]).split(b"\n"), unpack_ints(r["counts"]).tolist(), strict=True):
+            if n:
+                total[w] = total.get(w, 0) + n
+    yield from done()
+
+
+def tell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Superstep 3, for mapInArrow over tables and requests sorted by bucket and kind: the training counts of asked words."""
+    now, total = None, {}
+    for r in rows_of(batches):
+        if r["bucket"] != now:
+            now, total = r["bucket"], {}
+        words = unpack(r["blob"]).split(b"\n")
+        if r["kind"] == TABLE:
+            n = np.frombuffer(unpack(r["counts"]), "<i8").tolist()
+            total = dict(zip(words, n, strict=True)) if n else {}
+            continue
+        n = np.fromiter((total.get(w, 0) for w in words), np.int64, len(words))
+        yield batch([dict.fromkeys(REPLY_ARROW.names) | {"kind": WORDS, "block": r["block"], "places": r["places"], "counts": pack(n.astype("<i8").tobytes())}], REPLY_ARROW)
+
+
 def class_of(total: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     """By the power of two of the total, and the distinct symbols up to four or their power of two."""
     log = lambda x: np.log2(np.maximum(x, 1)).astype(np.int64)
@@ -150,7 +200,7 @@ def left_out(order: int, node: np.ndarray, counts: np.ndarray, nodes: int) -> np
     once = np.bincount(node, counts == 1, nodes).astype(np.int64)
     on = total > 1
     total, kinds, once = total[on], kinds[on], once[on]
-    out = np.zeros((WHOLE + 1, TOTALS * KINDS, 2), np.int64)
+    out = np.zeros((DEPTH + 1, TOTALS * KINDS, 2), np.int64)
     new, old = class_of(total - 1, kinds - 1), class_of(total - 1, kinds)
     for column, at, n in ((0, new, once), (1, new, once), (1, old, total - once)):
         out[order, :, column] += np.bincount(at, n, TOTALS * KINDS).astype(np.int64)
@@ -199,11 +249,26 @@ class Level:
         at = np.minimum(np.searchsorted(self.nodes, node), len(self.nodes) - 1)
         return at, self.nodes[at] == node
 
+    def left_out(self) -> np.ndarray:
+        return left_out(self.order, np.repeat(np.arange(len(self.nodes)), self.kinds), self.counts, len(self.nodes))
+
+
+def low_levels(low: np.ndarray, n: np.ndarray) -> list[Level]:
+    """Orders 0 to LOW, from distinct keys with contexts of at most LOW bytes, their longest."""
+    levels: list[Level] = []
+    for k in range(LOW + 1):
+        on = (low >> _U(56)) >= k
+        levels.append(Level(*summed(low[on] & _MASKS[k + 1], n[on]), k, levels[-1] if levels else None))
+    return levels
+
 
-def low_levels(one: np.ndarray, n: np.ndarray) -> list[Level]:
-    """Orders 0 and 1, from the distinct pairs of order 1."""
-    zero = Level(*summed(one & np.uint64(0xFF), n), 0, None)
-    return [zero, Level(one, n, 1, zero)]
+def levels_of(low: list[Level], keys: np.ndarray, counts: np.ndarray) -> list[Level]:
+    """Orders 0 to DEPTH, from distinct keys with counts over 0."""
+    levels = list(low)
+    for k in range(LOW + 1, DEPTH + 1):
+        on = (keys >> _U(56)) >= k
+        levels.append(Level(*summed(keys[on] & _U((1 << (8 * (k + 1))) - 1), counts[on]), k, levels[-1] if levels else None))
+    return levels
 
 
 def costs_of(keys: np.ndarray, levels: list[Level], seen: np.ndarray) -> np.ndarray:
@@ -234,116 +299,102 @@ def step(seen: np.ndarray, order: int, n: np.ndarray, t: np.ndarray, q: np.ndarr
     return np.where(n > 0, np.log10((1 - e) * np.maximum(n, 1) / np.maximum(t, 1)), np.where(t > 0, np.log10(e), 0.0))
 
 
-def levels_of(low: list[Level], keys: np.ndarray, counts: np.ndarray) -> list[Level]:
-    levels = list(low)
-    for k in range(2, DEPTH + 1):
-        on = (counts > 0) & ((keys >> np.uint64(56)) >= k)
-        levels.append(Level(*summed(keys[on] & np.uint64((1 << (8 * (k + 1))) - 1), counts[on]), k, levels[-1] if levels else None))
-    return levels
-
-
-def received(rows: list[dict]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """What each message asks, and all distinct pairs with their counts."""
-    sent = [np.frombuffer(unpack(r["keys"]), "<u8") for r in rows]
-    return sent, *summed(np.concatenate(sent), np.concatenate([np.frombuffer(unpack(r["counts"]), "<i8") for r in rows]))
+def count_pairs(batches: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """Superstep 2, for mapInArrow over requests sorted by group: each group's training pairs, and last left_out() of orders above LOW."""
+    told, now, keys, counts = np.zeros((DEPTH + 1, TOTALS * KINDS, 2), np.int64), None, [], []
 
+    def done() -> Iterator[pa.RecordBatch]:
+        nonlocal told
+        if now is not None:
+            own, n = summed(np.concatenate(keys), np.concatenate(counts))
+            for level in levels_of([], own, n):
+                told += level.left_out()
+            yield table_row(now, own.astype("<u8").tobytes(), n)
 
-def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Between 2 and 3, for mapInArrow over messages sorted by group: left_out() of orders 2 and up."""
-    told = np.zeros((WHOLE + 1, TOTALS * KINDS, 2), np.int64)
-    for rows in by_bucket(batches, 2):
-        _, keys, counts = received(rows)
-        for level in levels_of([], keys, counts):
-            told += left_out(level.order, np.repeat(np.arange(len(level.nodes)), level.kinds), level.counts, len(level.nodes))
-    yield batch([{"seen": pack(told.astype("<i8").tobytes())}], pa.schema([("seen", pa.binary())]))
+    for r in rows_of(batches):
+        if r["bucket"] != now:
+            yield from done()
+            now, keys, counts = r["bucket"], [], []
+        n = unpack_ints(r["counts"]).astype(np.int64)
+        keys.append(np.frombuffer(unpack(r["blob"]), "<u8")[n > 0])
+        counts.append(n[n > 0])
+        if len(keys) > 1 and sum(map(len, keys[1:])) > max(most, len(keys[0])):
+            keys, counts = ([x] for x in summed(np.concatenate(keys), np.concatenate(counts)))
+    yield from done()
+    yield table_row(-1, b"", told, ESTIMATES)
 
 
-def answer(one: np.ndarray, one_n: np.ndarray, seen: np.ndarray):
-    """Superstep 3, for mapInArrow over messages sorted by group: to each message's bucket, its pairs' costs and node facts.
-
-    The facts are count, total and distinct symbols in the node of order DEPTH, for pairs of that order.
-    """
+def answer(low: np.ndarray, low_n: np.ndarray, seen: np.ndarray):
+    """Superstep 3, for mapInArrow over tables and requests sorted by group and kind: the costs of asked pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low = low_levels(one, one_n)
-        for rows in by_bucket(batches, 2):
-            sent, keys, counts = received(rows)
-            levels = levels_of(low, keys, counts)
-            cost, top = costs_of(keys, levels, seen), levels[-1]
-            at, there = top.at(keys)
-            there &= (keys >> np.uint64(56)) == DEPTH
-            facts = np.stack([top.count(keys) * there, np.where(there, top.total[at], 0), np.where(there, top.kinds[at], 0)]) if len(top.nodes) else np.zeros((3, len(keys)), np.int64)
-            for r, own in zip(rows, sent, strict=True):
-                i = np.searchsorted(keys, own)
-                yield batch([{"kind": 2, "src": r["dst"], "dst": r["src"], "keys": r["keys"], "counts": pack(cost[i].astype("<f8").tobytes() + facts[:, i].astype("<i8").tobytes())}], MESSAGE_ARROW)
+        base = low_levels(low, low_n)
+        now, levels = None, base
+        for r in rows_of(batches):
+            if r["bucket"] != now:
+                now, levels = r["bucket"], base
+            keys = np.frombuffer(unpack(r["blob"]), "<u8")
+            if r["kind"] == TABLE:
+                levels = levels_of(base, keys, np.frombuffer(unpack(r["counts"]), "<i8"))
+                continue
+            cost = costs_of(keys, levels, seen)
+            yield batch([dict.fromkeys(REPLY_ARROW.names) | {"kind": PAIRS, "block": r["block"], "blob": r["blob"], "costs": pack(cost.astype("<f8").tobytes())}], REPLY_ARROW)
 
     return run
 
 
-def whole_words(word: np.ndarray, own: np.ndarray, full: np.ndarray, total: np.ndarray):
-    """The order WHOLE of a bucket, whose words share no start of DEPTH bytes with another bucket's.
-
-    Positions beyond DEPTH, each one's pair; each pair's node, a position that has it, and its count.
-    """
-    on = np.flatnonzero(full)
-    nodes, node = np.unique(full[on], return_inverse=True)
-    pairs, first, pair = np.unique(node * 256 + (own[on] & np.uint64(0xFF)).astype(np.int64), return_index=True, return_inverse=True)
-    return on, pair, pairs >> 8, on[first], np.bincount(pair, total[word[on]], len(pairs)).astype(np.int64), len(nodes)
-
-
-def deliver(seen: np.ndarray):
-    """Superstep 4, for mapInArrow over requests and answers sorted by bucket: the cost and count of each block's words."""
+def low_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for blob, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(unpack(x), "<i8")) for x in (blob, counts)], names=["key", "n"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in by_bucket(batches, 1):
-            asked = [r for r in rows if r["kind"] == 1]
-            words, total, places = merged_words(asked)
-            told = [(np.frombuffer(unpack(r["keys"]), "<u8"), unpack(r["costs"])) for r in rows if r["kind"] == 2]
-            keys = np.concatenate([k for k, _ in told])
-            costs = np.concatenate([np.frombuffer(c, "<f8", len(k)) for k, c in told])
-            facts = np.concatenate([np.frombuffer(c, "<i8", offset=8 * len(k)).reshape(3, -1) for k, c in told], axis=1)
-            order = np.argsort(keys)
-            word, own, full = pairs_of(words)
-            i = order[np.searchsorted(keys[order], own)]
-            cost = costs[i]
-            on, pair, node, first, n, nodes = whole_words(word, own, full, total)
-            (inner, t, q), rest = facts[:, i[first]], cost[first]
-            sum_ = lambda x: np.bincount(node, x, nodes).astype(np.int64)[node]
-            whole_t, whole_q, mass = sum_(n), sum_(n > 0), sum_(np.where(n > 0, inner, 0))
-            after = np.where(inner > 0, 0.0, rest - step(seen, DEPTH, inner, t, q))
-            escaped = step(seen, WHOLE, np.zeros_like(n), whole_t, whole_q) + step(seen, DEPTH, inner, t - mass, q - whole_q) + after
-            cost[on] = np.where(n > 0, step(seen, WHOLE, n, whole_t, whole_q), np.where(whole_t > 0, escaped, rest))[pair]
-            each = np.bincount(word, cost, len(words))
-            for r, at in zip(asked, places, strict=True):
-                yield batch([{"kind": 1, "block": r["block"], "places": r["places"], "costs": pack(each[at].astype("<f8").tobytes()), "counts": pack(total[at].astype("<i8").tobytes()), "ids": None, "lens": None}], REPLY_ARROW)
-
-    return run
 
+def totals_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (counts): their sum and number."""
+    for b in batches:
+        for x in b.column(0).to_pylist():
+            n = np.frombuffer(unpack(x), "<i8")
+            yield pa.RecordBatch.from_pydict({"tokens": [int(n.sum())], "words": [len(n)]})
 
-def score(train_tokens: int, distinct: int, end_count: int, end_cost: float):
-    """Superstep 5, for mapInArrow over payloads and replies sorted by block and kind: sums over documents."""
 
-    def finish(payload: dict, told: list[dict]) -> Iterator[pa.RecordBatch]:
-        seq = unpack_ints(payload["places"]).astype(np.int64)
-        places = [unpack_sorted(r["places"]) for r in told]
-        n = sum(map(len, places))
-        cost, count = np.zeros(n), np.zeros(n, np.int64)
-        for at, r in zip(places, told, strict=True):
-            cost[at] = np.frombuffer(unpack(r["costs"]), "<f8")
-            count[at] = np.frombuffer(unpack(r["counts"]), "<i8")
+def estimate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for x in b.column(0).to_pylist():
+            n = np.frombuffer(unpack(x), "<i8")
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["at", "n"])
+
+
+def score(train_tokens: int, distinct: int, end_count: int):
+    """Superstep 4, for mapInArrow over payloads and replies sorted by block: sums over documents."""
+
+    def finish(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+        of = lambda kind: [r for r in rows if r["kind"] == kind]
+        (payload,), (text,) = of(PAYLOAD), of(TEXT)
+        seq = unpack_ints(payload["blob"]).astype(np.int64)
+        count = np.zeros(int(seq.max()) + 1 if len(seq) else 0, np.int64)
+        for r in of(WORDS):
+            count[unpack_sorted(r["places"])] = np.frombuffer(unpack(r["counts"]), "<i8")
         base = lambda c: np.log10((c + 1.0) / (train_tokens + 1.0 * (distinct + 1)))
         lens = np.array(payload["lens"], np.int64)
         doc = np.repeat(np.arange(len(lens)), lens)
         total = lambda x: np.bincount(doc, x[seq], len(lens))
+        asked = pd.Index(np.concatenate([np.frombuffer(unpack(r["blob"]), "<u8") for r in of(PAIRS)]))
+        costs = np.concatenate([np.frombuffer(unpack(r["costs"]), "<f8") for r in of(PAIRS)])
+        own = np.zeros(len(lens))
+        for at, key in symbols(unpack(text["blob"]).split(b"\n")):
+            own += np.bincount(at, costs[asked.get_indexer(key)], len(lens))
         yield pa.RecordBatch.from_arrays([
             pa.array(payload["ids"], pa.int64()), pa.array(lens + 1), pa.array((total((count > 0) * 1.0) + (end_count > 0)).astype(np.int64)),
-            pa.array(total(base(count)) + base(end_count)), pa.array(total(cost) + end_cost),
+            pa.array(total(base(count)) + base(end_count)), pa.array(own),
         ], schema=SCORES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in by_bucket(batches, 1):
-            if rows[0]["kind"] == 0:
-                yield from finish(rows[0], rows[1:])
+        trim()
+        for rows in by_block(batches):
+            yield from finish(rows)
+            del rows
+            trim()
 
     return run
 
@@ -351,39 +402,36 @@ def score(train_tokens: int, distinct: int, end_count: int, end_cost: float):
 def score_documents(docs: DataFrame, held, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row; the model learns from rows where `held` is false.
 
-    Null and empty texts are one end; null ids are kept; equal rows are scored each; with no row to learn from, every
-    byte is as likely as any other and the base is 0. No rows give none.
+    The score is log10 of the probability of the text's words with a space between, and of the end. Null and empty texts
+    are one end; null ids are kept; equal rows are scored each, and learned from each; other columns are not read; texts
+    of any length are read whole, a task holding one block or one longer text. With no row to learn from, every byte is
+    as likely as any other and the base is 0. No rows give none.
     """
-    spark, n = docs.sparkSession, partitions(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), (~held).alias("learns"))
-    table = written(rows.mapInArrow(blocks(n, lower=True, start=DEPTH), REQUEST), "lm-blocks")
-    asked = table.filter("kind = 1").select("kind", "block", "bucket", "blob", "counts", "places", "ids", "lens")
-    messages = written(asked.repartition(n, "bucket").sortWithinPartitions("bucket", "block").mapInArrow(ask(n), MESSAGE), "lm-pairs")
+    n = spread(rows, "text")
+    groups = min(n, GROUPS)
+    table = written(rows.mapInArrow(lm_blocks(groups), REQUEST), "lm-blocks")
+    asked = {k: table.filter(F.col("kind") == k) for k in (WORDS, PAIRS)}
+    counted = {k: written(asked[k].repartition(groups, "bucket").sortWithinPartitions("bucket").mapInArrow(f, COUNTED), "lm-counts") for k, f in ((WORDS, count_words), (PAIRS, count_pairs))}
+
     end_count = rows.filter("learns").count()
-    one = np.array([(SPACE << 8) | END], np.uint64)
-    seen = np.zeros((WHOLE + 1, TOTALS * KINDS, 2), np.int64)
-    one_n, train_tokens, distinct = np.array([end_count]), end_count, int(end_count > 0)
-    for r in messages.filter("kind = 0").select("keys", "counts").toLocalIterator():  # at most 65,536 pairs each, summed one by one
-        told = np.frombuffer(unpack(bytes(r["counts"])), "<i8")
-        seen[WHOLE] += told[2 : 2 + 2 * TOTALS * KINDS].reshape(-1, 2)
-        one, one_n = summed(np.concatenate([one, np.frombuffer(unpack(bytes(r["keys"])), "<u8")]), np.concatenate([one_n, told[2 + 2 * TOTALS * KINDS :]]))
-        train_tokens, distinct = train_tokens + int(told[0]), distinct + int(told[1])
-    one, one_n = one[one_n > 0], one_n[one_n > 0]
-    asks = messages.filter("kind = 1").repartition(n, "dst").sortWithinPartitions("dst", "src")
-    for r in asks.mapInArrow(estimate, "seen binary").toLocalIterator():  # one table of classes for each partition
-        seen += np.frombuffer(unpack(bytes(r["seen"])), "<i8").reshape(seen.shape)
-    for level in low_levels(one, one_n):
-        seen += left_out(level.order, np.repeat(np.arange(len(level.nodes)), level.kinds), level.counts, len(level.nodes))
-    end_cost = float(costs_of(np.array([(1 << 56) | (SPACE << 8) | END], np.uint64), low_levels(one, one_n), seen)[0])
-    answers = asks.mapInArrow(answer(one, one_n, seen), MESSAGE)
-    null = lambda t: F.lit(None).cast(t)
-    both = asked.select("kind", "bucket", "block", "blob", "counts", "places", null("binary").alias("keys"), null("binary").alias("costs")).unionByName(
-        answers.select("kind", F.col("dst").alias("bucket"), null("bigint").alias("block"), null("binary").alias("blob"), null("binary").alias("counts"), null("binary").alias("places"), "keys", F.col("counts").alias("costs"))
-    )
-    told = both.repartition(n, "bucket").sortWithinPartitions("bucket", "kind", "block").mapInArrow(deliver(seen), REPLY)
-    payloads = table.filter("kind = 0").select("kind", "block", F.col("blob").alias("places"), null("binary").alias("costs"), null("binary").alias("counts"), "ids", "lens")
-    per_doc = told.unionByName(payloads).repartition(n, "block").sortWithinPartitions("block", "kind").mapInArrow(
-        score(train_tokens, distinct, end_count, end_cost), "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
+    known = counted[WORDS].select("counts").mapInArrow(totals_of, "tokens bigint, words bigint").agg(F.sum("tokens"), F.sum("words")).first()
+    train_tokens, distinct = (known[0] or 0) + end_count, (known[1] or 0) + int(end_count > 0)
+    low = table.filter(F.col("kind") == LOW_PAIRS).select("blob", "counts").mapInArrow(low_rows, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toPandas()  # at most 2**24 + 2**16 rows
+    low_keys, low_n = low["key"].to_numpy(np.int64).view(_U), low["n"].to_numpy(np.int64)
+    seen = sum((level.left_out() for level in low_levels(low_keys, low_n)), np.zeros((DEPTH + 1, TOTALS * KINDS, 2), np.int64))
+    told = counted[PAIRS].filter(F.col("kind") == ESTIMATES).select("counts").mapInArrow(estimate_rows, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    seen.reshape(-1)[told["at"].to_numpy(np.int64)] += told["n"].to_numpy(np.int64)
+
+    def replies(kind: int, reply) -> DataFrame:
+        tables = counted[kind].filter(F.col("kind") == TABLE).select("kind", "bucket", F.lit(None).cast("bigint").alias("block"), "blob", "counts", F.lit(None).cast("binary").alias("places"))
+        both = tables.union(asked[kind].select("kind", "bucket", "block", "blob", "counts", "places"))
+        return both.repartition(groups, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(reply, REPLY)
+
+    payloads = table.filter(F.col("kind").isin(PAYLOAD, TEXT)).select("kind", "block", "blob", F.lit(None).cast("binary").alias("costs"), "counts", "places", "ids", "lens")
+    all_ = payloads.union(replies(WORDS, tell_counts)).union(replies(PAIRS, answer(low_keys, low_n, seen)))
+    per_doc = all_.repartition(n, "block").sortWithinPartitions("block").mapInArrow(
+        score(train_tokens, distinct, end_count), "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
     )
     return per_doc.withColumn("train_tokens", F.lit(train_tokens).cast("long"))
 

@@ -144,19 +144,16 @@ def test_decontaminate(spark, docs, empty):
 
 def brute_lm(train, depth=lm.DEPTH):
     """A plain trie of contexts with the same classes and estimates."""
+    plain = lambda t: b"\n" + b" ".join((t or "").encode().lower().split()) + b"\n"
     words = Counter(w for t in train for w in (t or "").encode().lower().split())
     count = defaultdict(Counter)
-    for w, c in [*words.items(), (None, len(train))]:
-        s = b" " + (b"\n" if w is None else w + b" ")
+    for s in map(plain, train):
         for j in range(1, len(s)):
             for o in range(min(depth, j) + 1):
-                count[o, s[j - o : j]][s[j]] += c
-            if j > depth:
-                count[lm.WHOLE, s[:j]][s[j]] += c
+                count[o, s[j - o : j]][s[j]] += 1
     seen = defaultdict(lambda: [0, 0])
     cls = lambda t, q: (int(math.log2(max(t, 1))), q if q <= 4 else min(2 + int(math.log2(q)), lm.KINDS - 1))
     for (o, _), d in count.items():
-        d = {k: v for k, v in d.items() if v}
         t = sum(d.values())
         for v in d.values() if t > 1 else ():
             if v == 1:
@@ -165,18 +162,17 @@ def brute_lm(train, depth=lm.DEPTH):
             else:
                 seen[o, cls(t - 1, len(d))][1] += v
 
-    def cost(s):
-        total = 0.0
+    def cost(text):
+        s, total = plain(text), 0.0
         for j in range(1, len(s)):
             out = set()
-            chain = ([(lm.WHOLE, s[:j])] if j > depth else []) + [(o, s[j - o : j]) for o in range(min(depth, j), -1, -1)]
-            for node in chain:
-                d = {k: v for k, v in count.get(node, {}).items() if v}
+            for o in range(min(depth, j), -1, -1):
+                d = count.get((o, s[j - o : j]), {})
                 if not d:
                     continue
                 left = {k: v for k, v in d.items() if k not in out}
                 t, q = sum(left.values()), len(left)
-                a, n = seen[node[0], cls(t, q)]
+                a, n = seen[o, cls(t, q)]
                 e = min(max((a + (q / (t + q) if t + q else 0)) / (n + 1), 1e-9), 1 - 1e-9)
                 if s[j] in left:
                     total += math.log10((1 - e) * left[s[j]] / t)
@@ -191,24 +187,33 @@ def brute_lm(train, depth=lm.DEPTH):
     return words, cost
 
 
-def test_lm(spark, table, docs, empty):
+def test_lm(spark, table, docs, empty, monkeypatch):
+    monkeypatch.setattr(lm, "AT_ONCE", 1000)
     held = lambda: common.held_out(F.col("doc_id"), 7, 2)
     train = [t for i, t in table.items() if zlib.crc32(str(i).encode()) % 7 != 2]
     words, cost = brute_lm(train)
     n, v = sum(words.values()) + len(train), len(words) + 1
-    known = {}
-    for r in lm.score_documents(common.read(spark, SF, "documents"), held()).collect():
-        w = table[r["doc_id"]].encode().lower().split()
-        for x in w:
-            if x not in known:
-                known[x] = cost(b" " + x + b" ")
+    told = {r["doc_id"]: r for r in lm.score_documents(common.read(spark, SF, "documents"), held()).collect()}
+    assert len(told) == len(table)
+    for k, (i, r) in enumerate(sorted(told.items())):
+        w = table[i].encode().lower().split()
         assert r["train_tokens"] == n and r["n_tokens"] == len(w) + 1 and r["n_known"] == sum(x in words for x in w) + 1
         assert r["base_score"] == pytest.approx(sum(math.log10((words[x] + 1) / (n + v + 1)) for x in w) + math.log10((len(train) + 1) / (n + v + 1)))
-        assert r["score"] == pytest.approx(sum(known[x] for x in w) + cost(b" \n"))
+        if k % 4 == 0 or len(w) < 20:
+            assert r["score"] == pytest.approx(cost(table[i]))
     assert lm.score_documents(docs, held()).count() == 9
     assert lm.score_documents(empty, held()).count() == 0
-    nothing = lm.score_documents(docs, F.lit(True)).select("base_score", "n_known").distinct().collect()
-    assert [tuple(r) for r in nothing] == [(0.0, 0)]
+    nothing = lm.score_documents(docs, F.lit(True)).select("base_score", "n_known", "n_tokens", "score").collect()
+    assert {r[:2] for r in map(tuple, nothing)} == {(0.0, 0)} and min(abs(r["score"]) for r in nothing) == pytest.approx(math.log10(256))
+
+
+def test_lm_knows_the_order_of_words(spark):
+    """Contexts cross words: a text in the order of the training texts is likelier than the same words in another."""
+    words = "alpha beta gamma delta epsilon zeta eta theta".split()
+    rows = [(k, " ".join(words * 3)) for k in range(40)] + [(100, " ".join(words)), (101, " ".join(reversed(words)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in lm.score_documents(df, F.col("doc_id") >= 100).collect()}
+    assert got[100] > got[101] + 3
 
 
 def plain_groups(every):
