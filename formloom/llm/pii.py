@@ -9,6 +9,8 @@ identifiers. Only identifier-like tokens enter the graph, and they are summed by
 from __future__ import annotations
 
 import re
+import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import reduce
 
@@ -27,15 +29,19 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 KINDS = ("email", "ip", "card", "phone", "context")
 
-#: An identifier-like token: six to 64 characters with five digits or more, of letters, digits and joints.
-TOKEN = re.compile(r"(?<![^\x20\x09-\x0D(\[\"'<:=#])(?=[^\x20\x09-\x0D]*[0-9])[A-Za-z0-9]+(?:[-./_][A-Za-z0-9]+)*(?=[\x20\x09-\x0D.,;:!?)\]\"'>]|\Z)")
+_EDGE, _AFTER = r"(?<![^\x20\x09-\x0D(\[\"'<:=#])", r"(?=[\x20\x09-\x0D.,;:!?)\]\"'>]|\Z)"
+#: Runs without white space that hold a digit, each tried once from its start.
+NUMBERED = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+")
+RUN = re.compile(r"[^\x20\x09-\x0D]+")
+#: An identifier-like token: six characters or more with five digits or more, of letters, digits and joints.
+TOKEN = re.compile(_EDGE + r"[A-Za-z0-9]+(?:[-./_][A-Za-z0-9]+)*" + _AFTER)
 #: Tokens that are like a seed: emails and handles, names with joints, numbers of colons, and seven to 19 digits with joints.
-LIKE = tuple(re.compile(r"(?<![^\x20\x09-\x0D(\[\"'<:=#])" + form + r"(?=[\x20\x09-\x0D.,;:!?)\]\"'>]|\Z)") for form in (
+LIKE = tuple(re.compile(_EDGE + form + _AFTER) for form in (
     r"[A-Za-z0-9._%+-]++(?:@|[(\[]at[)\]])[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*", r"@[A-Za-z0-9_]+(?:[.-][A-Za-z0-9_]+)*",
     r"(?=[A-Za-z0-9-]*[._])[A-Za-z0-9]+(?:[._-][A-Za-z0-9]+)+", r"[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){2,7}", r"\(?[0-9](?:[\x20().-]{0,2}[0-9])+",
 ))
-BEFORE = re.compile(r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*\Z")
-ONE_BEFORE = re.compile(r"[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*\Z")
+#: A context word of more characters is told by its last ones and a checksum of all.
+LONG_WORD, LAST = 48, 16
 #: Turns of scoring; the confidence of a pattern that is believed; the known instances that it needs.
 TURNS, CONFIDENT, LEAST_KNOWN = 3, 0.7, 3.0
 #: How much an instance of which nothing is known counts against a pattern: it lacks a label, it is not shown to be wrong.
@@ -82,28 +88,68 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def patterns(text: str, start: int) -> list[str]:
-    """What stands before: two words, or the one that opens the text, and a last one that is a label. Digits read as 0."""
-    own = text[max(0, start - 120) : start].lower()
-    before = BEFORE.search(own)
-    if not before and not (start <= 120 and (before := ONE_BEFORE.match(own))):
-        return []
-    a, b = (DIGIT.sub("0", x) for x in ("", *before.groups())[-2:])
-    return [f"{a} {b}"] + ([b] if b[-1] in ":=#" and len(b) > 1 else [])
+def small(text: str) -> str:
+    """In small letters, digits as 0, of the same length: some letters have a small form of two characters and stay."""
+    own = text.lower()
+    if len(own) != len(text):
+        own = "".join(x if len(x := c.lower()) == 1 else c for c in text)
+    return DIGIT.sub("0", own)
+
+
+class Contexts:
+    """What stands before a place of a text: places come in ascending order, and every run is read once."""
+
+    def __init__(self, text: str) -> None:
+        self.text = small(text)
+        runs = [m.span() for m in RUN.finditer(text)]
+        self.starts, self.ends = [a for a, _ in runs], [b for _, b in runs]
+        self.read: dict[int, tuple[int, int]] = {}
+
+    def word(self, start: int, end: int) -> str:
+        if end - start <= LONG_WORD:
+            return self.text[start:end]
+        at, sum_ = self.read.get(start, (start, 0))
+        if at > end:
+            at, sum_ = start, 0
+        self.read[start] = end, (sum_ := zlib.crc32(self.text[at:end].encode("utf-8", "surrogatepass"), sum_))
+        return f"\u2026{sum_:08x}{self.text[end - LAST : end]}"
+
+    def patterns(self, place: int) -> list[str]:
+        """The two words before a place, or the one that opens the text, and the last one if it is a label. Digits read as 0."""
+        k = bisect_left(self.starts, place) - 1
+        if k < 0:
+            return []
+        last = self.word(self.starts[k], min(place, self.ends[k]))
+        before = self.word(self.starts[k - 1], self.ends[k - 1]) if k else ""
+        return [f"{before} {last}"] + ([last] if last[-1] in ":=#" and len(last) > 1 else [])
 
 
 def mentions(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
-    out = [{"start": a, "end": b, "value": text[a:b].lower(), "known": True, "patterns": patterns(text, a)} for a, _, b in base]
-    taken = [(a, b) for a, _, b in base]
-    found = {m.start(): m.end() for m in TOKEN.finditer(text) if 6 <= len(m[0]) <= 64 and len(DIGIT.findall(m[0])) >= 5} if DIGIT.search(text) else {}
+    """The base entities and the identifier-like tokens beside them, that have a context, by start."""
+    found: dict[int, int] = {}
+    if DIGIT.search(text):
+        for run in NUMBERED.finditer(text):
+            for m in TOKEN.finditer(text, *run.span()):
+                if len(m[0]) >= 6 and len(DIGIT.findall(m[0])) >= 5:
+                    found[m.start()] = m.end()
     for k, form in enumerate(LIKE):
         for m in form.finditer(text):
-            if len(m[0]) <= 64 and (k != len(LIKE) - 1 or 7 <= len(DIGIT.findall(m[0])) <= 19):
+            if k != len(LIKE) - 1 or 7 <= len(DIGIT.findall(m[0])) <= 19:
                 found.setdefault(m.start(), m.end())
-    for a, b in sorted(found.items()):
-        if not any(c < b and a < d for c, d in taken):
-            out.append({"start": a, "end": b, "value": text[a:b].lower(), "known": False, "patterns": patterns(text, a)})
-    return [x for x in out if x["patterns"]]
+    starts, ends = [], []  # of the base entities, those that overlap made one
+    for a, _, b in base:
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    free = lambda a, b: (k := bisect_left(starts, b) - 1) < 0 or ends[k] <= a
+    every = sorted([(a, b, True) for a, _, b in base] + [(a, b, False) for a, b in found.items() if free(a, b)])
+    if not every:
+        return []
+    contexts = Contexts(text)
+    told = [{"start": a, "end": b, "value": text[a:b].lower(), "known": known, "patterns": contexts.patterns(a)} for a, b, known in every]
+    return [x for x in told if x["patterns"]]
 
 
 def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,8 +188,9 @@ def confident_patterns(edges: DataFrame, turns: int = TURNS) -> DataFrame:
 def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base and spans (arrays of start, kind, end in code points) of every row.
 
-    Null and empty texts hold none; null ids are kept; equal rows are searched each, and count once as context; no rows
-    give none.
+    Null and empty texts hold none; null ids are kept; equal rows are searched each, and count once as context; other
+    columns are not read; texts, words and tokens of any length are read whole; patterns with equal confidence are all
+    believed or none. No rows give none.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     table = written(rows.mapInArrow(scan, TABLE).withColumn("_fl_row", F.monotonically_increasing_id()), "pii")
