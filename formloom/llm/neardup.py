@@ -113,6 +113,7 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([d for _, d in digests], pa.int64()), pa.array([next(bands) if len(s) else [] for s in sets], pa.list_(pa.int64())),
             ], schema=SKETCH)
             at += len(ids)
+    trim()
 
 
 def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,6 +125,7 @@ def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([
                 pa.array([d for d, _ in digests], pa.int64()), pa.array([d for _, d in digests], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
             ], schema=SETS)
+    trim()
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -309,6 +309,34 @@ def test_personal_data_of_every_kind(spark):
     assert all("context" not in got[t] for t in made) and all(got[t] == "" for t in plain)
 
 
+def test_personal_data_of_any_length(spark):
+    """Contexts behind long words and blanks, long identifiers, and long texts of many entities without a blank."""
+    word, blanks = "x" * 500, " " * 3000
+    made = [f"is {word} id: 10.0.0.{k} ok" for k in range(9)] + [f"the number is{blanks}10.0.1.{k} ok" for k in range(9)]
+    long_id = "AB-" + "1234567890-" * 40 + "7"
+    want = {f"is {word} id: {long_id} ok": (len(word) + 8, len(long_id)), f"the number is{blanks}{long_id} ok": (13 + 3000, len(long_id)), f"is {word}y id: 987654321 ok": None}
+    want |= {f"is {word} id: 987654321 ok": (len(word) + 8, 9)}
+    df = spark.createDataFrame(list(enumerate([*made, *want])), "doc_id long, text string")
+    got = {r["text"]: r["s"] for r in pii.find_personal_data(df).join(df, "doc_id").select("text", pii.told(F.col("spans")).alias("s")).collect()}
+    for t, at in want.items():
+        assert at is None or got[t] == f"context:{at[0]}:{at[0] + at[1]}"
+    dense = ",".join(f"u{k}@mail.org" for k in range(20_000))
+    assert len(pii.mentions(dense, pii.base_spans(dense))) == 19_999  # the first has nothing before it
+
+
+def test_personal_data_contexts():
+    """patterns() against the plain reading of what stands before."""
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        t = "".join(rng.choice(list("aB1: =#\n\t\u0130é"), 40))
+        own, c = pii.small(t), pii.Contexts(t)
+        assert len(own) == len(t)
+        for place in range(len(t)):
+            w = re.findall(r"[^\x20\x09-\x0D]+", own[:place])
+            want = [f"{w[-2] if len(w) > 1 else ''} {w[-1]}"] + ([w[-1]] if w[-1][-1] in ":=#" and len(w[-1]) > 1 else []) if w else []
+            assert c.patterns(place) == want
+
+
 def test_sharding(spark, docs, empty):
     df = spark.range(1003).select(F.col("id").alias("doc_id"), F.lit("same").alias("text"), F.lit(9).alias("shard"))
     got = sharding.shard(df, 24, ["doc_id", "text"], rows_per_part=100).toPandas()
@@ -433,6 +461,73 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.fit(df, lab.filter("false")).score(docs).filter("score >= 0.5").count() == 0
 
 
+def plain_model(rows, labels):
+    """fit() by plain counting: the lexicon, the cost, the rate and K."""
+    import re as re_
+
+    word = re_.compile(r"[^\W_]+(?:['\u2019][^\W_]+)*")
+    part = {i: p for i, p in rows["part"].items()}
+    n, texts, total, many = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0]), [0, 0], [0, 0]
+    told = [(labels[i], word.findall(t.lower())) for i, t in rows["text"].items() if part.get(i, 9) < 2]
+    feats = lambda w: [w[:k] for k in range(3, 9) if k <= len(w)] + [w + "$"]
+    for y, words in told:
+        total[y] += len(words)
+        many[y] += 1
+        for w in words:
+            for f in feats(w):
+                n[f][y] += 1
+        for f in {f for w in words for f in feats(w)}:
+            texts[f][y] += 1
+
+    def odds(y, sizes):
+        share = sum(y) / sum(sizes)
+        a, b = (y[t] + 0.5 + 50 * share for t in (1, 0))
+        o = math.log(a / (sizes[1] + 51 - a)) - math.log(b / (sizes[0] + 51 - b))
+        return o, o / math.sqrt(1 / a + 1 / b)
+
+    lex = {}
+    for f in n:
+        o, z = odds(n[f], total)[0], odds(texts[f], many)[1]
+        if texts[f][1] >= 3 and z >= 3.5 and o > 0:
+            lex[f] = o * (1 - 1.64 / z)
+    score = lambda w: max((lex[f] for f in feats(w) if f in lex), default=0.0)
+    return told, lex, score
+
+
+def test_toxicity_model(spark):
+    """The lexicon, rate and K against plain counts; labels told twice count once."""
+    rng = np.random.default_rng(8)
+    text = {k: "a-b c’d " + " ".join(rng.choice([f"p{j}" for j in range(90)], 30)) + (" vilex vilely nasty" if k % 5 == 0 and k % 3 else " nasty" if k % 41 == 0 else "") for k in range(900)}
+    labels = {k: int(k % 5 == 0) for k in text}
+    df = spark.createDataFrame(list(text.items()), "doc_id long, text string")
+    lab = spark.createDataFrame([*labels.items(), *list(labels.items())[:300]], "doc_id long, toxic int")
+    model = toxicity.fit(df, lab)
+    keep = lab.select("doc_id").distinct().filter(~common.held_out(F.col("doc_id"), 5, 0)).withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(3)))
+    told, lex, score = plain_model({"text": text, "part": {r[0]: r[1] for r in keep.collect()}}, labels)
+    law = model.law
+    assert set(law.lex) == set(lex) and all(law.lex[f] == pytest.approx(lex[f]) for f in lex) and "vilex$" in lex
+    clean = [[score(w) for w in words] for y, words in told if not y]
+    total, least = sum(map(len, clean)), min(lex.values())
+    mean = (sum(math.exp(law.rate * s) if s else math.exp(-law.rate * law.cost) for t in clean for s in t) + 0.5 * math.exp(law.rate * least)) / (total + 0.5)
+    assert mean == pytest.approx(1, abs=1e-6)
+    best = lambda t: max((sum(x or -law.cost for x in t[a:b]) for a in range(len(t)) for b in range(a + 1, len(t) + 1)), default=0.0)
+    top = [max(0.0, best(t)) for t in clean]
+    want = (sum(x > 0 for x in top) + 0.5) / (sum(len(t) * math.exp(-law.rate * (x or least)) for t, x in zip(clean, top, strict=True)) + 0.5)
+    assert law.k == pytest.approx(want)
+    shown = {r["doc_id"]: r["segments"] for r in model.score(df).collect()}
+    assert any(shown.values()) and all("vile" in text[i][a:b] for i, s in shown.items() for a, b in s)
+
+
+def test_toxicity_has_no_largest_lexicon_or_rate(spark):
+    """More features than any former bound stay, and a text scores by the last of them; the rate is what the data say."""
+    words = [f"w{k:05d}q" for k in range(4000)]
+    rows = [(k, " ".join(words[:2000] if k % 2 else ["plain"] * 50 + [f"x{k}"])) for k in range(1, 400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(df, spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, toxic int"))
+    assert all(w + "$" in model.law.lex for w in words[:2000]) and model.law.rate > 1.5
+    assert "w01999" in model.law.lex
+
+
 def test_segments():
     """All maximal segments, against their definition on short sequences."""
     rng = np.random.default_rng(1)
