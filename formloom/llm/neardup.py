@@ -14,6 +14,7 @@ sent to as many parts of the bucket as its size asks for, and a shingle's foremo
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 from collections import defaultdict
 from collections.abc import Iterator
@@ -35,6 +36,7 @@ BROADCAST_IDS = 1_000_000
 HUB_ROUNDS = 2
 #: Members of a bucket for each copy of its hub.
 PART = 2000
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
 SKETCH = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("text_hash_2", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64()))])
 SETS = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
@@ -75,12 +77,22 @@ def bands_of(signature: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def pieces(text: bytes, size: int = 1 << 17) -> Iterator[bytes]:
+    """The text in pieces of about that size, cut at white space."""
+    a = 0
+    while len(text) - a > size and (m := BLANK.search(text, a + size)):
+        yield text[a : m.start()]
+        a = m.start()
+    yield text[a:]
+
+
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of each text's shingles; of all its words, if they are fewer."""
     number: defaultdict = defaultdict()
     number.default_factory = number.__len__
-    ids = [np.array(list(map(number.__getitem__, t.lower().split())), np.int64) for t in texts]
+    ids = [np.concatenate([np.fromiter(map(number.__getitem__, p.lower().split()), np.int32) for p in pieces(t)]) for t in texts]
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))
+    number.default_factory = None  # else it refers to itself and waits for the collector
     out = []
     for own in ids:
         h = hashes[own]
@@ -88,7 +100,8 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
         n = len(h) - size + 1 if size else 0
         x = np.full(n, size, np.uint64)
         for k in range(size):
-            x = x * np.uint64(0x9E3779B97F4A7C15) + h[k : k + n]
+            x *= np.uint64(0x9E3779B97F4A7C15)
+            x += h[k : k + n]
             x ^= x >> np.uint64(32)
         out.append(np.unique(mix(x)))
     return out

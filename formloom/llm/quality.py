@@ -123,6 +123,7 @@ def run(max_lost: float, clean: bool):
                 rows.append((b.column(0)[i].as_py(), *judge((text or "").encode(), number, max_lost, clean)))
                 if len(number) > 200_000:
                     number.clear()
+            number.default_factory = None  # else it refers to itself and waits for the collector
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), ARROW, strict=True)] if rows else [pa.array([], f.type) for f in ARROW], schema=ARROW)
 
     return over
