@@ -29,16 +29,19 @@ def windows_of(items: DataFrame, item_id: str, text: str, window: int) -> DataFr
 
 
 def lead_sizes(lengths: list[int]) -> list[int]:
-    """Words by whose hash windows are looked up: one size for all windows of four words or more, and one for each shorter."""
-    long = [n for n in lengths if n >= 4]
-    return [n for n in lengths if n < 4] + ([min(long)] if long else [])
+    """Words by whose hash windows are looked up: for lengths that are near, the least of them, so that leads stay rare."""
+    floor = lambda n: max(k for k in (1, 2, 3, 4, 6, 9, WINDOW) if k <= n)
+    least: dict[int, int] = {}
+    for n in sorted(lengths):
+        least.setdefault(floor(n), n)
+    return list(least.values())
 
 
 def hits(docs: DataFrame, windows: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """One row for each row of docs: `keep`, n_words, spans (start, end in words, of windows that occur) and items.
 
     Each row's key is its kept columns with two hashes of its text; equal rows share one and are multiplied again at the
-    end. A last, unmatched position keeps documents without a hit.
+    end. Windows are broadcast up to BROADCAST_BYTES, and joined by a shuffle beyond.
     """
     spark = docs.sparkSession
     facts = windows.groupBy("n").agg(F.sum(F.length(F.concat_ws(" ", "win")) + 64 + 24 * F.size("items")).alias("b")).collect()
@@ -60,23 +63,28 @@ def hits(docs: DataFrame, windows: DataFrame, keep: list[str], text: str = "text
         grams = F.transform(at, lambda i: F.struct(i.alias("i"), F.lit(k).alias("k"), F.xxhash64(F.slice("_w", i, k)).alias("h")))
         return F.when(F.size("_w") >= k, grams).otherwise(F.expr("cast(array() as array<struct<i:int,k:int,h:bigint>>)"))
 
-    last = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("k"), F.lit(None).cast("long").alias("h")))
-    at = w.withColumn("_at", F.concat(*[leads(k) for k in sizes], last)).select("*", F.explode_outer("_at").alias("_g")).drop("_at")  # never empty; explode() would add a filter that repeats all of its expressions
-    at = at.withColumn("_nw", F.when(F.col("_g.i") == 0, F.size("_w")))
-    # a shuffle takes a window's own words; before a broadcast join, which stays in one pipeline, none are copied
-    own = F.slice("_w", F.greatest(F.lit(1), F.col("_g.i")), F.lit(max([1, *[r["n"] for r in facts]])))
-    if small:
-        table, own = F.broadcast(table), F.slice("_w", F.col("_g.i"), F.col("_n"))
-    else:
-        at, own = at.withColumn("_own", F.when(F.col("_g.i") > 0, own)).drop("_w"), F.slice("_own", F.lit(1), F.col("_n"))
-    met = at.join(table, (F.col("_g.h") == F.col("_h")) & (F.col("_g.k") == F.col("_lead")), "left")
-    met = met.filter((F.col("_g.i") == 0) | F.when(F.col("_g.i") > 0, own == F.col("win")).otherwise(F.lit(False)))
-    span = F.when(F.col("_g.i") > 0, F.struct(F.col("_g.i").alias("start"), (F.col("_g.i") + F.col("_n")).alias("end")))
-    grouped = (
-        met.select("_keep", "_t1", "_t2", "_nw", span.alias("_span"), "items")
-        .groupBy("_keep", "_t1", "_t2")
-        .agg(F.count("_nw").alias("_rows"), F.max("_nw").cast("long").alias("n_words"), F.sort_array(F.collect_set("_span")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
-    )
+    found = F.struct(F.col("_g.i").alias("start"), (F.col("_g.i") + F.col("_n")).alias("end")).alias("_span")
+    same = (F.col("_g.h") == F.col("_h")) & (F.col("_g.k") == F.col("_lead"))
+    key = ["_keep", "_t1", "_t2"]
+    # explode_outer: explode() would add a filter that repeats all of its expressions
+    if small:  # one pass, in which a last, unmatched position keeps documents without a hit
+        last = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("k"), F.lit(None).cast("long").alias("h")))
+        at = w.withColumn("_at", F.concat(*[leads(k) for k in sizes], last)).select("*", F.explode_outer("_at").alias("_g")).drop("_at")
+        at = at.withColumn("_nw", F.when(F.col("_g.i") == 0, F.size("_w")))
+        met = at.join(F.broadcast(table), same, "left")
+        met = met.filter((F.col("_g.i") == 0) | F.when(F.col("_g.i") > 0, F.slice("_w", F.col("_g.i"), F.col("_n")) == F.col("win")).otherwise(F.lit(False)))
+        met = met.select(*key, "_nw", F.when(F.col("_g.i") > 0, found).alias("_span"), "items")
+    else:  # windows travel with their own words; documents come to their hits by their keys, never by a null hash
+        longest = max([1, *[r["n"] for r in facts]])
+        at = w.withColumn("_at", F.concat(*[leads(k) for k in sizes])).select(*key, "_w", F.explode_outer("_at").alias("_g")).filter("_g is not null")
+        at = at.select(*key, "_g", F.slice("_w", F.col("_g.i"), F.lit(longest)).alias("_own"))
+        met = at.join(table, same).filter(F.slice("_own", F.lit(1), F.col("_n")) == F.col("win"))
+        met = met.select(*key, F.lit(None).cast("int").alias("_nw"), found, "items")
+        met = met.union(w.select(*key, F.size("_w"), F.lit(None).cast("struct<start:int,end:int>"), F.lit(None).cast("array<string>")))
+    grouped = met.groupBy(*key).agg(
+        F.count("_nw").alias("_rows"), F.max("_nw").cast("long").alias("n_words"), F.sort_array(F.collect_set("_span")).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+    )
     return grouped.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_rows").cast("int")))).select("_keep.*", "n_words", "spans", "items")
 
 
@@ -107,7 +115,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, keep: list[str], item_id: s
     """Every row of docs: `keep`, n_words, n_hit, n_items, items, spans and contaminated (a twentieth of its words or more hit).
 
     Null and empty texts have no words and are not contaminated; items without a word have no window; an empty benchmark
-    contaminates nothing; equal rows come back as often as they came in. Null ids are kept.
+    contaminates nothing; equal rows come back as often as they came in, and items with equal windows are all told. Null
+    ids are kept; other columns are not read; texts are read whole. No rows give none.
     """
     found = hits(docs, windows_of(items, item_id, text, window), keep, text).withColumn("n_hit", hit_words(F.col("spans")))
     return found.select(

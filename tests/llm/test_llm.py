@@ -347,17 +347,25 @@ def test_sharding(spark, docs, empty):
     assert sharding.shard(docs, 24, ["doc_id", "text"]).count() == 9 and sharding.shard(empty, 24, ["doc_id"]).count() == 0
 
 
-def test_hypergeometric():
-    m = sharding.communication_matrix([100, 0, 57, 43], 7, 1)
-    assert m.sum(axis=1).tolist() == [100, 0, 57, 43] and sorted(m.sum(axis=0)) == [28, 28, 28, 29, 29, 29, 29]
-    sharding.NUMPY_MOST, was = 0, sharding.NUMPY_MOST
-    try:
-        rng = np.random.default_rng(5)
-        drawn = Counter(sharding.hypergeometric(rng, 5, 7, 4) for _ in range(20000))
-        for k in range(5):
-            assert drawn[k] / 20000 == pytest.approx(math.comb(5, k) * math.comb(7, 4 - k) / math.comb(12, 4), abs=0.015)
-    finally:
-        sharding.NUMPY_MOST = was
+def test_hypergeometric(monkeypatch):
+    m = sharding.communication_matrix([100, 0, 57, 43], [29, 29, 29, 29, 28, 28, 28], (1,))
+    assert m.sum(axis=1).tolist() == [100, 0, 57, 43] and m.sum(axis=0).tolist() == [29, 29, 29, 29, 28, 28, 28]
+    for good, bad, n in ((5, 7, 4), (40, 60, 30), (3, 900, 450)):
+        for k in range(max(0, n - bad), min(n, good) + 1):
+            exact = math.log(math.comb(good, k) * math.comb(bad, n - k) / math.comb(good + bad, n))
+            assert sharding.log_hypergeometric(k, good, bad, n) == pytest.approx(exact, abs=1e-9)
+    # the probabilities about the mode of a population beyond 10**10 add up to one
+    good, bad, n = 4 * 10**8, 96 * 10**8, 10**7
+    p = [math.exp(sharding.log_hypergeometric(k, good, bad, n)) for k in range(400_000 - 7000, 400_000 + 7000)]
+    assert sum(p) == pytest.approx(1, abs=1e-9)
+    rng = np.random.default_rng(5)
+    drawn = [sharding.hypergeometric(rng, good, bad, n) for _ in range(300)]
+    sd = math.sqrt(n * 0.04 * 0.96 * (1 - n / 10**10))
+    assert abs(np.mean(drawn) - 400_000) < 4 * sd / math.sqrt(300) and 0.85 < np.std(drawn) / sd < 1.15
+    monkeypatch.setattr(sharding, "NUMPY_MOST", 0)
+    drawn = Counter(sharding.hypergeometric(rng, 5, 7, 4) for _ in range(20000))
+    for k in range(5):
+        assert drawn[k] / 20000 == pytest.approx(math.comb(5, k) * math.comb(7, 4 - k) / math.comb(12, 4), abs=0.015)
 
 
 def test_quality(spark, table, docs, empty):
