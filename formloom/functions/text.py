@@ -14,9 +14,9 @@ HOME_DOMAIN = "DM"
 HOME_VARIABLES = ["RFICDTC", "RFSTDTC", "RFENDTC", "RFXSTDTC", "RFXENDTC", "RFPENDTC", "DTHDTC", "SUBJID", "USUBJID"]
 DOMAIN_PREFIXES = ["DM", "DS", "AE", "CM", "VS", "LB", "EG", "MH", "PE", "SU", "EX", "CE", "DV", "IE", "DA", "FA", "MB", "MI", "RS", "SC", "SS", "TU", "TR", "QS"]
 #: Spellings of an absent cell, kinds and origins by their letters, and quotes that editors put in.
-NULLISH = ["", "null", "none", "n/a", "na", "-", "nan"]
+NULLISH = ["", "null", "none", "n/a", "na", "not applicable", "-"]
 KINDS = ["domain", "variable", "note"]
-ORIGINS = ["Collected", "Derived", "Assigned", "Protocol", "Predecessor", "Not Available", "Not Submitted"]
+ORIGINS = ["Collected", "Derived", "Assigned", "Protocol", "eDT", "Predecessor", "NotSubmitted"]
 SMART_QUOTES = ("“”„‟″‘’‚‛′", "\"\"\"\"\"'''''")
 #: Names of bold and italic faces, and the short names of the base fonts that are.
 BOLD_WORDS, ITALIC_WORDS = ["bold", "black", "heavy", "semibold", "demi"], ["italic", "oblique"]
@@ -87,11 +87,11 @@ def builtin_domain(variable: Column) -> Column:
 def display_text(text: Column, kind: Column, domain: Column, variable: Column, condition: Column, fixed_value: Column, origin: Column) -> Column:
     """What an annotation shows: its own text, or its parts, or that it is not submitted."""
     parts = F.concat(variable, F.coalesce(F.concat(F.lit(" = "), or_null(fixed_value)), F.lit("")), F.coalesce(F.concat(F.lit(" when "), or_null(condition)), F.lit("")))
-    return F.coalesce(or_null(text), F.when(kind == "domain", or_null(domain)), F.when(or_null(variable).isNotNull(), parts), F.when(origin == "Not Submitted", F.lit(NOT_SUBMITTED)), F.lit(""))
+    return F.coalesce(or_null(text), F.when(kind == "domain", or_null(domain)), F.when(or_null(variable).isNotNull(), parts), F.when(origin == "NotSubmitted", F.lit(NOT_SUBMITTED)), F.lit(""))
 
 
 def is_not_submitted(origin: Column, shown: Column, domain: Column) -> Column:
-    return F.coalesce(origin == "Not Submitted", F.lit(False)) | (F.upper(F.trim(shown)) == NOT_SUBMITTED) | F.coalesce(domain == NOT_SUBMITTED_DOMAIN, F.lit(False))
+    return F.coalesce(origin == "NotSubmitted", F.lit(False)) | (F.upper(F.trim(shown)) == NOT_SUBMITTED) | F.coalesce(domain == NOT_SUBMITTED_DOMAIN, F.lit(False))
 
 
 def squeezed(text: Column) -> Column:
@@ -104,7 +104,9 @@ def coerce(text: Column, values: list[str]) -> Column:
 
 
 def scrub(text: Column) -> Column:
-    return F.when(~F.lower(F.trim(text)).isin(NULLISH), text)
+    """The cell without blanks at its ends; null if it says nothing."""
+    cell = collapse_ends(text)
+    return F.when(~F.lower(cell).isin(NULLISH), cell)
 
 
 def pasted(text: Column) -> Column:

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 EXCERPT = 2000
-SEPARATOR = r"^\s*\|?(\s*:?-+:?\s*\|)+\s*:?-*:?\s*$"
+#: Fixed value: a row of a table's bars, dashes and colons alone.
+SEPARATOR = r"^\s*\|?[\s:|-]+\|?\s*$"
 FIELDS = ["row_id", "kind", "domain", "variable", "variable2", "condition", "codelist", "origin", "confidence", "rationale"]
 
 
@@ -24,7 +25,7 @@ def lines(texts: DataFrame) -> DataFrame:
 def markdown_block(text_lines: DataFrame) -> DataFrame:
     """(doc_id, n, line) of each text's first table: a row of bars, a separator below it, and the rows that follow at once."""
     order = W.partitionBy("doc_id").orderBy("n")
-    bar = F.trim("line").rlike(r"^\|.*\|$")
+    bar = F.trim("line").rlike(r"^\|.+\|$")
     m = text_lines.withColumn("_bar", bar).withColumn("_head", bar & F.coalesce(F.lead("line").over(order).rlike(SEPARATOR), F.lit(False)))
     first = m.filter("_head").groupBy("doc_id").agg(F.min("n").alias("_from"))
     end = m.filter("not _bar").join(first, "doc_id").filter("n > _from").groupBy("doc_id").agg(F.min("n").alias("_to"))
@@ -45,7 +46,7 @@ def markdown_rows(block: DataFrame) -> tuple[DataFrame, DataFrame]:
     order = W.partitionBy("doc_id").orderBy("n")
     b = block.withColumn("_k", F.row_number().over(order)).withColumn("_cells", cells(F.col("line")))
     heads = b.filter("_k = 1").select("doc_id", F.transform("_cells", header).alias("_heads"))
-    data = b.filter("_k > 2").join(heads, "doc_id")
+    data = b.filter((F.col("_k") > 1) & ~F.col("line").rlike(SEPARATOR)).join(heads, "doc_id")
     wrong = data.filter(F.size("_cells") != F.size("_heads")).select("doc_id", "n", F.format_string("%d cells under %d headers", F.size("_cells"), F.size("_heads")).alias("error"))
     empty = heads.join(data.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", F.lit(None).cast("int").alias("n"), F.lit("no rows").alias("error"))
     good = data.filter(F.size("_cells") == F.size("_heads")).select("doc_id", "n", F.map_from_arrays("_heads", "_cells").alias("row"))
@@ -54,24 +55,36 @@ def markdown_rows(block: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def csv_block(text_lines: DataFrame) -> DataFrame:
     """(doc_id, n, line) from each text's first line that begins "row_id" and a delimiter to the next blank line."""
-    first = text_lines.filter(F.trim("line").rlike(r"(?i)^\"?row_id\"?\s*[,\t;]")).groupBy("doc_id").agg(F.min("n").alias("_from"))
+    first = text_lines.filter(F.col("line").rlike(r"(?i)^\s*[\"']?row_id[\"']?\s*[,\t;]")).groupBy("doc_id").agg(F.min("n").alias("_from"))
     end = text_lines.filter("trim(line) = ''").join(first, "doc_id").filter("n > _from").groupBy("doc_id").agg(F.min("n").alias("_to"))
     return text_lines.join(first, "doc_id").join(end, "doc_id", "left").filter((F.col("n") >= F.col("_from")) & (F.col("_to").isNull() | (F.col("n") < F.col("_to")))).select("doc_id", "n", "line")
 
 
-def csv_cells(line: Column, delimiter: Column) -> Column:
-    """Of a delimited line; quotes may hold delimiters and doubled quotes."""
-    pattern = F.concat(F.lit('(?:^|'), delimiter, F.lit(')("(?:[^"]|"")*"|[^'), delimiter, F.lit(']*)'))
-    found = F.regexp_extract_all(line, pattern, F.lit(1))
-    return F.transform(found, lambda c: F.when(c.startswith('"') & c.endswith('"') & (F.length(c) > 1), F.regexp_replace(F.substring(c, F.lit(2), F.length(c) - 2), '""', '"')).otherwise(F.trim(c)))
+def csv_cells(record: Column, delimiter: Column) -> Column:
+    """Of a delimited record; quotes at a cell's start may hold delimiters, line ends and doubled quotes."""
+    pattern = F.concat(delimiter, F.lit('("(?:[^"]|"")*"(?='), delimiter, F.lit('|$)|[^'), delimiter, F.lit(']*)'))
+    found = F.regexp_extract_all(F.concat(delimiter, record), pattern, F.lit(1))  # each cell behind its delimiter, the first too
+    return F.transform(found, lambda c: F.trim(F.when(c.startswith('"') & c.endswith('"') & (F.length(c) > 1), F.regexp_replace(F.substring(c, F.lit(2), F.length(c) - 2), '""', '"')).otherwise(c)))
+
+
+def csv_records(block: Column, delimiter: Column) -> Column:
+    """The records of a delimited block: lines, but for line ends within a quoted cell."""
+    plain = F.concat(F.lit("[^"), delimiter, F.lit("\n]*"))
+    cell = F.concat(F.lit('(?:"(?:[^"]|"")*"(?=['), delimiter, F.lit("\n])|"), plain, F.lit(")"))
+    pattern = F.concat(F.lit("("), cell, F.lit("(?:"), delimiter, cell, F.lit(")*)\n"))
+    return F.regexp_extract_all(F.concat(block, F.lit("\n")), pattern, F.lit(1))
 
 
 def csv_rows(block: DataFrame) -> DataFrame:
-    """(doc_id, n, cells by header); the header's own delimiter. Cells beyond the header are dropped, missing ones empty."""
-    b = block.withColumn("_k", F.row_number().over(W.partitionBy("doc_id").orderBy("n")))
-    head = b.filter("_k = 1").select("doc_id", F.regexp_extract("line", r"(?i)row_id\"?\s*([,\t;])", 1).alias("_d"), F.col("line").alias("_line"))
-    head = head.select("doc_id", "_d", F.transform(csv_cells(F.col("_line"), F.col("_d")), header).alias("_heads"))
-    data = b.filter("_k > 1").join(head, "doc_id").withColumn("_cells", csv_cells(F.col("line"), F.col("_d")))
+    """(doc_id, n, cells by header); the header's own delimiter. n is the record's place, the header's is 0.
+
+    A block is one reply's table, so it is read as one text. Cells beyond the header are dropped, missing ones empty.
+    """
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"]), "\n")
+    one = block.groupBy("doc_id").agg(text.alias("_text"))
+    one = one.withColumn("_d", F.regexp_extract("_text", r"(?i)^\s*[\"']?row_id[\"']?\s*([,\t;])", 1)).withColumn("_records", csv_records(F.col("_text"), F.col("_d")))
+    heads = F.transform(csv_cells(F.col("_records")[0], F.col("_d")), lambda h: F.lower(h))
+    data = one.select("doc_id", "_d", heads.alias("_heads"), F.posexplode("_records").alias("n", "_record")).filter("n > 0").withColumn("_cells", csv_cells(F.col("_record"), F.col("_d")))
     padded = F.transform("_heads", lambda h, i: F.coalesce(F.get("_cells", i), F.lit("")))
     return data.select("doc_id", "n", F.map_from_arrays("_heads", padded).alias("row"))
 
@@ -85,21 +98,48 @@ def parse(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     rest = told.join(block.select("doc_id").distinct(), "doc_id", "left_anti")
     delimited = csv_rows(csv_block(rest))
     none = texts.join(block.select("doc_id").distinct(), "doc_id", "left_anti").join(delimited.select("doc_id").distinct(), "doc_id", "left_anti")
-    left = F.greatest(F.lit(0), F.length("text") - EXCERPT)
-    shown = F.when(left > 0, F.concat(F.substring("text", 1, EXCERPT), F.format_string(" ... (%d more characters)", left))).otherwise(F.col("text"))
+    raw = T.collapse_ends(F.col("text"))
+    left = F.greatest(F.lit(0), F.length(raw) - EXCERPT)
+    shown = F.when(left > 0, F.concat(F.substring(raw, 1, EXCERPT), F.format_string("\n... [%d more chars]", left))).otherwise(raw)
     errors = wrong.withColumn("excerpt", F.lit(None).cast("string")).unionByName(none.select("doc_id", F.lit(None).cast("int").alias("n"), F.lit("no table found").alias("error"), shown.alias("excerpt")))
     return good.join(bad, "doc_id", "left_anti").unionByName(delimited), errors
 
 
 def scrubbed(rows: DataFrame) -> DataFrame:
-    """Fields as columns; cells that say nothing are null; kinds and origins in their own spelling."""
+    """Fields as columns; cells that say nothing are null; kinds and origins in their own spelling, null where unknown.
+
+    said_kind, said_origin and said_confidence are the cells themselves.
+    """
     at = lambda c: T.scrub(F.col("row")[c])
     return rows.select(
-        "doc_id", "n", at("row_id").alias("row_id"), F.coalesce(T.coerce(at("kind"), T.KINDS), F.when(at("kind").isNull(), "variable")).alias("kind"), F.upper(F.trim(at("domain"))).alias("domain"), F.upper(F.trim(at("variable"))).alias("variable"),
-        F.upper(F.trim(at("variable2"))).alias("variable2"), at("condition").alias("condition"), at("codelist").alias("codelist"), T.coerce(at("origin"), T.ORIGINS).alias("origin"), at("confidence").try_cast("double").alias("confidence"), at("rationale").alias("rationale"),
+        "doc_id", "n", at("row_id").alias("row_id"), F.coalesce(T.coerce(at("kind"), T.KINDS), F.when(at("kind").isNull(), "variable")).alias("kind"),
+        F.upper(at("domain")).alias("domain"), F.upper(at("variable")).alias("variable"), F.upper(at("variable2")).alias("variable2"),
+        at("condition").alias("condition"), at("codelist").alias("codelist"), T.coerce(at("origin"), T.ORIGINS).alias("origin"),
+        at("confidence").try_cast("double").alias("confidence"), at("rationale").alias("rationale"),
+        at("kind").alias("said_kind"), at("origin").alias("said_origin"), at("confidence").alias("said_confidence"),
     )
 
 
+def row_errors(fields: DataFrame) -> DataFrame:
+    """(doc_id, n, row_id, error) of scrubbed rows that are no proposal; one error for each thing that is wrong."""
+    says = lambda what, c: F.concat(F.lit(f"{what}: "), F.col(c))
+    sure = F.col("confidence")
+    found = F.array(
+        F.when(F.col("row_id").isNull(), F.lit("missing row_id")), F.when(F.col("kind").isNull(), says("unknown kind", "said_kind")),
+        F.when(F.col("origin").isNull() & F.col("said_origin").isNotNull(), says("unknown origin", "said_origin")),
+        F.when(F.col("said_confidence").isNotNull() & (sure.isNull() | F.isnan(sure) | ~sure.between(0, 1)), says("confidence is not from 0 to 1", "said_confidence")),
+    )
+    return fields.select("doc_id", "n", "row_id", F.explode(F.filter(found, lambda e: e.isNotNull())).alias("error"))
+
+
+def proposals(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(proposals, errors): a reply with a row that is wrong gives its errors and no proposal, since it is to be mended whole."""
+    fields = scrubbed(rows)
+    wrong = row_errors(fields)
+    good = fields.drop("said_kind", "said_origin", "said_confidence").join(wrong.select("doc_id").distinct(), "doc_id", "left_anti")
+    return expanded(good), wrong
+
+
 def expanded(proposals: DataFrame) -> DataFrame:
     """A second variable as a proposal of its own for slot 2, without condition and rationale."""
     one = F.struct(F.lit(1).alias("slot"), "variable", "condition", "rationale")

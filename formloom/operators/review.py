@@ -43,27 +43,37 @@ def slots(lines: DataFrame) -> DataFrame:
 
 
 def errors(lines: DataFrame, rows: DataFrame) -> DataFrame:
-    """(doc_id, row_id, error, n): rows that the form does not have, slots filled twice, and unknown statuses."""
-    unknown = lines.join(rows.select("doc_id", "row_id"), ["doc_id", "row_id"], "left_anti").groupBy("doc_id", "row_id").agg(F.count("*").alias("n")).withColumn("error", F.lit("unknown row"))
-    twice = slots(lines).groupBy("doc_id", "row_id", "slot").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id", "row_id", "n", F.concat(F.lit("slot filled twice: "), F.col("slot")).alias("error"))
-    status = lines.filter(~F.col("review_status").isin(STATUSES)).groupBy("doc_id", "row_id").agg(F.count("*").alias("n")).withColumn("error", F.lit("unknown status"))
-    return unknown.unionByName(twice).unionByName(status)
-
-
-def to_annotations(lines: DataFrame, rows: DataFrame, note_is_variable: bool = False) -> DataFrame:
-    """Filled cells of known rows as annotations; a note takes slot 2 if anno1 is filled, else slot 1.
-
-    A cell's text stands verbatim; what it parses to is told beside it. Notes are notes, or variables where an older
-    sheet's reading is asked for.
+    """(doc_id, row_id, error, n, excel_rows): rows that the form does not have, slots filled twice, unknown statuses and
+    origins, and decisions without the name of who made them; excel_rows names the lines."""
+    at = [F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set(F.col("excel_row").cast("long"))), ", ").alias("excel_rows")]
+    of = lambda df, error: df.groupBy("doc_id", "row_id").agg(*at).withColumn("error", F.lit(error))
+    unknown = of(lines.join(rows.select("doc_id", "row_id"), ["doc_id", "row_id"], "left_anti"), "unknown row")
+    twice = slots(lines).groupBy("doc_id", "row_id", "slot").agg(*at).filter("n > 1").select("doc_id", "row_id", "n", "excel_rows", F.concat(F.lit("slot filled twice: "), F.col("slot")).alias("error"))
+    status = of(lines.filter(~F.col("review_status").isin(STATUSES)), "unknown status")
+    origin = of(lines.filter((F.col("origin") != "") & T.coerce(F.col("origin"), T.ORIGINS).isNull()), "unknown origin")
+    filled = (F.col("anno1") != "") | (F.col("anno2") != "") | (F.col("note") != "")
+    nobody = of(lines.filter(filled & F.col("review_status").isin(STATUSES[1:]) & (F.col("reviewed_by") == "")), "reviewed by nobody")
+    return unknown.unionByName(twice).unionByName(status).unionByName(origin).unionByName(nobody)
+
+
+def to_annotations(lines: DataFrame, rows: DataFrame) -> DataFrame:
+    """Filled cells of known rows as annotations, and notes beside them.
+
+    A note takes the slot after the last one that is filled, 2 at most. It is a note if it stands alone or after slot 2,
+    and a variable if it takes the free slot 2. A text stands verbatim; what it parses to is told beside it, for notes too.
     """
     cells = slots(lines).withColumn("kind", F.lit("variable"))
-    notes = lines.filter("note <> ''").select("doc_id", "excel_row", "row_id", F.when(F.col("anno1") != "", 2).otherwise(1).alias("slot"), F.col("note").alias("shown"), F.lit("variable" if note_is_variable else "note").alias("kind"))
+    last = F.when(F.col("anno2") != "", 2).when(F.col("anno1") != "", 1).otherwise(0)
+    kind = F.when(last == 1, "variable").otherwise("note")
+    notes = lines.filter("note <> ''").select("doc_id", "excel_row", "row_id", F.least(F.lit(2), last + 1).alias("slot"), F.col("note").alias("shown"), kind.alias("kind"))
     known = cells.unionByName(notes).join(rows.select("doc_id", "row_id", "row_ord", "page_index"), ["doc_id", "row_id"])
     parsed = known.withColumn("_p", T.parse_mapping(F.col("shown")))
     more = lines.select("doc_id", "excel_row", F.col("domain").alias("_d"), F.col("group").alias("group_id"), T.coerce(F.col("origin"), T.ORIGINS).alias("origin"), "review_status", "reviewed_by")
     out = parsed.join(more, ["doc_id", "excel_row"])
-    is_note = F.col("kind") == "note"
-    return out.select("doc_id", "row_id", "row_ord", "page_index", "slot", "kind", "shown", F.when(~is_note, F.coalesce("_p.domain", T.or_null(F.upper("_d")))).alias("domain"), F.when(~is_note, F.col("_p.variable")).alias("variable"), F.when(~is_note, F.col("_p.condition")).alias("condition"), F.when(~is_note, F.col("_p.fixed_value")).alias("fixed_value"), T.or_null(F.col("group_id")).alias("group_id"), "origin", "review_status", "reviewed_by")
+    return out.select(
+        "doc_id", "row_id", "row_ord", "page_index", "slot", "kind", "shown", F.coalesce("_p.domain", T.or_null(F.upper("_d"))).alias("domain"), F.col("_p.variable").alias("variable"),
+        F.col("_p.condition").alias("condition"), F.col("_p.fixed_value").alias("fixed_value"), T.or_null(F.col("group_id")).alias("group_id"), "origin", "review_status", "reviewed_by",
+    )
 
 
 def gate(annotations: DataFrame) -> DataFrame:

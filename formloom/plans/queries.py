@@ -278,20 +278,24 @@ def sheet_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 
 @add("sheet_errors", "", f"""
-WITH l AS ({LINES}), s AS (SELECT doc_id, row_id, 1 AS slot FROM l WHERE trim(anno1) <> '' UNION ALL SELECT doc_id, row_id, 2 FROM l WHERE trim(anno2) <> '')
-SELECT doc_id, row_id, 'unknown row' AS error, count(*) AS n FROM l WHERE row_id = 'r99' OR doc_id NOT IN (SELECT o_orderkey FROM orders) GROUP BY ALL
-UNION ALL SELECT doc_id, row_id, 'slot filled twice: ' || slot, count(*) FROM s GROUP BY doc_id, row_id, slot HAVING count(*) > 1
-UNION ALL SELECT doc_id, row_id, 'unknown status', count(*) FROM l WHERE review_status = 'open' GROUP BY ALL""")
+WITH l AS ({LINES}), s AS (SELECT doc_id, row_id, excel_row, 1 AS slot FROM l WHERE trim(anno1) <> '' UNION ALL SELECT doc_id, row_id, excel_row, 2 FROM l WHERE trim(anno2) <> ''),
+e AS (SELECT doc_id, row_id, excel_row, 'unknown row' AS error FROM l WHERE row_id = 'r99' OR doc_id NOT IN (SELECT o_orderkey FROM orders)
+UNION ALL SELECT doc_id, row_id, excel_row, 'slot filled twice: ' || slot FROM s WHERE (doc_id, row_id, slot) IN (SELECT (doc_id, row_id, slot) FROM s GROUP BY ALL HAVING count(*) > 1)
+UNION ALL SELECT doc_id, row_id, excel_row, 'unknown status' FROM l WHERE review_status = 'open'
+UNION ALL SELECT doc_id, row_id, excel_row, 'reviewed by nobody' FROM l WHERE review_status = 'Accepted' AND (anno1 <> '' OR anno2 <> '' OR note <> ''))
+SELECT doc_id, row_id, error, count(*) AS n, string_agg(DISTINCT excel_row, ', ' ORDER BY excel_row) AS excel_rows FROM e GROUP BY ALL""")
 def sheet_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.errors(*sheet_lines(spark, sf_dir))
 
 
 @add("sheet_annotations", "", f"""
-WITH l AS ({LINES}), s AS (SELECT *, 1 AS slot, 'variable' AS kind, anno1 AS shown FROM l WHERE trim(anno1) <> '' UNION ALL SELECT *, 2, 'variable', anno2 FROM l WHERE trim(anno2) <> '' UNION ALL SELECT *, CASE WHEN anno1 <> '' THEN 2 ELSE 1 END, 'note', note FROM l WHERE note <> '')
-SELECT s.doc_id, row_id, slot, kind, shown, CASE WHEN kind = 'variable' THEN nullif(upper(domain), '') END AS domain, CASE WHEN kind = 'variable' AND slot = 2 THEN 'QVAL' END AS variable, CASE WHEN kind = 'variable' AND slot = 2 THEN substr(shown, 11) END AS condition,
- CASE WHEN origin <> '' THEN 'Not Submitted' END AS origin, CASE review_status WHEN '' THEN 'proposed' ELSE lower(review_status) END AS review_status FROM s WHERE row_id <> 'r99' AND s.doc_id IN (SELECT o_orderkey FROM orders)""")
+WITH l AS ({LINES}), s AS (
+SELECT *, 1 AS slot, 'variable' AS kind, anno1 AS shown FROM l WHERE trim(anno1) <> '' UNION ALL SELECT *, 2, 'variable', anno2 FROM l WHERE trim(anno2) <> ''
+UNION ALL SELECT *, CASE WHEN anno1 || anno2 = '' THEN 1 ELSE 2 END, CASE WHEN anno1 <> '' AND anno2 = '' THEN 'variable' ELSE 'note' END, note FROM l WHERE note <> '')
+SELECT s.doc_id, row_id, slot, kind, shown, nullif(upper(domain), '') AS domain, CASE WHEN shown LIKE 'QVAL%' THEN 'QVAL' END AS variable, CASE WHEN shown LIKE 'QVAL%' THEN substr(shown, 11) END AS condition,
+ CASE WHEN origin <> '' THEN 'NotSubmitted' END AS origin, CASE review_status WHEN '' THEN 'proposed' ELSE lower(review_status) END AS review_status FROM s WHERE row_id <> 'r99' AND s.doc_id IN (SELECT o_orderkey FROM orders)""")
 def sheet_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P.<flag>VAR has a domain of one letter, so it is no mapping."""
+    """P.<flag>VAR has a domain of one letter, so it is no mapping; nor has a note of two words."""
     return review.to_annotations(*sheet_lines(spark, sf_dir)).select("doc_id", "row_id", "slot", "kind", "shown", "domain", "variable", "condition", "origin", "review_status")
 
 
@@ -300,31 +304,50 @@ def review_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.gate(testbed.annotations(testbed.crf_rows(spark, sf_dir)))
 
 
-#: Conversations as replies: each turn is a text with a table of its own making, before and after which something is said.
-REPLY = "SELECT conv_id * 100 + turn AS doc_id, CASE turn % 3 WHEN 0 THEN 'Sure:' || chr(10) || '| Row ID | Kind | Variable | Variable2 | Origin |' || chr(10) || '|---|---|---|---|---|' || chr(10) || '| r' || turn || ' | Variable | age' || turn || ' | ageu | n/a |' || chr(10) || '| r9 | note | - | none | not submitted |' || chr(10) || chr(10) || 'Done.' WHEN 1 THEN 'Here' || chr(10) || 'row_id;kind;variable;variable2;origin' || chr(10) || 'r' || turn || ';;sex;;Collected' || chr(10) || 'r2;\"note\";\"a;b\";null;NA' || chr(10) || chr(10) || 'Bye' ELSE 'Nothing to tell' END AS text FROM conversations"
+#: Conversations as replies: what a turn says stands before a table of one of five forms, and in letters and blanks within it.
+SAID = "trim(regexp_replace(text, '[^A-Za-z. ]', '', 'g'))"
+REPLY = f"""SELECT conv_id * 100 + turn AS doc_id, text || chr(10) || CASE turn % 5
+WHEN 0 THEN '| Row ID | Kind | Variable | Variable2 | Origin | Rationale |' || chr(10) || '|---|:--|---|---|---|---|' || chr(10) || '| r' || turn || ' | Variable | age' || turn || ' | ageu | n/a | ' || {SAID} || ' |' || chr(10) || '| r9 | note | - | none | not submitted | Not applicable |' || chr(10) || chr(10) || 'Done.'
+WHEN 1 THEN 'row_id;kind;variable;variable2;origin;rationale' || chr(10) || 'r' || turn || ';;sex;;edt;"' || {SAID} || ';' || chr(10) || '""so""' || '"' || chr(10) || 'r2;"note";"a;b";null;NA;x;beyond' || chr(10) || 'r3;;;;;' || chr(10) || chr(10) || 'Bye'
+WHEN 2 THEN 'Nothing to tell'
+WHEN 3 THEN 'row_id,kind,variable,origin' || chr(10) || ',variable,SEX,Collected' || chr(10) || 'r' || turn || ',variable,AGE,Collected'
+ELSE '| row_id | kind | origin | confidence |' || chr(10) || '|---|---|---|---|' || chr(10) || '| r' || turn || ' | variable | Guessed | 1.5 |' || chr(10) || '| r2 | remark | eDT | 0.5 |' END AS text FROM conversations"""
 
 
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     testbed.read(spark, sf_dir, "conversations").createOrReplaceTempView("fl_conversations")
-    return spark.sql(REPLY.replace("FROM conversations", "FROM fl_conversations").replace("chr(10)", "chr(10L)"))
+    return spark.sql(REPLY.replace("FROM conversations", "FROM fl_conversations").replace("chr(10)", "chr(10L)").replace("]', '', 'g')", "]', '')"))
 
 
 @add("reply_lines", "", f"""
-SELECT doc_id, n, line FROM (SELECT conv_id * 100 + turn AS doc_id, turn % 3 AS k, turn FROM conversations), (SELECT unnest([1, 2, 3, 4]) AS n),
- (SELECT unnest([0]) AS z) , LATERAL (SELECT ['| Row ID | Kind | Variable | Variable2 | Origin |', '|---|---|---|---|---|', '| r' || turn || ' | Variable | age' || turn || ' | ageu | n/a |', '| r9 | note | - | none | not submitted |'][n] AS line) WHERE k = 0""")
+WITH r AS (SELECT conv_id * 100 + turn AS doc_id, turn % 5 AS k, turn, text, len(string_split(text, chr(10))) AS before FROM conversations)
+SELECT doc_id, CAST(before + i AS INTEGER) AS n, [[
+'| Row ID | Kind | Variable | Variable2 | Origin | Rationale |', '|---|:--|---|---|---|---|', '| r' || turn || ' | Variable | age' || turn || ' | ageu | n/a | ' || {SAID} || ' |', '| r9 | note | - | none | not submitted | Not applicable |'],
+['| row_id | kind | origin | confidence |', '|---|---|---|---|', '| r' || turn || ' | variable | Guessed | 1.5 |', '| r2 | remark | eDT | 0.5 |']][CASE k WHEN 0 THEN 1 ELSE 2 END][i + 1] AS line FROM r, (SELECT unnest([0, 1, 2, 3]) AS i) WHERE k IN (0, 4)""")
 def reply_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reply.markdown_block(reply.lines(replies(spark, sf_dir)))
 
 
-@add("reply_proposals", "", """
-WITH r AS (SELECT conv_id * 100 + turn AS doc_id, turn, turn % 3 AS k FROM conversations)
-SELECT doc_id, 'r' || turn AS row_id, 1 AS slot, 'variable' AS kind, 'AGE' || turn AS variable, NULL::VARCHAR AS origin FROM r WHERE k = 0 UNION ALL SELECT doc_id, 'r' || turn, 2, 'variable', 'AGEU', NULL FROM r WHERE k = 0
-UNION ALL SELECT doc_id, 'r9', 1, 'note', NULL, 'Not Submitted' FROM r WHERE k = 0 UNION ALL SELECT doc_id, 'r' || turn, 1, 'variable', 'SEX', 'Collected' FROM r WHERE k = 1 UNION ALL SELECT doc_id, 'r2', 1, 'note', 'A;B', NULL FROM r WHERE k = 1""")
+@add("reply_proposals", "", f"""
+WITH r AS (SELECT conv_id * 100 + turn AS doc_id, turn, turn % 5 AS k, {SAID} AS said FROM conversations)
+SELECT doc_id, 'r' || turn AS row_id, 1 AS slot, 'variable' AS kind, 'AGE' || turn AS variable, NULL::VARCHAR AS origin, nullif(said, '') AS rationale FROM r WHERE k = 0 UNION ALL SELECT doc_id, 'r' || turn, 2, 'variable', 'AGEU', NULL, NULL FROM r WHERE k = 0
+UNION ALL SELECT doc_id, 'r9', 1, 'note', NULL, 'NotSubmitted', NULL FROM r WHERE k = 0 UNION ALL SELECT doc_id, 'r' || turn, 1, 'variable', 'SEX', 'eDT', said || ';' || chr(10) || '"so"' FROM r WHERE k = 1
+UNION ALL SELECT doc_id, 'r2', 1, 'note', 'A;B', NULL, 'x' FROM r WHERE k = 1 UNION ALL SELECT doc_id, 'r3', 1, 'variable', NULL, NULL, NULL FROM r WHERE k = 1""")
 def reply_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reply.expanded(reply.scrubbed(reply.parse(replies(spark, sf_dir))[0])).select("doc_id", "row_id", "slot", "kind", "variable", "origin")
+    return reply.proposals(reply.parse(replies(spark, sf_dir))[0])[0].select("doc_id", "row_id", "slot", "kind", "variable", "origin", "rationale")
 
 
-@add("reply_errors", "", "SELECT conv_id * 100 + turn AS doc_id, 'no table found' AS error, 'Nothing to tell' AS excerpt FROM conversations WHERE turn % 3 = 2")
+@add("reply_row_errors", "", """
+WITH r AS (SELECT conv_id * 100 + turn AS doc_id, turn, turn % 5 AS k FROM conversations)
+SELECT doc_id, NULL AS row_id, 'missing row_id' AS error FROM r WHERE k = 3 UNION ALL SELECT doc_id, 'r' || turn, 'unknown origin: Guessed' FROM r WHERE k = 4
+UNION ALL SELECT doc_id, 'r' || turn, 'confidence is not from 0 to 1: 1.5' FROM r WHERE k = 4 UNION ALL SELECT doc_id, 'r2', 'unknown kind: remark' FROM r WHERE k = 4""")
+def reply_row_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reply.proposals(reply.parse(replies(spark, sf_dir))[0])[1].select("doc_id", "row_id", "error")
+
+
+@add("reply_errors", "", r"""
+WITH r AS (SELECT conv_id * 100 + turn AS doc_id, regexp_replace(text || chr(10) || 'Nothing to tell', '^\s+', '') AS t FROM conversations WHERE turn % 5 = 2)
+SELECT doc_id, 'no table found' AS error, CASE WHEN length(t) > 2000 THEN substr(t, 1, 2000) || chr(10) || '... [' || (length(t) - 2000) || ' more chars]' ELSE t END AS excerpt FROM r""")
 def reply_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reply.parse(replies(spark, sf_dir))[1].select("doc_id", "error", "excerpt")
 

@@ -33,12 +33,12 @@ def test_parse_mapping(spark, text, want):
 def test_scalars(spark):
     assert one(spark, T.normalize_key(F.lit("  Year of  Birth :: "))) == "year of birth"
     assert one(spark, T.legend(F.lit("dm (Demographics)")))["code"] == "DM" and one(spark, T.legend(F.lit("DS = Disposition")))["name"] == "Disposition"
-    assert one(spark, T.coerce(F.lit(" not_submitted"), T.ORIGINS)) == "Not Submitted" and one(spark, T.coerce(F.lit("x"), T.KINDS)) is None
+    assert one(spark, T.coerce(F.lit(" not_submitted"), T.ORIGINS)) == "NotSubmitted" and one(spark, T.coerce(F.lit("EDT"), T.ORIGINS)) == "eDT" and one(spark, T.coerce(F.lit("x"), T.KINDS)) is None
     assert one(spark, T.builtin_domain(F.lit("RFICDTC"))) == "DM" and one(spark, T.builtin_domain(F.lit("AETERM"))) == "AE" and one(spark, T.builtin_domain(F.lit("AE"))) is None
     assert one(spark, T.pasted(F.lit("```csv\n“a”\n```"))) == '"a"\n'
     assert one(spark, G.text_width(F.lit("AGE"))) == pytest.approx((667 + 778 + 667) * 7 / 1000)
     assert tuple(one(spark, G.parse_rect(F.lit("3, 4 1,2")))) == (1, 2, 3, 4) and one(spark, G.parse_rect(F.lit("1,2,x,4"))) is None
-    assert one(spark, T.scrub(F.lit(" N/A "))) is None and one(spark, T.scrub(F.lit("0"))) == "0"
+    assert [one(spark, T.scrub(F.lit(x))) for x in (" N/A ", " Not Applicable ", "-", "0", " x ", "nan")] == [None, None, None, "0", "x", "nan"]
     assert tuple(one(spark, T.parse_hex(F.lit("#BFFF96")))) == (191, 255, 150) and one(spark, T.parse_hex(F.lit("#zz"))) is None
 
 
@@ -153,6 +153,41 @@ def test_replies(spark):
     assert {(r["doc_id"], r["error"]) for r in errors.collect()} == {(1, "1 cells under 2 headers"), (3, "no table found"), (4, "no table found")}
 
 
+def test_delimited_replies(spark):
+    """Empty first cells, delimiters, quotes and line ends within quotes, cells beyond the header and missing ones."""
+    text = 'row_id;kind;variable;origin;rationale\n;variable;SEX;Guessed;\nr2;;"a;b";;"one\ntwo ""x"""\nr3;note\nr4;;C;;d;e;f\n\'r5\';;5" thing;;\n\nbye'
+    texts = spark.createDataFrame([(1, text), (2, "row_id\tvariable\n\tX\nr1\t")], "doc_id long, text string")
+    heads = {1: ("row_id", "kind", "variable", "origin", "rationale"), 2: ("row_id", "variable")}
+    got = [(r["doc_id"], tuple(r["row"][h] for h in heads[r["doc_id"]])) for r in reply.parse(texts)[0].orderBy("doc_id", "n").collect()]
+    assert got == [
+        (1, ("", "variable", "SEX", "Guessed", "")), (1, ("r2", "", "a;b", "", 'one\ntwo "x"')), (1, ("r3", "note", "", "", "")), (1, ("r4", "", "C", "", "d")), (1, ("'r5'", "", '5" thing', "", "")),
+        (2, ("", "X")), (2, ("r1", "")),
+    ]
+
+
+def test_wrong_rows_are_told_and_their_reply_gives_nothing(spark):
+    head = "row_id,kind,variable,variable2,origin,confidence\n"
+    texts = spark.createDataFrame([(1, head + ",variable,SEX,,Collected,"), (2, head + "r1,variable,SEX,,Guessed,2\nr2,thing,A,,,x"), (3, head + "r1,,age,ageu,EDT,0.5\nr2,NOTE,,,not submitted,Not Applicable")], "doc_id long, text string")
+    good, errors = reply.proposals(reply.parse(texts)[0])
+    assert {tuple(r) for r in errors.select("doc_id", "row_id", "error").collect()} == {
+        (1, None, "missing row_id"), (2, "r1", "unknown origin: Guessed"), (2, "r1", "confidence is not from 0 to 1: 2"), (2, "r2", "unknown kind: thing"), (2, "r2", "confidence is not from 0 to 1: x"),
+    }
+    assert sorted((r["row_id"], r["slot"], r["kind"], r["variable"], r["origin"], r["confidence"]) for r in good.collect()) == [("r1", 1, "variable", "AGE", "eDT", 0.5), ("r1", 2, "variable", "AGEU", "eDT", 0.5), ("r2", 1, "note", None, "NotSubmitted", None)]
+
+
+def test_notes_of_the_sheet(spark):
+    """A note takes the next slot: alone it is a note in slot 1, beside anno1 a variable in slot 2, after slot 2 a note."""
+    said = [(k, f"r{k}", a1, a2, note, status, by) for k, (a1, a2, note, status, by) in enumerate([("AE.X", "", "", "accepted", "me"), ("AE.X", "", "AE.Y", "proposed", ""), ("", "B", "C", "proposed", ""), ("", "", "see p. 2", "edited", ""), ("A", "B", "AE.C = 1", "", "")], 1)]
+    lines = review.read_lines(spark.createDataFrame([(1, k + 1, r, a1, a2, note, st, by, "dm", "", "") for k, r, a1, a2, note, st, by in said], "doc_id long, excel_row int, row_id string, anno1 string, anno2 string, note string, review_status string, reviewed_by string, domain string, `group` string, origin string"))
+    rows = spark.createDataFrame([(1, k, f"r{k}", 0) for k in range(1, 6)], "doc_id long, row_ord int, row_id string, page_index int")
+    got = [(r["row_id"], r["slot"], r["kind"], r["domain"], r["variable"], r["fixed_value"]) for r in review.to_annotations(lines, rows).orderBy("row_ord", "slot", "shown").collect()]
+    assert got == [
+        ("r1", 1, "variable", "AE", "X", None), ("r2", 1, "variable", "AE", "X", None), ("r2", 2, "variable", "AE", "Y", None), ("r3", 2, "variable", "DM", "B", None), ("r3", 2, "note", "DM", "C", None),
+        ("r4", 1, "note", "DM", None, None), ("r5", 1, "variable", "DM", "A", None), ("r5", 2, "note", "AE", "C", "1"), ("r5", 2, "variable", "DM", "B", None),
+    ]
+    assert [tuple(r) for r in review.errors(lines, rows).select("row_id", "error", "excel_rows").collect()] == [("r4", "reviewed by nobody", "5")]
+
+
 def test_batches(spark):
     pages = spark.createDataFrame([(1, k, n) for k, n in enumerate([100, 60, 200, 10, 140])], "doc_id long, page_index int, n int")
     assert [r["batch"] for r in reply.batches(pages).orderBy("page_index").collect()] == [1, 2, 3, 4, 4]

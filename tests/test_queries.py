@@ -1,6 +1,7 @@
 """Every query with SQL against DuckDB on the smallest tables."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 from formloom.plans import registry
@@ -18,7 +19,7 @@ def duck():
 
 
 def cell(v):
-    if v is None or v != v:
+    if pd.api.types.is_scalar(v) and pd.isna(v):
         return "null"
     if isinstance(v, bool) or not isinstance(v, (int, float)):
         return str(v)
