@@ -23,7 +23,7 @@ def query(needs: str, final: str) -> str:
 
     for n in needs.split():
         add(n)
-    head = ", ".join(f"{n} AS ({STEPS[n][1].strip()})" for n in order)
+    head = ", ".join(f"{n} AS MATERIALIZED ({STEPS[n][1].strip()})" for n in order)
     return f"WITH RECURSIVE {head} {final.strip()}" if order else final.strip()
 
 
