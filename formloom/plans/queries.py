@@ -396,7 +396,7 @@ def place_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @add("place_pages")
 def place_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both slots of every row, among the page's own runs: a fold over pages, which no SQL states."""
+    """Both slots of every row, among the page's own runs. No SQL states it: a test holds placement to its rule, box by box."""
     a = testbed.anchored(testbed.crf_rows(spark, sf_dir))
     texts = F.explode(F.array(F.struct(F.lit(1).alias("slot"), F.lit("SUPPDM.QVAL when QNAM").alias("t")), F.struct(F.lit(2).alias("slot"), F.lit("AGEU").alias("t")))).alias("s")
     units = a.select("doc_id", "page_index", F.col("row_ord").cast("long").alias("unit"), texts, *[F.col(f"anchor.{c}").alias(f"a{c}") for c in ("x0", "y0", "x1", "y1")], G.right_limit(F.col("bbox_1"), F.col("bbox_2"), F.lit(testbed.WIDTH)).alias("limit"), F.lit(False).alias("grouped"))
@@ -426,7 +426,7 @@ def rect_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select("l_orderkey", "l_linenumber", b["x0"].alias("x0"), b["y0"].alias("y0"), b["x1"].alias("x1"), b["y1"].alias("y1"), b["x0"].cast("string").alias("told"))
 
 
-@add("run_split_folded")
+@add("run_split_folded", "runs", "SELECT doc_id, page_index, dense_rank() OVER (PARTITION BY doc_id, page_index ORDER BY line_no) - 1 AS line_no, run_no, x0, y0, x1, y1, text FROM runs")
 def run_split_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines by first fit, then runs: the fold is not SQL; a test holds it against run_split, whose lines do not overlap."""
+    """Lines by first fit, then runs. The tables' lines do not overlap, so that first fit finds those that SQL is told."""
     return extract.runs(extract.assign_lines(testbed.words(spark, sf_dir))).drop("blocks")

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,6 +147,58 @@ def test_placement_wraps_and_keeps_clear(spark):
     assert (r["x0"], r["y0"], r["x1"]) == (254.0, 600.0, 354.0)
 
 
+def plain_places(units, printed):
+    """The rule of placement, box by box: one page's units (unit, grouped, anchor, limit, widths), in order, among printed text."""
+    hits = lambda a, b: min(a[2] + 1.5, b[2]) - max(a[0] - 1.5, b[0]) > 1 and min(a[3] + 1.5, b[3]) - max(a[1] - 1.5, b[1]) > 1
+    taken, edge, out = list(printed), {}, {}
+    for unit, grouped, (ax0, ay0, ax1, ay1), limit, widths in sorted(units, key=lambda u: (u[0], not u[1])):
+        made, used, y, h = [], 0, ay0, max(11.0, ay1 - ay0)
+        x = edge[unit] + 3 if not grouped and edge.get(unit, ax1) > ax1 else ax1 + 4
+        for slot, w in enumerate(widths, 1):
+            if grouped:
+                b = (x, ay0 + (ay1 - ay0 - 11) / 2, x + w, ay0 + (ay1 - ay0 - 11) / 2 + 11)
+                edge[unit] = b[2]
+            else:
+                if x + w > limit and ax0 + w <= limit and used < 6:
+                    x, y, used = ax0, y - 11, used + 1
+                b = (x, y, x + w, y + h)
+                while 0 < used <= 6:
+                    stops = [t for t in taken if hits(b, t)]
+                    if not stops and b[0] >= 6 and b[1] >= 6 and b[2] <= 606 and b[3] <= 786:
+                        break
+                    y = min(t[1] for t in stops) - h - 1.5 if stops else y - 11
+                    used += 1
+                    b = (x, y, x + w, y + h)
+            made.append(b)
+            out[unit, grouped, slot] = b
+            x = b[2] + 3
+        taken += made
+    return out
+
+
+def test_placement_of_pages(spark):
+    """Random crowded pages against the rule, box by box."""
+    rng = np.random.default_rng(6)
+    units, printed, want = [], [], set()
+    for page in range(40):
+        words = [(x, y, x + rng.uniform(20, 200), y + 9) for x, y in zip(rng.uniform(20, 400, 40), rng.uniform(0, 780, 40), strict=True)]
+        printed += [(1, page, *map(float, w)) for w in words]
+        own = []
+        for unit in range(12):
+            y = float(760 - 60 * unit + rng.uniform(-20, 20))
+            box = (60.0, y, float(rng.uniform(100, 420)), y + float(rng.choice([8, 11, 14])))
+            limit, grouped = float(rng.uniform(200, 606)), bool(rng.random() < 0.3)
+            for g in ([True, False] if grouped else [False]):
+                widths = [float(x) for x in rng.uniform(20, 260, rng.integers(1, 4))]
+                own.append((unit, g, box, limit, widths))
+                units += [(1, page, unit, slot, w, *box, limit, g) for slot, w in enumerate(widths, 1)]
+        want |= {(page, unit, slot, *[round(v, 6) for v in b]) for (unit, _, slot), b in plain_places(own, words).items()}
+    df = spark.createDataFrame(units, "doc_id long, page_index int, unit long, slot int, w double, ax0 double, ay0 double, ax1 double, ay1 double, limit double, grouped boolean")
+    around = spark.createDataFrame(printed, "doc_id long, page_index int, x0 double, y0 double, x1 double, y1 double")
+    got = [tuple(r)[1:] for r in layout.place(df, around).collect()]
+    assert len(got) == len(units) and {(p, u, s, *[round(v, 6) for v in b]) for p, u, s, *b in got} == want
+
+
 def test_replies(spark):
     texts = spark.createDataFrame([(1, "Sure\n| Row ID | Variable |\n|---|---|\n| r1 | age |\n| r2 |\n\nbye"), (2, 'x\nrow_id,variable\nr1,"a, b"\n\nend'), (3, "no table"), (4, None)], "doc_id long, text string")
     rows, errors = reply.parse(texts)
