@@ -225,7 +225,19 @@ def merge_wrapped_exact(records: DataFrame) -> DataFrame:
     return merge_wrapped(records.join(islands, LINE).withColumn("blocks_1", F.array("island")).drop("island"))
 
 
-def rows(words: DataFrame, width: float = 612.0, height: float = 792.0, header: str = FORM_HEADER, exact: bool = False, stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+def obstacles(run: DataFrame, height: float = 792.0) -> DataFrame:
+    """(doc_id, page_index, x0, y0, x1, y1), y up: all printed runs of each page, those that a mark covers too."""
+    return run.select(*PAGE, "x0", (F.lit(height) - F.col("y1")).alias("y0"), "x1", (F.lit(height) - F.col("y0")).alias("y1"))
+
+
+def merge_wrapped_any(records: DataFrame) -> DataFrame:
+    """merge_wrapped() for pages whose lines lie in one block each, and the fold for the others: exact for all."""
+    several = F.max(F.coalesce(F.size("blocks_1") > 1, F.lit(False))).over(W.partitionBy(*PAGE))
+    told = records.withColumn("_several", several)
+    return merge_wrapped(told.filter("not _several").drop("_several")).unionByName(merge_wrapped_exact(told.filter("_several").drop("_several")))
+
+
+def rows(words: DataFrame, width: float = 612.0, height: float = 792.0, header: str = FORM_HEADER, stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """crf_rows: doc_id, row_ord, row_id, page_index, form, text_1, text_2, bbox_1, bbox_2, band (y up), full_width.
 
     Words have line_no; assign_lines() gives it where a source does not. Row numbers restart on each page. `stage` may
@@ -236,7 +248,7 @@ def rows(words: DataFrame, width: float = 612.0, height: float = 792.0, header:
     pages = stage(run.select(*PAGE).distinct())
     gutter = page_gutters(run, pages, w)
     bands = line_bands(line_rects(run), w, h).select(*LINE, "band")
-    merged = (merge_wrapped_exact if exact else merge_wrapped)(assemble(run, gutter).join(bands, LINE, "left"))
+    merged = merge_wrapped_any(assemble(run, gutter).join(bands, LINE, "left"))
     order = W.partitionBy("doc_id").orderBy("page_index", "line_no")
     n = F.row_number().over(W.partitionBy(*PAGE).orderBy("line_no"))
     corner = lambda k: G.flip(G.box(*[F.col(f"{c}_{k}") for c in ("x0", "y0", "x1", "y1")]), h)

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 AUTO = "g_"
 
 
+#: Rows of a stretch, by which rows and the groups that span them meet.
+CELL = 32
+
+
 def content() -> Column:
     """What makes two annotations one assertion: kind, domain, origin and the text."""
     e = lambda c: F.coalesce(c, F.lit(""))
@@ -42,13 +46,21 @@ def row_membership(keys: DataFrame, slots: tuple[int, ...] = (1, 2)) -> DataFram
     return keys.filter("key <> ''").select("doc_id", "row_id", F.explode(F.array(*[F.lit(s) for s in slots])).alias("slot"), "key")
 
 
-def resolve_groups(annotations: DataFrame, rows: DataFrame, membership: DataFrame) -> tuple[DataFrame, DataFrame]:
+def own_membership(annotations: DataFrame) -> DataFrame:
+    """(doc_id, row_id, slot, key) from the annotations' own groups: every row that a grouped one covers."""
+    return covered_rows(annotations.filter("coalesce(group_id, '') <> ''")).select("doc_id", F.col("covered").alias("row_id"), "slot", F.col("group_id").alias("key")).distinct()
+
+
+def resolve_groups(annotations: DataFrame, rows: DataFrame, membership: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(resolved, errors): each group and slot as one annotation for each page that its members stand on.
 
     errors (doc_id, key, slot, error, row_id): members that are no rows, contents that differ, and rows amid a group that
     say something else. Groups with an error, or without content, give no annotation; the first member's content is the
-    group's. A run of one has no members. Annotations of no group stay as they are.
+    group's. A run of one has no members. Annotations of no group stay as they are. Without membership, groups are those
+    that the annotations say themselves, as a set that was resolved before does.
     """
+    if membership is None:
+        membership = own_membership(annotations)
     r = rows.select("doc_id", "row_id", F.col("row_ord"), F.col("page_index").alias("_page"))
     m = membership.join(r, ["doc_id", "row_id"], "left")
     unknown = m.filter("row_ord is null").select("doc_id", "key", "slot", F.lit("unknown row").alias("error"), "row_id")
@@ -58,7 +70,9 @@ def resolve_groups(annotations: DataFrame, rows: DataFrame, membership: DataFram
     g = told.groupBy("doc_id", "key", "slot").agg(F.count_distinct("_c").alias("_kinds"), F.min(F.when(F.col("_c").isNotNull(), F.struct("row_ord", "_c"))).alias("_first"), F.min("row_ord").alias("_lo"), F.max("row_ord").alias("_hi"))
     differ = g.filter("_kinds > 1").select("doc_id", "key", "slot", F.lit("contents differ").alias("error"), F.lit(None).cast("string").alias("row_id"))
     others = said.join(r, ["doc_id", "row_id"]).join(m.select("doc_id", "row_id", "slot", F.col("key").alias("_own")), ["doc_id", "row_id", "slot"], "left")
-    within = others.join(g.filter("_kinds > 0").select("doc_id", "slot", "key", "_lo", "_hi"), ["doc_id", "slot"]).filter((F.col("row_ord") > F.col("_lo")) & (F.col("row_ord") < F.col("_hi")) & ~F.col("_own").eqNullSafe(F.col("key")))
+    cell = lambda c: F.floor(F.col(c) / CELL)
+    spans = g.filter("_kinds > 0").select("doc_id", "slot", "key", "_lo", "_hi", F.explode(F.sequence(cell("_lo"), cell("_hi"))).alias("_cell"))
+    within = others.withColumn("_cell", cell("row_ord")).join(spans, ["doc_id", "slot", "_cell"]).filter((F.col("row_ord") > F.col("_lo")) & (F.col("row_ord") < F.col("_hi")) & ~F.col("_own").eqNullSafe(F.col("key")))
     between = within.select("doc_id", "key", "slot", F.lit("row between").alias("error"), "row_id")
     errors = unknown.unionByName(differ).unionByName(between)
     good = g.filter("_kinds = 1").join(errors.select("doc_id", "key", "slot").distinct(), ["doc_id", "key", "slot"], "left_anti")

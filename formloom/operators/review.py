@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from . import grouping
 
 STATUSES = ["proposed", "accepted", "edited", "rejected"]
 COLUMNS = ["row_id", "page", "form", "text_1", "text_2", "coord1", "coord2", "domain", "group", "anno1", "anno2", "note", "origin", "source", "review_status", "reviewed_by"]
@@ -82,6 +83,30 @@ def gate(annotations: DataFrame) -> DataFrame:
     return g.withColumn("open", F.col("proposed") == 0)
 
 
+def reviewed(lines: DataFrame) -> DataFrame:
+    """(doc_id, reviewed, row_id, excel_row, open): whether a sheet may be written anew: no line of it is decided on.
+
+    lines are read_lines(); reviewed counts decided ones, and row_id and excel_row name the first.
+    """
+    decided = F.when(~F.col("review_status").isin("", STATUSES[0]), F.struct("excel_row", "row_id"))
+    out = lines.groupBy("doc_id").agg(F.count(decided).alias("reviewed"), F.min(decided).alias("_f"))
+    return out.select("doc_id", "reviewed", "_f.row_id", "_f.excel_row", (F.col("reviewed") == 0).alias("open"))
+
+
+def folded(lines: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(annotations, errors): a sheet's annotations with its groups made one, and the groups' errors with their lines.
+
+    A text is typed on any row of a group; the group's key stands on every row.
+    """
+    keys = lines.filter("`group` <> ''").select("doc_id", "row_id", F.col("group").alias("key"))
+    given = to_annotations(lines, rows).withColumn("group_id", F.lit(None).cast("string"))
+    out, wrong = grouping.resolve_groups(given, rows, grouping.row_membership(keys))
+    at = lines.select("doc_id", "row_id", F.col("group").alias("_key"), "excel_row")
+    hit = (F.col("row_id").isNull() & (F.col("_key") == F.col("key"))) | (F.col("_row") == F.col("row_id"))
+    named = wrong.join(at.withColumnRenamed("row_id", "_row"), "doc_id").filter(hit)
+    return out, named.groupBy("doc_id", "key", "slot", "error", "row_id").agg(F.array_join(F.array_sort(F.collect_set(F.col("excel_row").cast("long"))), ", ").alias("excel_rows"))
+
+
 def submittable(annotations: DataFrame) -> DataFrame:
     return annotations.filter("review_status <> 'rejected'")
 

@@ -22,6 +22,12 @@ def palette(rank: Column) -> Column:
     return F.element_at(table, (F.pmod(rank - 1, F.lit(len(PALETTE))) + 1).cast("int"))
 
 
+def forms_in_order(rows: DataFrame) -> DataFrame:
+    """(doc_id, place, form): a document's forms as they are first met, from 1; rows without one don't count."""
+    first = rows.filter("form <> ''").groupBy("doc_id", "form").agg(F.min("row_ord").alias("_first"))
+    return first.select("doc_id", F.row_number().over(W.partitionBy("doc_id").orderBy("_first")).alias("place"), "form")
+
+
 def with_form(annotations: DataFrame, rows: DataFrame) -> DataFrame:
     """Annotations with the form of their row, or the first on their page, or ""."""
     own = rows.filter("form <> ''").select("doc_id", "row_id", F.col("form").alias("_own"))

@@ -57,3 +57,17 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
 def read_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """(doc_id, content): binary files of a folder by their names."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select(F.element_at(F.split("path", "/"), -1).alias("doc_id"), "content")
+
+
+def counterparts(annotated: DataFrame, blank: DataFrame) -> DataFrame:
+    """(doc_id, blank_id): each annotated file (doc_id, a name or path) with the blank form of the same name, null if there is none."""
+    name = lambda c: F.element_at(F.split(c, "/"), -1)
+    own = blank.groupBy(name("doc_id").alias("_n")).agg(F.min("doc_id").alias("blank_id"))
+    return annotated.select("doc_id", name("doc_id").alias("_n")).join(own, "_n", "left").select("doc_id", "blank_id")
+
+
+def write_batches(files: DataFrame, path: str) -> None:
+    """A batch's texts under their names, by document: one row of (doc_id, name, text) for each file, written as folders of text."""
+    one = lambda name, text: files.select("doc_id", F.col(name).alias("name"), F.col(text).alias("value"))
+    both = one("instructions", "instructions_text").unionByName(one("sheet", "sheet_text"))
+    both.write.partitionBy("doc_id", "name").text(path)
