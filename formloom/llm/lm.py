@@ -23,10 +23,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import BLOCK_BYTES, REQUEST, REQUEST_ARROW, Block, batch, pack, pack_ints, trim, unpack, unpack_ints, unpack_sorted
+from .blocks import REQUEST, REQUEST_ARROW, Block, batch, pack, pack_ints, trim, unpack, unpack_ints, unpack_sorted
 from .common import held_out, read, spread, written
 
 DEPTH = 5
@@ -34,8 +35,10 @@ DEPTH = 5
 LOW = 2
 #: Groups of contexts and buckets of words at most: how many messages a block sends.
 GROUPS = 4096
+#: Bytes of text after which a block ends: its words and pairs are held at once.
+BLOCK_BYTES = 12 << 20
 #: Symbols worked on at once.
-AT_ONCE = 1 << 21
+AT_ONCE = 1 << 18
 #: Classes of a node's total and of its distinct symbols, for estimates of escapes.
 TOTALS, KINDS = 48, 12
 FOLDS, HELD_FOLD = 7, 2
@@ -83,6 +86,49 @@ def group_of(keys: np.ndarray, groups: int) -> np.ndarray:
     return (((three * _U(0x9E3779B97F4A7C15)) >> _U(40)) % _U(groups)).astype(np.int64)
 
 
+def gathered(keys: list[np.ndarray], counts: list[np.ndarray], most: int = 1 << 19) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The pieces, summed to one where those after the first outgrow it."""
+    if len(keys) > 1 and sum(map(len, keys[1:])) > max(most, len(keys[0])):
+        keys, counts = ([x] for x in summed(np.concatenate(keys), np.concatenate(counts)))
+    return keys, counts
+
+
+class Pairs:
+    """The distinct pairs of a block's texts with their training counts, and the texts, packed as they come."""
+
+    def __init__(self) -> None:
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.texts: list[bytes] = []
+        self.learns: list[bool] = []
+        self.size = self.many = 0
+        self.packer, self.packed = zstandard.ZstdCompressor(level=3).compressobj(), []
+
+    def add(self, text: bytes, learns: bool) -> None:
+        self.texts.append(text)
+        self.learns.append(learns)
+        self.size += len(text) + 1
+        if self.size >= AT_ONCE:
+            self.take()
+
+    def take(self) -> None:
+        for k, text in enumerate(self.texts):
+            self.packed.append(self.packer.compress(b"\n" + text if self.many + k else text))
+        learns = np.array(self.learns, bool)
+        for doc, key in symbols(self.texts):
+            codes, own = pd.factorize(key)
+            self.keys.append(own)
+            self.counts.append(np.bincount(codes, learns[doc], len(own)).astype(np.int64))
+            self.keys, self.counts = gathered(self.keys, self.counts)
+        self.many += len(self.texts)
+        self.texts, self.learns, self.size = [], [], 0
+
+    def told(self) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """The texts, a line each, packed; the keys, sorted, and their counts."""
+        self.take()
+        return b"".join([*self.packed, self.packer.flush()]), *summed(np.concatenate(self.keys), np.concatenate(self.counts))
+
+
 def lm_blocks(groups: int, block_bytes: int = BLOCK_BYTES):
     """Superstep 1, for mapInArrow over (doc_id, text, learns): a block's documents, and its words and pairs for each group."""
 
@@ -90,22 +136,20 @@ def lm_blocks(groups: int, block_bytes: int = BLOCK_BYTES):
         from pyspark import TaskContext
 
         trim()
-        part, made, block, texts = TaskContext.get().partitionId(), 0, Block(), []
+        part, made, block, pairs = TaskContext.get().partitionId(), 0, Block(), Pairs()
 
         def out() -> Iterator[pa.RecordBatch]:
+            nonlocal pairs
             number = (part << 20) + made
             row = lambda **cells: batch([dict.fromkeys(REQUEST_ARROW.names) | {"block": number} | cells], REQUEST_ARROW)
-            yield row(kind=TEXT, blob=pack(b"\n".join(texts)))
-            learns, keys, counts = np.array(block.learns, bool), [], []
-            for doc, key in symbols(texts):
-                codes, own = pd.factorize(key)
-                keys.append(own)
-                counts.append(np.bincount(codes, learns[doc], len(own)).astype(np.int64))
-            keys, counts = summed(np.concatenate(keys), np.concatenate(counts))
+            text, keys, counts = pairs.told()
+            pairs = Pairs()
+            yield row(kind=TEXT, blob=text)
             on = keys[counts > 0]
             order = np.minimum(on >> _U(56), _U(LOW))
             low, n = summed((order << _U(56)) | (on & _MASKS[order.astype(np.int64) + 1]), counts[counts > 0])
             yield row(kind=LOW_PAIRS, blob=pack(low.astype("<u8").tobytes()), counts=pack(n.astype("<i8").tobytes()))
+            del text, on, order, low, n
             group = group_of(keys, groups)
             by = np.argsort(group, kind="stable")
             edges = np.searchsorted(group[by], np.arange(groups + 1))
@@ -119,15 +163,16 @@ def lm_blocks(groups: int, block_bytes: int = BLOCK_BYTES):
         for b in batches:
             for i, doc_id, learns in zip(range(b.num_rows), b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
                 words = (b.column(1)[i].as_py() or "").encode().lower().split()
-                texts.append(b" ".join(words))
-                block.add(doc_id, bool(learns), words, len(texts[-1]))
+                text = b" ".join(words)
+                pairs.add(text, bool(learns))
+                block.add(doc_id, bool(learns), words, len(text))
                 if block.size >= block_bytes:
                     yield from out()
-                    made, block, texts = made + 1, Block(), []
+                    made, block = made + 1, Block()
                     trim()
         if block.ids:
             yield from out()
-        del block, texts
+        del block, pairs
         trim()
 
     return run
@@ -299,7 +344,7 @@ def step(seen: np.ndarray, order: int, n: np.ndarray, t: np.ndarray, q: np.ndarr
     return np.where(n > 0, np.log10((1 - e) * np.maximum(n, 1) / np.maximum(t, 1)), np.where(t > 0, np.log10(e), 0.0))
 
 
-def count_pairs(batches: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Superstep 2, for mapInArrow over requests sorted by group: each group's training pairs, and last left_out() of orders above LOW."""
     told, now, keys, counts = np.zeros((DEPTH + 1, TOTALS * KINDS, 2), np.int64), None, [], []
 
@@ -318,8 +363,7 @@ def count_pairs(batches: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Itera
         n = unpack_ints(r["counts"]).astype(np.int64)
         keys.append(np.frombuffer(unpack(r["blob"]), "<u8")[n > 0])
         counts.append(n[n > 0])
-        if len(keys) > 1 and sum(map(len, keys[1:])) > max(most, len(keys[0])):
-            keys, counts = ([x] for x in summed(np.concatenate(keys), np.concatenate(counts)))
+        keys, counts = gathered(keys, counts)
     yield from done()
     yield table_row(-1, b"", told, ESTIMATES)
 
@@ -365,6 +409,16 @@ def estimate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["at", "n"])
 
 
+def lines_of(blob: bytes) -> Iterator[list[bytes]]:
+    """A packed text's lines, some at a time."""
+    source, rest = zstandard.ZstdDecompressor().stream_reader(blob), b""
+    while data := source.read(AT_ONCE):
+        *lines, rest = (rest + data).split(b"\n")
+        if lines:
+            yield lines
+    yield [rest]
+
+
 def score(train_tokens: int, distinct: int, end_count: int):
     """Superstep 4, for mapInArrow over payloads and replies sorted by block: sums over documents."""
 
@@ -382,8 +436,11 @@ def score(train_tokens: int, distinct: int, end_count: int):
         asked = pd.Index(np.concatenate([np.frombuffer(unpack(r["blob"]), "<u8") for r in of(PAIRS)]))
         costs = np.concatenate([np.frombuffer(unpack(r["costs"]), "<f8") for r in of(PAIRS)])
         own = np.zeros(len(lens))
-        for at, key in symbols(unpack(text["blob"]).split(b"\n")):
-            own += np.bincount(at, costs[asked.get_indexer(key)], len(lens))
+        first = 0
+        for texts in lines_of(text["blob"]):
+            for at, key in symbols(texts):
+                own += np.bincount(at + first, costs[asked.get_indexer(key)], len(lens))
+            first += len(texts)
         yield pa.RecordBatch.from_arrays([
             pa.array(payload["ids"], pa.int64()), pa.array(lens + 1), pa.array((total((count > 0) * 1.0) + (end_count > 0)).astype(np.int64)),
             pa.array(total(base(count)) + base(end_count)), pa.array(own),
