@@ -70,8 +70,7 @@ def legends(domains: DataFrame, origins: DataFrame, width: float = 612.0) -> Dat
     """
     told = domains.withColumn("w", G.text_width(F.col("text"), LEGEND_FONT) + 2 * LEGEND_GAP)
     one = told.groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct("place", "text", "fill", "w"))).alias("_d")).join(origins, PAGE)
-    box = one.schema["_d"].dataType.elementType
-    zero = F.struct(F.lit(0.0).alias("at"), F.lit(0.0).alias("down"), F.from_json(F.lit("[]"), f"array<struct<k:int,x:double,y:double>>").alias("out"))
+    zero = F.struct(F.lit(0.0).alias("at"), F.lit(0.0).alias("down"), F.expr("cast(array() as array<struct<k:int,x:double,y:double>>)").alias("out"))
     limit = F.lit(width) - 2 * F.col("x")  # from the origin on
 
     def add(acc: Column, d: Column) -> Column:
@@ -80,7 +79,6 @@ def legends(domains: DataFrame, origins: DataFrame, width: float = 612.0) -> Dat
         placed = F.struct(F.size(acc["out"]).alias("k"), at.alias("x"), down.alias("y"))
         return F.struct((at + d["w"] + LEGEND_GAP).alias("at"), down.alias("down"), F.concat(acc["out"], F.array(placed)).alias("out"))
 
-    assert "w" in box.fieldNames()
     flow = one.withColumn("_o", F.aggregate("_d", zero, add, lambda acc: acc["out"])).select(*PAGE, "x", "y", F.explode(F.arrays_zip("_d", "_o")).alias("z"))
     x0, y0 = F.col("x") + F.col("z._o.x"), F.col("y") + F.col("z._o.y")
     return flow.select(*PAGE, "z._d.place", "z._d.text", "z._d.fill", x0.alias("x0"), y0.alias("y0"), (x0 + F.col("z._d.w")).alias("x1"), (y0 + LEGEND_HEIGHT).alias("y1"))
@@ -97,15 +95,16 @@ def stamp(annotations: DataFrame) -> DataFrame:
     return annotations.groupBy("doc_id").agg(F.count_if(is_drawn).alias("drawn"), F.count_if(is_drawn & F.coalesce("suggested", F.lit(False))).alias("suggested"))
 
 
-def exchanged(found: DataFrame, pages: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(marks, errors) of annotations read from exchange files: name, page, rect, contents, color, kind by doc_id.
+def exchanged(found: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(marks, errors) of annotations read from exchange files (xfdf.parse(): doc_id, page_index, name, color, contents, kind).
 
-    pages: doc_id, page_index of the form; docs: doc_id of every file. What the file holds is drawn as it stands. errors
-    (doc_id, name, error): annotations on pages that the form lacks, and files without any annotation.
+    pages: doc_id, page_index of the forms. What a file holds is drawn as it stands; texts that are empty are not drawn.
+    errors (doc_id, name, error): annotations on pages that the form lacks, and forms whose file has no annotation.
     """
-    on = found.join(pages.select("doc_id", F.col("page_index").alias("page"), F.lit(True).alias("_there")), ["doc_id", "page"], "left")
-    lacks = on.filter("_there is null").select("doc_id", "name", F.concat(F.lit("no page "), F.col("page") + 1).alias("error"))
-    none = docs.select("doc_id").join(found.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", F.lit(None).cast("string").alias("name"), F.lit("no annotations").alias("error"))
+    there = pages.select("doc_id", "page_index", F.lit(True).alias("_there")).distinct()
+    on = found.join(there, ["doc_id", "page_index"], "left")
+    lacks = on.filter("_there is null").select("doc_id", "name", F.concat(F.lit("no page "), F.col("page_index") + 1).alias("error"))
+    none = there.select("doc_id").distinct().join(found.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", F.lit(None).cast("string").alias("name"), F.lit("no annotations").alias("error"))
     good = on.filter("_there and coalesce(contents, '') <> ''").drop("_there").withColumn("fill", T.parse_hex(F.col("color"))).withColumnRenamed("contents", "shown")
     return marks(good), lacks.unionByName(none)
 

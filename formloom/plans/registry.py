@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import drawing  # noqa: F401  registers its queries
 from .queries import QUERIES, SQL
 
 __all__ = ["FLAGSHIP", "QUERIES", "SQL"]

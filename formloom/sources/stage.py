@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a temporary one of this machine only where it is unset."""
+    """The folder that spark.checkpoint.dir names. Unset, a temporary one of this machine serves, on a local master only."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="formloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
