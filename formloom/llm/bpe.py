@@ -30,8 +30,8 @@ def tokenizer(path: str):
     return known[path]
 
 
-#: Distinct words that a process remembers; when it has more it starts anew.
-KNOWN_WORDS = 850_000
+#: Bytes of distinct words that a process remembers, by what each takes as two objects of a dict; when it has more it starts anew.
+KNOWN_BYTES, EACH = 160 << 20, 170
 #: Marks of which the first with one token stands between words that are encoded as one text; parts that hold it are encoded word by word.
 MARKS = "\u00A4\u00B1\u2020\u00A7\u2022\u00A9^~"
 #: A capital with a character beyond ASCII behind it: a mark may compose with the small letter alone.
@@ -53,6 +53,7 @@ class Encoder:
     def __init__(self, path: str) -> None:
         self.tok = tokenizer(path)
         self.known: dict[bytes, bytes] = {}
+        self.held = 0
         ids = lambda t: self.tok.encode(t, add_special_tokens=False).ids
         self.mark = next((m for m in MARKS if len(ids(m)) == 1), "")
         self.mark_id = ids(self.mark)[0] if self.mark else -1
@@ -95,10 +96,12 @@ class Encoder:
     def texts(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text; distinct words are remembered."""
         told = list(map(self.words, texts))
-        if len(self.known) > KNOWN_WORDS:
-            self.known = {}
+        if self.held > KNOWN_BYTES:
+            self.known, self.held = {}, 0
         new = list(set().union(*told).difference(self.known))
-        self.known.update(zip(new, self.encode(new), strict=True))
+        ids = self.encode(new)
+        self.known.update(zip(new, ids, strict=True))
+        self.held += EACH * len(new) + sum(map(len, new)) + sum(map(len, ids))
         return [b"".join(map(self.known.__getitem__, words)) for words in told]
 
 
