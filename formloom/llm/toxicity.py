@@ -33,7 +33,7 @@ BOUND = 1.64
 #: A token's features: its first characters, so many, and all of it with a mark that no token has.
 BEGINS, WHOLE, ALL = range(3, 9), "$", ""
 #: Features that a task sums before it tells them, and tokens whose scores it remembers.
-MOST_COUNTED, REMEMBERED = 200_000, 100_000
+MOST_COUNTED, REMEMBERED = 200_000, 300_000
 FOLDS, HELD_FOLD = 5, 0
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 EVIDENCE = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("evidence", pa.float64()), ("segments", pa.list_(pa.list_(pa.int32())))])
