@@ -92,11 +92,8 @@ class Block:
         self.learns.append(learns)
         self.size += size
 
-    def rows(self, block: int, buckets: int, start: int | None = None) -> Iterator[dict]:
-        """The payload (kind 0) and a row of distinct words for each bucket (kind 1), the most frequent words first.
-
-        A word's bucket is that of its first `start` bytes, or of all.
-        """
+    def rows(self, block: int, buckets: int) -> Iterator[dict]:
+        """The payload (kind 0) and a row of distinct words for each bucket of a hash (kind 1), the most frequent words first."""
         n = len(self.number)
         lens = np.array([len(s) for s in self.seqs], np.int64)
         seq = np.concatenate(self.seqs) if self.seqs else np.zeros(0, np.uint32)
@@ -108,7 +105,7 @@ class Block:
         yield {"kind": 0, "block": block, "bucket": None, "blob": pack_ints(rank[seq]), "counts": None, "places": None, "ids": self.ids, "lens": lens.tolist()}
         words = list(self.number)
         words = [words[i] for i in order.tolist()]
-        bucket = np.fromiter((zlib.crc32(w[:start]) for w in words), np.uint32, n) % buckets
+        bucket = np.fromiter((zlib.crc32(w) for w in words), np.uint32, n) % buckets
         by = np.argsort(bucket, kind="stable")
         edges = np.searchsorted(bucket[by], np.arange(buckets + 1))
         for b in range(buckets):
@@ -123,7 +120,7 @@ def batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
 REQUEST_ARROW = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("bucket", pa.int32()), ("blob", pa.binary()), ("counts", pa.binary()), ("places", pa.binary()), ("ids", pa.list_(pa.int64())), ("lens", pa.list_(pa.int32()))])
 
 
-def blocks(buckets: int, lower: bool, start: int | None = None, block_bytes: int = BLOCK_BYTES):
+def blocks(buckets: int, lower: bool, block_bytes: int = BLOCK_BYTES):
     """For mapInArrow over (doc_id, text, learns): the rows of REQUEST.
 
     Words are runs of characters other than space and tab to carriage return. A block's number is its partition's and
@@ -137,7 +134,7 @@ def blocks(buckets: int, lower: bool, start: int | None = None, block_bytes: int
         part, made, block = TaskContext.get().partitionId(), 0, Block()
 
         def out(block: Block) -> Iterator[pa.RecordBatch]:
-            for r in block.rows((part << 20) + made, buckets, start):
+            for r in block.rows((part << 20) + made, buckets):
                 yield batch([r], REQUEST_ARROW)
 
         for b in batches:

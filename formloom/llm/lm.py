@@ -18,6 +18,8 @@ or collected.
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import REQUEST, REQUEST_ARROW, Block, batch, pack, pack_ints, trim, unpack, unpack_ints, unpack_sorted
+from .blocks import batch, pack, pack_ints, trim, unpack, unpack_ints
 from .common import held_out, read, spread, written
 
 DEPTH = 5
@@ -44,12 +46,14 @@ TOTALS, KINDS = 48, 12
 FOLDS, HELD_FOLD = 7, 2
 COUNTED = "kind int, bucket int, blob binary, counts binary"
 COUNTED_ARROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("blob", pa.binary()), ("counts", pa.binary())])
-REPLY = "kind int, block bigint, blob binary, costs binary, counts binary, places binary, ids array<bigint>, lens array<int>"
-REPLY_ARROW = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("blob", pa.binary()), ("costs", pa.binary()), ("counts", pa.binary()), ("places", pa.binary()), ("ids", pa.list_(pa.int64())), ("lens", pa.list_(pa.int32()))])
+REQUEST = "kind int, block bigint, bucket int, blob binary, counts binary, ids array<bigint>"
+REQUEST_ARROW = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("bucket", pa.int32()), ("blob", pa.binary()), ("counts", pa.binary()), ("ids", pa.list_(pa.int64()))])
+REPLY = "kind int, block bigint, blob binary, costs binary, counts binary, ids array<bigint>"
+REPLY_ARROW = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("blob", pa.binary()), ("costs", pa.binary()), ("counts", pa.binary()), ("ids", pa.list_(pa.int64()))])
 SCORES = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 #: Kinds of rows: a merged table comes before the requests of its group.
-TABLE, PAYLOAD, WORDS, PAIRS, LOW_PAIRS, TEXT, ESTIMATES = -1, 0, 1, 2, 3, 4, 5
-_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(DEPTH + 1)], np.uint64)
+TABLE, WORDS, PAIRS, LOW_PAIRS, TEXT, ESTIMATES = range(-1, 5)
+_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(DEPTH + 2)], np.uint64)
 _U = np.uint64
 
 
@@ -62,14 +66,21 @@ def symbols(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     lens = np.fromiter(map(len, texts), np.int64, len(texts)) + 2
     starts = np.cumsum(lens) - lens
     for p in range(0, len(s), AT_ONCE):
-        j = np.arange(p, min(p + AT_ONCE, len(s)))
-        doc = np.searchsorted(starts, j, side="right") - 1
+        e = min(p + AT_ONCE, len(s))
+        j = np.arange(p, e)
+        first, last = np.searchsorted(starts, [p, e - 1], side="right") - 1
+        edges = np.clip(np.append(starts[first : last + 1], e), p, e)
+        doc = np.repeat(np.arange(first, last + 1), np.diff(edges))
         far = j - starts[doc]
-        j, doc, order = j[far > 0], doc[far > 0], np.minimum(far[far > 0], DEPTH)
-        context = np.zeros(len(j), _U)
+        before = max(0, p - DEPTH)
+        wide = np.concatenate([np.zeros(DEPTH - (p - before), _U), s[before:e].astype(_U)])  # wide[DEPTH] is s[p]
+        key = wide[DEPTH:].copy()
         for k in range(1, DEPTH + 1):
-            context |= s[np.maximum(j - k, 0)].astype(_U) << _U(8 * (k - 1))
-        yield doc, (order.astype(_U) << _U(56)) | ((context & _MASKS[order]) << _U(8)) | s[j]
+            key |= wide[DEPTH - k : len(wide) - k] << _U(8 * k)
+        short = np.flatnonzero(far < DEPTH)
+        key[short] &= _MASKS[far[short] + 1]
+        on = far > 0
+        yield doc[on], ((np.minimum(far, DEPTH).astype(_U) << _U(56)) | key)[on]
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,6 +140,29 @@ class Pairs:
         return b"".join([*self.packed, self.packer.flush()]), *summed(np.concatenate(self.keys), np.concatenate(self.counts))
 
 
+class Words:
+    """The distinct words of a block with their training counts."""
+
+    def __init__(self) -> None:
+        self.learned: Counter = Counter()
+        self.others: set[bytes] = set()
+
+    def add(self, words: list[bytes], learns: bool) -> None:
+        self.learned.update(words) if learns else self.others.update(words)
+
+    def told(self, buckets: int) -> Iterator[tuple[int, bytes, np.ndarray]]:
+        """Each bucket of a hash that has words: its number, the words, a line each, and their counts."""
+        words = [*self.learned, *self.others.difference(self.learned)]
+        counts = np.zeros(len(words), np.int64)
+        counts[: len(self.learned)] = np.fromiter(self.learned.values(), np.int64, len(self.learned))
+        bucket = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % buckets
+        by = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[by], np.arange(buckets + 1))
+        for b in range(buckets):
+            if len(at := by[edges[b] : edges[b + 1]]):
+                yield b, b"\n".join([words[i] for i in at.tolist()]), counts[at]
+
+
 def lm_blocks(groups: int, block_bytes: int = BLOCK_BYTES):
     """Superstep 1, for mapInArrow over (doc_id, text, learns): a block's documents, and its words and pairs for each group."""
 
@@ -136,15 +170,14 @@ def lm_blocks(groups: int, block_bytes: int = BLOCK_BYTES):
         from pyspark import TaskContext
 
         trim()
-        part, made, block, pairs = TaskContext.get().partitionId(), 0, Block(), Pairs()
+        part, made, words, pairs, ids, size = TaskContext.get().partitionId(), 0, Words(), Pairs(), [], 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            nonlocal pairs
-            number = (part << 20) + made
-            row = lambda **cells: batch([dict.fromkeys(REQUEST_ARROW.names) | {"block": number} | cells], REQUEST_ARROW)
+            nonlocal pairs, words
+            row = lambda **cells: batch([dict.fromkeys(REQUEST_ARROW.names) | {"block": (part << 20) + made} | cells], REQUEST_ARROW)
             text, keys, counts = pairs.told()
             pairs = Pairs()
-            yield row(kind=TEXT, blob=text)
+            yield row(kind=TEXT, blob=text, ids=ids)
             on = keys[counts > 0]
             order = np.minimum(on >> _U(56), _U(LOW))
             low, n = summed((order << _U(56)) | (on & _MASKS[order.astype(np.int64) + 1]), counts[counts > 0])
@@ -157,22 +190,25 @@ def lm_blocks(groups: int, block_bytes: int = BLOCK_BYTES):
                 if len(at := by[edges[g] : edges[g + 1]]):
                     yield row(kind=PAIRS, bucket=g, blob=pack(keys[at].astype("<u8").tobytes()), counts=pack_ints(counts[at]))
             del keys, counts, group, by
-            for r in block.rows(number, groups):
-                yield batch([r], REQUEST_ARROW)
+            for b, blob, n in words.told(groups):
+                yield row(kind=WORDS, bucket=b, blob=pack(blob), counts=pack_ints(n))
+            words = Words()
 
         for b in batches:
             for i, doc_id, learns in zip(range(b.num_rows), b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
-                words = (b.column(1)[i].as_py() or "").encode().lower().split()
-                text = b" ".join(words)
+                own = (b.column(1)[i].as_py() or "").encode().lower().split()
+                text = b" ".join(own)
                 pairs.add(text, bool(learns))
-                block.add(doc_id, bool(learns), words, len(text))
-                if block.size >= block_bytes:
+                words.add(own, bool(learns))
+                ids.append(doc_id)
+                size += len(text)
+                if size >= block_bytes:
                     yield from out()
-                    made, block = made + 1, Block()
+                    made, ids, size = made + 1, [], 0
                     trim()
-        if block.ids:
+        if ids:
             yield from out()
-        del block, pairs
+        del words, pairs, ids
         trim()
 
     return run
@@ -230,7 +266,7 @@ def tell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = dict(zip(words, n, strict=True)) if n else {}
             continue
         n = np.fromiter((total.get(w, 0) for w in words), np.int64, len(words))
-        yield batch([dict.fromkeys(REPLY_ARROW.names) | {"kind": WORDS, "block": r["block"], "places": r["places"], "counts": pack(n.astype("<i8").tobytes())}], REPLY_ARROW)
+        yield batch([dict.fromkeys(REPLY_ARROW.names) | {"kind": WORDS, "block": r["block"], "blob": r["blob"], "counts": pack(n.astype("<i8").tobytes())}], REPLY_ARROW)
 
 
 def class_of(total: np.ndarray, kinds: np.ndarray) -> np.ndarray:
@@ -424,27 +460,33 @@ def score(train_tokens: int, distinct: int, end_count: int):
 
     def finish(rows: list[dict]) -> Iterator[pa.RecordBatch]:
         of = lambda kind: [r for r in rows if r["kind"] == kind]
-        (payload,), (text,) = of(PAYLOAD), of(TEXT)
-        seq = unpack_ints(payload["blob"]).astype(np.int64)
-        count = np.zeros(int(seq.max()) + 1 if len(seq) else 0, np.int64)
-        for r in of(WORDS):
-            count[unpack_sorted(r["places"])] = np.frombuffer(unpack(r["counts"]), "<i8")
+        (text,) = of(TEXT)
         base = lambda c: np.log10((c + 1.0) / (train_tokens + 1.0 * (distinct + 1)))
-        lens = np.array(payload["lens"], np.int64)
-        doc = np.repeat(np.arange(len(lens)), lens)
-        total = lambda x: np.bincount(doc, x[seq], len(lens))
-        asked = pd.Index(np.concatenate([np.frombuffer(unpack(r["blob"]), "<u8") for r in of(PAIRS)]))
-        costs = np.concatenate([np.frombuffer(unpack(r["costs"]), "<f8") for r in of(PAIRS)])
-        own = np.zeros(len(lens))
-        first = 0
+        number, counts = {}, []
+        for r in of(WORDS):
+            for w in unpack(r["blob"]).split(b"\n"):
+                number[w] = len(number)
+            counts.append(np.frombuffer(unpack(r["counts"]), "<i8"))
+        count = np.concatenate([*counts, np.zeros(0, np.int64)])
+        share = base(count)
+        keys, costs = [], []
+        for r in of(PAIRS):
+            keys.append(np.frombuffer(unpack(r["blob"]), "<u8"))
+            costs.append(np.frombuffer(unpack(r["costs"]), "<f8"))
+        asked, cost, first = pd.Index(np.concatenate(keys)), np.concatenate(costs), 0
+        del keys, costs
         for texts in lines_of(text["blob"]):
-            for at, key in symbols(texts):
-                own += np.bincount(at + first, costs[asked.get_indexer(key)], len(lens))
+            own = np.zeros(len(texts))
+            for doc, key in symbols(texts):
+                own += np.bincount(doc, cost[asked.get_indexer(key)], len(texts))
+            told = []
+            for t in texts:
+                words = t.split()
+                at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+                told.append((len(words) + 1, int((count[at] > 0).sum()) + (end_count > 0), float(share[at].sum() + base(end_count))))
+            n, known, bases = zip(*told, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(text["ids"][first : first + len(texts)], pa.int64()), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(bases), pa.array(own)], schema=SCORES)
             first += len(texts)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(payload["ids"], pa.int64()), pa.array(lens + 1), pa.array((total((count > 0) * 1.0) + (end_count > 0)).astype(np.int64)),
-            pa.array(total(base(count)) + base(end_count)), pa.array(own),
-        ], schema=SCORES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trim()
@@ -481,11 +523,11 @@ def score_documents(docs: DataFrame, held, doc_id: str = "doc_id", text: str = "
     seen.reshape(-1)[told["at"].to_numpy(np.int64)] += told["n"].to_numpy(np.int64)
 
     def replies(kind: int, reply) -> DataFrame:
-        tables = counted[kind].filter(F.col("kind") == TABLE).select("kind", "bucket", F.lit(None).cast("bigint").alias("block"), "blob", "counts", F.lit(None).cast("binary").alias("places"))
-        both = tables.union(asked[kind].select("kind", "bucket", "block", "blob", "counts", "places"))
+        tables = counted[kind].filter(F.col("kind") == TABLE).select("kind", "bucket", F.lit(None).cast("bigint").alias("block"), "blob", "counts")
+        both = tables.union(asked[kind].select("kind", "bucket", "block", "blob", "counts"))
         return both.repartition(groups, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(reply, REPLY)
 
-    payloads = table.filter(F.col("kind").isin(PAYLOAD, TEXT)).select("kind", "block", "blob", F.lit(None).cast("binary").alias("costs"), "counts", "places", "ids", "lens")
+    payloads = table.filter(F.col("kind") == TEXT).select("kind", "block", "blob", F.lit(None).cast("binary").alias("costs"), "counts", "ids")
     all_ = payloads.union(replies(WORDS, tell_counts)).union(replies(PAIRS, answer(low_keys, low_n, seen)))
     per_doc = all_.repartition(n, "block").sortWithinPartitions("block").mapInArrow(
         score(train_tokens, distinct, end_count), "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
