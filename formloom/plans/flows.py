@@ -33,7 +33,8 @@ def form_rows(spark: SparkSession, path: str) -> DataFrame:
 def build_sheet(spark: SparkSession, forms: str, out: str, lookup: str | None = None, most: int = 150) -> DataFrame:
     """Forms to rows, a control sheet of what precedent answers, and batches to ask for the rest. Returns the batches' manifest."""
     rows = form_rows(spark, forms)
-    tables.write_documents(rows, f"{out}/rows")
+    tables.write_documents(rows, f"{out}/rows_json")
+    rows.write.parquet(f"{out}/rows")
     files = prompt.batch_files(rows, most)
     if lookup:
         known = staged(precedent.match_precedent(rows, tables.read_lookup(spark, lookup)))

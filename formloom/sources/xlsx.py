@@ -90,7 +90,7 @@ def workbooks(sheet: DataFrame) -> DataFrame:
 
 
 def lines(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(lines, errors) of workbooks (doc_id, content): review.read_lines() with excel_row; files that lack a column."""
+    """(lines, errors) of workbooks (doc_id, content): review.read_lines() with excel_row; files that lack a column or are no workbook."""
     kind = files.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, excel_row int, error string, " + ", ".join(f"`{c}` string" for c in review.COLUMNS)
 
@@ -98,7 +98,11 @@ def lines(files: DataFrame) -> tuple[DataFrame, DataFrame]:
         for page in pages:
             out = []
             for doc_id, content in zip(page["doc_id"], page["content"], strict=True):
-                told = cells_of(content)
+                try:
+                    told = cells_of(content)
+                except (zipfile.BadZipFile, KeyError, IndexError, ValueError, TypeError, ET.ParseError) as e:
+                    out.append((doc_id, None, f"no workbook: {type(e).__name__}", *[None] * len(review.COLUMNS)))
+                    continue
                 head = {v.strip(): k for k, v in (told[0][1] if told else {}).items()}
                 lacks = [c for c in review.COLUMNS if c not in head]
                 if lacks:
