@@ -213,7 +213,8 @@ def encode_decode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str
     """doc_id, ids (little-endian unsigned 32-bit) and decoded (UTF-8) of every row.
 
     Null and empty texts have no ids and decode to nothing; null ids are kept; equal rows come back as often as they came
-    in; no rows give none. A task holds one block: a document and the others up to the block's bytes.
+    in; other columns are not read; no rows give none. A task holds one block: a text of any length and the others up to
+    the block's bytes.
     """
     n = partitions(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), F.lit(True).alias("learns"))

@@ -132,8 +132,9 @@ def run(max_lost: float, clean: bool):
 def clean_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_lost: float = 0.5, clean: bool = True) -> DataFrame:
     """Of every row: the base counts, base_failed, kept, kept_words (in lines that stay) and cleaned (those lines; null unless clean).
 
-    Null and empty texts have no words and fail; null ids are kept; equal rows are judged each; no rows give none. A
-    document stays if it passes the base and loses at most `max_lost` of its words with the lines that are removed.
+    Null and empty texts have no words and fail; null ids are kept; equal rows are judged each; other columns are not
+    read; texts and lines of any length are read whole; no rows give none. A document stays if it passes the base and
+    loses at most `max_lost` of its words with the lines that are removed; one that loses just so much stays.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run(max_lost, clean), SCHEMA)

@@ -115,7 +115,8 @@ def spans_of(kind: str) -> Column:
 def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """All columns of docs, or those to keep, with n_assign, n_access, n_hex, base_spans and spans (arrays of start, rank, kind, end in code points).
 
-    Null and empty texts hold none; equal rows are scanned each; null ids are kept; no rows give none. Columns of docs that
+    Null and empty texts hold none; equal rows are scanned each; null ids are kept; texts and keys of any length are
+    scanned whole; no rows give none. Columns of docs that
     are named like those added give way to them. An access identifier that is linked as a part is told once, as access.
     """
     keep = [c for c in keep or docs.columns if c not in ("n_assign", "n_access", "n_hex", "base_spans", "spans")]

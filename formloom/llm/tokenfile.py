@@ -157,7 +157,8 @@ def write_parts(path: str, folder: str, end: int | None):
 def write_tokens(docs: DataFrame, path: str, folder: str, end: int | None = END_ID, doc_id: str = "doc_id", text: str = "text") -> list[dict]:
     """Writes all documents' ids in ascending order of doc_id (null first; ties by text), and returns the manifest by part.
 
-    Null and empty texts have only the end id, if there is one. No rows give empty files.
+    Null and empty texts have only the end id, if there is one; equal rows are written each; other columns are not read;
+    a text of any length is one document, in a frame of its own if it is longer than a frame. No rows give empty files.
     """
     n = partitions(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
