@@ -84,6 +84,14 @@ def test_wrapped_lines(spark, seed):
     assert [r["text_1"] for r in got] == [" ".join(x[0]) for x in want]
 
 
+def test_rows_merge_by_all_blocks_so_far(spark):
+    """A question whose lines stand in blocks 1 and 2, 2, then 1 is one row: the third line shares a block with the first."""
+    said = [(0, "why", 1), (0, "not", 2), (1, "go", 2), (2, "on", 1), (3, "next", 3)]
+    words = [(1, 0, k, n, 90.0 + 22 * n, 100.0 + 12 * k, 110.0 + 22 * n, 110.0 + 12 * k, w, b) for n, (k, w, b) in enumerate(said)]
+    df = spark.createDataFrame(words, "doc_id long, page_index int, line_no int, word_no int, x0 double, y0 double, x1 double, y1 double, word string, block int")
+    assert [r["text_1"] for r in extract.rows(df).orderBy("row_ord").collect()] == ["why not go on", "next"]
+
+
 def form_rows(spark):
     """Five rows of one page of a form: a question with narrower options, 14 points apart."""
     data = [(1, k + 1, f"p1_r00{k + 1}", 0, "Disposition", f"row {k}", "", (90.0, y, 280.0 if k == 2 else 250.0, y + 12)) for k, y in enumerate((700.0, 686.0, 672.0, 658.0, 620.0))]
