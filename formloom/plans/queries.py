@@ -202,7 +202,7 @@ SELECT arg_min(label, o) AS label, arg_min(context, o) AS context, domain, varia
  WHERE kind = 'variable' AND row_id IS NOT NULL) GROUP BY key, domain, variable, condition, fixed_value""")
 def corpus_mine(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, marks = testbed.forms_and_marks(spark, sf_dir)
-    return precedent.mine(marks, rows)
+    return precedent.mine(marks, rows, name=F.concat(F.lit("doc"), F.col("doc_id").cast("string")))
 
 
 @add("collapse_repeats", "collapsed", "SELECT doc_id, row_ord, row_id, slot, group_id FROM collapsed")
