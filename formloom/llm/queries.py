@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, lm, neardup, pii, quality, secrets, sharding, tokenfile, toxicity
+from . import bpe, decontaminate, infill, lm, neardup, pieces, pii, quality, secrets, sharding, tokenfile, toxicity, whitening
 
 QUERIES = {
     "op1_token_file": tokenfile.op1_token_file,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_bpe": bpe.op9_bpe,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_fill_in_middle": infill.op12_fill_in_middle,
+    "op13_sentencepiece": pieces.op13_sentencepiece,
 }
 
 SQL = {"op2_decontaminate": decontaminate.OP2_SQL}
