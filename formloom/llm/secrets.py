@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import read, written
@@ -21,26 +20,44 @@ PARTS = {
     "id": rf"""(?i)(?:access[_-]?key[_-]?id|(?<!{OF_SECRET})access[_-]?key|client[_-]?id|account[_-]?(?:id|name)|user(?:name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.@-]{{4,}})""",
     "named": rf"""(?i)(?:{OF_SECRET}(?:access[_.-]?)?key|(?:private|signing|encryption)[_.-]?key)["']?\x20*[:=]\x20*["']?((?=[A-Za-z0-9+/_-]*[0-9])[A-Za-z0-9+/_-]{{16,}}={{0,2}})(?![A-Za-z0-9+/_=-])""",
     "key": r"""(?<![A-Za-z0-9+/_-])(?<!==)((?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}+={0,2})(?![A-Za-z0-9+/_=-])""",
-    "endpoint": r"""(?i)((?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp|ssh)://[^\x00-\x20"'<>]{4,}|(?<![a-z0-9.-])(?:[a-z0-9-]{1,63}\.){1,10}(?:amazonaws|azure|googleapis|cloudflarestorage)\.com(?![a-z0-9.-]))""",
+    "endpoint": r"""(?i)((?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp|ssh)://[^\x00-\x20"'<>]{4,}|(?<![a-z0-9.-])(?![a-z0-9.-]*\.\.)[a-z0-9-][a-z0-9.-]*+(?<=[a-z0-9-]\.(?:amazonaws|azure|googleapis|cloudflarestorage)\.com))""",
 }
 #: Code points between parts that belong together, and the scope that they share: text without an empty line.
 REACH = 400
 SCOPE = r"\n[ \t\r]*\n"
 
 
+def let(value: Column, body) -> Column:
+    """The body of a value that it uses several times, worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(values: Column, both) -> Column:
+    """Running sums or the like of an array: rounds that reach twice as far each, so that no array is copied for each element."""
+    rounds = F.when(F.size(values) > 1, F.sequence(F.lit(1), F.ceil(F.log2(F.size(values))).cast("int"))).otherwise(F.expr("cast(array() as array<int>)"))
+
+    def further(acc: Column, _: Column) -> Column:
+        v, far = acc["v"], acc["far"]
+        return F.struct((far * 2).alias("far"), F.transform(v, lambda x, i: F.when(i >= far, both(x, F.get(v, i - far))).otherwise(x)).alias("v"))
+
+    return let(values, lambda v: F.aggregate(rounds, F.struct(F.lit(1).alias("far"), v.alias("v")), further, lambda acc: acc["v"]))
+
+
 def placed(text: Column, pattern: str, group: int = 0) -> Column:
-    """Leftmost matches that do not overlap, as (start, end, value): places by the lengths of what lies between them."""
+    """Leftmost matches that do not overlap, as (start, end, value, at, to), in code points and in bytes.
+
+    Places are running sums of the lengths of the matches and of what lies between them. A value is group's, and ends its match.
+    """
     whole, value = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    between = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
-    zero = F.expr("struct(0 as at, cast(array() as array<struct<start:int,end:int,value:string>>) as out)")
+    found = F.struct(whole.alias("whole"), value.alias("value"), F.split(text, pattern, -1).alias("between"))
 
-    def add(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["between"]
-        one = F.struct(start.alias("start"), (start + F.length(x["whole"])).alias("end"), x["value"].alias("value"))
-        return F.struct(one["end"].alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+    def places(f: Column) -> Column:
+        before = F.slice(f["between"], F.lit(1), F.size(f["whole"]))
+        upto = lambda size: running(F.zip_with(before, f["whole"], lambda b, w: size(b) + size(w)), lambda x, y: x + y)
+        every = F.arrays_zip(f["whole"].alias("whole"), f["value"].alias("value"), upto(F.length).alias("end"), upto(F.octet_length).alias("to"))
+        return F.transform(every, lambda m: F.struct((m["end"] - F.length(m["whole"])).alias("start"), m["end"].alias("end"), m["value"].alias("value"), (m["to"] - F.octet_length(m["whole"])).alias("at"), m["to"].alias("to")))
 
-    steps = F.zip_with(F.slice(between, F.lit(1), F.size(whole)), F.arrays_zip(whole.alias("whole"), value.alias("value")), lambda b, m: F.struct(b.alias("between"), m["whole"].alias("whole"), m["value"].alias("value")))
-    return F.aggregate(steps, zero, add, lambda acc: acc["out"])
+    return let(found, places)
 
 
 def long_enough(least: int):
@@ -48,7 +65,8 @@ def long_enough(least: int):
     return lambda m: F.length(m["value"]) >= least
 
 
-NONE = "cast(array() as array<struct<start:int,end:int,value:string>>)"
+MATCH = "struct<start:int,end:int,value:string,at:int,to:int>"
+NONE = f"cast(array() as array<{MATCH}>)"
 
 
 def scan(docs: DataFrame, text: str) -> DataFrame:
@@ -64,7 +82,7 @@ def scan(docs: DataFrame, text: str) -> DataFrame:
         out = out.withColumn(f"_fl_{kind}", F.when(F.col("_fl_text").rlike(within[kind]), found).otherwise(F.expr(NONE)))
     for kind, pattern in PARTS.items():
         # group 1 ends the match of an identifier, and is the match of the others
-        found = F.transform(placed(F.col("_fl_text"), pattern, 1), lambda m: F.struct((m["end"] - F.length(m["value"])).alias("start"), m["end"].alias("end"), m["value"].alias("value")))
+        found = F.transform(placed(F.col("_fl_text"), pattern, 1), lambda m: F.struct((m["end"] - F.length(m["value"])).alias("start"), m["end"].alias("end"), m["value"].alias("value"), (m["to"] - F.octet_length(m["value"])).alias("at"), m["to"].alias("to")))
         out = out.withColumn(f"_fl_{kind}", F.when(F.col("_fl_text").rlike(within[kind]), found).otherwise(F.expr(NONE)))
     breaks = F.when(F.col("_fl_text").rlike(SCOPE), F.transform(placed(F.col("_fl_text"), SCOPE), lambda m: m["start"])).otherwise(F.expr("cast(array() as array<int>)"))
     return out.withColumn("_fl_breaks", breaks).drop("_fl_text")
@@ -74,29 +92,32 @@ def linked(table: DataFrame) -> DataFrame:
     """(_fl_row, spans): the weak keys with an identifier or endpoint in reach, and the identifiers with such a key.
 
     An interval join: parts meet by row, scope and stretch of REACH code points, each key in its own stretch and the two
-    beside it, so that no pair is out of reach by more than a stretch.
+    beside it, so that no pair is out of reach by more than a stretch. What overlaps what, and the scope, are told by
+    windows down and up the text. An identifier that is an access identifier is told as such and not again.
     """
-
-    def parts(kind: str, of: Column) -> DataFrame:
-        p = table.select("_fl_row", "_fl_breaks", F.explode(of).alias("p"))
-        scope = F.size(F.filter("_fl_breaks", lambda b: b < F.col("p.start")))
-        return p.select("_fl_row", scope.alias("scope"), F.lit(kind).alias("kind"), F.col("p.start").alias("start"), F.col("p.end").alias("end"), F.col("p.value").alias("value"))
-
-    def apart(found: Column, *others: Column) -> Column:
-        """The matches that overlap none of the others."""
-        return reduce(lambda f, o: F.filter(f, lambda k: ~F.exists(o, lambda b: (b["start"] < k["end"]) & (k["start"] < b["end"]))), others, found)
-
-    base = F.concat("_fl_assign", "_fl_hex", "_fl_access")
-    named = apart(F.col("_fl_named"), base, F.col("_fl_endpoint"))
-    free = F.concat(named, apart(F.col("_fl_key"), base, F.col("_fl_endpoint"), F.col("_fl_id"), F.col("_fl_named")))
-    keys = parts("key", free).withColumn("cell", F.explode(F.array(*[F.floor(F.col("start") / REACH) + d for d in (-1, 0, 1)])))
-    others = reduce(DataFrame.unionByName, [parts("id", F.col("_fl_id")), parts("id", F.col("_fl_access")), parts("endpoint", F.col("_fl_endpoint"))])
-    others = others.withColumn("cell", F.floor(F.col("start") / REACH)).withColumnsRenamed({c: f"o_{c}" for c in ("kind", "start", "end", "value")})
+    held = table.filter(F.size("_fl_key") + F.size("_fl_named") > 0)
+    of = lambda kind, name: F.transform(F.col(f"_fl_{name}"), lambda m: F.struct(F.lit(kind).alias("kind"), *[m[c].alias(c) for c in ("start", "end", "value", "at", "to")]))
+    breaks = F.transform("_fl_breaks", lambda b: F.struct(F.lit("break").alias("kind"), b.alias("start"), b.alias("end"), F.lit("").alias("value"), b.alias("at"), b.alias("to")))
+    every = F.concat(of("base", "assign"), of("base", "hex"), *[of(k, k) for k in ("access", "endpoint", "id", "named", "key")], breaks)
+    p = held.select("_fl_row", F.explode(every).alias("p")).select("_fl_row", "p.*")
+    down, up = W.partitionBy("_fl_row").orderBy("start"), W.partitionBy("_fl_row").orderBy(F.desc("start"))
+
+    def met(*kinds: str) -> Column:
+        """Whether a part overlaps one of these kinds: one that begins before or with it ends within it, or one begins within it."""
+        one = F.col("kind").isin(*kinds)
+        before, after = F.max(F.when(one, F.col("end"))).over(down), F.min(F.when(one, F.col("start"))).over(up)
+        return F.coalesce(before > F.col("start"), F.lit(False)) | F.coalesce(after < F.col("end"), F.lit(False))
+
+    p = p.withColumns({"_named": met("base", "access", "endpoint"), "_key": met("base", "access", "endpoint", "id", "named"), "scope": F.count(F.when(F.col("kind") == "break", 1)).over(down), "access": F.coalesce(F.max(F.when(F.col("kind") == "access", F.col("start"))).over(down) == F.col("start"), F.lit(False))})
+    free = ((F.col("kind") == "named") & ~F.col("_named")) | ((F.col("kind") == "key") & ~F.col("_key"))
+    part = F.when(free, "key").when(F.col("kind").isin("id", "access"), "id").when(F.col("kind") == "endpoint", "endpoint")
+    p = written(p.withColumn("part", part).filter("part is not null").drop("_named", "_key", "kind"), "secrets-parts")
+    cell = F.floor(F.col("start") / REACH)
+    keys = p.filter("part = 'key'").withColumn("cell", F.explode(F.array(*[cell + d for d in (-1, 0, 1)])))
+    others = p.filter("part <> 'key'").withColumn("cell", cell).withColumnsRenamed({c: f"o_{c}" for c in ("part", "start", "end", "value", "at", "to", "access")})
     near = keys.join(others, ["_fl_row", "scope", "cell"]).filter((F.abs(F.col("start") - F.col("o_start")) <= REACH) & (F.col("value") != F.col("o_value")))
-    both = near.select("_fl_row", F.explode(F.array(
-        F.struct(F.lit("linked").alias("kind"), "start", "end"),
-        F.when(F.col("o_kind") == "id", F.struct(F.lit("identifier").alias("kind"), F.col("o_start").alias("start"), F.col("o_end").alias("end"))),
-    )).alias("s")).filter("s is not null")
+    span = lambda kind, pre: F.struct(F.col(f"{pre}start").alias("start"), F.lit(RANK[kind]).alias("rank"), F.lit(kind).alias("kind"), *[F.col(f"{pre}{c}").alias(c) for c in ("end", "at", "to")])
+    both = near.select("_fl_row", F.explode(F.array(span("linked", ""), F.when((F.col("o_part") == "id") & ~F.col("o_access"), span("identifier", "o_")))).alias("s")).filter("s is not null")
     return both.groupBy("_fl_row").agg(F.collect_set("s").alias("_fl_linked"))
 
 
@@ -108,12 +129,15 @@ def told(spans: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+SPAN = "struct<start:int,rank:int,kind:string,end:int,at:int,to:int>"
+
+
 def spans_of(kind: str) -> Column:
-    return F.transform(f"_fl_{kind}", lambda m: F.struct(m["start"].alias("start"), F.lit(RANK[kind]).alias("rank"), F.lit(kind).alias("kind"), m["end"].alias("end")))
+    return F.transform(f"_fl_{kind}", lambda m: F.struct(m["start"].alias("start"), F.lit(RANK[kind]).alias("rank"), F.lit(kind).alias("kind"), *[m[c].alias(c) for c in ("end", "at", "to")]))
 
 
 def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """All columns of docs, or those to keep, with n_assign, n_access, n_hex, base_spans and spans (arrays of start, rank, kind, end in code points).
+    """All columns of docs, or those to keep, with n_assign, n_access, n_hex, base_spans and spans (arrays of start, rank, kind, end in code points, and at and to, the same in bytes of UTF-8).
 
     Null and empty texts hold none; equal rows are scanned each; null ids are kept; texts and keys of any length are
     scanned whole; no rows give none. Columns of docs that
@@ -123,26 +147,25 @@ def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
     found = scan(docs.select(*[F.col(c).alias(f"_fl_keep_{c}") for c in keep], F.col(text).alias("_fl_in")), "_fl_in").drop("_fl_in")
     table = written(found.withColumn("_fl_row", F.monotonically_increasing_id()), "secrets")
     base = F.concat(*[spans_of(k) for k in BASE])
-    access = F.transform("_fl_access", lambda m: m["start"])
-    more = F.transform(
-        F.filter(F.coalesce("_fl_linked", F.expr("cast(array() as array<struct<kind:string,start:int,end:int>>)")), lambda s: (s["kind"] == "linked") | ~F.array_contains(access, s["start"])),
-        lambda s: F.struct(s["start"].alias("start"), F.when(s["kind"] == "linked", RANK["linked"]).otherwise(RANK["identifier"]).alias("rank"), s["kind"].alias("kind"), s["end"].alias("end")),
-    )
+    more = F.coalesce("_fl_linked", F.expr(f"cast(array() as array<{SPAN}>)"))
     out = table.join(linked(table), "_fl_row", "left")
     return out.select(*[F.col(f"_fl_keep_{c}").alias(c) for c in keep], *[F.size(f"_fl_{k}").cast("long").alias(f"n_{k}") for k in BASE], F.array_sort(base).alias("base_spans"), F.array_sort(F.concat(base, more)).alias("spans"))
 
 
 def redact(text: Column, spans: Column, by: str = "[secret]") -> Column:
-    """The text with every span replaced; spans that overlap or meet are replaced once."""
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """The text with every span replaced; spans that overlap are replaced once. Spans are find_secrets()', in order.
+
+    What lies between is cut out by its bytes, each of which is read once.
+    """
+    data = F.struct(text.cast("binary").alias("text"), spans.alias("spans"), running(F.transform(spans, lambda s: s["to"]), F.greatest).alias("upto"))
 
-    def add(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, F.concat(acc["out"], gap, F.lit(by))).otherwise(acc["out"]).alias("out"))
+    def cut(d: Column) -> Column:
+        before = lambda i: F.when(i > 0, F.get(d["upto"], i - 1)).otherwise(0)
+        piece = lambda a, b: F.substring(d["text"], a + 1, b - a).cast("string")
+        parts = F.transform(d["spans"], lambda s, i: F.when(s["at"] >= before(i), F.concat(piece(before(i), s["at"]), F.lit(by))).otherwise(""))
+        return F.concat(F.array_join(parts, ""), piece(F.element_at(d["upto"], -1), F.octet_length(d["text"])))
 
-    done = F.aggregate(spans, zero, add, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text) - acc["at"])))
-    return F.when(F.size(spans) == 0, text).otherwise(done)
+    return F.when(F.size(spans) == 0, text).otherwise(let(data, cut))
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
