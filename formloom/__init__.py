@@ -1 +1,7 @@
 """Form analytics on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

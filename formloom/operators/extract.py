@@ -1,20 +1,20 @@
 """Positioned words to question-and-response rows.
 
 words: doc_id, page_index, line_no, word_no, x0, y0, x1, y1 (y down), word, block. All windows and joins are keyed by
-document and page, so pages spread over the cluster; only the fold operators hold a page in a Python task.
+document and page, so pages spread over the cluster. What depends on order is a fold over a page's array, in the JVM.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import text as T
+from ..functions.arrays import let
 
 PAGE, LINE = ["doc_id", "page_index"], ["doc_id", "page_index", "line_no"]
 #: Fixed values of gutter search and assembly.
@@ -33,29 +33,57 @@ def mask_words(words: DataFrame, rects: DataFrame, share: float = MASKED) -> Dat
     return words.join(r, on & (G.covered(word, F.col("_rect")) >= share), "left_anti")
 
 
+def first_fit(items: Column, grows: bool) -> Column:
+    """Of an array of structs with y0 and y1: the line that each falls into, the first that shares half the shorter height.
+
+    A line's extent is that of all its items if it grows, and else of its first item.
+    """
+    zero = F.expr("named_struct('lines', cast(array() as array<struct<y0:double,y1:double>>), 'at', cast(array() as array<int>))")
+
+    def step(acc: Column, x: Column) -> Column:
+        lines = acc["lines"]
+        extent = lambda lo, hi: F.struct(lo.cast("double").alias("y0"), hi.cast("double").alias("y1"))
+        fits = F.array_position(F.transform(lines, lambda r: G.overlap(r["y0"], r["y1"], x["y0"], x["y1"]) >= SAME_LINE), True)
+
+        def put(k: Column) -> Column:
+            grown = F.transform(lines, lambda r, i: F.when(i == k - 1, extent(F.least(r["y0"], x["y0"]), F.greatest(r["y1"], x["y1"]))).otherwise(r)) if grows else lines
+            held = F.when(k == 0, F.concat(lines, F.array(extent(x["y0"], x["y1"])))).otherwise(grown)
+            return F.struct(held.alias("lines"), F.concat(acc["at"], F.array(F.when(k == 0, F.size(lines)).otherwise(k - 1).cast("int"))).alias("at"))
+
+        return let(fits, put)
+
+    return F.aggregate(items, zero, step, lambda acc: acc["at"])
+
+
+def fitted(items: DataFrame, order: list[str], grows: bool) -> DataFrame:
+    """items with `_k` (their place in the order) and `_line` (first_fit()), page by page."""
+    own = [c for c in items.columns if c not in PAGE]
+    told = F.array_sort(F.collect_list(F.struct(*[F.col(c).alias(f"_o{n}") for n, c in enumerate(order)], F.struct(*own).alias("_own"))))
+    page = items.groupBy(*PAGE).agg(F.transform(told, lambda x: x["_own"]).alias("_items"))
+    page = page.withColumn("_at", first_fit(F.col("_items"), grows))
+    return page.select(*PAGE, F.posexplode(F.arrays_zip("_items", "_at")).alias("_k", "_i")).select(*PAGE, "_k", "_i._items.*", F.col("_i._at").alias("_line"))
+
+
 def assign_lines(words: DataFrame) -> DataFrame:
     """Words with line_no by first fit: in order of y0 and x0, into the first line that shares half the shorter height.
 
     A line's extent grows with its words, so order matters: a fold over each page.
     """
-    schema = words.select(*[c for c in words.columns if c != "line_no"]).schema.add("line_no", "integer")
-
-    def fold(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.sort_values(["y0", "x0"], kind="stable").reset_index(drop=True)
-        tops, bottoms, at = [], [], []
-        for y0, y1 in zip(page["y0"], page["y1"], strict=True):
-            for k, (a, b) in enumerate(zip(tops, bottoms, strict=True)):
-                if max(0.0, min(b, y1) - max(a, y0)) / max(min(b - a, y1 - y0), 1e-6) >= SAME_LINE:
-                    tops[k], bottoms[k] = min(a, y0), max(b, y1)
-                    break
-            else:
-                k = len(tops)
-                tops.append(y0)
-                bottoms.append(y1)
-            at.append(k)
-        return page.drop(columns=["line_no"], errors="ignore").assign(line_no=at)[schema.names]
-
-    return words.groupBy(*PAGE).applyInPandas(fold, schema)
+    own = [c for c in words.columns if c != "line_no"]
+    return fitted(words.select(*own), ["y0", "x0"], grows=True).select(*own, F.col("_line").alias("line_no"))
+
+
+def lines_of(run: DataFrame) -> DataFrame:
+    """Runs regrouped into visual lines, in reading order: each joins the first line whose first run it stands beside.
+
+    Unlike words, runs are held against a line's first run alone, whatever joined it since. line_no and run_no are new:
+    lines by their first run's y0, runs of a line by x0.
+    """
+    told = fitted(run, ["line_no", "run_no"], grows=False)
+    line = W.partitionBy(*PAGE, "_line")
+    told = told.withColumn("_top", F.first("y0").over(line.orderBy("_k")))
+    n = F.dense_rank().over(W.partitionBy(*PAGE).orderBy("_top", "_line")) - 1
+    return told.withColumn("line_no", n).withColumn("run_no", F.row_number().over(line.orderBy("x0", "_k")) - 1).select(*run.columns)
 
 
 def runs(words: DataFrame) -> DataFrame:
@@ -184,45 +212,39 @@ def assemble(run: DataFrame, page_gutter: DataFrame) -> DataFrame:
 CORNERS = [f"{c}_{k}" for k in (1, 2) for c in ("x0", "y0", "x1", "y1")]
 
 
-def merge_wrapped(records: DataFrame) -> DataFrame:
-    """Lines of one question as one record, where each line's question lies in one text block: islands of equal block.
+def islands(records: DataFrame) -> DataFrame:
+    """records with `_row`: lines of one question have one number, page by page.
 
-    A line joins the one before if neither has a response, both are alike in full_width, and their blocks meet. `band` is
-    the union of the lines' bands. Exact for lines of one block; merge_wrapped_exact() folds any.
+    A line joins what comes before if neither has a response, both are alike in full_width, and it shares a text block with
+    any of the lines joined so far: a fold over the page's lines that holds the union of their blocks.
     """
-    down = W.partitionBy(*PAGE).orderBy("line_no")
-    was = lambda c: F.lag(c).over(down)
-    joins = (F.col("x0_1").isNotNull() & was("x0_1").isNotNull() & F.col("x0_2").isNull() & was("x0_2").isNull() & (F.col("full_width") == was("full_width")) & F.arrays_overlap("blocks_1", was("blocks_1")))
-    m = records.withColumn("_new", F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1)).withColumn("_row", F.sum("_new").over(down.rowsBetween(W.unboundedPreceding, 0)))
-    told = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", F.when(F.col(c) != "", F.col(c)).alias("t")))), lambda x: x["t"]), " ")
-    ends = [(F.min if c[:2] in ("x0", "y0") else F.max)(c).alias(c) for c in CORNERS]
-    band = [F.min("band.x0").alias("_bx0"), F.min("band.y0").alias("_by0"), F.max("band.x1").alias("_bx1"), F.max("band.y1").alias("_by1")]
-    out = m.groupBy(*PAGE, "_row").agg(F.min("line_no").alias("line_no"), F.count("*").alias("lines"), told("text_1").alias("text_1"), told("text_2").alias("text_2"), *ends, *band, F.first("full_width").alias("full_width"))
-    return out.withColumn("band", G.box(*[F.col(c) for c in ("_bx0", "_by0", "_bx1", "_by1")])).drop("_row", "_bx0", "_by0", "_bx1", "_by1")
+    own = [c for c in records.columns if c not in PAGE and c != "line_no"]
+    blocks = records.schema["blocks_1"].dataType.simpleString()
+    zero = F.expr(f"named_struct('row', 0, 'blocks', cast(array() as {blocks}), 'alone', false, 'wide', false, 'at', cast(array() as array<int>))")
 
+    def step(acc: Column, r: Column) -> Column:
+        alone = r["x0_1"].isNotNull() & r["x0_2"].isNull()
+        joins = acc["alone"] & alone & (acc["wide"] == r["full_width"]) & F.arrays_overlap(acc["blocks"], r["blocks_1"])
 
-def merge_wrapped_exact(records: DataFrame) -> DataFrame:
-    """As merge_wrapped(), for questions in several blocks: a line joins if it shares a block with all that the record has."""
-    schema = "doc_id bigint, page_index int, line_no int, island int"
+        def put(j: Column) -> Column:
+            row = acc["row"] + F.when(j, 0).otherwise(1)
+            held = F.when(j, F.array_union(acc["blocks"], r["blocks_1"])).otherwise(r["blocks_1"])
+            return F.struct(row.alias("row"), held.alias("blocks"), alone.alias("alone"), r["full_width"].alias("wide"), F.concat(acc["at"], F.array(row)).alias("at"))
 
-    def fold(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.sort_values("line_no", kind="stable")
-        island, at, blocks, wide = 0, [], set(), None
-        for r in page.itertuples():
-            alone = bool(r.has_1) and not r.has_2
-            own = set(r.blocks_1)
-            if at and alone and wide == r.full_width and blocks & own:
-                blocks |= own
-            else:
-                island, blocks = island + 1, own if alone else set()
-            wide = r.full_width if alone else None
-            at.append(island)
-        return page[["doc_id", "page_index", "line_no"]].assign(island=at)
+        return let(F.coalesce(joins, F.lit(False)), put)
 
-    told = records.select(*LINE, F.col("x0_1").isNotNull().alias("has_1"), F.col("x0_2").isNotNull().alias("has_2"), "blocks_1", "full_width")
-    islands = told.groupBy(*PAGE).applyInPandas(fold, schema)
-    # each island as a block of its own: then the windows are exact
-    return merge_wrapped(records.join(islands, LINE).withColumn("blocks_1", F.array("island")).drop("island"))
+    page = records.groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct("line_no", *own))).alias("_lines"))
+    page = page.withColumn("_at", F.aggregate("_lines", zero, step, lambda acc: acc["at"]))
+    return page.select(*PAGE, F.explode(F.arrays_zip("_lines", "_at")).alias("_i")).select(*PAGE, "_i._lines.*", F.col("_i._at").alias("_row"))
+
+
+def merge_wrapped(records: DataFrame) -> DataFrame:
+    """Lines of one question as one record, as islands() tells them; `band` is the union of the lines' bands."""
+    told = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", F.when(F.col(c) != "", F.col(c)).alias("t")))), lambda x: x["t"]), " ")
+    ends = [(F.min if c[:2] in ("x0", "y0") else F.max)(c).alias(c) for c in CORNERS]
+    band = [F.min("band.x0").alias("_bx0"), F.min("band.y0").alias("_by0"), F.max("band.x1").alias("_bx1"), F.max("band.y1").alias("_by1")]
+    out = islands(records).groupBy(*PAGE, "_row").agg(F.min("line_no").alias("line_no"), F.count("*").alias("lines"), told("text_1").alias("text_1"), told("text_2").alias("text_2"), *ends, *band, F.first("full_width").alias("full_width"))
+    return out.withColumn("band", G.box(*[F.col(c) for c in ("_bx0", "_by0", "_bx1", "_by1")])).drop("_row", "_bx0", "_by0", "_bx1", "_by1")
 
 
 def obstacles(run: DataFrame, height: float = 792.0) -> DataFrame:
@@ -230,25 +252,22 @@ def obstacles(run: DataFrame, height: float = 792.0) -> DataFrame:
     return run.select(*PAGE, "x0", (F.lit(height) - F.col("y1")).alias("y0"), "x1", (F.lit(height) - F.col("y0")).alias("y1"))
 
 
-def merge_wrapped_any(records: DataFrame) -> DataFrame:
-    """merge_wrapped() for pages whose lines lie in one block each, and the fold for the others: exact for all."""
-    several = F.max(F.coalesce(F.size("blocks_1") > 1, F.lit(False))).over(W.partitionBy(*PAGE))
-    told = records.withColumn("_several", several)
-    return merge_wrapped(told.filter("not _several").drop("_several")).unionByName(merge_wrapped_exact(told.filter("_several").drop("_several")))
-
-
 def rows(words: DataFrame, width: float = 612.0, height: float = 792.0, header: str = FORM_HEADER, stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """crf_rows: doc_id, row_ord, row_id, page_index, form, text_1, text_2, bbox_1, bbox_2, band (y up), full_width.
 
-    Words have line_no; assign_lines() gives it where a source does not. Row numbers restart on each page. `stage` may
-    write the runs, which are read several times.
+    Where a source's words have no line_no, first fit gives lines to words and, once those are runs, to runs. Row numbers
+    restart on each page. `stage` may write the runs, which are read several times.
     """
+    return rows_of(stage(runs(words) if "line_no" in words.columns else lines_of(runs(assign_lines(words)))), width, height, header, stage)
+
+
+def rows_of(run: DataFrame, width: float = 612.0, height: float = 792.0, header: str = FORM_HEADER, stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """As rows(), from runs."""
     w, h = F.lit(width), F.lit(height)
-    run = stage(runs(words))
     pages = stage(run.select(*PAGE).distinct())
     gutter = page_gutters(run, pages, w)
     bands = line_bands(line_rects(run), w, h).select(*LINE, "band")
-    merged = merge_wrapped_any(assemble(run, gutter).join(bands, LINE, "left"))
+    merged = merge_wrapped(assemble(run, gutter).join(bands, LINE, "left"))
     order = W.partitionBy("doc_id").orderBy("page_index", "line_no")
     n = F.row_number().over(W.partitionBy(*PAGE).orderBy("line_no"))
     corner = lambda k: G.flip(G.box(*[F.col(f"{c}_{k}") for c in ("x0", "y0", "x1", "y1")]), h)

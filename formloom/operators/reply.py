@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.arrays import let
 
 EXCERPT = 2000
 #: Fixed value: a row of a table's bars, dashes and colons alone.
@@ -60,19 +61,32 @@ def csv_block(text_lines: DataFrame) -> DataFrame:
     return text_lines.join(first, "doc_id").join(end, "doc_id", "left").filter((F.col("n") >= F.col("_from")) & (F.col("_to").isNull() | (F.col("n") < F.col("_to")))).select("doc_id", "n", "line")
 
 
-def csv_cells(record: Column, delimiter: Column) -> Column:
-    """Of a delimited record; quotes at a cell's start may hold delimiters, line ends and doubled quotes."""
-    pattern = F.concat(delimiter, F.lit('("(?:[^"]|"")*"(?='), delimiter, F.lit('|$)|[^'), delimiter, F.lit(']*)'))
-    found = F.regexp_extract_all(F.concat(delimiter, record), pattern, F.lit(1))  # each cell behind its delimiter, the first too
-    return F.transform(found, lambda c: F.trim(F.when(c.startswith('"') & c.endswith('"') & (F.length(c) > 1), F.regexp_replace(F.substring(c, F.lit(2), F.length(c) - 2), '""', '"')).otherwise(c)))
+#: A quoted cell, each character of it read once.
+QUOTED = '"[^"]*+(?:""[^"]*+)*+"'
 
 
 def csv_records(block: Column, delimiter: Column) -> Column:
-    """The records of a delimited block: lines, but for line ends within a quoted cell."""
-    plain = F.concat(F.lit("[^"), delimiter, F.lit("\n]*"))
-    cell = F.concat(F.lit('(?:"(?:[^"]|"")*"(?=['), delimiter, F.lit("\n])|"), plain, F.lit(")"))
-    pattern = F.concat(F.lit("("), cell, F.lit("(?:"), delimiter, cell, F.lit(")*)\n"))
-    return F.regexp_extract_all(F.concat(block, F.lit("\n")), pattern, F.lit(1))
+    """The records of a delimited block as arrays of cells: lines, but for line ends within a quoted cell.
+
+    Each cell is found by itself with what ends it, so neither a cell nor a record nor a block has a largest size.
+    """
+    text = F.concat(block, F.lit("\n"))
+    cell = F.concat(F.lit(f"({QUOTED}(?=["), delimiter, F.lit("\n])|[^"), delimiter, F.lit("\n]*+)(["), delimiter, F.lit("\n])"))
+    ends = F.regexp_extract_all(text, cell, F.lit(2))
+    last = let(ends, lambda e: F.filter(F.sequence(F.lit(1), F.size(e)), lambda i: F.get(e, i - 1) == "\n"))
+    told = F.struct(F.regexp_extract_all(text, cell, F.lit(1)).alias("cells"), last.alias("last"))
+
+    def records(t: Column) -> Column:
+        before = lambda i: F.when(i > 0, F.get(t["last"], i - 1)).otherwise(0)
+        return F.transform(t["last"], lambda e, i: F.slice(t["cells"], before(i) + 1, e - before(i)))
+
+    return let(told, records)
+
+
+def csv_cells(record: Column) -> Column:
+    """The texts of a record's cells: quotes around a cell may hold delimiters, line ends and doubled quotes."""
+    inner = lambda c: F.regexp_replace(F.substring(c, F.lit(2), F.length(c) - 2), '""', '"')
+    return F.transform(record, lambda c: F.trim(F.when(c.startswith('"') & c.endswith('"') & (F.length(c) > 1), inner(c)).otherwise(c)))
 
 
 def csv_rows(block: DataFrame) -> DataFrame:
@@ -83,8 +97,9 @@ def csv_rows(block: DataFrame) -> DataFrame:
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"]), "\n")
     one = block.groupBy("doc_id").agg(text.alias("_text"))
     one = one.withColumn("_d", F.regexp_extract("_text", r"(?i)^\s*[\"']?row_id[\"']?\s*([,\t;])", 1)).withColumn("_records", csv_records(F.col("_text"), F.col("_d")))
-    heads = F.transform(csv_cells(F.col("_records")[0], F.col("_d")), lambda h: F.lower(h))
-    data = one.select("doc_id", "_d", heads.alias("_heads"), F.posexplode("_records").alias("n", "_record")).filter("n > 0").withColumn("_cells", csv_cells(F.col("_record"), F.col("_d")))
+    # told before the records part, so that none carries all of them
+    one = one.withColumn("_heads", F.transform(csv_cells(F.col("_records")[0]), lambda h: F.lower(h)))
+    data = one.select("doc_id", "_heads", F.posexplode("_records").alias("n", "_record")).filter("n > 0").withColumn("_cells", csv_cells(F.col("_record")))
     padded = F.transform("_heads", lambda h, i: F.coalesce(F.get("_cells", i), F.lit("")))
     return data.select("doc_id", "n", F.map_from_arrays("_heads", padded).alias("row"))
 
@@ -179,15 +194,44 @@ def batches(pages: DataFrame, most: int = 150) -> DataFrame:
     return told.select("doc_id", F.explode(F.aggregate("_p", zero, add, lambda a: a["out"])).alias("_o")).select("doc_id", "_o.page_index", "_o.batch")
 
 
-def appendix(lookup: DataFrame, words: DataFrame, most: int = 20) -> DataFrame:
-    """(doc_id, label, overlap, count, place): the lookup labels that share most words with a batch's words (doc_id, word).
+#: Labels that a word may stand in and still be looked up by itself.
+LIGHT = 256
+
+
+def appendix_pairs(lookup: DataFrame, words: DataFrame, most: int = 20, light: int = LIGHT) -> DataFrame:
+    """(doc_id, label, count, overlap): pairs among which each batch's best `most` labels are, with all that they share.
 
-    Only labels and batches that share a word meet; ties go to the count, then the label.
+    A word of at most `light` labels leads to each of them. Heavier words lead nowhere by themselves: labels are classes by
+    the heavy words that they hold, a class has its best `most` labels, and batches are classes likewise. Of labels that a
+    batch shares heavy words with alone, its best `most` are the best of what its class meets: whatever beats one of them
+    on heavy words beats it with light words added. So a word of all labels and batches makes one pair of classes.
     """
     of = lookup.groupBy("label").agg(F.max(F.col("count").cast("int")).alias("count")).withColumn("word", F.explode(T.label_words(F.col("label"))))
-    shared = words.select("doc_id", "word").distinct().join(of, "word").groupBy("doc_id", "label", "count").agg(F.count("*").alias("overlap"))
+    heavy = of.groupBy("word").agg(F.count("*").alias("_n")).filter(F.col("_n") > light).select("word")
+    own = words.select("doc_id", "word").distinct()
+    kind = lambda df: df.join(heavy, "word", "left_semi")
+    rare = lambda df: df.join(heavy, "word", "left_anti")
+    held = F.array_sort(F.collect_list("word"))
+    labels, batches = kind(of).groupBy("label", "count").agg(held.alias("class")), kind(own).groupBy("doc_id").agg(held.alias("kind"))
+    best = labels.withColumn("_r", F.row_number().over(W.partitionBy("class").orderBy(F.desc("count"), "label"))).filter(F.col("_r") <= most).drop("_r")
+    classes, kinds = (df.select(c).distinct().withColumn("word", F.explode(c)) for df, c in ((best, "class"), (batches, "kind")))
+    met = kinds.join(classes, "word").groupBy("kind", "class").agg(F.count("*").alias("overlap")).join(best, "class")
+    place = F.row_number().over(W.partitionBy("kind").orderBy(F.desc("overlap"), F.desc("count"), "label"))
+    told = ["doc_id", "label", "count", "overlap"]
+    by_heavy = batches.join(met.withColumn("_r", place).filter(F.col("_r") <= most), "kind").select(*told)
+    by_light = rare(own).join(rare(of), "word").groupBy("doc_id", "label", "count").agg(F.count("*").alias("_light"))
+    both = by_light.join(labels.select("label", "class"), "label", "left").join(batches, "doc_id", "left")
+    shared = F.col("_light") + F.coalesce(F.size(F.array_intersect("class", "kind")), F.lit(0))
+    return by_heavy.unionByName(both.withColumn("overlap", shared).select(*told)).groupBy("doc_id", "label", "count").agg(F.max("overlap").alias("overlap"))
+
+
+def appendix(lookup: DataFrame, words: DataFrame, most: int = 20, light: int = LIGHT) -> DataFrame:
+    """(doc_id, label, overlap, count, place): the lookup labels that share most words with a batch's words (doc_id, word).
+
+    Ties go to the count, then the label.
+    """
     place = F.row_number().over(W.partitionBy("doc_id").orderBy(F.desc("overlap"), F.desc("count"), "label"))
-    return shared.withColumn("place", place).filter(F.col("place") <= most)
+    return appendix_pairs(lookup, words, most, light).withColumn("place", place).filter(F.col("place") <= most)
 
 
 def spec_sheet(rows: DataFrame) -> DataFrame:

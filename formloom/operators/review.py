@@ -114,3 +114,40 @@ def submittable(annotations: DataFrame) -> DataFrame:
 def merged(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Both, none dropped."""
     return existing.unionByName(new, allowMissingColumns=True)
+
+
+SLOT = ["doc_id", "row_id", "slot"]
+
+
+def merge(sent: DataFrame, returned: DataFrame, new: DataFrame) -> DataFrame:
+    """Three sheets as one, cell by cell: as it was sent, as it came back, and as it would be written now.
+
+    Each is (doc_id, row_id, slot, shown, review_status, reviewed_by), a row for each filled cell; of a cell that is filled
+    twice the first text in order holds. Gives doc_id, row_id, slot, shown, review_status, reviewed_by, taken (returned or
+    new) and conflict (null, or what both sides did).
+
+    A decision is never lost: a cell that is decided on, written, changed or cleared since it was sent stands as it came
+    back, and where the new text would have been another, the row says so. Every other cell is as it would be now, and is
+    proposed. A cleared cell has no row unless that conflicts; it then has no text.
+    """
+
+    def cells(df: DataFrame, pre: str) -> DataFrame:
+        first = df.filter(F.trim("shown") != "").groupBy(*SLOT).agg(F.min(F.struct("shown", "review_status", "reviewed_by")).alias(pre))
+        return first.select(*[F.col(c).alias(f"{pre}_{c}") for c in SLOT], pre)
+
+    was, came, now = cells(sent, "_was"), cells(returned, "_came"), cells(new, "_now")
+    key = lambda *pres: [F.coalesce(*[F.col(f"{p}_{c}") for p in pres]) for c in SLOT]
+    on = lambda left, right: [a.eqNullSafe(F.col(f"{right}_{c}")) for a, c in zip(key(*left), SLOT, strict=True)]
+    every = was.join(came, on(["_was"], "_came"), "full").join(now, on(["_was", "_came"], "_now"), "full")
+    shown = {p: F.col(f"{p}.shown") for p in ("_was", "_came", "_now")}
+    decided = F.coalesce(F.col("_came.review_status").isin(STATUSES[1:]), F.lit(False))
+    touched = decided | ~shown["_came"].eqNullSafe(shown["_was"])
+    moved = ~shown["_now"].eqNullSafe(shown["_was"]) & ~shown["_now"].eqNullSafe(shown["_came"])
+    did = F.when(shown["_came"].isNull(), "cleared").when(decided, F.col("_came.review_status")).when(shown["_was"].isNull(), "written").otherwise("changed")
+    then = F.when(shown["_now"].isNull(), "no longer proposed").when(shown["_was"].isNull(), "proposed otherwise").otherwise("proposed anew")
+    out = every.select(
+        *[k.alias(c) for k, c in zip(key("_was", "_came", "_now"), SLOT, strict=True)], F.when(touched, shown["_came"]).otherwise(shown["_now"]).alias("shown"),
+        F.when(touched, F.coalesce("_came.review_status", F.lit(STATUSES[0]))).otherwise(STATUSES[0]).alias("review_status"), F.when(touched, F.coalesce("_came.reviewed_by", F.lit(""))).otherwise("").alias("reviewed_by"),
+        F.when(touched, "returned").otherwise("new").alias("taken"), F.when(touched & moved, F.concat_ws(", ", did, then)).alias("conflict"),
+    )
+    return out.filter("shown is not null or conflict is not null")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import geometry as G
-from ..operators import extract, grouping, layout, precedent, recover, reply, review, style
-from ..sources.stage import staged
-from . import sql, testbed
+from ..operators import extract, grouping, layout, precedent, prefix, recover, reply, review, style
+from ..sources.stage import shared_folder, staged
+from ..streaming import votes
+from . import session, sql, testbed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -120,20 +122,24 @@ def domain_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return precedent.domain_votes(e.select(F.lit("variable").alias("kind"), F.concat(F.lit("V"), F.col("user_id") % 50).alias("variable"), F.col("event_type").alias("domain"), source.alias("domain_inference_source"), F.col("event_id").alias("ord")))
 
 
-@add("lookup_table", "", """
-SELECT arg_min(label, ord) AS label, arg_min(context, ord) AS context, domain, variable, sum(n) AS count, string_agg(pdf, '; ' ORDER BY ord) AS sample_pdfs FROM (
- SELECT key, domain, variable, pdf, min(ord) AS ord, arg_min(label, ord) AS label, arg_min(context, ord) AS context, count(*) AS n FROM (
-  SELECT lower(trim(label)) AS key, * FROM (SELECT CASE WHEN l_linenumber % 2 = 0 THEN upper(p_name) ELSE p_name || ' ' END AS label, l_shipdate::VARCHAR AS context, l_returnflag AS domain, p_brand AS variable, 's' || (l_suppkey % 5) AS pdf, l_orderkey * 10 + l_linenumber AS ord FROM lineitem JOIN part ON p_partkey = l_partkey))
- GROUP BY ALL) GROUP BY key, domain, variable""")
-def lookup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as matched variables."""
     p = testbed.read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     li = testbed.read(spark, sf_dir, "lineitem").join(p, F.col("p_partkey") == F.col("l_partkey"))
     label = F.when(F.col("l_linenumber") % 2 == 0, F.upper("p_name")).otherwise(F.concat("p_name", F.lit(" ")))
-    m = li.select(
+    return li.select(
         F.lit("variable").alias("kind"), F.lit("r").alias("row_id"), label.alias("label"), F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("context"), F.col("l_returnflag").alias("domain"), F.col("p_brand").alias("variable"),
         F.lit(None).cast("string").alias("condition"), F.lit(None).cast("string").alias("fixed_value"), F.concat(F.lit("s"), F.col("l_suppkey") % 5).alias("source_pdf"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"),
     )
-    return precedent.lookup_table(m).drop("condition", "fixed_value")
+
+
+@add("lookup_table", "", """
+SELECT arg_min(label, ord) AS label, arg_min(context, ord) AS context, domain, variable, sum(n) AS count, string_agg(pdf, '; ' ORDER BY ord) AS sample_pdfs FROM (
+ SELECT key, domain, variable, pdf, min(ord) AS ord, arg_min(label, ord) AS label, arg_min(context, ord) AS context, count(*) AS n FROM (
+  SELECT lower(trim(label)) AS key, * FROM (SELECT CASE WHEN l_linenumber % 2 = 0 THEN upper(p_name) ELSE p_name || ' ' END AS label, l_shipdate::VARCHAR AS context, l_returnflag AS domain, p_brand AS variable, 's' || (l_suppkey % 5) AS pdf, l_orderkey * 10 + l_linenumber AS ord FROM lineitem JOIN part ON p_partkey = l_partkey))
+ GROUP BY ALL) GROUP BY key, domain, variable""")
+def lookup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return precedent.lookup_table(line_mappings(spark, sf_dir)).drop("condition", "fixed_value")
 
 
 @add("mark_mapping", "mappings", "SELECT doc_id, page_index, mark_ord, text, kind, domain, variable, condition, fixed_value FROM mappings")
@@ -394,9 +400,33 @@ def place_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.join(over, ["doc_id", "group_id", "slot"], "left").select("doc_id", "group_id", "page_index", "slot", "bbox.*", F.coalesce("overruns", F.lit(False)).alias("overruns"))
 
 
-@add("place_pages")
+#: Placement as recursion: a state is one box of a page at a place with its moves left; a step moves it, or lets it rest and takes up the next.
+MEETS = "t.unit < w.unit AND least(s.x + w.w + 1.5, t.x1) - greatest(s.x - 1.5, t.x0) > 1.0 AND least(s.y + w.h + 1.5, t.y1) - greatest(s.y - 1.5, t.y0) > 1.0"
+PLACES = f"""
+, u AS (SELECT doc_id, page_index, row_ord AS unit, slot, ax0, ay0, ax1, greatest(11.0, ay1 - ay0) AS h, w, ax1 + 4 + CASE WHEN slot = 2 THEN w1 + 3 ELSE 0 END AS x0, CASE WHEN bbox_1_x0 IS NOT NULL AND bbox_2_x0 IS NOT NULL THEN bbox_2_x0 - 4 ELSE 606.0 END AS lim
+ FROM (SELECT *, {WIDTH_SQL.format("'SUPPDM.QVAL when QNAM'")} + 4 AS w1, {WIDTH_SQL.format("'AGEU'")} + 4 AS w2 FROM anchored), LATERAL (SELECT unnest([1, 2]) AS slot, unnest([w1, w2]) AS w)),
+v AS (SELECT *, min(CASE WHEN x0 + w > lim AND ax0 + w <= lim THEN slot END) OVER (PARTITION BY doc_id, page_index, unit) AS first FROM u),
+flat AS (SELECT doc_id, page_index, unit, slot, x0, ay0 AS y0, x0 + w AS x1, ay0 + h AS y1 FROM v WHERE first IS NULL OR slot < first),
+wr AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page_index ORDER BY unit, slot) AS k FROM v WHERE slot >= first),
+th AS (SELECT doc_id, page_index, list({{'unit': unit, 'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}}) AS things FROM (
+ SELECT doc_id, page_index, CAST(-1 AS BIGINT) AS unit, x0, 792.0 - y1 AS y0, x1, 792.0 - y0 AS y1 FROM runs UNION ALL SELECT doc_id, page_index, CAST(unit AS BIGINT), x0, y0, x1, y1 FROM flat) GROUP BY doc_id, page_index),
+s AS (SELECT doc_id, page_index, k, CASE WHEN x0 + w > lim AND ax0 + w <= lim THEN ax0 ELSE x0 END AS x, CASE WHEN x0 + w > lim AND ax0 + w <= lim THEN ay0 - 11 ELSE ay0 END AS y, CASE WHEN x0 + w > lim AND ax0 + w <= lim THEN 6 ELSE 7 END AS moves, false AS rest,
+  [{{'unit': CAST(-1 AS BIGINT), 'slot': 0, 'x0': 0.0::DOUBLE, 'y0': 0.0::DOUBLE, 'x1': 0.0::DOUBLE, 'y1': 0.0::DOUBLE}}] AS placed FROM wr WHERE k = 1
+ UNION ALL
+ SELECT doc_id, page_index, CASE WHEN free THEN k + 1 ELSE k END, CASE WHEN NOT free THEN x WHEN turns THEN nax0 ELSE nx END, CASE WHEN floor IS NOT NULL AND NOT free THEN floor - h - 1.5 WHEN NOT free THEN y - 11 WHEN turns THEN ny - 11 ELSE ny END,
+  CASE WHEN NOT free THEN moves - 1 WHEN turns THEN nm - 1 ELSE nm END, free AND nw IS NULL, CASE WHEN free THEN list_append(placed, {{'unit': unit, 'slot': slot, 'x0': x, 'y0': y, 'x1': x + w, 'y1': y + h}}) ELSE placed END FROM (
+  SELECT *, nx + nw > nlim AND nax0 + nw <= nlim AND nm > 1 AS turns FROM (
+   SELECT *, moves = 0 OR (floor IS NULL AND x >= 6 AND x + w <= 606 AND y >= 6 AND y + h <= 786) AS free, CASE WHEN nunit = unit THEN x + w + 3 ELSE nx0 END AS nx, CASE WHEN nunit = unit THEN y ELSE nay0 END AS ny, CASE WHEN nunit = unit THEN moves ELSE 7 END AS nm FROM (
+    SELECT s.doc_id, s.page_index, s.k, s.x, s.y, s.moves, s.placed, CAST(w.unit AS BIGINT) AS unit, w.slot, w.w, w.h, n.unit AS nunit, n.x0 AS nx0, n.ay0 AS nay0, n.ax0 AS nax0, n.w AS nw, n.lim AS nlim,
+     list_min(list_concat(list_transform(list_filter(th.things, lambda t: {MEETS}), lambda t: t.y0), list_transform(list_filter(s.placed, lambda t: t.unit >= 0 AND {MEETS}), lambda t: t.y0))) AS floor
+    FROM s JOIN wr w ON w.doc_id = s.doc_id AND w.page_index = s.page_index AND w.k = s.k JOIN th ON th.doc_id = s.doc_id AND th.page_index = s.page_index
+    LEFT JOIN wr n ON n.doc_id = s.doc_id AND n.page_index = s.page_index AND n.k = s.k + 1 WHERE NOT s.rest))))
+SELECT doc_id, page_index, unit, slot, x0, y0, x1, y1 FROM flat UNION ALL SELECT doc_id, page_index, b.unit, b.slot, b.x0, b.y0, b.x1, b.y1 FROM (SELECT doc_id, page_index, unnest(placed) AS b FROM s WHERE rest) WHERE b.unit >= 0"""
+
+
+@add("place_pages", "anchored runs", PLACES)
 def place_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both slots of every row, among the page's own runs. No SQL states it: a test holds placement to its rule, box by box."""
+    """Both slots of every row, among the page's own runs."""
     a = testbed.anchored(testbed.crf_rows(spark, sf_dir))
     texts = F.explode(F.array(F.struct(F.lit(1).alias("slot"), F.lit("SUPPDM.QVAL when QNAM").alias("t")), F.struct(F.lit(2).alias("slot"), F.lit("AGEU").alias("t")))).alias("s")
     units = a.select("doc_id", "page_index", F.col("row_ord").cast("long").alias("unit"), texts, *[F.col(f"anchor.{c}").alias(f"a{c}") for c in ("x0", "y0", "x1", "y1")], G.right_limit(F.col("bbox_1"), F.col("bbox_2"), F.lit(testbed.WIDTH)).alias("limit"), F.lit(False).alias("grouped"))
@@ -430,3 +460,97 @@ def rect_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_split_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines by first fit, then runs. The tables' lines do not overlap, so that first fit finds those that SQL is told."""
     return extract.runs(extract.assign_lines(testbed.words(spark, sf_dir))).drop("blocks")
+
+
+@add("line_growth", "word_lines", "SELECT doc_id, page_index, was, word_no, line_no FROM word_lines")
+def line_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by first fit over words that stand unevenly, so that lines overlap and grow into each other."""
+    words, up = testbed.words(spark, sf_dir), F.col("word_no") % 4 * 3
+    uneven = words.withColumns({"y0": F.col("y0") + up, "y1": F.col("y1") + up}).withColumnRenamed("line_no", "was")
+    return extract.assign_lines(uneven.select("doc_id", "page_index", "word_no", "was", "y0", "x0", "y1")).select("doc_id", "page_index", "was", "word_no", "line_no")
+
+
+@add("line_regroup", "run_lines", "SELECT doc_id, page_index, was, was_run, line_no, run_no FROM run_lines")
+def line_regroup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs that stand unevenly regrouped into lines, each by its first run's rectangle."""
+    run, up = extract.runs(testbed.words(spark, sf_dir)), (F.col("line_no") + F.col("run_no")) % 3 * 4
+    uneven = run.withColumns({"y0": F.col("y0") + up, "y1": F.col("y1") + up, "was": F.col("line_no"), "was_run": F.col("run_no")})
+    return extract.lines_of(uneven).select("doc_id", "page_index", "was", "was_run", "line_no", "run_no")
+
+
+VIEWS = "SELECT form, kind, coalesce(builtin_domain(variable), domain, '') AS domain, normalize_key(label) AS key, count(*) AS n, count(DISTINCT doc_id) AS documents FROM {matched} m JOIN (SELECT doc_id, row_id, form FROM {rows}) r USING (doc_id, row_id) GROUP BY ALL"
+
+
+@add("views_in_sql", "matched rows", f"""
+SELECT form, kind, coalesce(CASE WHEN variable IN ('RFICDTC', 'SUBJID') THEN 'DM' WHEN left(variable, 2) IN ('DM', 'AE', 'VS', 'LB', 'CM') AND variable <> left(variable, 2) THEN left(variable, 2) END, domain, '') AS domain, {key_sql("label")} AS key, count(*) AS n, count(DISTINCT doc_id) AS documents
+FROM matched JOIN (SELECT doc_id, row_id, form FROM rows) USING (doc_id, row_id) GROUP BY ALL""")
+def views_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A question in SQL over the session's views and functions."""
+    rows, marks = testbed.forms_and_marks(spark, sf_dir)
+    views = session.Relations(spark, testbed.words(spark, sf_dir), marks, header=testbed.HEADER, made={"rows": rows})
+    views.register("fl_")
+    return spark.sql(VIEWS.format(matched="fl_matched", rows="fl_rows"))
+
+
+@add("prefix_lookup", "d_keys b_lookup", """
+, k AS (SELECT key, min(place) AS place FROM (SELECT label AS key, min(n) * 1000 + length(label) AS place FROM b_lookup GROUP BY label UNION ALL SELECT substr(label, 1, 9), 5000000 - length(label) FROM b_lookup) GROUP BY key),
+t AS (SELECT DISTINCT text_1 FROM d_keys),
+m AS (SELECT text_1, key, place, key = text_1 AS exact FROM (SELECT text_1, unnest((SELECT list(DISTINCT length(key)) FROM k)) AS size FROM t) p JOIN k ON length(key) = size AND size <= length(text_1) AND substr(text_1, 1, size) = key)
+SELECT d.doc_id, d.row_ord, b.key, b.place AS says, b.exact FROM d_keys d LEFT JOIN (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY text_1 ORDER BY NOT exact, place, key) = 1) b USING (text_1)""")
+def prefix_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' phrases by the benchmark's, whole or as beginnings: a phrase, and its first nine characters."""
+    look = testbed.phrase_lookup(spark, sf_dir)
+    whole = look.groupBy(F.col("label").alias("key")).agg((F.min("count") * 1000 + F.max(F.length("label"))).alias("place"))
+    keys = whole.unionByName(look.select(F.substring("label", 1, 9).alias("key"), (5000000 - F.length("label")).cast("long").alias("place")))
+    keys = keys.groupBy("key").agg(F.min("place").alias("place")).withColumn("says", F.col("place"))
+    out = prefix.prefix_lookup(testbed.phrases(spark, sf_dir).select("doc_id", "row_ord", "text_1"), keys, "text_1")
+    return out.select("doc_id", "row_ord", "key", "says", "exact")
+
+
+#: Order lines as three sheets: as sent; as returned, where some are decided, changed, cleared or written; and as they would be now.
+THREE = "SELECT l_orderkey AS doc_id, 'r' || row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS row_id, 1 + l_suppkey % 2 AS slot, 'P' || l_partkey % 9 AS p, l_partkey % 7 AS a, l_suppkey % 5 AS b, l_linenumber % 3 AS c FROM lineitem"
+SENT = "SELECT doc_id, row_id, slot, CASE WHEN a = 0 THEN '' ELSE p END AS shown, 'proposed' AS review_status, '' AS reviewed_by FROM three"
+RETURNED = "SELECT doc_id, row_id, slot, CASE WHEN a = 0 AND b = 0 THEN 'new' WHEN a = 0 OR b = 1 THEN '' WHEN b = 2 THEN 'x' || p ELSE p END AS shown, CASE WHEN b = 3 THEN 'accepted' WHEN b = 2 AND c = 1 THEN 'edited' ELSE 'proposed' END AS review_status, CASE WHEN b IN (2, 3) THEN 'me' ELSE '' END AS reviewed_by FROM three"
+NOW = "SELECT doc_id, row_id, slot, CASE WHEN c = 0 THEN p WHEN c = 1 THEN 'q' || p WHEN a < 4 THEN '' ELSE 'x' || p END AS shown, 'proposed' AS review_status, '' AS reviewed_by FROM three"
+
+
+@add("sheet_merge", "", f"""
+WITH three AS ({THREE}), w AS ({SENT}), r AS ({RETURNED}), n AS ({NOW}),
+k AS (SELECT doc_id, row_id, slot, nullif(w.shown, '') AS ws, nullif(r.shown, '') AS rs, nullif(n.shown, '') AS ns, r.review_status AS st, r.reviewed_by AS who FROM w JOIN r USING (doc_id, row_id, slot) JOIN n USING (doc_id, row_id, slot)),
+t AS (SELECT *, (rs IS NOT NULL AND st <> 'proposed') OR rs IS DISTINCT FROM ws AS touched, ns IS DISTINCT FROM ws AND ns IS DISTINCT FROM rs AS moved FROM k)
+SELECT * FROM (SELECT doc_id, row_id, slot, CASE WHEN touched THEN rs ELSE ns END AS shown, CASE WHEN touched AND rs IS NOT NULL THEN st ELSE 'proposed' END AS review_status, CASE WHEN touched AND rs IS NOT NULL THEN who ELSE '' END AS reviewed_by, CASE WHEN touched THEN 'returned' ELSE 'new' END AS taken,
+ CASE WHEN touched AND moved THEN (CASE WHEN rs IS NULL THEN 'cleared' WHEN st <> 'proposed' THEN st WHEN ws IS NULL THEN 'written' ELSE 'changed' END) || ', ' || CASE WHEN ns IS NULL THEN 'no longer proposed' WHEN ws IS NULL THEN 'proposed otherwise' ELSE 'proposed anew' END END AS conflict FROM t) WHERE shown IS NOT NULL OR conflict IS NOT NULL""")
+def sheet_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sheets merged cell by cell: as sent, as returned, as they would be now."""
+    testbed.read(spark, sf_dir, "lineitem").createOrReplaceTempView("fl_lineitem")
+    spark.sql(THREE.replace("FROM lineitem", "FROM fl_lineitem")).createOrReplaceTempView("fl_three")
+    sheets = [spark.sql(s.replace("FROM three", "FROM fl_three")) for s in (SENT, RETURNED, NOW)]
+    return review.merge(*sheets)
+
+
+def arriving(mappings: DataFrame, again: str) -> tuple[str, DataFrame]:
+    """A folder of files of the mappings, numbered by `seq`, and one more file of those that `again` picks, which have come before."""
+    spark, folder = mappings.sparkSession, f"{shared_folder(mappings.sparkSession)}/arriving-{uuid.uuid4().hex}"
+    told = staged(mappings.withColumn("seq", F.monotonically_increasing_id()))
+    told.repartition(4, "seq").write.parquet(folder)
+    told.filter(again).coalesce(1).write.mode("append").parquet(folder)
+    return folder, votes.watch(spark, folder, told.schema, 1)
+
+
+@add("stream_votes", "", SQL["domain_vote"])
+def stream_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """domain_vote() as mappings arrive, a file for each batch, some of them twice."""
+    e = testbed.read(spark, sf_dir, "events")
+    source = F.element_at(F.array(F.lit(None).cast("string"), F.lit("banner"), F.lit("legend"), F.lit("builtin")), (F.col("event_id") % 4 + 1).cast("int"))
+    m = e.select(F.lit("variable").alias("kind"), F.concat(F.lit("V"), F.col("user_id") % 50).alias("variable"), F.col("event_type").alias("domain"), source.alias("domain_inference_source"), F.col("event_id").alias("ord"))
+    folder, stream = arriving(m, "seq % 3 = 0")
+    votes.keep_votes(stream, f"{folder}-out", f"{folder}-state", ["seq"]).awaitTermination()
+    return votes.votes_now(spark, f"{folder}-out")
+
+
+@add("stream_lookup", "", SQL["lookup_table"])
+def stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lookup_table() as mappings arrive, a file for each batch, some of them twice."""
+    folder, stream = arriving(line_mappings(spark, sf_dir), "seq % 5 = 0")
+    votes.keep_lookup(stream, f"{folder}-out", f"{folder}-state", ["seq"]).awaitTermination()
+    return votes.lookup_now(spark, f"{folder}-out").drop("condition", "fixed_value")

@@ -7,8 +7,13 @@ WIDTH, HEIGHT = 612.0, 792.0
 STEPS: dict[str, tuple[list[str], str]] = {}
 
 
-def step(name: str, needs: str, text: str) -> None:
+RECURSIVE: set[str] = set()
+
+
+def step(name: str, needs: str, text: str, recursive: bool = False) -> None:
     STEPS[name] = (needs.split(), text)
+    if recursive:
+        RECURSIVE.add(name)
 
 
 def query(needs: str, final: str) -> str:
@@ -23,7 +28,7 @@ def query(needs: str, final: str) -> str:
 
     for n in needs.split():
         add(n)
-    head = ", ".join(f"{n} AS MATERIALIZED ({STEPS[n][1].strip()})" for n in order)
+    head = ", ".join(f"{n} AS {'' if n in RECURSIVE else 'MATERIALIZED '}({STEPS[n][1].strip()})" for n in order)
     return f"WITH RECURSIVE {head} {final.strip()}" if order else final.strip()
 
 
@@ -33,14 +38,14 @@ step("t_vis", "t_tens", "SELECT doc_id, row_number() OVER (PARTITION BY doc_id O
 step("t_words", "t_vis", "SELECT doc_id, line_no, i - 1 AS word_no, w[i] AS word, (i > 6 AND line_no % 3 <> 1) AS col2 FROM (SELECT doc_id, line_no, w, unnest(range(1, len(w) + 1)) AS i FROM t_vis)")
 step("words", "t_words", """
 SELECT doc_id, page_index, line_no, word_no, x0, y0, x0 + 5 * length(word) AS x1, y0 + 10 AS y1, word, block FROM (
- SELECT *, CAST(line_no // 40 AS INT) AS page_index, CAST(line_no // 3 AS INT) AS block, CAST(30 + 14 * (line_no % 40) AS DOUBLE) AS y0,
+ SELECT *, CAST(line_no // 40 AS INT) AS page_index, CAST((line_no + CASE WHEN line_no % 8 = 5 THEN word_no % 3 * 3 WHEN line_no % 4 = 1 THEN word_no % 3 ELSE 0 END) // 3 AS INT) AS block, CAST(30 + 14 * (line_no % 40) AS DOUBLE) AS y0,
   CAST(CASE WHEN col2 THEN 400 ELSE 90 END + coalesce(sum(5 * length(word) + 3) OVER (PARTITION BY doc_id, line_no, col2 ORDER BY word_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) AS x0
  FROM t_words)""")
 step("t_cut", "words", """
 SELECT *, sum(CASE WHEN x0 - px > greatest(3.0, 0.6 * h) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, line_no ORDER BY x0, word_no ROWS UNBOUNDED PRECEDING) AS run_no
 FROM (SELECT *, max(x1) OVER (PARTITION BY doc_id, line_no ORDER BY x0, word_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS px,
  max(y1) OVER (PARTITION BY doc_id, line_no) - min(y0) OVER (PARTITION BY doc_id, line_no) AS h FROM words)""")
-step("runs", "t_cut", "SELECT doc_id, page_index, line_no, CAST(run_no AS INT) AS run_no, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1, string_agg(word, ' ' ORDER BY x0, word_no) AS text, min(block) AS block, count(DISTINCT block) AS n_blocks FROM t_cut GROUP BY ALL")
+step("runs", "t_cut", "SELECT doc_id, page_index, line_no, CAST(run_no AS INT) AS run_no, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1, string_agg(word, ' ' ORDER BY x0, word_no) AS text, list_sort(list(DISTINCT block)) AS blocks, count(DISTINCT block) AS n_blocks FROM t_cut GROUP BY ALL")
 step("t_narrow", "runs", f"SELECT * FROM runs WHERE x1 - x0 <= 0.6 * {WIDTH}")
 step("t_spans", "t_narrow", "SELECT doc_id, page_index, text_x0, span, text_x0 + 0.3 * span AS lo, text_x0 + 0.9 * span AS hi FROM (SELECT doc_id, page_index, min(x0) AS text_x0, max(x1) - min(x0) AS span, count(*) AS n FROM t_narrow GROUP BY ALL) WHERE n >= 4 AND span > 8")
 step("t_edges", "t_narrow t_spans", """
@@ -81,19 +86,23 @@ step("records", "runs gutters", """
 SELECT doc_id, page_index, line_no, coalesce(string_agg(text, ' ' ORDER BY run_no) FILTER (WHERE NOT c2), '') AS text_1, coalesce(string_agg(text, ' ' ORDER BY run_no) FILTER (WHERE c2), '') AS text_2,
  min(x0) FILTER (WHERE NOT c2) AS x0_1, min(y0) FILTER (WHERE NOT c2) AS y0_1, max(x1) FILTER (WHERE NOT c2) AS x1_1, max(y1) FILTER (WHERE NOT c2) AS y1_1,
  min(x0) FILTER (WHERE c2) AS x0_2, min(y0) FILTER (WHERE c2) AS y0_2, max(x1) FILTER (WHERE c2) AS x1_2, max(y1) FILTER (WHERE c2) AS y1_2,
- min(block) FILTER (WHERE NOT c2) AS block_1, bool_or(st) AS full_width FROM (
+ list_distinct(flatten(list(blocks) FILTER (WHERE NOT c2))) AS blocks_1, bool_or(st) AS full_width FROM (
  SELECT *, coalesce(x0 >= gutter, false) AND NOT st AS c2 FROM (
   SELECT r.* REPLACE (trim(regexp_replace(text, '[\\s\\p{Z}]+', ' ', 'g')) AS text), gutter, coalesce(x0 < gutter AND gutter < x1, false) AS st FROM runs r LEFT JOIN gutters g USING (doc_id, page_index)) WHERE text <> '')
 GROUP BY ALL""")
-step("merged", "records bands", """
+step("t_alone", "records bands", """
+SELECT r.*, b.top, b.bottom, row_number() OVER (PARTITION BY r.doc_id, r.page_index ORDER BY r.line_no) AS k, r.x0_1 IS NOT NULL AND r.x0_2 IS NULL AS alone
+FROM records r JOIN bands b USING (doc_id, page_index, line_no)""")
+JOINS = "i.alone AND t.alone AND i.full_width = t.full_width AND list_has_any(i.held, t.blocks_1)"
+step("t_islands", "t_alone", f"""
+SELECT doc_id, page_index, k, 1 AS island, blocks_1 AS held, alone, full_width FROM t_alone WHERE k = 1
+UNION ALL SELECT t.doc_id, t.page_index, t.k, CASE WHEN {JOINS} THEN island ELSE island + 1 END, CASE WHEN {JOINS} THEN list_distinct(list_concat(i.held, t.blocks_1)) ELSE t.blocks_1 END, t.alone, t.full_width
+FROM t_islands i JOIN t_alone t ON t.doc_id = i.doc_id AND t.page_index = i.page_index AND t.k = i.k + 1""", recursive=True)
+step("merged", "t_alone t_islands", """
 SELECT doc_id, page_index, min(line_no) AS line_no, count(*) AS lines, string_agg(nullif(text_1, ''), ' ' ORDER BY line_no) AS text_1, string_agg(nullif(text_2, ''), ' ' ORDER BY line_no) AS text_2,
  min(x0_1) AS x0_1, min(y0_1) AS y0_1, max(x1_1) AS x1_1, max(y1_1) AS y1_1, min(x0_2) AS x0_2, min(y0_2) AS y0_2, max(x1_2) AS x1_2, max(y1_2) AS y1_2,
- any_value(full_width) AS full_width, min(top) AS top, max(bottom) AS bottom FROM (
- SELECT *, sum(fresh) OVER (PARTITION BY doc_id, page_index ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS island FROM (
-  SELECT r.*, b.top, b.bottom, CASE WHEN r.x0_1 IS NOT NULL AND lag(r.x0_1) OVER p IS NOT NULL AND r.x0_2 IS NULL AND lag(r.x0_2) OVER p IS NULL AND lag(r.line_no) OVER p IS NOT NULL
-   AND r.full_width = lag(r.full_width) OVER p AND r.block_1 = lag(r.block_1) OVER p THEN 0 ELSE 1 END AS fresh
-  FROM records r JOIN bands b USING (doc_id, page_index, line_no) WINDOW p AS (PARTITION BY r.doc_id, r.page_index ORDER BY r.line_no)))
-GROUP BY doc_id, page_index, island""")
+ any_value(t.full_width) AS full_width, min(top) AS top, max(bottom) AS bottom
+FROM t_alone t JOIN (SELECT doc_id, page_index, k, island FROM t_islands) USING (doc_id, page_index, k) GROUP BY doc_id, page_index, island""")
 step("rows", "merged forms", f"""
 SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY page_index, line_no) AS row_ord,
  'p' || (page_index + 1) || '_r' || lpad(CAST(row_number() OVER (PARTITION BY doc_id, page_index ORDER BY line_no) AS VARCHAR), CAST(greatest(3, length(CAST(row_number() OVER (PARTITION BY doc_id, page_index ORDER BY line_no) AS VARCHAR))) AS INT), '0') AS row_id,
@@ -200,3 +209,23 @@ SELECT doc_id, own_form AS form, domain, row_number() OVER (PARTITION BY doc_id,
 step("colored", "t_counted domain_order", """
 SELECT t.doc_id, t.row_id, t.slot, own_form AS form, t.domain, CASE WHEN kind <> 'domain' AND (shown = '[NOT SUBMITTED]' OR coalesce(t.domain = 'XX', false)) THEN '#CCCCCC' WHEN kind <> 'note' THEN ['#BFFFFF', '#FFFF96', '#96FF96', '#FFBE9B'][(rank - 1) % 4 + 1] END AS color
 FROM t_counted t LEFT JOIN domain_order d ON d.doc_id = t.doc_id AND d.form = t.own_form AND d.domain = t.domain""")
+#: First fit as recursion over a page's items in order; a line's extent grows with its items, or is that of its first one.
+FIT = "coalesce(list_position(list_transform(range(1, len(f.tops) + 1), lambda i: greatest(0.0, least(f.bots[i], o.y1) - greatest(f.tops[i], o.y0)) / greatest(least(f.bots[i] - f.tops[i], o.y1 - o.y0), 0.000001) >= 0.5), true), 0)"
+
+
+def fit(name: str, items: str, grows: bool) -> None:
+    grown = "list_transform(range(1, len(tops) + 1), lambda i: CASE WHEN i = line THEN {0}({1}[i], y) ELSE {1}[i] END)" if grows else "{1}"
+    step(name, items, f"""
+SELECT doc_id, page_index, k, [y0] AS tops, [y1] AS bots, 1 AS line FROM {items} WHERE k = 1
+UNION ALL SELECT doc_id, page_index, k, CASE WHEN line = 0 THEN list_append(tops, y0) ELSE {grown.format("least", "tops").replace(", y)", ", y0)")} END, CASE WHEN line = 0 THEN list_append(bots, y1) ELSE {grown.format("greatest", "bots").replace(", y)", ", y1)")} END, CASE WHEN line = 0 THEN len(tops) + 1 ELSE line END
+FROM (SELECT o.doc_id, o.page_index, o.k, o.y0, o.y1, f.tops, f.bots, {FIT} AS line FROM {name} f JOIN {items} o ON o.doc_id = f.doc_id AND o.page_index = f.page_index AND o.k = f.k + 1)""", recursive=True)
+
+
+step("uneven_words", "words", "SELECT *, row_number() OVER (PARTITION BY doc_id, page_index ORDER BY y0, x0, word_no) AS k FROM (SELECT * REPLACE (y0 + word_no % 4 * 3 AS y0, y1 + word_no % 4 * 3 AS y1) FROM words)")
+fit("t_word_lines", "uneven_words", True)
+step("word_lines", "t_word_lines uneven_words", "SELECT doc_id, page_index, w.line_no AS was, w.word_no, line - 1 AS line_no FROM uneven_words w JOIN (SELECT doc_id, page_index, k, line FROM t_word_lines) USING (doc_id, page_index, k)")
+step("uneven_runs", "runs", "SELECT *, row_number() OVER (PARTITION BY doc_id, page_index ORDER BY line_no, run_no) AS k FROM (SELECT * REPLACE (y0 + (line_no + run_no) % 3 * 4 AS y0, y1 + (line_no + run_no) % 3 * 4 AS y1) FROM runs)")
+fit("t_run_lines", "uneven_runs", False)
+step("run_lines", "t_run_lines uneven_runs", """
+SELECT doc_id, page_index, line_no AS was, run_no AS was_run, dense_rank() OVER (PARTITION BY doc_id, page_index ORDER BY top, line) - 1 AS line_no, row_number() OVER (PARTITION BY doc_id, page_index, line ORDER BY x0, k) - 1 AS run_no FROM (
+ SELECT *, first_value(y0) OVER (PARTITION BY doc_id, page_index, line ORDER BY k) AS top FROM uneven_runs JOIN (SELECT doc_id, page_index, k, line FROM t_run_lines) USING (doc_id, page_index, k))""")

@@ -1,7 +1,8 @@
 """The driver's tables as forms: each document's text laid out in two columns of words, 40 lines to a page of 612 x 792.
 
 A line of the text makes visual lines of ten words: six in the first column from x = 90, four in the second from x = 400;
-every third visual line keeps all ten in the first. All of every text is laid out, with whole numbers throughout, so
+every third visual line keeps all ten in the first. A text block is three lines, and some lines stand in two or three
+blocks. All of every text is laid out, with whole numbers throughout, so
 that two engines agree to the bit.
 """
 
@@ -34,10 +35,11 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = F.aggregate(F.slice("w", start + 1, F.col("word_no") - start), F.lit(0), lambda a, x: a + 5 * F.length(x) + 3)
     x0 = F.when(second, 400).otherwise(90) + before
     y0 = 30 + 14 * (F.col("line_no") % 40)
+    shift = F.when(F.col("line_no") % 8 == 5, F.col("word_no") % 3 * 3).when(F.col("line_no") % 4 == 1, F.col("word_no") % 3).otherwise(0)
     d = lambda c, n: c.cast("double").alias(n)
     return w.select(
         "doc_id", F.floor(F.col("line_no") / 40).cast("int").alias("page_index"), "line_no", "word_no", d(x0, "x0"), d(y0, "y0"), d(x0 + 5 * F.length("word"), "x1"), d(y0 + 10, "y1"), "word",
-        F.floor(F.col("line_no") / 3).cast("int").alias("block"),
+        F.floor((F.col("line_no") + shift) / 3).cast("int").alias("block"),
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .named import write_named
+
 LOOKUP = ["label", "context", "domain", "variable", "condition", "fixed_value", "count", "sample_pdfs"]
 _CSV = {"header": True, "multiLine": True, "escape": '"', "quote": '"'}
 
@@ -67,7 +69,6 @@ def counterparts(annotated: DataFrame, blank: DataFrame) -> DataFrame:
 
 
 def write_batches(files: DataFrame, path: str) -> None:
-    """A batch's texts under their names, by document: one row of (doc_id, name, text) for each file, written as folders of text."""
-    one = lambda name, text: files.select("doc_id", F.col(name).alias("name"), F.col(text).alias("value"))
-    both = one("instructions", "instructions_text").unionByName(one("sheet", "sheet_text"))
-    both.write.partitionBy("doc_id", "name").text(path)
+    """A batch's texts as files, below a folder for each document and under the names that the manifest tells."""
+    one = lambda name, text: files.select(F.concat_ws("/", F.col("doc_id").cast("string"), name).alias("name"), F.col(text).alias("content"))
+    write_named(one("instructions", "instructions_text").unionByName(one("sheet", "sheet_text")), path)

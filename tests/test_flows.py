@@ -27,7 +27,7 @@ def test_build_sheet(spark, made):
     known = spark.read.parquet(f"{top}/out/precedent")
     assert known.count() >= 2 and sum(r[2] for r in told) == 54 - known.count()
     assert [r[0] for r in told] == [1, 2, 3][: len(told)] and told[0][3:] == ("copilot_batch1_sheet.csv", "copilot_batch1_response.csv") and [p for r in told for p in r[1]] == [0, 1, 2]
-    files = spark.read.text(f"{top}/out/batches", wholetext=True).withColumn("n", F.input_file_name())
+    files = spark.read.option("recursiveFileLookup", True).text(f"{top}/out/batches", wholetext=True).withColumn("n", F.input_file_name())
     sheets = [r["value"] for r in files.filter(F.col("n").contains("_sheet")).collect()]
     assert len(sheets) == len(told) and all(s.startswith("row_id,page,form,text_1,text_2,kind") for s in sheets)
     asked = [r["value"] for r in files.filter(F.col("n").contains("_instructions")).orderBy("n").collect()]
