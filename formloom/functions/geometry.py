@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .arrays import let
+
 #: Fixed values of layout, in points.
 FONT_SIZE, GAP, SLOT_GAP, PAD, MARGIN, LINE_STEP = 7.0, 4.0, 3.0, 2.0, 6.0, 11.0
 MIN_OVERLAP, MAX_WRAPS, CLEARANCE, BORDER = 1.0, 6, 1.5, 0.5
@@ -28,8 +30,26 @@ def flip(b: Column, height: Column) -> Column:
     return box(F.least(b["x0"], b["x1"]), F.least(a, c), F.greatest(b["x0"], b["x1"]), F.greatest(a, c))
 
 
-def rect_text(b: Column, places: int = 3) -> Column:
-    return F.format_string(",".join([f"%.{places}f"] * 4), b["x0"], b["y0"], b["x1"], b["y1"])
+def rect_text(b: Column, places: int = 3, between: str = ",") -> Column:
+    return F.format_string(between.join([f"%.{places}f"] * 4), b["x0"], b["y0"], b["x1"], b["y1"])
+
+
+def rounded(x: Column, places: int = 1) -> Column:
+    """To so many places, as the number itself lies and not as it prints: 2.675 is less than it says. A true half goes to the even digit.
+
+    The product with twice the scale is told with its rounding error, by splitting the number in two halves of its digits.
+    """
+    twice = 2.0 * 10**places
+
+    def of(v: Column) -> Column:
+        high = 134217729.0 * v - (134217729.0 * v - v)
+        p = v * twice
+        error = (high * twice - p) + (v - high) * twice
+        half = (F.abs(p) < 2.0**52) & (F.floor(p) == p) & (F.pmod(p, F.lit(2.0)) == 1.0)
+        k = F.when(half & (error < 0), (p - 1) / 2).when(half & (error > 0), (p + 1) / 2).otherwise(F.rint(p / 2))
+        return F.when(F.abs(v) < 2.0**40, k / float(10**places)).otherwise(v)
+
+    return let(x.cast("double"), of)
 
 
 def parse_rect(text: Column) -> Column:

@@ -84,10 +84,31 @@ def builtin_domain(variable: Column) -> Column:
     return F.when(variable.isin(HOME_VARIABLES), HOME_DOMAIN).when(prefix.isin(DOMAIN_PREFIXES) & (variable != prefix), prefix)
 
 
-def display_text(text: Column, kind: Column, domain: Column, variable: Column, condition: Column, fixed_value: Column, origin: Column) -> Column:
-    """What an annotation shows: its own text, or its parts, or that it is not submitted."""
-    parts = F.concat(variable, F.coalesce(F.concat(F.lit(" = "), or_null(fixed_value)), F.lit("")), F.coalesce(F.concat(F.lit(" when "), or_null(condition)), F.lit("")))
-    return F.coalesce(or_null(text), F.when(kind == "domain", or_null(domain)), F.when(or_null(variable).isNotNull(), parts), F.when(origin == "NotSubmitted", F.lit(NOT_SUBMITTED)), F.lit(""))
+def composed(name: Column, condition: Column, fixed_value: Column) -> Column:
+    """name = value when condition, of what there is; null where there is nothing."""
+    valued = or_null(F.concat_ws(" = ", or_null(name), or_null(fixed_value)))
+    return or_null(F.concat_ws(" when ", valued, or_null(condition)))
+
+
+def label_text(domain: Column, variable: Column, condition: Column, fixed_value: Column) -> Column:
+    """The whole mapping, domain and all."""
+    return F.coalesce(composed(F.concat_ws(".", or_null(domain), or_null(variable)), condition, fixed_value), F.lit(""))
+
+
+def variable_text(variable: Column, condition: Column, fixed_value: Column) -> Column:
+    """The mapping without its domain, which colour and legend tell: what goes on the page and into the sheet."""
+    return F.coalesce(composed(variable, condition, fixed_value), F.lit(""))
+
+
+def display_text(text: Column, variable: Column, condition: Column, fixed_value: Column, origin: Column) -> Column:
+    """What an annotation shows: its own text, or its variable's, or that it is not submitted."""
+    return F.coalesce(or_null(collapse_ends(text)), composed(variable, condition, fixed_value), F.when(origin == "NotSubmitted", F.lit(NOT_SUBMITTED)), F.lit(""))
+
+
+def mark_colors(subtype: Column, stroke: Column, interior: Column) -> Column:
+    """struct(fill, border) of a mark's two colours: a square's stroke is its border, any other mark's is its background."""
+    square = F.coalesce(subtype == "Square", F.lit(False))
+    return F.struct(F.when(square, interior).otherwise(stroke).alias("fill"), F.when(square, stroke).alias("border"))
 
 
 def is_not_submitted(origin: Column, shown: Column, domain: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import geometry as G
 from ..functions import text as T
 from . import grouping
 
@@ -27,7 +28,8 @@ def sheet(rows: DataFrame, annotations: DataFrame) -> DataFrame:
     cells = last.groupBy("doc_id", F.col("_on").alias("row_id")).agg(text(1).alias("anno1"), text(2).alias("anno2"), lead)
     out = rows.join(cells, ["doc_id", "row_id"], "left")
     e = lambda c: F.coalesce(c, F.lit(""))
-    return out.select("doc_id", "row_ord", "row_id", (F.col("page_index") + 1).alias("page"), "form", "text_1", "text_2", e("anno1").alias("anno1"), e("anno2").alias("anno2"), *[e(f"_l.{c}").alias(c) for c in ("domain", "group", "origin", "source")], F.coalesce("_l.review_status", F.lit("proposed")).alias("review_status"), e("_l.reviewed_by").alias("reviewed_by"))
+    coords = [(F.when(F.col(f"bbox_{k}").isNotNull(), G.rect_text(F.col(f"bbox_{k}"), 2, ", ")).otherwise("") if f"bbox_{k}" in rows.columns else F.lit("")).alias(f"coord{k}") for k in (1, 2)]
+    return out.select("doc_id", "row_ord", "row_id", (F.col("page_index") + 1).alias("page"), "form", "text_1", "text_2", *coords, e("anno1").alias("anno1"), e("anno2").alias("anno2"), *[e(f"_l.{c}").alias(c) for c in ("domain", "group", "origin", "source")], F.coalesce("_l.review_status", F.lit("proposed")).alias("review_status"), e("_l.reviewed_by").alias("reviewed_by"))
 
 
 def read_lines(lines: DataFrame) -> DataFrame:
@@ -54,7 +56,9 @@ def errors(lines: DataFrame, rows: DataFrame) -> DataFrame:
     origin = of(lines.filter((F.col("origin") != "") & T.coerce(F.col("origin"), T.ORIGINS).isNull()), "unknown origin")
     filled = (F.col("anno1") != "") | (F.col("anno2") != "") | (F.col("note") != "")
     nobody = of(lines.filter(filled & F.col("review_status").isin(STATUSES[1:]) & (F.col("reviewed_by") == "")), "reviewed by nobody")
-    return unknown.unionByName(twice).unionByName(status).unionByName(origin).unionByName(nobody)
+    coords = [F.when((F.col(c) != "") & G.parse_rect(F.col(c)).isNull(), F.lit(f"no rectangle in {c}")) for c in ("coord1", "coord2") if c in lines.columns]
+    bad = lines.withColumn("error", F.explode(F.array_compact(F.array(*coords)))).groupBy("doc_id", "row_id", "error").agg(*at) if coords else unknown.limit(0)
+    return unknown.unionByName(twice).unionByName(status).unionByName(origin).unionByName(nobody).unionByName(bad)
 
 
 def to_annotations(lines: DataFrame, rows: DataFrame) -> DataFrame:

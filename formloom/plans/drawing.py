@@ -1,4 +1,4 @@
-"""Queries of what is asked, drawn and looked up: batches, legends, brackets, marks, files and the made form."""
+"""Queries of what is asked, drawn and looked up: batches, legends, brackets, marks and files."""
 
 from __future__ import annotations
 
@@ -10,30 +10,12 @@ from ..functions import text as T
 from ..operators import draw, extract, grouping, layout, precedent, prompt, recover, reply, review, style
 from ..sources import tables, xfdf
 from ..sources.stage import staged
-from . import sample, testbed
+from . import testbed
 from .queries import LINES, add, resolved, sheet_lines
 
 WIDTH, HEIGHT = testbed.WIDTH, testbed.HEIGHT
 
 
-def q(text: str | None) -> str:
-    return "NULL" if text is None else "'" + text.replace("'", "''") + "'"
-
-
-TRUTH = ", ".join(
-    f"({k}, {page}, {q(form)}, {q(one)}, {q(two)}, {x or 'NULL'}::DOUBLE, {right or 'NULL'}::DOUBLE)"
-    for k, (page, form, one, two, x, right) in enumerate(sample.truth(), 1)
-)
-
-
-@add("sample_form", "", f"SELECT * FROM (VALUES {TRUTH}) t(row_ord, page_index, form, text_1, text_2, question_x0, response_x1)")
-def sample_form(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The made form's 54 rows, from its printed words; the SQL is the list that it was printed from."""
-    rows = extract.rows(extract.assign_lines(sample.words(spark)))
-    at = lambda c, n: F.round(c, 4).alias(n)
-    return rows.select("row_ord", "page_index", "form", "text_1", "text_2", at(F.col("bbox_1.x0"), "question_x0"), at(F.col("bbox_2.x1"), "response_x1"))
-
-
 @add("domain_table", "", """
 WITH v AS (SELECT 'V' || l_suppkey % 40 AS variable, l_returnflag || l_linestatus AS domain,
  sum(CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE l_quantity::BIGINT END) AS n FROM lineitem GROUP BY ALL)

@@ -65,7 +65,7 @@ def write_sheets(rows: DataFrame, annotations: DataFrame, path: str) -> None:
 
 def as_annotations(known: DataFrame, rows: DataFrame) -> DataFrame:
     """What precedent answers, as annotations of slot 1 that wait for review; what repeats over neighbouring rows is one."""
-    own = F.concat_ws(".", T.or_null(F.col("domain")), T.display_text(F.lit(None).cast("string"), F.lit("variable"), F.col("domain"), F.col("variable"), F.col("condition"), F.col("fixed_value"), F.lit("")))
+    own = T.variable_text(F.col("variable"), F.col("condition"), F.col("fixed_value"))
     said = known.join(rows.select("doc_id", "row_ord", "row_id", "page_index"), ["doc_id", "row_ord"])
     said = staged(said.select("doc_id", "row_id", "page_index", F.lit(1).alias("slot"), F.lit("variable").alias("kind"), T.or_null(F.col("domain")).alias("domain"), F.lit(None).cast("string").alias("origin"), own.alias("shown"), F.lit(None).cast("string").alias("group_id"), "rationale"))
     keys = grouping.collapse_repeats(said, rows).select("doc_id", "row_id", "slot", F.col("group_id").alias("key"))
@@ -110,8 +110,8 @@ def ingest_response(spark: SparkSession, rows: str, replies: str, out: str, shee
     good, wrong = reply.proposals(told)
     kind = form.schema["doc_id"].dataType
     annotations, unknown = reply.attach(good.withColumn("doc_id", F.col("doc_id").cast(kind)), form)
-    shown = T.display_text(F.lit(None).cast("string"), F.col("kind"), F.col("domain"), F.col("variable"), F.col("condition"), F.lit(None).cast("string"), F.col("origin"))
-    shown = F.when((F.col("kind") == "variable") & T.or_null(F.col("variable")).isNotNull(), F.concat_ws(".", T.or_null(F.col("domain")), shown)).otherwise(shown)
+    null = F.lit(None).cast("string")
+    shown = T.display_text(null, F.col("variable"), F.col("condition"), null, F.col("origin"))
     annotations = annotations.select("annot_id", "doc_id", "row_id", "row_ord", "page_index", "slot", "kind", "domain", "variable", "condition", "codelist", "origin", "confidence", "rationale", shown.alias("shown")).withColumns({"group_id": F.lit(None).cast("string"), "member_row_ids": F.array().cast("array<string>"), "source_model": F.lit("reply"), "suggested": F.lit(True), "review_status": F.lit("proposed"), "reviewed_by": F.lit("")})
     errors = [unread.select(F.col("doc_id").cast("string"), "error"), wrong.select("doc_id", "error"), unknown.select(F.col("doc_id").cast("string"), "error")]
     if proposals:
@@ -191,7 +191,9 @@ def parse_annotated(spark: SparkSession, forms: str, marks: str, out: str, looku
     rows = form_rows(spark, forms, found.filter("trim(text) <> ''").select("doc_id", "page_index", G.flip(F.col("bbox"), F.lit(792.0)).alias("rect")))
     known = precedent.domain_table(tables.read_lookup(spark, lookup)) if lookup else None
     m = staged(recover.recover(found, rows, known))
-    tables.write_report(m, f"{out}/report")
+    sized = m.withColumns({c: F.lit(v) for c, v in (("page_width", 612.0), ("page_height", 792.0)) if c not in m.columns})
+    tables.write_cells(recover.report_rows(sized), f"{out}/report")
+    tables.write_cells(recover.lookup_rows(m), f"{out}/lookup")
     return recover.report_counts(m)
 
 

@@ -272,7 +272,7 @@ def sheet_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Order lines as sheet lines: order, line number; two in a hundred name a row that their document lacks, some twice.
-LINES = "SELECT l_orderkey AS doc_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) + 1 AS excel_row, 'r' || CASE WHEN l_partkey % 50 = 0 THEN 99 WHEN l_linenumber = 5 THEN 4 ELSE l_linenumber END AS row_id, CASE WHEN l_partkey % 4 = 0 THEN '' ELSE 'P.' || upper(l_returnflag) || 'VAR' END AS anno1, CASE WHEN l_suppkey % 3 = 0 THEN 'QVAL when QNAM = \"' || l_linestatus || '\"' ELSE '' END AS anno2, CASE WHEN l_suppkey % 7 = 0 THEN 'see ' || l_linestatus ELSE '' END AS note, CASE WHEN l_suppkey % 11 = 0 THEN 'open' WHEN l_partkey % 2 = 0 THEN '' ELSE 'Accepted' END AS review_status, CASE WHEN l_partkey % 5 = 0 THEN 'not-submitted' ELSE '' END AS origin, CASE WHEN l_partkey % 3 = 0 THEN 'dm' ELSE '' END AS domain FROM lineitem"
+LINES = "SELECT l_orderkey AS doc_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) + 1 AS excel_row, 'r' || CASE WHEN l_partkey % 50 = 0 THEN 99 WHEN l_linenumber = 5 THEN 4 ELSE l_linenumber END AS row_id, CASE WHEN l_partkey % 4 = 0 THEN '' ELSE 'P.' || upper(l_returnflag) || 'VAR' END AS anno1, CASE WHEN l_suppkey % 3 = 0 THEN 'QVAL when QNAM = \"' || l_linestatus || '\"' ELSE '' END AS anno2, CASE WHEN l_suppkey % 7 = 0 THEN 'see ' || l_linestatus ELSE '' END AS note, CASE WHEN l_suppkey % 11 = 0 THEN 'open' WHEN l_partkey % 2 = 0 THEN '' ELSE 'Accepted' END AS review_status, CASE WHEN l_partkey % 5 = 0 THEN 'not-submitted' ELSE '' END AS origin, CASE WHEN l_partkey % 3 = 0 THEN 'dm' ELSE '' END AS domain, CASE l_partkey % 13 WHEN 0 THEN '1, 2, 3' WHEN 1 THEN '1 2 x 4' WHEN 2 THEN '' ELSE '3.00, 4.50 1.00, 2.00' END AS coord1 FROM lineitem"
 
 
 def sheet_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -287,6 +287,7 @@ def sheet_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 WITH l AS ({LINES}), s AS (SELECT doc_id, row_id, excel_row, 1 AS slot FROM l WHERE trim(anno1) <> '' UNION ALL SELECT doc_id, row_id, excel_row, 2 FROM l WHERE trim(anno2) <> ''),
 e AS (SELECT doc_id, row_id, excel_row, 'unknown row' AS error FROM l WHERE row_id = 'r99' OR doc_id NOT IN (SELECT o_orderkey FROM orders)
 UNION ALL SELECT doc_id, row_id, excel_row, 'slot filled twice: ' || slot FROM s WHERE (doc_id, row_id, slot) IN (SELECT (doc_id, row_id, slot) FROM s GROUP BY ALL HAVING count(*) > 1)
+UNION ALL SELECT doc_id, row_id, excel_row, 'no rectangle in coord1' FROM l WHERE coord1 IN ('1, 2, 3', '1 2 x 4')
 UNION ALL SELECT doc_id, row_id, excel_row, 'unknown status' FROM l WHERE review_status = 'open'
 UNION ALL SELECT doc_id, row_id, excel_row, 'reviewed by nobody' FROM l WHERE review_status = 'Accepted' AND (anno1 <> '' OR anno2 <> '' OR note <> ''))
 SELECT doc_id, row_id, error, count(*) AS n, string_agg(DISTINCT excel_row, ', ' ORDER BY excel_row) AS excel_rows FROM e GROUP BY ALL""")
@@ -554,3 +555,49 @@ def stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, stream = arriving(line_mappings(spark, sf_dir), "seq % 5 = 0")
     votes.keep_lookup(stream, f"{folder}-out", f"{folder}-state", ["seq"]).awaitTermination()
     return votes.lookup_now(spark, f"{folder}-out").drop("condition", "fixed_value")
+
+
+@add("annotation_texts", "", """
+WITH p AS (SELECT p_partkey AS id, CASE p_partkey % 3 WHEN 0 THEN '' WHEN 1 THEN p_brand END AS variable, CASE p_partkey % 4 WHEN 0 THEN 'DM' WHEN 1 THEN '' END AS domain, CASE p_partkey % 5 WHEN 0 THEN p_type WHEN 1 THEN '' END AS cond, CASE p_partkey % 7 WHEN 0 THEN p_name WHEN 1 THEN '' END AS fixed, CASE p_partkey % 11 WHEN 0 THEN '  typed ' ELSE ' ' END AS text, CASE p_partkey % 2 WHEN 0 THEN 'NotSubmitted' END AS origin FROM part),
+q AS (SELECT *, concat_ws(' when ', nullif(concat_ws(' = ', nullif(variable, ''), nullif(fixed, '')), ''), nullif(cond, '')) AS v, concat_ws(' when ', nullif(concat_ws(' = ', nullif(concat_ws('.', nullif(domain, ''), nullif(variable, '')), ''), nullif(fixed, '')), ''), nullif(cond, '')) AS whole FROM p)
+SELECT id, v AS variable_text, whole AS label_text, CASE WHEN trim(text) <> '' THEN trim(text) WHEN v <> '' THEN v WHEN origin IS NOT NULL THEN '[NOT SUBMITTED]' ELSE '' END AS display_text FROM q""")
+def annotation_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p, k = testbed.read(spark, sf_dir, "part"), F.col("p_partkey")
+    variable, domain = F.when(k % 3 == 0, "").when(k % 3 == 1, F.col("p_brand")), F.when(k % 4 == 0, "DM").when(k % 4 == 1, "")
+    when, fixed = F.when(k % 5 == 0, F.col("p_type")).when(k % 5 == 1, ""), F.when(k % 7 == 0, F.col("p_name")).when(k % 7 == 1, "")
+    text, origin = F.when(k % 11 == 0, "  typed ").otherwise(" "), F.when(k % 2 == 0, "NotSubmitted")
+    return p.select(k.alias("id"), T.variable_text(variable, when, fixed).alias("variable_text"), T.label_text(domain, variable, when, fixed).alias("label_text"), T.display_text(text, variable, when, fixed, origin).alias("display_text"))
+
+
+@add("mark_colors", "", """
+SELECT p_partkey AS id, CASE WHEN p_size % 3 = 0 THEN nullif(p_brand, 'Brand#11') ELSE nullif(p_container, 'JUMBO BOX') END AS fill, CASE WHEN p_size % 3 = 0 THEN nullif(p_container, 'JUMBO BOX') END AS border FROM part""")
+def mark_colors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part's brands and containers as the colours of squares and free texts."""
+    p = testbed.read(spark, sf_dir, "part")
+    c = T.mark_colors(F.when(F.col("p_size") % 3 == 0, "Square").otherwise("FreeText"), F.nullif("p_container", F.lit("JUMBO BOX")), F.nullif("p_brand", F.lit("Brand#11")))
+    return p.select(F.col("p_partkey").alias("id"), c["fill"].alias("fill"), c["border"].alias("border"))
+
+
+@add("lookup_rows", "matched", """
+SELECT page_index + 1 AS page, coalesce(label, '') AS label, coalesce(context, '') AS context, coalesce(domain, '') AS domain, coalesce(variable, '') AS variable, coalesce(condition, '') AS condition, coalesce(fixed_value, '') AS fixed_value, source IS NOT NULL AS domain_inferred,
+ round_even(match_distance, 1) AS match_distance, placement, round_even(dx_from_text, 1) AS dx_from_text, round_even(dy_from_text, 1) AS dy_from_text, text FROM matched WHERE kind = 'variable' AND row_id IS NOT NULL""")
+def lookup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _, m = attributed(spark, sf_dir)
+    return recover.lookup_rows(recover.match_rows(m, rows))
+
+
+@add("report_rows", "matched gutters legend_names", """
+, d AS (SELECT doc_id, page_index, domain, legend_name FROM (SELECT DISTINCT doc_id, page_index, domain FROM matched WHERE kind = 'variable' AND domain IS NOT NULL) LEFT JOIN (SELECT doc_id, page_index, code AS domain, name AS legend_name FROM legend_names) USING (doc_id, page_index, domain))
+SELECT m.page_index + 1 AS page, kind, text, domain, variable, domain_inference, row_id, round_even(match_distance, 1) AS match_distance, synthesized, legend_name, round_even(x0, 1) AS x0, round_even(y0, 1) AS y0, round_even(w, 1) AS mark_width, 612.0::DOUBLE AS page_width, placement, wrap_lines,
+ round_even(dx, 1) AS dx_from_text, round_even(x0 - g.gutter, 1) AS dx_from_gutter, fill_hex FROM (
+ SELECT doc_id, page_index, kind, text, domain, variable, source AS domain_inference, row_id, match_distance, false AS synthesized, NULL AS legend_name, x0, y0, x1 - x0 AS w, placement, wrap_lines, dx_from_text AS dx,
+  CASE WHEN filled THEN printf('#%02X%02X%02X', CAST(round_even(r * 255, 0) AS INT), CAST(round_even(g * 255, 0) AS INT), CAST(round_even(b * 255, 0) AS INT)) END AS fill_hex FROM matched
+ UNION ALL SELECT doc_id, page_index, 'domain', domain, domain, NULL, NULL, NULL, NULL, true, legend_name, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM d) m JOIN gutters g ON g.doc_id = m.doc_id AND g.page_index = m.page_index""")
+def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full report of every mark, with the page's frame, synthesized rows among them; the columns that the tables' marks fill."""
+    rows, legends, m = attributed(spark, sf_dir)
+    matched = recover.summarize_page_domains(recover.match_rows(m, rows), recover.legend_names(legends))
+    run = staged(extract.runs(testbed.words(spark, sf_dir)))
+    pages = extract.page_gutters(run, run.select("doc_id", "page_index").distinct(), F.lit(testbed.WIDTH)).withColumnRenamed("gutter", "gutter_x").withColumns({"width": F.lit(testbed.WIDTH), "height": F.lit(testbed.HEIGHT)})
+    out = recover.report_rows(recover.attach_page_frame(matched, pages))
+    return out.select("page", "kind", "text", "domain", "variable", F.col("domain_inference_source").alias("domain_inference"), "row_id", "match_distance", "synthesized", "legend_name", "x0", "y0", "mark_width", "page_width", "placement", "wrap_lines", "dx_from_text", "dx_from_gutter", "fill_hex")

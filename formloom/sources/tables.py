@@ -36,6 +36,11 @@ def write_report(mappings: DataFrame, path: str, places: int = 1) -> None:
     mappings.select(*flat).write.options(**_CSV, emptyValue="").csv(path)
 
 
+def write_cells(rows: DataFrame, path: str) -> None:
+    """Rows as they stand; what was never known is empty."""
+    rows.write.options(**_CSV, emptyValue="").csv(path)
+
+
 def write_documents(df: DataFrame, path: str, order: str = "row_ord") -> None:
     """One JSON object for each document: doc_id and its rows in order."""
     rows = F.struct(*[c for c in [order, *[x for x in df.columns if x not in (order, "doc_id")]]])

@@ -279,3 +279,22 @@ def test_views_are_the_relations(spark):
     assert spark.sql("SELECT domain FROM t_mappings WHERE variable = 'XXTERM' AND domain_inference_source = 'precedent' LIMIT 1").first()[0] == "DM"
     assert Counter(r[0] for r in spark.sql("SELECT kind FROM t_matched").collect()) == Counter(r["kind"] for r in recover.match_rows(views.of("mappings"), rows).collect())
     assert all(spark.table(n) is not None for n in names)
+
+
+def test_numbers_round_as_they_lie(spark):
+    rng = random.Random(9)
+    values = [2.675, 0.35, 0.25, 0.75, -0.25, -0.35, 1.005, 0.05, 1e9 + 0.25, 0.0, -2.5, 1e13 + 0.5, 612.0] + [round(rng.uniform(-700, 700), rng.randint(1, 4)) for _ in range(3000)] + [rng.uniform(-1e6, 1e6) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    for places in (1, 2):
+        got = [r[0] for r in df.select(G.rounded(F.col("v"), places)).collect()]
+        assert got == [v if abs(v) >= 2.0**40 else round(v, places) for v in values] + [None]
+
+
+def test_coordinates_of_the_sheet(spark):
+    rows = spark.createDataFrame([(1, 1, "r1", 0, "f", "q", "", (1.0, 2.0, 3.456, 4.0), None)], "doc_id long, row_ord int, row_id string, page_index int, form string, text_1 string, text_2 string, bbox_1 struct<x0:double,y0:double,x1:double,y1:double>, bbox_2 struct<x0:double,y0:double,x1:double,y1:double>")
+    none = spark.createDataFrame([], "doc_id long, row_id string, member_row_ids array<string>, slot int, shown string, domain string, origin string, group_id string, source_model string, review_status string, reviewed_by string, ord int")
+    sheet = review.sheet(rows, none)
+    assert tuple(sheet.select("coord1", "coord2").first()) == ("1.00, 2.00, 3.46, 4.00", "")
+    lines = review.read_lines(sheet.withColumns({"excel_row": F.lit(2), "note": F.lit("")}))
+    assert review.errors(lines, rows).isEmpty()
+    assert [r["error"] for r in review.errors(lines.withColumn("coord2", F.lit("1, 2, 3, x")), rows).collect()] == ["no rectangle in coord2"]
