@@ -489,7 +489,7 @@ def views_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A question in SQL over the session's views and functions."""
     rows, marks = testbed.forms_and_marks(spark, sf_dir)
     views = session.Relations(spark, testbed.words(spark, sf_dir), marks, header=testbed.HEADER, made={"rows": rows})
-    views.register("fl_")
+    views.register("fl_", ["rows", "matched"])
     return spark.sql(VIEWS.format(matched="fl_matched", rows="fl_rows"))
 
 
@@ -570,11 +570,11 @@ def annotation_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @add("mark_colors", "", """
-SELECT p_partkey AS id, CASE WHEN p_size % 3 = 0 THEN nullif(p_brand, 'Brand#11') ELSE nullif(p_container, 'JUMBO BOX') END AS fill, CASE WHEN p_size % 3 = 0 THEN nullif(p_container, 'JUMBO BOX') END AS border FROM part""")
+SELECT p_partkey AS id, CASE WHEN p_size % 3 = 0 THEN nullif(p_brand, 'Brand#11') ELSE nullif(p_name, 'blue rod') END AS fill, CASE WHEN p_size % 3 = 0 THEN nullif(p_name, 'blue rod') END AS border FROM part""")
 def mark_colors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part's brands and containers as the colours of squares and free texts."""
+    """Part's brands and names as the colours of squares and free texts."""
     p = testbed.read(spark, sf_dir, "part")
-    c = T.mark_colors(F.when(F.col("p_size") % 3 == 0, "Square").otherwise("FreeText"), F.nullif("p_container", F.lit("JUMBO BOX")), F.nullif("p_brand", F.lit("Brand#11")))
+    c = T.mark_colors(F.when(F.col("p_size") % 3 == 0, "Square").otherwise("FreeText"), F.nullif("p_name", F.lit("blue rod")), F.nullif("p_brand", F.lit("Brand#11")))
     return p.select(F.col("p_partkey").alias("id"), c["fill"].alias("fill"), c["border"].alias("border"))
 
 

@@ -1,7 +1,7 @@
 """A session's relations by name: temporary views over words and marks, and functions, for SQL and for other tools.
 
-A view is a plan: nothing is read before it is asked for, and a view that stands on others takes what it needs of them.
-The functions say the same as the column functions of their names, and tests hold them to that.
+A view is a plan, and one that stands on others takes what it needs of them; but runs, rows and mappings, which most others
+read several times, are written once, when they are first needed. The functions say the same as the column functions of their names, and tests hold them to that.
 """
 
 from __future__ import annotations
@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import extract, grouping, precedent, recover, style
+from ..sources.stage import staged
 
+WRITTEN = ("runs", "rows", "mappings")
 BOX = "STRUCT<x0: DOUBLE, y0: DOUBLE, x1: DOUBLE, y1: DOUBLE>"
 
 
@@ -76,12 +78,14 @@ class Relations:
     width: float = 612.0
     height: float = 792.0
     header: str = extract.FORM_HEADER
+    stage: Callable[[DataFrame], DataFrame] = staged
     made: dict[str, DataFrame] = field(default_factory=dict)
 
     def of(self, name: str) -> DataFrame:
         """The relation of that name; its plan is made once."""
         if name not in self.made:
-            self.made[name] = self.recipes()[name]()
+            df = self.recipes()[name]()
+            self.made[name] = self.stage(df) if name in WRITTEN else df
         return self.made[name]
 
     def recipes(self) -> dict[str, Callable[[], DataFrame]]:
@@ -118,9 +122,10 @@ class Relations:
             }
         return out
 
-    def register(self, prefix: str = "") -> list[str]:
-        """Makes each relation a temporary view, and the functions known. A later call replaces views of the same names."""
+    def register(self, prefix: str = "", names: list[str] | None = None) -> list[str]:
+        """Makes each relation, or those named, a temporary view, and the functions known. A later call replaces views of the same names."""
         register_functions(self.spark)
-        for name in self.recipes():
+        names = list(self.recipes()) if names is None else names
+        for name in names:
             self.of(name).createOrReplaceTempView(prefix + name)
-        return [prefix + name for name in self.recipes()]
+        return [prefix + name for name in names]
