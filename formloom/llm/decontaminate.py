@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import lower_ascii, read
+from .secrets import let, running
 
 WINDOW = 13
 #: A larger table of windows is joined by a shuffle.
@@ -89,15 +90,34 @@ def hits(docs: DataFrame, windows: DataFrame, keep: list[str], text: str = "text
 
 
 def merged(spans: Column) -> Column:
-    """Sorted spans with those that meet or overlap made one."""
-    start = F.expr("cast(array() as array<struct<start:int,end:int>>)")
+    """Sorted spans with those that meet or overlap made one: a span opens another where it starts beyond all ends before."""
+    told = F.struct(spans.alias("s"), running(F.transform(spans, lambda s: s["end"]), F.greatest).alias("upto"))
 
-    def add(acc: Column, s: Column) -> Column:
-        final = F.element_at(acc, -1)
-        grown = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(final["start"].alias("start"), F.greatest(final["end"], s["end"]).alias("end"))))
-        return F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] >= s["start"]), grown).otherwise(F.concat(acc, F.array(s)))
+    def of(t: Column) -> Column:
+        opens = F.filter(F.sequence(F.lit(0), F.size(t["s"]) - 1), lambda i: (i == 0) | (F.get(t["s"], i)["start"] > F.get(t["upto"], i - 1)))
+        last = lambda o, j: F.coalesce(F.get(o, j + 1) - 1, F.size(t["s"]) - 1)
+        return let(opens, lambda o: F.transform(o, lambda i, j: F.struct(F.get(t["s"], i)["start"].alias("start"), F.get(t["upto"], last(o, j)).alias("end"))))
+
+    return F.when(F.size(spans) == 0, spans).otherwise(let(told, of))
+
+
+#: A word as it stands in a text, and what is no word before it.
+WORD_WITH_LEAD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*+[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
+
+
+def without(text: Column, spans: Column) -> Column:
+    """The text without the words of merged() spans and what stands before each of them; what stands behind the last word stays."""
+    told = F.struct(text.alias("text"), F.regexp_extract_all(text, F.lit(WORD_WITH_LEAD), F.lit(0)).alias("words"), spans.alias("s"))
 
-    return F.aggregate(spans, start, add)
+    def of(t: Column) -> Column:
+        words, s = t["words"], t["s"]
+        end = lambda i: F.when(i > 0, F.get(s, i - 1)["end"]).otherwise(1)
+        kept = F.transform(s, lambda x, i: F.array_join(F.slice(words, end(i), x["start"] - end(i)), ""))
+        after = F.element_at(s, -1)["end"]
+        tail = F.substr(t["text"], F.length(F.array_join(words, "")) + 1)
+        return F.concat(F.array_join(kept, ""), F.array_join(F.slice(words, after, F.greatest(F.lit(0), F.size(words) - after + 1)), ""), tail)
+
+    return F.when(F.size(spans) == 0, text).otherwise(let(told, of))
 
 
 def hit_words(spans: Column) -> Column:
@@ -125,6 +145,22 @@ def decontaminate(docs: DataFrame, items: DataFrame, keep: list[str], item_id: s
     )
 
 
+def remove_spans(docs: DataFrame, items: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+    """docs with `cleaned` (the text without the words of windows that occur) and `removed` (their spans, in words from 1).
+
+    Texts without a hit stay as they are, null ones too; rows come back as often as they came in, and columns of any name
+    but those two pass; no rows give none. Rows are told apart by two hashes of their text, of which only those with a hit
+    travel.
+    """
+    rest = docs.drop("cleaned", "removed")
+    key = {"_fl_1": F.xxhash64(F.coalesce(F.col(text), F.lit(""))), "_fl_2": F.xxhash64(F.lit(1), F.coalesce(F.col(text), F.lit("")))}
+    texts = docs.select(F.col(text).alias("text")).withColumns({k: F.xxhash64(*([F.lit(1)] if k == "_fl_2" else []), F.coalesce(F.col("text"), F.lit(""))) for k in key}).dropDuplicates(list(key))
+    found = decontaminate(texts, items, list(key), item_id, "text", window).filter("n_hit > 0")
+    out = rest.withColumns(key).join(found.select(*key, merged(F.col("spans")).alias("removed")), list(key), "left").drop(*key)
+    hit = F.size("removed") > 0
+    return out.withColumn("cleaned", F.when(hit, without(F.col(text), F.col("removed"))).otherwise(F.col(text))).withColumn("removed", F.coalesce("removed", F.expr("cast(array() as array<struct<start:int,end:int>>)")))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), ["doc_id"])
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")

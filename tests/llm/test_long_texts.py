@@ -8,9 +8,9 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
-from formloom.llm import pii, secrets
+from formloom.llm import decontaminate, pii, secrets
 
-from .test_llm import base_pii, base_secrets
+from .test_llm import base_pii, base_secrets, item_words
 
 
 def plain_links(text):
@@ -88,3 +88,36 @@ def test_texts_of_digits():
     for _ in range(400):
         text = "".join(rng.choice("0123456789012....  -+x") for _ in range(rng.randint(0, 60)))
         assert [f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in pii.base_spans(text)] == base_pii(text)
+
+
+def test_spans_are_removed(spark):
+    """The words of windows go, with what stands before each; all else stays as it is."""
+    rng = random.Random(8)
+    vocabulary = ["ab", "Cd", "é", "İx", "7", "zz"]
+    items = [(n, " ".join(rng.choice(vocabulary) for _ in range(k))) for n, k in enumerate((1, 2, 3, 13, 20))] + [(9, None)]
+    items[0] = (0, "only")
+    made = lambda n: "".join(rng.choice(vocabulary + ["only", "Other"]) + rng.choice([" ", ", ", "\n", " -- "]) for _ in range(n))
+    rows = [(n, made(rng.randint(0, 60)) + (items[rng.randint(1, 4)][1] if n % 3 else ""), "x") for n in range(60)] + [(70, None, "x"), (71, "", "x"), (72, "Other, other!", "x"), (5, "only this, ONLY", "x"), (5, "only this, ONLY", "x"), (None, "(only)", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, cleaned string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.remove_spans(df, bench).collect()
+    assert len(got) == len(rows)
+    some = 0
+    for r in got:
+        w, hit = item_words(r["text"]), set()
+        for _, t in items:
+            b = item_words(t)
+            n = min(13, len(b))
+            for win in {tuple(b[k : k + n]) for k in range(len(b) - n + 1)} if n else ():
+                hit |= {j for k in range(len(w) - n + 1) if tuple(w[k : k + n]) == win for j in range(k, k + n)}
+        tokens = re.findall(decontaminate.WORD_WITH_LEAD, r["text"] or "")
+        assert len(tokens) == len(w)
+        want = None if r["text"] is None else "".join(t for k, t in enumerate(tokens) if k not in hit) + r["text"][len("".join(tokens)) :]
+        assert r["cleaned"] == want and {k for s in r["removed"] for k in range(s["start"] - 1, s["end"] - 1)} == hit
+        assert all(a["end"] < b["start"] for a, b in zip(r["removed"], r["removed"][1:], strict=False))
+        some += 0 < len(hit) < len(w)
+    assert some > 10
+    began = time.time()
+    long = spark.createDataFrame([(1, "only other " * 100_000)], "doc_id long, text string")
+    assert decontaminate.remove_spans(long, bench).select(F.length("cleaned"), F.size("removed")).first()[:] == (6 * 100_000 + 1, 100_000) and time.time() - began < 90
+    assert decontaminate.remove_spans(df.filter("false"), bench).count() == 0 and decontaminate.remove_spans(df, bench.filter("false")).filter("cleaned <> text").isEmpty()
