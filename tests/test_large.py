@@ -2,6 +2,7 @@
 
 import pytest
 
+from formloom.operators import extract
 from formloom.plans import testbed
 
 SMALL = "/root/testdata/sf0.01"
@@ -28,3 +29,21 @@ def test_rows_with_small_broadcasts(spark, settings):
     settings(autoBroadcastJoinThreshold="256k", shuffle_partitions="12", files_maxPartitionBytes="16m", adaptive_advisoryPartitionSizeInBytes="8m")
     rows = testbed.crf_rows(spark, SMALL)
     assert rows.count() == 37030 == rows.select("doc_id", "row_ord").distinct().count()
+
+
+def test_runs_of_lines_that_come_whole(spark, settings):
+    """No word of the tables is sent, and batches that cut lines and words in any order make no difference."""
+    settings(execution_arrow_maxRecordsPerBatch="7")
+    run = testbed.runs(spark, "/root/testdata/sf0.001")
+    assert "Exchange" not in run._jdf.queryExecution().executedPlan().toString()
+    sent = extract.runs(testbed.words(spark, "/root/testdata/sf0.001").orderBy("word", "word_no"))
+    assert sorted(run.collect()) == sorted(sent.collect())
+
+
+def test_runs_of_odd_words(spark):
+    """Null words and blocks, words within others, names as ids, no words."""
+    kind = "doc_id string, page_index int, line_no int, word_no int, x0 double, y0 double, x1 double, y1 double, word string, block string"
+    words = [("a", 0, 0, 2, 9.0, 0.0, 12.0, 10.0, None, "y"), ("a", 0, 0, 1, 0.0, 0.0, 30.0, 10.0, "wide", "x"), ("a", 0, 0, 3, 33.0, 0.0, 40.0, 10.0, "near", None), ("a", 0, 0, 4, 47.0, 0.0, 50.0, 10.0, "far", "x"), (None, 0, 0, 1, 0.0, 0.0, 1.0, 1.0, None, None)]
+    got = extract.runs(spark.createDataFrame(words, kind)).orderBy("doc_id", "run_no").collect()
+    assert [(r["doc_id"], r["run_no"], r["x0"], r["x1"], r["text"], r["blocks"]) for r in got] == [(None, 0, 0.0, 1.0, "", []), ("a", 0, 0.0, 40.0, "wide near", ["x", "y"]), ("a", 1, 47.0, 50.0, "far", ["x"])]
+    assert not extract.runs(spark.createDataFrame([], kind)).collect()
