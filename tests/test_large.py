@@ -2,6 +2,9 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from formloom.functions import geometry as G
 from formloom.operators import extract
 from formloom.plans import testbed
 
@@ -47,3 +50,12 @@ def test_runs_of_odd_words(spark):
     got = extract.runs(spark.createDataFrame(words, kind)).orderBy("doc_id", "run_no").collect()
     assert [(r["doc_id"], r["run_no"], r["x0"], r["x1"], r["text"], r["blocks"]) for r in got] == [(None, 0, 0.0, 1.0, "", []), ("a", 0, 0.0, 40.0, "wide near", ["x", "y"]), ("a", 1, 47.0, 50.0, "far", ["x"])]
     assert not extract.runs(spark.createDataFrame([], kind)).collect()
+
+
+def test_rectangles_are_parsed_without_folds(spark):
+    """Compiled with the rest of a stage: no function over an array's items, which is worked out item by item."""
+    texts = ["1, 2,3 4", " 4 3 2 1 ", "1 2 x 4", "1,2,3", "", None, ",1 2 3 4", "1 2 3 4 5"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", G.parse_rect(F.col("t")).alias("b"))
+    assert "lambda" not in df._jdf.queryExecution().optimizedPlan().toString()
+    got = [tuple(r["b"]) if r["b"] else None for r in df.collect()]
+    assert got == [(1.0, 2.0, 3.0, 4.0), (2.0, 1.0, 4.0, 3.0), None, None, None, None, (1.0, 2.0, 3.0, 4.0), None]
