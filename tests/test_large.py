@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from formloom.functions import geometry as G
 from formloom.operators import extract
-from formloom.plans import testbed
+from formloom.plans import queries, testbed
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -59,3 +59,11 @@ def test_rectangles_are_parsed_without_folds(spark):
     assert "lambda" not in df._jdf.queryExecution().optimizedPlan().toString()
     got = [tuple(r["b"]) if r["b"] else None for r in df.collect()]
     assert got == [(1.0, 2.0, 3.0, 4.0), (2.0, 1.0, 4.0, 3.0), None, None, None, None, (1.0, 2.0, 3.0, 4.0), None]
+
+
+def test_files_that_arrive_are_as_many_as_partitions(spark, settings):
+    """No task reads all mappings or a fixed share of them."""
+    settings(shuffle_partitions="16")
+    folder, _ = queries.arriving(spark.range(4000).selectExpr("id AS x"), "x % 5 = 0")
+    told = spark.read.parquet(folder)
+    assert told.count() == 4800 and len(told.inputFiles()) == 20
