@@ -34,7 +34,7 @@ def form_runs(spark: SparkSession, path: str, masked: DataFrame | None = None) -
     """The printed runs of a folder's forms; words that a mark (doc_id, page_index, rect) covers are not printed."""
     found = words(spark, path)
     found = found if masked is None else extract.mask_words(found, masked)
-    return staged(extract.runs(found) if "line_no" in found.columns else extract.lines_of(extract.runs(extract.assign_lines(found))))
+    return staged(extract.runs(found) if "line_no" in found.columns else extract.lines_of(extract.folded_runs(found), together=True))
 
 
 def form_rows(spark: SparkSession, path: str, masked: DataFrame | None = None) -> DataFrame:

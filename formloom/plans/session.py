@@ -94,7 +94,7 @@ class Relations:
         page = extract.PAGE
         out: dict[str, Callable[[], DataFrame]] = {
             "words": lambda: self.words,
-            "runs": lambda: extract.runs(self.words) if "line_no" in self.words.columns else extract.lines_of(extract.runs(extract.assign_lines(self.words))),
+            "runs": lambda: extract.runs(self.words) if "line_no" in self.words.columns else extract.lines_of(extract.folded_runs(self.words), together=True),
             "pages": lambda: extract.page_gutters(of("runs"), of("runs").select(*page).distinct(), w).join(extract.forms(of("runs"), of("runs").select(*page).distinct(), self.header), page, "left"),
             "bands": lambda: extract.line_bands(extract.line_rects(of("runs")), w, h),
             "rows": lambda: extract.rows_of(of("runs"), self.width, self.height, self.header),

@@ -1,5 +1,9 @@
 """What fails or grows only on larger tables or under other settings."""
 
+import random
+
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -67,3 +71,30 @@ def test_files_that_arrive_are_as_many_as_partitions(spark, settings):
     folder, _ = queries.arriving(spark.range(4000).selectExpr("id AS x"), "x % 5 = 0")
     told = spark.read.parquet(folder)
     assert told.count() == 4800 and len(told.inputFiles()) == 20
+
+
+def test_first_fit_sends_no_word(spark, settings):
+    """Pages of the tables come whole: lines by first fit need no shuffle; sent in any order, words and runs fall into the same lines."""
+    settings(execution_arrow_maxRecordsPerBatch="7")
+    sf = "/root/testdata/sf0.001"
+    for name in ("line_growth", "run_split_folded", "line_regroup"):
+        assert "Exchange" not in queries.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString(), name
+    words = testbed.words(spark, sf)
+    assert sorted(queries.run_split_folded(spark, sf).collect()) == sorted(extract.folded_runs(words.drop("line_no").orderBy("word", "word_no")).drop("blocks").collect())
+    run = testbed.runs(spark, sf)
+    assert sorted(extract.lines_of(run.orderBy("text", "x0")).collect()) == sorted(extract.lines_of(run, together=True).collect())
+
+
+@pytest.mark.parametrize("grows", [True, False])
+def test_first_fit_against_a_plain_version(grows):
+    """Random extents with none, null and no number among them, page by page."""
+    rng, nan = random.Random(5), float("nan")
+    for odd in (0, 0.1):
+        page, top, bottom, want = [], [], [], []
+        for p in range(60):
+            a = sorted(rng.choice([0, 1, 4, 9]) + 3 * rng.randrange(30) for _ in range(rng.randrange(1, 50)))
+            b = [x + rng.choice([0, 1, 5, 10, 10, 40, -2]) for x in a]
+            a, b = ([rng.choice([None, nan]) if rng.random() < odd else float(x) for x in v] for v in (a, b))
+            page, top, bottom, want = page + [p] * len(a), top + a, bottom + b, want + extract.first_fit_odd(a, b, grows)
+        got = extract.first_fit(np.array(page), pa.chunked_array([pa.array(top, pa.float64())]), pa.chunked_array([pa.array(bottom, pa.float64())]), grows)
+        assert got.tolist() == want
