@@ -5,6 +5,8 @@ Validation gives rows of errors; callers decide whether to stop. texts: doc_id,
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,19 +20,33 @@ SEPARATOR = r"^\s*\|?[\s:|-]+\|?\s*$"
 FIELDS = ["row_id", "kind", "domain", "variable", "variable2", "condition", "codelist", "origin", "confidence", "rationale"]
 
 
-def lines(texts: DataFrame) -> DataFrame:
-    """(doc_id, n, line) of the texts without fences and smart quotes."""
-    return texts.select("doc_id", F.posexplode(F.split(T.pasted(F.col("text")), "\r?\n")).alias("n", "line"))
+def lines(text: Column) -> Column:
+    """The lines of a text without fences and smart quotes."""
+    return F.split(T.pasted(text), "\r?\n")
+
+
+def until(told: Column, first: Column, ends: Callable[[Column], Column]) -> Column:
+    """Of an array of lines: (n, line) from the place `first`, 1 or more, to what comes before the next line that `ends`; null for place 0."""
+    rest = F.transform(F.slice(told, first, F.size(told)), lambda x, i: F.struct((first - 1 + i).cast("int").alias("n"), x.alias("line")))
+    stop = lambda r: F.array_position(F.transform(r, lambda x, i: (i > 0) & ends(x["line"])), True)
+    return F.when(first > 0, let(rest, lambda r: let(stop(r), lambda k: F.when(k > 0, F.slice(r, 1, (k - 1).cast("int"))).otherwise(r))))
+
+
+def markdown_table(told: Column) -> Column:
+    """(n, line) of the first table among a text's lines: a row of bars, a separator below it, and the rows that follow at once."""
+    bar = lambda x: F.trim(x).rlike(r"^\|.+\|$")
+    head = F.array_position(F.transform(told, lambda x, i: bar(x) & F.coalesce(F.get(told, i + 1).rlike(SEPARATOR), F.lit(False))), True)
+    return let(head.cast("int"), lambda k: until(told, F.greatest(k, F.lit(0)), lambda x: ~bar(x)))
+
 
+def markdown_block(texts: DataFrame) -> DataFrame:
+    """(doc_id, n, line) of each text's markdown_table()."""
+    return once(texts.select("doc_id", let(lines(F.col("text")), markdown_table).alias("_l")), "_l").select("doc_id", F.explode("_l").alias("_l")).select("doc_id", "_l.*")
 
-def markdown_block(text_lines: DataFrame) -> DataFrame:
-    """(doc_id, n, line) of each text's first table: a row of bars, a separator below it, and the rows that follow at once."""
-    order = W.partitionBy("doc_id").orderBy("n")
-    bar = F.trim("line").rlike(r"^\|.+\|$")
-    m = text_lines.withColumn("_bar", bar).withColumn("_head", bar & F.coalesce(F.lead("line").over(order).rlike(SEPARATOR), F.lit(False)))
-    first = m.filter("_head").groupBy("doc_id").agg(F.min("n").alias("_from"))
-    end = m.filter("not _bar").join(first, "doc_id").filter("n > _from").groupBy("doc_id").agg(F.min("n").alias("_to"))
-    return m.join(first, "doc_id").join(end, "doc_id", "left").filter((F.col("n") >= F.col("_from")) & (F.col("_to").isNull() | (F.col("n") < F.col("_to")))).select("doc_id", "n", "line")
+
+def once(df: DataFrame, column: str) -> DataFrame:
+    """The column as a generated row's, so that what reads it several times does not work it out again in each place."""
+    return df.select(*[c for c in df.columns if c != column], F.explode(F.array(column)).alias(column))
 
 
 def cells(line: Column) -> Column:
@@ -42,23 +58,11 @@ def header(name: Column) -> Column:
     return F.regexp_replace(F.lower(F.trim(name)), " ", "_")
 
 
-def markdown_rows(block: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, errors): rows (doc_id, n, cells by header); errors for rows with other numbers of cells and tables without rows."""
-    order = W.partitionBy("doc_id").orderBy("n")
-    b = block.withColumn("_k", F.row_number().over(order)).withColumn("_cells", cells(F.col("line")))
-    heads = b.filter("_k = 1").select("doc_id", F.transform("_cells", header).alias("_heads"))
-    data = b.filter((F.col("_k") > 1) & ~F.col("line").rlike(SEPARATOR)).join(heads, "doc_id")
-    wrong = data.filter(F.size("_cells") != F.size("_heads")).select("doc_id", "n", F.format_string("%d cells under %d headers", F.size("_cells"), F.size("_heads")).alias("error"))
-    empty = heads.join(data.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", F.lit(None).cast("int").alias("n"), F.lit("no rows").alias("error"))
-    good = data.filter(F.size("_cells") == F.size("_heads")).select("doc_id", "n", F.map_from_arrays("_heads", "_cells").alias("row"))
-    return good, wrong.unionByName(empty)
-
-
-def csv_block(text_lines: DataFrame) -> DataFrame:
-    """(doc_id, n, line) from each text's first line that begins "row_id" and a delimiter to the next blank line."""
-    first = text_lines.filter(F.col("line").rlike(r"(?i)^\s*[\"']?row_id[\"']?\s*[,\t;]")).groupBy("doc_id").agg(F.min("n").alias("_from"))
-    end = text_lines.filter("trim(line) = ''").join(first, "doc_id").filter("n > _from").groupBy("doc_id").agg(F.min("n").alias("_to"))
-    return text_lines.join(first, "doc_id").join(end, "doc_id", "left").filter((F.col("n") >= F.col("_from")) & (F.col("_to").isNull() | (F.col("n") < F.col("_to")))).select("doc_id", "n", "line")
+def delimited_block(told: Column) -> Column:
+    """A text's lines from the first that begins "row_id" and a delimiter to the next blank line, as one text: a block is one reply's table."""
+    head = F.array_position(F.transform(told, lambda x: x.rlike(r"(?i)^\s*[\"']?row_id[\"']?\s*[,\t;]")), True)
+    block = let(head.cast("int"), lambda k: until(told, F.greatest(k, F.lit(0)), lambda x: F.trim(x) == ""))
+    return F.array_join(F.transform(block, lambda x: x["line"]), "\n")
 
 
 #: A quoted cell, each character of it read once.
@@ -89,35 +93,50 @@ def csv_cells(record: Column) -> Column:
     return F.transform(record, lambda c: F.trim(F.when(c.startswith('"') & c.endswith('"') & (F.length(c) > 1), inner(c)).otherwise(c)))
 
 
-def csv_rows(block: DataFrame) -> DataFrame:
-    """(doc_id, n, cells by header); the header's own delimiter. n is the record's place, the header's is 0.
+def read(text: Column) -> Column:
+    """struct(table, heads, rows, wrong) of a text's markdown table, or else of its delimited block, all in one expression.
 
-    A block is one reply's table, so it is read as one text. Cells beyond the header are dropped, missing ones empty.
+    rows are (n, cells): of a markdown table n is the line, and none is a separator; of a block n is the record's place,
+    the header's is 0, and cells are as written. wrong are a markdown table's rows of another number of cells. Without
+    either, all but `table` is null.
     """
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"]), "\n")
-    one = block.groupBy("doc_id").agg(text.alias("_text"))
-    one = one.withColumn("_d", F.regexp_extract("_text", r"(?i)^\s*[\"']?row_id[\"']?\s*([,\t;])", 1)).withColumn("_records", csv_records(F.col("_text"), F.col("_d")))
-    # told before the records part, so that none carries all of them
-    one = one.withColumn("_heads", F.transform(csv_cells(F.col("_records")[0]), lambda h: F.lower(h)))
-    data = one.select("doc_id", "_heads", F.posexplode("_records").alias("n", "_record")).filter("n > 0").withColumn("_cells", csv_cells(F.col("_record")))
-    padded = F.transform("_heads", lambda h, i: F.coalesce(F.get("_cells", i), F.lit("")))
-    return data.select("doc_id", "n", F.map_from_arrays("_heads", padded).alias("row"))
+
+    def told(table: bool, heads: Column, rows: Column) -> Column:
+        wrong = lambda h, r: F.filter(r, lambda x: F.size(x["cells"]) != F.size(h)) if table else F.slice(r, 1, 0)
+        return let(heads, lambda h: let(rows, lambda r: F.struct(F.lit(table).alias("table"), h.alias("heads"), r.alias("rows"), wrong(h, r).alias("wrong"))))
+
+    def of_table(md: Column) -> Column:
+        under = F.filter(F.slice(md, 2, F.size(md)), lambda x: ~x["line"].rlike(SEPARATOR))
+        rows = F.transform(under, lambda x: F.struct(x["n"].alias("n"), cells(x["line"]).alias("cells")))
+        return told(True, F.transform(cells(F.get(md, F.lit(0))["line"]), header), rows)
+
+    def of_block(block: Column) -> Column:
+        delimiter = F.regexp_extract(block, r"(?i)^\s*[\"']?row_id[\"']?\s*([,\t;])", 1)
+        rows = lambda records: F.transform(F.slice(records, 2, F.size(records)), lambda r, i: F.struct((i + 1).cast("int").alias("n"), r.alias("cells")))
+        return let(csv_records(block, delimiter), lambda records: told(False, F.transform(csv_cells(F.get(records, F.lit(0))), lambda h: F.lower(h)), rows(records)))
+
+    return let(lines(text), lambda x: let(markdown_table(x), lambda md: F.when(md.isNotNull(), of_table(md)).otherwise(let(delimited_block(x), of_block))))
 
 
 def parse(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, errors): a text's markdown table, whose failure is final; else its delimited block; else an error with an excerpt."""
-    told = lines(texts)
-    block = markdown_block(told)
-    good, wrong = markdown_rows(block)
-    bad = wrong.select("doc_id").distinct()
-    rest = told.join(block.select("doc_id").distinct(), "doc_id", "left_anti")
-    delimited = csv_rows(csv_block(rest))
-    none = texts.join(block.select("doc_id").distinct(), "doc_id", "left_anti").join(delimited.select("doc_id").distinct(), "doc_id", "left_anti")
+    """(rows, errors): a text's markdown table, whose failure is final; else its delimited block; else an error with an excerpt.
+
+    rows are (doc_id, n, cells by header). In a markdown table rows with other numbers of cells are errors, and so is a table
+    without rows; in a delimited block cells beyond the header are dropped, missing ones empty.
+    """
+    told = once(texts.withColumn("_t", read(F.col("text"))), "_t").select("doc_id", "text", "_t.*")
+    each = told.filter(F.size("wrong") == 0).select("doc_id", "table", "heads", F.explode("rows").alias("_r"))
+    said = F.when(F.col("table"), F.col("_r.cells")).otherwise(csv_cells(F.col("_r.cells")))
+    padded = let(said, lambda c: F.transform("heads", lambda h, i: F.coalesce(F.get(c, i), F.lit(""))))
+    good = once(each.select("doc_id", "_r.n", F.map_from_arrays("heads", padded).alias("row")), "row")
     raw = T.collapse_ends(F.col("text"))
     left = F.greatest(F.lit(0), F.length(raw) - EXCERPT)
     shown = F.when(left > 0, F.concat(F.substring(raw, 1, EXCERPT), F.format_string("\n... [%d more chars]", left))).otherwise(raw)
-    errors = wrong.withColumn("excerpt", F.lit(None).cast("string")).unionByName(none.select("doc_id", F.lit(None).cast("int").alias("n"), F.lit("no table found").alias("error"), shown.alias("excerpt")))
-    return good.join(bad, "doc_id", "left_anti").unionByName(delimited), errors
+    of = lambda n, error, excerpt: F.struct(n.cast("int").alias("n"), error.alias("error"), excerpt.cast("string").alias("excerpt"))
+    null, none = F.lit(None), F.coalesce(F.size("rows") < 1, F.lit(True))
+    cut = F.transform("wrong", lambda r: of(r["n"], F.format_string("%d cells under %d headers", F.size(r["cells"]), F.size("heads")), null))
+    found = F.when(F.col("table") & none, F.array(of(null, F.lit("no rows"), null))).when(none, F.array(of(null, F.lit("no table found"), shown))).otherwise(cut)
+    return good, once(told.select("doc_id", found.alias("_f")), "_f").select("doc_id", F.explode("_f").alias("_e")).select("doc_id", "_e.*")
 
 
 def scrubbed(rows: DataFrame) -> DataFrame:
@@ -135,24 +154,27 @@ def scrubbed(rows: DataFrame) -> DataFrame:
     )
 
 
-def row_errors(fields: DataFrame) -> DataFrame:
-    """(doc_id, n, row_id, error) of scrubbed rows that are no proposal; one error for each thing that is wrong."""
+def row_faults() -> Column:
+    """What is wrong with a scrubbed row, one error for each thing; none for a proposal."""
     says = lambda what, c: F.concat(F.lit(f"{what}: "), F.col(c))
     sure = F.col("confidence")
-    found = F.array(
+    return F.array_compact(F.array(
         F.when(F.col("row_id").isNull(), F.lit("missing row_id")), F.when(F.col("kind").isNull(), says("unknown kind", "said_kind")),
         F.when(F.col("origin").isNull() & F.col("said_origin").isNotNull(), says("unknown origin", "said_origin")),
         F.when(F.col("said_confidence").isNotNull() & (sure.isNull() | F.isnan(sure) | ~sure.between(0, 1)), says("confidence is not from 0 to 1", "said_confidence")),
-    )
-    return fields.select("doc_id", "n", "row_id", F.explode(F.filter(found, lambda e: e.isNotNull())).alias("error"))
+    ))
+
+
+def row_errors(fields: DataFrame) -> DataFrame:
+    """(doc_id, n, row_id, error) of scrubbed rows that are no proposal; one error for each thing that is wrong."""
+    return fields.select("doc_id", "n", "row_id", F.explode(row_faults()).alias("error"))
 
 
 def proposals(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(proposals, errors): a reply with a row that is wrong gives its errors and no proposal, since it is to be mended whole."""
     fields = scrubbed(rows)
-    wrong = row_errors(fields)
-    good = fields.drop("said_kind", "said_origin", "said_confidence").join(wrong.select("doc_id").distinct(), "doc_id", "left_anti")
-    return expanded(good), wrong
+    whole = fields.withColumn("_wrong", F.max(F.size(row_faults()) > 0).over(W.partitionBy("doc_id"))).filter(~F.col("_wrong"))
+    return expanded(whole.drop("said_kind", "said_origin", "said_confidence", "_wrong")), row_errors(fields)
 
 
 def expanded(proposals: DataFrame) -> DataFrame:
