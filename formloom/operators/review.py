@@ -11,6 +11,7 @@ from ..functions import text as T
 from . import grouping
 
 STATUSES = ["proposed", "accepted", "edited", "rejected"]
+TWICE = "slot filled twice: "
 COLUMNS = ["row_id", "page", "form", "text_1", "text_2", "coord1", "coord2", "domain", "group", "anno1", "anno2", "note", "origin", "source", "review_status", "reviewed_by"]
 
 
@@ -48,17 +49,21 @@ def slots(lines: DataFrame) -> DataFrame:
 def errors(lines: DataFrame, rows: DataFrame) -> DataFrame:
     """(doc_id, row_id, error, n, excel_rows): rows that the form does not have, slots filled twice, unknown statuses and
     origins, and decisions without the name of who made them; excel_rows names the lines."""
-    at = [F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set(F.col("excel_row").cast("long"))), ", ").alias("excel_rows")]
-    of = lambda df, error: df.groupBy("doc_id", "row_id").agg(*at).withColumn("error", F.lit(error))
-    unknown = of(lines.join(rows.select("doc_id", "row_id"), ["doc_id", "row_id"], "left_anti"), "unknown row")
-    twice = slots(lines).groupBy("doc_id", "row_id", "slot").agg(*at).filter("n > 1").select("doc_id", "row_id", "n", "excel_rows", F.concat(F.lit("slot filled twice: "), F.col("slot")).alias("error"))
-    status = of(lines.filter(~F.col("review_status").isin(STATUSES)), "unknown status")
-    origin = of(lines.filter((F.col("origin") != "") & T.coerce(F.col("origin"), T.ORIGINS).isNull()), "unknown origin")
+    form = rows.select("doc_id", "row_id").distinct().withColumn("_known", F.lit(True))
+    told = lines.join(form, ["doc_id", "row_id"], "left").withColumn("_lines", F.count("*").over(W.partitionBy("doc_id", "row_id")))
+    is_so = lambda condition, error: F.when(condition, F.lit(error))
     filled = (F.col("anno1") != "") | (F.col("anno2") != "") | (F.col("note") != "")
-    nobody = of(lines.filter(filled & F.col("review_status").isin(STATUSES[1:]) & (F.col("reviewed_by") == "")), "reviewed by nobody")
-    coords = [F.when((F.col(c) != "") & G.parse_rect(F.col(c)).isNull(), F.lit(f"no rectangle in {c}")) for c in ("coord1", "coord2") if c in lines.columns]
-    bad = lines.withColumn("error", F.explode(F.array_compact(F.array(*coords)))).groupBy("doc_id", "row_id", "error").agg(*at) if coords else unknown.limit(0)
-    return unknown.unionByName(twice).unionByName(status).unionByName(origin).unionByName(nobody).unionByName(bad)
+    # a row of one line alone fills no slot twice; of the others a slot of one line is dropped below
+    slot = [is_so((F.col("_lines") > 1) & (F.trim(f"anno{k}") != ""), f"{TWICE}{k}") for k in (1, 2)]
+    coords = [is_so((F.col(c) != "") & G.parse_rect(F.col(c)).isNull(), f"no rectangle in {c}") for c in ("coord1", "coord2") if c in lines.columns]
+    found = F.array(
+        is_so(F.col("_known").isNull(), "unknown row"), *slot, is_so(~F.col("review_status").isin(STATUSES), "unknown status"),
+        is_so((F.col("origin") != "") & T.coerce(F.col("origin"), T.ORIGINS).isNull(), "unknown origin"),
+        is_so(filled & F.col("review_status").isin(STATUSES[1:]) & (F.col("reviewed_by") == ""), "reviewed by nobody"), *coords,
+    )
+    each = told.select("doc_id", "row_id", F.col("excel_row").cast("long").alias("excel_row"), F.explode(F.array_compact(found)).alias("error"))
+    out = each.groupBy("doc_id", "row_id", "error").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("excel_row")), ", ").alias("excel_rows"))
+    return out.filter(~F.col("error").startswith(TWICE) | (F.col("n") > 1)).select("doc_id", "row_id", "n", "excel_rows", "error")
 
 
 def to_annotations(lines: DataFrame, rows: DataFrame) -> DataFrame:

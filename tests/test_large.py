@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from formloom.functions import geometry as G
-from formloom.operators import extract
+from formloom.operators import extract, reply, review
 from formloom.plans import queries, testbed
 
 SMALL = "/root/testdata/sf0.01"
@@ -98,3 +98,23 @@ def test_first_fit_against_a_plain_version(grows):
             page, top, bottom, want = page + [p] * len(a), top + a, bottom + b, want + extract.first_fit_odd(a, b, grows)
         got = extract.first_fit(np.array(page), pa.chunked_array([pa.array(top, pa.float64())]), pa.chunked_array([pa.array(bottom, pa.float64())]), grows)
         assert got.tolist() == want
+
+
+def test_replies_are_read_where_they_lie(spark):
+    """No text is sent to be parsed, and each is read by itself, even of one id; rows that are wrong are told without a shuffle."""
+    texts = spark.createDataFrame([(1, "x\n| row_id | kind |\n|---|---|\n| r1 | note |"), (1, "row_id;kind\nr2;note\n\nrow_id;kind\nr3;note"), (1, "none"), (1, None)], "doc_id long, text string")
+    rows, errors = reply.parse(texts)
+    for df in (rows, errors, reply.proposals(rows)[1]):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["n"], r["row"]["row_id"]) for r in rows.collect()) == [(1, "r2"), (3, "r1")]
+    assert [r["error"] for r in errors.collect()] == ["no table found"] * 2
+
+
+def test_sheet_errors_read_lines_once(spark):
+    """One pass over a sheet's lines for all kinds of errors, and one over the form's rows."""
+    columns = ["doc_id", "excel_row", "row_id", "anno1", "anno2", "note", "review_status", "reviewed_by", "origin"]
+    told = [(1, 2, "r1", "A", "", "", "open", "", ""), (1, 3, "r1", "B", "C", "", "proposed", "", "who"), (1, 4, "r9", "", "", "x", "accepted", "", "")]
+    out = review.errors(spark.createDataFrame(told, columns), spark.createDataFrame([(1, "r1"), (1, "r1")], ["doc_id", "row_id"]))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2
+    got = sorted((r["row_id"], r["error"], r["n"], r["excel_rows"]) for r in out.collect())
+    assert got == [("r1", "slot filled twice: 1", 2, "2, 3"), ("r1", "unknown origin", 1, "3"), ("r1", "unknown status", 1, "2"), ("r9", "reviewed by nobody", 1, "4"), ("r9", "unknown row", 1, "4")]
