@@ -118,3 +118,14 @@ def test_sheet_errors_read_lines_once(spark):
     assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2
     got = sorted((r["row_id"], r["error"], r["n"], r["excel_rows"]) for r in out.collect())
     assert got == [("r1", "slot filled twice: 1", 2, "2, 3"), ("r1", "unknown origin", 1, "3"), ("r1", "unknown status", 1, "2"), ("r9", "reviewed by nobody", 1, "4"), ("r9", "unknown row", 1, "4")]
+
+
+def test_masked_words_are_not_sent(spark, settings, monkeypatch):
+    """Pages of the tables come whole; a stretch of words at a time, they are those that the join of words and rectangles leaves."""
+    settings(execution_arrow_maxRecordsPerBatch="7")
+    monkeypatch.setattr(extract, "PAIRS", 50)
+    sf = "/root/testdata/sf0.001"
+    got, words = queries.mask_words(spark, sf), testbed.words(spark, sf)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    rects = words.filter("word_no = 4 and line_no % 2 = 0").select("doc_id", "page_index", G.box(F.col("x0"), F.col("y0"), F.col("x1") + 20, F.col("y1")).alias("rect"))
+    assert sorted(got.collect()) == sorted(extract.mask_words(words, rects).select(got.columns).collect())
