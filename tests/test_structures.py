@@ -169,6 +169,32 @@ def test_prefix_lookup(spark):
     assert prefix.prefix_lookup(df, keys.filter("false")).filter("says is not null").isEmpty() and prefix.prefix_lookup(df.filter("false"), keys).isEmpty()
 
 
+def test_prefix_lookup_of_keys_of_many_lengths(spark):
+    """Against a plain version, with keys and texts about each power of two; a text that begins as no key does is not held against each length."""
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("aé") for _ in range(n))
+    keys = sorted({word(n) for n in [*range(1, 10), *range(15, 18), *range(31, 34), 64, 65, 100] for _ in range(4)})
+    place = {k: rng.randrange(20) for k in keys}
+    texts = [k[:n] + t for k in keys for n in (len(k) - 1, len(k)) for t in ("", "a", "b")] + ["b" * 200]
+    df, told = spark.createDataFrame(list(enumerate(texts)), "n int, text string"), spark.createDataFrame(list(place.items()), "key string, place int")
+    best = lambda t: t if t in place else min((k for k in keys if t.startswith(k)), key=lambda k: (place[k], k), default=None)
+    out = prefix.prefix_lookup(df, told)
+    assert [r["key"] for r in out.orderBy("n").collect()] == [best(t) for t in texts]
+    few = prefix.prefix_lookup(spark.createDataFrame([(n, f"b{n}" * 99) for n in range(1000)], "n int, text string"), told)
+    assert {r["key"] for r in few.collect()} == {None}
+    assert 0 < generated(spark) <= 1000 * 7  # a row for each of 1, 2, 4 ... 64 letters, not for each of 18 lengths and more
+
+
+def generated(spark):
+    """Rows that the last action's explode() made."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    store = spark._jsparkSession.sharedState().statusStore()
+    last = max((store.executionsList().apply(i).executionId() for i in range(store.executionsList().size())))
+    nodes, values = store.planGraph(last).allNodes(), store.executionMetrics(last)
+    metrics = [n.metrics().apply(k) for n in map(nodes.apply, range(nodes.size())) if n.name() == "Generate" for k in range(n.metrics().size())]
+    return sum(int(values.apply(m.accumulatorId()).replace(",", "")) for m in metrics if m.name() == "number of output rows" and values.contains(m.accumulatorId()))
+
+
 def test_sheets_merge_and_no_decision_is_lost(spark):
     def cells(*rows):
         return spark.createDataFrame([(1, r, 1, t, s, w) for r, t, s, w in rows], "doc_id long, row_id string, slot int, shown string, review_status string, reviewed_by string")
