@@ -38,7 +38,7 @@ def form_runs(spark: SparkSession, path: str, masked: DataFrame | None = None) -
 
 
 def form_rows(spark: SparkSession, path: str, masked: DataFrame | None = None) -> DataFrame:
-    return staged(extract.rows_of(form_runs(spark, path, masked), stage=staged))
+    return staged(extract.rows_of(form_runs(spark, path, masked)))
 
 
 def colored_and_placed(annotations: DataFrame, rows: DataFrame, runs: DataFrame) -> DataFrame:
@@ -80,7 +80,7 @@ def build_sheet(spark: SparkSession, forms: str, out: str, lookup: str | None =
     """
     runs = form_runs(spark, forms)
     runs.write.parquet(f"{out}/runs")
-    rows = staged(extract.rows_of(runs, stage=staged))
+    rows = staged(extract.rows_of(runs))
     tables.write_documents(rows, f"{out}/rows_json")
     rows.write.parquet(f"{out}/rows")
     known = tables.read_lookup(spark, lookup) if lookup else spark.createDataFrame([], ", ".join(f"{c} string" for c in tables.LOOKUP))
@@ -209,7 +209,7 @@ def preview(spark: SparkSession, forms: str, out: str) -> DataFrame:
     """What an overlay would show of an extraction."""
     run = form_runs(spark, forms)
     pages = extract.page_gutters(run, run.select("doc_id", "page_index").distinct(), F.lit(612.0)).withColumnRenamed("gutter", "gutter_x").withColumns({"width": F.lit(612.0), "height": F.lit(792.0)})
-    boxes = draw.overlay(staged(extract.rows_of(run, stage=staged)), pages)
+    boxes = draw.overlay(staged(extract.rows_of(run)), pages)
     boxes.write.parquet(f"{out}/overlay")
     return spark.read.parquet(f"{out}/overlay")
 

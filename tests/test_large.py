@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from formloom.functions import geometry as G
@@ -38,6 +39,48 @@ def test_rows_with_small_broadcasts(spark, settings):
     assert rows.count() == 37030 == rows.select("doc_id", "row_ord").distinct().count()
 
 
+def by_relations(run, width=612.0, height=792.0, header=extract.FORM_HEADER):
+    """Rows as the relations of pages, lines and records tell them, sent by page and line."""
+    w, h, page = F.lit(width), F.lit(height), ["doc_id", "page_index"]
+    pages = run.select(*page).distinct()
+    bands = extract.line_bands(extract.line_rects(run), w, h).select(*page, "line_no", "band")
+    merged = extract.merge_wrapped(extract.assemble(run, extract.page_gutters(run, pages, w)).join(bands, [*page, "line_no"], "left"))
+    n = F.row_number().over(W.partitionBy(*page).orderBy("line_no"))
+    corner = lambda k: F.when(F.col(f"x0_{k}").isNotNull(), G.flip(G.box(*[F.col(f"{c}_{k}") for c in ("x0", "y0", "x1", "y1")]), h))
+    return merged.join(extract.forms(run, pages, header), page).select(
+        "doc_id", F.row_number().over(W.partitionBy("doc_id").orderBy("page_index", "line_no")).alias("row_ord"), F.format_string("p%d_r%03d", F.col("page_index") + 1, n).alias("row_id"), "page_index", "form", "text_1", "text_2",
+        corner(1).alias("bbox_1"), corner(2).alias("bbox_2"), G.flip(F.col("band"), h).alias("band"), "full_width",
+    )
+
+
+def test_rows_send_nothing(spark):
+    rows = extract.rows_of(testbed.runs(spark, "/root/testdata/sf0.001"), header=testbed.HEADER, together=True)
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(rows.collect()) == sorted(by_relations(testbed.runs(spark, "/root/testdata/sf0.001"), header=testbed.HEADER).collect())
+
+
+def test_rows_of_odd_pages(spark, settings):
+    """Pages of one or two columns, of no words or few, lines in several blocks or none, lines that overlap, blank texts, batches that cut anywhere."""
+    rng, words = random.Random(7), []
+    for doc in range(40):
+        for page in range(rng.choice([1, 2, 5])):
+            gap, y = rng.choice([0, 0, 60, 200]), 20.0
+            for line in range(rng.choice([1, 3, 12, 30])):
+                y += rng.choice([12.0, 14.0, 3.0, 0.0])
+                x = 90.0
+                for k in range(rng.choice([1, 2, 4, 9])):
+                    x += rng.choice([3.0, 3.0, 5.0, 12.0, gap])
+                    said = rng.choice(["a", "bc", "Form:", "\u00a0", "q", None]) if rng.random() < 0.5 else "word"
+                    words.append((f"d{doc}", page, line, k, x, y, x + 5.0 * len(said or "xx"), y + rng.choice([10.0, 10.0, 8.5]), said, rng.choice([line // 3, line // 3, line // 3 + 1, None])))
+                    x = words[-1][6]
+    df = spark.createDataFrame(words, "doc_id string, page_index int, line_no int, word_no int, x0 double, y0 double, x1 double, y1 double, word string, block int")
+    want = sorted(map(str, by_relations(extract.runs(df)).collect()))
+    assert len(want) > 500 and any("Row(x0=" in w.split("bbox_2=")[1][:8] for w in want)
+    for n in ("10000", "7"):
+        settings(execution_arrow_maxRecordsPerBatch=n)
+        assert sorted(map(str, extract.rows(df).collect())) == want
+
+
 def test_runs_of_lines_that_come_whole(spark, settings):
     """No word of the tables is sent, and batches that cut lines and words in any order make no difference."""
     settings(execution_arrow_maxRecordsPerBatch="7")
