@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from formloom.functions import geometry as G
-from formloom.operators import extract, reply, review
+from formloom.operators import extract, recover, reply, review
 from formloom.plans import queries, testbed
 
 SMALL = "/root/testdata/sf0.01"
@@ -172,3 +172,24 @@ def test_masked_words_are_not_sent(spark, settings, monkeypatch):
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
     rects = words.filter("word_no = 4 and line_no % 2 = 0").select("doc_id", "page_index", G.box(F.col("x0"), F.col("y0"), F.col("x1") + 20, F.col("y1")).alias("rect"))
     assert sorted(got.collect()) == sorted(extract.mask_words(words, rects).select(got.columns).collect())
+
+
+def test_blocks_of_many_pages_at_once(spark):
+    """Pages of any number of marks and rows, odd ones among them: as each page by itself; and all rows are met by as many steps as one page has."""
+    rng, parts = np.random.default_rng(5), []
+    for p in range(60):
+        n, m = int(rng.integers(0, 30)), int(rng.integers(0, 30))
+        high = 780 - np.cumsum(rng.choice([14.0, 12.0, 28.0], n))
+        q = rng.choice([250.0, 260.0, 310.5, np.nan], n)
+        x, y = rng.choice([250.0, 260.0, 310.5, 450.0, 100.0], m) + G.GAP + rng.choice([0, 0.3, -0.5, 5.0], m), rng.uniform(300, 780, m)
+        y[: p % 5 == 0] = np.nan
+        parts.append((x, y, q, np.where(np.isnan(q), 450.0, q), high - 10, high))
+    marked, page = (np.repeat(np.arange(60), [len(p[c]) for p in parts]) for c in (0, 2))
+    start, length = recover.smallest_blocks(*(np.concatenate([p[c] for p in parts]) for c in range(6)), marked, page)
+    each = [recover.smallest_blocks(*p) for p in parts]
+    assert start.tolist() == [v for s, _ in each for v in s] and length.tolist() == [v for _, n in each for v in n] and (length > 1).sum() > 50
+    arrays = [pa.array(range(60)), pa.array([0] * 60), *[pa.array([list(range(len(p[0]))) for p in parts], pa.list_(pa.int32())) for _ in (0,)], *[pa.array([p[c].tolist() for p in parts], pa.list_(pa.float64())) for c in range(6)]]
+    batch = pa.RecordBatch.from_arrays(arrays, ["doc_id", "page_index", "mark_ord", "x", "y", "q", "right", "low", "high"])
+    got = pa.Table.from_batches([*recover.blocks_of_pages(iter([batch.slice(7, 40)]))])
+    own = (marked >= 7) & (marked < 47) & (length > 0)
+    assert got["doc_id"].to_pylist() == marked[own].tolist() and got["start"].to_pylist() == start[own].tolist() and got["length"].to_pylist() == length[own].tolist()
