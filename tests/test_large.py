@@ -193,3 +193,13 @@ def test_blocks_of_many_pages_at_once(spark):
     got = pa.Table.from_batches([*recover.blocks_of_pages(iter([batch.slice(7, 40)]))])
     own = (marked >= 7) & (marked < 47) & (length > 0)
     assert got["doc_id"].to_pylist() == marked[own].tolist() and got["start"].to_pylist() == start[own].tolist() and got["length"].to_pylist() == length[own].tolist()
+
+
+def test_marks_meet_rows_once(spark):
+    """What finds no row by its strip is told from the same join as what does; the rows are as before."""
+    rows, _, m = queries.attributed(spark, "/root/testdata/sf0.001")
+    out = recover.match_rows(m, rows)
+    got = out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert sum("Join" in line and "_strip" in line for line in plan.splitlines()) == 1
+    assert {r["placement"] for r in got} >= {None, "slot1", "slot2", "wrap", "band", "group", "nearest"} and len({(r["doc_id"], r["page_index"], r["mark_ord"]) for r in got}) == m.count()
