@@ -158,6 +158,15 @@ def test_appendix_of_one_word_that_all_share(spark):
     assert reply.appendix(lookup, words, 20).filter("place = 1").select("label").distinct().collect()[0][0] == "the label 149"
 
 
+def test_lookup_table_of_mappings_of_one_place_in_order(spark):
+    """Of one `ord` the table's order tells files, label and context apart, as the SQL does when one thread reads it."""
+    told = [("Age ", "b", "s2", 7, 1), ("AGE", "a", "s1", 7, 2), ("age", "c", "s0", 9, 0), ("age", "d", "s3", 7, 3)]
+    m = spark.createDataFrame(told, "label string, context string, source_pdf string, ord long, at long")
+    m = m.select("*", *[F.lit(v).alias(c) for c, v in (("kind", "variable"), ("row_id", "r"), ("domain", "DM"), ("variable", "AGE"), ("condition", None), ("fixed_value", None))])
+    assert [tuple(r)[:2] + tuple(r)[-2:] for r in precedent.lookup_table(m).collect()] == [("Age ", "b", 4, "s2; s1; s3; s0")]
+    assert precedent.lookup_table(m.drop("at")).first()["sample_pdfs"] == "s1; s2; s3; s0"
+
+
 def test_prefix_lookup(spark):
     keys = spark.createDataFrame([("Form", "f", 3), ("Form: De", "fd", 9), ("Page ", "p", 1), ("Page 1", "p1", 2), ("exactly", "e", 8), ("exact", "x", 0), ("", "none", 0), (None, "none", 0), ("é漢", "u", 5), ("Page ", "later", 7)], "key string, says string, place int")
     texts = [("Form", "f", True), ("Form: Demographics", "f", False), ("Page 12", "p", False), ("exactly", "e", True), ("exactly so", "x", False), ("", None, None), (None, None, None), ("nothing", None, None), ("é漢字", "u", False), ("é", None, None), ("Form", "f", True)]
