@@ -5,8 +5,11 @@ Validation gives rows of errors; callers decide whether to stop. texts: doc_id,
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -256,6 +259,69 @@ def appendix(lookup: DataFrame, words: DataFrame, most: int = 20, light: int = L
     return appendix_pairs(lookup, words, most, light).withColumn("place", place).filter(F.col("place") <= most)
 
 
+#: Pairs of label and word of a lookup that each task holds; beyond them, batches and labels meet in joins.
+HELD = 1 << 20
+#: Labels of batches, and meetings of their words with labels, that a task counts at once.
+COUNTED = 1 << 21
+
+
+def appendix_of(lookup: DataFrame, batches: DataFrame, most: int = 20, held: int = HELD) -> DataFrame:
+    """As appendix(), from batches (doc_id, words), an array of words each; of one doc_id several may come.
+
+    A lookup of at most `held` pairs of label and word goes to every task, so that a batch finds its labels where it is: it is
+    sent once, as the numbers of the words that the lookup knows. No pair of batch and label is sent.
+    """
+    best = lookup.groupBy("label").agg(F.max(F.col("count").cast("int")).alias("count"))
+    told = best.withColumn("words", T.label_words(F.col("label")))
+    if (told.agg(F.sum(F.size("words"))).first()[0] or 0) > held:
+        return appendix(lookup, batches.select("doc_id", F.explode("words").alias("word")), most)
+    labels = told.filter(F.size("words") > 0).orderBy(F.desc("count"), "label").toArrow()
+    label, count, words = (labels[c].combine_chunks() for c in ("label", "count", "words"))
+    word = pc.dictionary_encode(words.flatten())
+    number, of = word.indices.to_numpy(), np.repeat(np.arange(len(label)), pc.list_value_length(words).to_numpy())
+    by_word = np.argsort(number, kind="stable")
+    index = (word.dictionary, np.cumsum(np.bincount(number, minlength=len(word.dictionary))), of[by_word])
+    kind = f"doc_id {batches.schema['doc_id'].dataType.simpleString()}"
+    known = batches.select("doc_id", "words").mapInArrow(lambda b: known_words(b, index[0]), f"{kind}, words array<int>")
+    once = known.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("words"))).alias("words"))
+    schema = f"{kind}, label string, overlap bigint, count int, place int"
+    return once.mapInArrow(lambda b: best_labels(b, label, count, index[1], index[2], most), schema)
+
+
+def known_words(batches: Iterator[pa.RecordBatch], vocabulary: pa.Array) -> Iterator[pa.RecordBatch]:
+    """Each batch's words as their places in the vocabulary, without those that it lacks."""
+    for b in batches:
+        of, place = pc.list_parent_indices(b.column(1)).to_numpy(), pc.index_in(pc.list_flatten(b.column(1)), value_set=vocabulary)
+        known = place.is_valid()
+        size = np.bincount(of[known.to_numpy(zero_copy_only=False)], minlength=b.num_rows)
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), place.filter(known).cast(pa.int32()))
+        yield pa.RecordBatch.from_arrays([b.column(0), lists], names=["doc_id", "words"])
+
+
+def best_labels(batches: Iterator[pa.RecordBatch], label: pa.Array, count: pa.Array, until: np.ndarray, of: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """The `most` labels that share most words with each batch; labels are in order of count and name, a word's are of[until[w - 1]:until[w]]."""
+    n, most = len(label), min(most, len(label))
+    many = np.diff(until, prepend=0)
+    for b in batches:
+        own, w = pc.list_parent_indices(b.column(1)).to_numpy(), pc.list_flatten(b.column(1)).to_numpy()
+        met = np.cumsum(np.bincount(own, weights=many[w], minlength=b.num_rows)) if n else np.zeros(b.num_rows)
+        i = 0 if n else b.num_rows
+        while i < b.num_rows:
+            k = max(i + 1, min(i + COUNTED // n, int(np.searchsorted(met, (met[i - 1] if i else 0) + COUNTED, side="right"))))
+            low, high = np.searchsorted(own, [i, k])
+            part, size = w[low:high], many[w[low:high]]
+            at = of[np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(until[part] - size, size)]
+            overlap = np.bincount(np.repeat(own[low:high] - i, size) * n + at, minlength=(k - i) * n).reshape(k - i, n)
+            rank = overlap * n + np.arange(n - 1, -1, -1)
+            top = np.argpartition(-rank, most - 1, axis=1)[:, :most]
+            top = np.take_along_axis(top, np.argsort(-np.take_along_axis(rank, top, axis=1), axis=1), axis=1)
+            shared = np.take_along_axis(overlap, top, axis=1)
+            row, place = np.nonzero(shared)
+            found = pa.array(top[row, place])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row + i)), label.take(found), pa.array(shared[row, place]), count.take(found), pa.array((place + 1).astype(np.int32))], names=["doc_id", "label", "overlap", "count", "place"])
+            i = k
+
+
 def spec_sheet(rows: DataFrame) -> DataFrame:
     """Rows in reading order with the blank columns that a reply fills, as lines of text of one file for each document."""
     quoted = lambda c: F.concat(F.lit('"'), F.regexp_replace(F.coalesce(F.col(c).cast("string"), F.lit("")), '"', '""'), F.lit('"'))

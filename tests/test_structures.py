@@ -158,6 +158,22 @@ def test_appendix_of_one_word_that_all_share(spark):
     assert reply.appendix(lookup, words, 20).filter("place = 1").select("label").distinct().collect()[0][0] == "the label 149"
 
 
+def test_appendix_of_batches_that_lie_in_parts(spark, monkeypatch):
+    """As the joins tell it, whatever is counted at once; ids that come twice are one batch, and only known words are sent."""
+    rng = random.Random(5)
+    vocabulary = [f"w{n}a" for n in range(50)] + ["the"] * 30
+    lookup = spark.createDataFrame([(" ".join(rng.choices(vocabulary, k=4)) + f" é{n}", n % 5) for n in range(80)] + [("an", 9)], "label string, count int")
+    told = [(d % 25 if d % 7 else None, rng.choices([*vocabulary, "unknown"], k=rng.randrange(9)) or None) for d in range(60)]
+    batches = spark.createDataFrame(told, "doc_id long, words array<string>")
+    words = batches.select("doc_id", F.explode("words").alias("word")).filter("doc_id is not null")
+    rows = lambda df: sorted(map(tuple, df.filter("doc_id is not null").select("doc_id", "label", "overlap", "count", "place").collect()))
+    expected = rows(reply.appendix(lookup, words, 5))
+    assert rows(reply.appendix_of(lookup, batches, 5)) == expected == rows(reply.appendix_of(lookup, batches, 5, held=1))
+    monkeypatch.setattr(reply, "COUNTED", 100)
+    assert rows(reply.appendix_of(lookup, batches, 5)) == expected
+    assert reply.appendix_of(lookup.filter("false"), batches).isEmpty() and reply.appendix_of(lookup, batches.filter("false")).isEmpty()
+
+
 def test_lookup_table_of_mappings_of_one_place_in_order(spark):
     """Of one `ord` the table's order tells files, label and context apart, as the SQL does when one thread reads it."""
     told = [("Age ", "b", "s2", 7, 1), ("AGE", "a", "s1", 7, 2), ("age", "c", "s0", 9, 0), ("age", "d", "s3", 7, 3)]
